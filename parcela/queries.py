@@ -1,0 +1,4 @@
+"""The queries of the reference's operators, and SQL for each."""
+
+QUERIES: dict = {}
+ORACLE_SQL: dict = {}
