@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact, mixing, packing, quality, secrets
+from . import exact, html_text, langid, mixing, ngram_join, packing, quality, secrets, tokenfile, urls
 from .queries_sql import ORACLE_SQL
 
 
@@ -24,6 +25,33 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.findings(docs, ledger))
 
 
+def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.outcomes_of(pages, _table(spark, sf_dir, "labels")))
+
+
+def op4_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenfile.write(_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read(spark, path)
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+def op7_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    profiles = langid.learn(docs.where(~held_out))
+    return langid.identify(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -40,5 +68,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_best_fit_packing, op2_secret_ledger, op8_source_mixing, op9_exact_dedup, op10_quality_rules)
+    f.__name__: f for f in (
+        op1_best_fit_packing,
+        op2_secret_ledger,
+        op3_url_reputation,
+        op4_repair_tokens,
+        op5_main_text,
+        op6_ngram_jaccard,
+        op7_rank_order_langid,
+        op8_source_mixing,
+        op9_exact_dedup,
+        op10_quality_rules,
+    )
 }
