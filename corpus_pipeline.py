@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcela.llm import exact, mixing, packing, quality
+from parcela.llm import exact, mixing, ngram_join, packing, quality
 from parcela.llm.common import stored
 
 
@@ -18,6 +18,11 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.keep(docs)
 
 
+def apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles, that of the smallest doc_id."""
+    return ngram_join.keep(docs, k=5, percent=80)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by the chances that bring source, language and topic to their targets."""
     return mixing.sample(docs)
@@ -28,7 +33,13 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", good), ("exact dedup", distinct), ("mixing sources", mixed), ("best-fit packing", packed)]
+STAGES = [
+    ("quality rules", good),
+    ("exact dedup", distinct),
+    ("n-gram Jaccard join", apart),
+    ("mixing sources", mixed),
+    ("best-fit packing", packed),
+]
 
 #: Best-fit packing depends on each choice before, which SQL cannot express.
 ORACLE_SQL = None
