@@ -1,20 +1,20 @@
 """Near-duplicate join on word shingles with a token-group matrix.
 
-Documents with one and the same shingle set form a class. Similar classes are first brought into
-groups (``_groups``). The token-group matrix then has, for each token that may matter, the groups
-whose union of tokens has it (``_prefixes`` says which may matter). A class of the smaller group is
-the query: only groups with which it shares such a token are opened, and their members compared
-with it over whole sets (``_verified``).
-
-A token may matter to a class only if it is in the class's prefix: of a set of n, the first
-``n - ceil(t n) + 1`` tokens in an order that all sets share. Two sets of similarity t or more have
-a token of both prefixes in common. Rare tokens come first in the order, so that nearly all tokens
-of most prefixes occur in one class alone, and such classes leave the join early.
+Documents with one and the same shingle set form a class. Two sets of n tokens and similarity t or
+more have a token in common among the first ``n - ceil(t n) + 1`` of each, in any order that all
+sets share: the prefix. The order puts first the tokens that no other class has, so most prefixes
+hold nothing else, and their classes, which link with nothing, leave early (``_shared``, first over
+part of the tokens of all classes, then over all tokens of those that are left).
+
+The classes left are brought into groups of similar ones (``_groups``). The token-group matrix has,
+for each token, the groups with the token in the union of their prefixes. A class is a query to it:
+a group is opened only if prefix places and set sizes leave room for enough overlap (``_opened``),
+and the members of an opened group are compared with the query over whole sets (``_verified``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import components, shared_dir, small, stored
 from .shingles import Codes, mixed, set_id, shingle_set
 
-#: Tokens below this 64-bit number are the pool in which occurrences are counted.
-_POOL = np.uint64(int(0.35 * 2**64))
+#: Of all classes, tokens below this 64-bit number are counted.
+_POOL = int(0.25 * 2**64)
 #: Tokens in a batch of the first pass, tokens that a counting task gets on average, the classes of
 #: one batch from which on a token counts as very common, and the length of a class's sketch.
 _BATCH, _TASK, _COMMON, _SKETCH, _BANDS = 1_500_000, 1_000_000, 32, 12, 4
@@ -35,31 +35,23 @@ _ENTRY = np.dtype([("cls", "<i8"), ("token", "<u8"), ("level", "u1")])
 _CLASS = np.dtype([("cls", "<i8"), ("n", "<u4"), ("pool", "<u4")])
 
 
-def _least(n: int, percent: int) -> int:
-    return -(-percent * n // 100)
-
-
 def _texts(batches: Iterator[pa.RecordBatch], of: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     for b in batches:
         yield b, b.column(of).cast(pa.binary()).to_pylist()
 
 
 def _members(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, cls (null without words), n, and sketch: least values of the set under several hashes."""
+    """doc_id, cls (null without words) and n of each document."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
         for b, texts in _texts(batches):
-            cls, n, sketch = [], [], []
-            for t in texts:
-                s = shingle_set(t, k, codes)
-                n.append(len(s))
-                cls.append(set_id(s) if len(s) else None)
-                sketch.append([int(mixed(s, 101 + i).min() & np.uint64(0x7FFFFFFF)) for i in range(_SKETCH)] if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(sketch, pa.list_(pa.int32()))], ["doc_id", "cls", "n", "sketch"])
+            sets = [shingle_set(t, k, codes) for t in texts]
+            cls = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), cls, pa.array(map(len, sets), pa.int64())], ["doc_id", "cls", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(each, f"doc_id {kind}, cls bigint, n bigint, sketch array<int>")
+    return docs.select("doc_id", "text").mapInArrow(each, f"doc_id {kind}, cls bigint, n bigint")
 
 
 def _dealt(values: np.ndarray, keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -82,19 +74,23 @@ def _batch(rows: list[tuple[int, str, bytes]]) -> pa.RecordBatch:
 _BLOBS = "part int, kind string, blob binary"
 
 
-def _prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(cls, n, tokens): the tokens of each class's prefix that other classes have too.
+def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total: int) -> DataFrame:
+    """(cls, n, alone, tokens) of each class whose prefix has a token that other classes have too.
+
+    ``sets_of`` makes sets from batches of ``rows``; about ``total`` tokens are expected. Those
+    under ``below`` are counted. The order has first what one class alone has (``alone`` tokens),
+    then the rarer, then what is not counted; ``tokens`` are those of the prefix after the first.
 
-    Batches of classes send their pool tokens to counting tasks by token, packed in blobs. A token
-    that many classes of a batch have is sent as a mark only, its entries passing the counting task
-    by, so no common token gathers anywhere. What has one class alone ends there; the rest goes on
+    Batches of classes send their tokens to counting tasks by token, packed in blobs. A token that
+    many classes of a batch have is sent as a mark only, its entries passing the counting task by,
+    so that no common token gathers anywhere. What has one class alone ends there; the rest goes on
     to tasks by class, which cut the prefixes.
     """
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, int(total / 6 * 0.35 / _TASK) + 1)
+    parts = max(1, total // _TASK + 1)
+    pool_end = np.uint64(min(below, 2**64 - 1))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, seen, turn = Codes(), {}, [0]
+        seen, turn = {}, [0]
 
         def flush() -> Iterator[pa.RecordBatch]:
             classes = np.zeros(len(seen), _CLASS)
@@ -126,18 +122,16 @@ def _prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield _batch(out)
 
         held = 0
-        for _, texts in _texts(batches):
-            for t in texts:
-                s = shingle_set(t, k, codes)
-                if not len(s) or (cls := set_id(s)) in seen:
-                    continue
-                pool = int(np.searchsorted(s, _POOL))
-                mine = s[: max(pool, len(s) - _least(len(s), percent) + 1)]
-                seen[cls] = (len(s), pool, mine.copy())
-                held += len(mine)
-                if held >= _BATCH:
-                    yield from flush()
-                    held = 0
+        for s in sets_of(batches):
+            if not len(s) or (cls := set_id(s)) in seen:
+                continue
+            pool = int(np.searchsorted(s, pool_end, "right"))
+            mine = s[: max(pool, len(s) - -(-percent * len(s) // 100) + 1)]
+            seen[cls] = (len(s), pool, mine.copy())
+            held += len(mine)
+            if held >= _BATCH:
+                yield from flush()
+                held = 0
         if seen:
             yield from flush()
 
@@ -190,7 +184,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
             return
         c = np.unique(np.concatenate(classes))
         e = np.concatenate(entries)
-        beyond = e["token"] >= _POOL
+        beyond = e["token"] > pool_end
         order = np.lexsort((e["token"], np.where(beyond, 0, e["level"]), beyond, e["cls"]))
         e = e[order]
         fresh = np.concatenate(([True], (e["cls"][1:] != e["cls"][:-1]) | (e["token"][1:] != e["token"][:-1])))
@@ -198,43 +192,47 @@ def _prefixes(docs: DataFrame, k: int, percent: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate(([True], e["cls"][1:] != e["cls"][:-1])))
         count = np.diff(np.append(first, len(e)))
         own = c[np.searchsorted(c["cls"], e["cls"][first])]
-        beyond = e["token"] >= _POOL
+        beyond = e["token"] > pool_end
         pooled = np.add.reduceat((~beyond).astype(np.int64), first)
         n = own["n"].astype(np.int64)
         prefix = n - -(-percent * n // 100) + 1
-        room = np.maximum(0, prefix - (own["pool"].astype(np.int64) - pooled))
+        alone = own["pool"].astype(np.int64) - pooled
+        room = np.maximum(0, prefix - alone)
         place = np.arange(len(e)) - np.repeat(first, count)
         kept = beyond | (place < np.repeat(room, count))
         sizes = np.add.reduceat(kept.astype(np.int64), first)
         some = sizes > 0
         tokens = pa.array(e["token"][kept].astype(np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes[some]))).astype(np.int32)), tokens)
-        yield pa.RecordBatch.from_arrays([pa.array(own["cls"][some]), pa.array(n[some]), lists], ["cls", "n", "tokens"])
+        yield pa.RecordBatch.from_arrays([pa.array(own["cls"][some]), pa.array(n[some]), pa.array(alone[some]), lists], ["cls", "n", "alone", "tokens"])
 
-    first = docs.select("text").mapInArrow(sent, _BLOBS).repartition(parts, "part")
+    first = rows.mapInArrow(sent, _BLOBS).repartition(parts, "part")
     second = first.mapInArrow(counted, _BLOBS).repartition(parts, "part")
-    return second.mapInArrow(cut, "cls bigint, n bigint, tokens array<bigint>")
+    return second.mapInArrow(cut, "cls bigint, n bigint, alone bigint, tokens array<bigint>")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets are similar, compared in full from the texts of one document each."""
-    pairs = stored(pairs, "pairs")
-    need = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    wanted = stored(classes.join(need, "cls").select("rep", F.col("cls").alias("own")), "wanted")
-    texts = docs.select("doc_id", "text").join(small(wanted, _NEED), docs["doc_id"] == wanted["rep"]).select("own", "text")
+def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """cls, n, tokens (the set, as bytes) and sketch of each class of ``wanted`` (cls, rep), from the text of ``rep``."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
-        for b, found in _texts(batches):
-            cls, blobs = [], []
-            for own, t in zip(b.column("own").to_pylist(), found, strict=True):
+        for b, texts in _texts(batches):
+            rows = []
+            for own, t in zip(b.column("cls").to_pylist(), texts, strict=True):
                 s = shingle_set(t, k, codes)
                 if len(s) and set_id(s) == own:
-                    cls.append(own)
-                    blobs.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(blobs, pa.binary())], ["cls", "tokens"])
+                    rows.append((own, len(s), s.tobytes(), [int(mixed(s, 101 + i).min() & np.uint64(0x7FFFFFFF)) for i in range(_SKETCH)]))
+            if rows:
+                cls, n, blob, sketch = zip(*rows, strict=True)
+                arrays = [pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(blob, pa.binary()), pa.array(sketch, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["cls", "n", "tokens", "sketch"])
+
+    texts = docs.join(small(wanted, _NEED), docs["doc_id"] == wanted["rep"]).select("cls", "text")
+    return texts.mapInArrow(made, "cls bigint, n bigint, tokens binary, sketch array<int>")
 
-    whole = stored(texts.mapInArrow(sets, "cls bigint, tokens binary"), "sets")
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose whole sets are similar."""
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -247,14 +245,14 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(mask), b.column("b").filter(mask)], ["a", "b"])
 
-    left = pairs.join(whole.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a")
-    full = left.join(whole.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b")
+    left = pairs.join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x")), "a")
+    full = left.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y")), "b")
     return full.select("a", "b", "x", "y").mapInArrow(alike, "a bigint, b bigint")
 
 
-def _groups(members: DataFrame, percent: int) -> DataFrame:
+def _groups(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of a class and a likely leader, by equal least values; sketches sort out the unlikely."""
-    one = members.where("cls is not null").select("cls", "n", "sketch").dropDuplicates(["cls"])
+    one = sets.select("cls", "n", "sketch")
     bands = one.select("cls", "n", "sketch", F.explode(F.sequence(F.lit(0), F.lit(_BANDS - 1))).alias("band"))
     bands = bands.withColumn("least", F.expr("sketch[band]"))
     lead = bands.groupBy("band", "least").agg(F.min(F.struct("cls", "n", "sketch")).alias("l"), F.max("cls").alias("last")).where("last > l.cls")
@@ -264,6 +262,24 @@ def _groups(members: DataFrame, percent: int) -> DataFrame:
     return met.where(close).select(F.col("l.cls").alias("a"), F.col("cls").alias("b")).distinct()
 
 
+def _opened(rows: DataFrame, percent: int) -> DataFrame:
+    """(cls, other): the groups to be opened for each class, from ``rows`` (cls, n, alone, tokens, grp).
+
+    Of a pair the larger set is the query, the smaller one is in the matrix. Sets of n and m tokens
+    need an overlap of ``a = ceil(t (n + m) / (1 + t))``, so the first token they share has at most
+    ``n - a`` and ``m - a`` tokens before it. The smaller set's prefix is therefore shorter. Of a
+    group the matrix keeps the sizes and the least place of the token, which bound all its members.
+    """
+    posted = rows.select("cls", "n", "grp", F.posexplode("tokens").alias("i", "token"), "alone").withColumn("place", F.col("i") + F.col("alone"))
+    need = lambda a, b: f"cast(ceil({percent} * ({a} + {b}) / {100 + percent}D - 1e-9D) as bigint)"
+    union = posted.where(f"place <= n - {need('n', 'n')}").groupBy("token", F.col("grp").alias("other"))
+    matrix = union.agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("place").alias("least"))
+    least = f"greatest(low, cast(ceil({percent} * n / 100D - 1e-9D) as bigint))"
+    most = "least(high, n)"
+    fits = f"{least} <= {most} and place <= n - {need('n', least)} and least <= {most} - {need('n', most)}"
+    return posted.join(matrix, "token").where(f"grp <> other and {fits}").select("cls", "other").distinct()
+
+
 def near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """A row per document: doc_id, n_shingles and component_id.
 
@@ -277,27 +293,38 @@ def near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     shared_dir(spark)
     docs = docs.select("doc_id", "text")
     members = stored(_members(docs, k), "members")
-    classes = stored(members.where("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-
-    likely = stored(_verified(_groups(members, percent), classes, docs, k, percent), "likely")
-    found = stored(components(likely), "groups")
-    sizes = found.groupBy("root").agg(F.count("*").alias("size"))
-    grouped = found.join(sizes, "root").select(F.col("node").alias("cls"), "root", "size")
-
-    prefixes = _prefixes(docs, k, percent).join(grouped, "cls", "left")
-    rows = stored(prefixes.select("cls", "n", F.coalesce("root", "cls").alias("grp"), F.coalesce("size", F.lit(1).cast("bigint")).alias("size"), "tokens"), "prefixes")
-    posted = rows.select("cls", "n", "grp", "size", F.explode("tokens").alias("token"))
-    matrix = posted.groupBy("token", "grp", "size").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    crossed = matrix.groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1").select("token")
-    of = matrix.join(crossed, "token", "left_semi").select("token", F.col("grp").alias("other"), F.col("size").alias("room"), "low", "high")
-    # A group whose sets are all too small or too large for the query stays closed.
-    fits = f"100 * high >= {percent} * n and 100 * n >= {percent} * low"
-    opened = posted.join(of, "token").where("(size, grp) < (room, other)").where(fits).select("cls", "n", "other", "room").distinct()
-    opened = stored(opened, "opened")
-    inside = stored(opened.where("room > 1").join(grouped.select(F.col("root").alias("other"), F.col("cls").alias("b")), "other").select(F.col("cls").alias("a"), "b"), "inside")
-    pairs = opened.where("room = 1").select(F.col("cls").alias("a"), F.col("other").alias("b")).union(inside).distinct()
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stored(_verified(tried, classes, docs, k, percent), "links")
+    classes = members.where("cls is not null and doc_id is not null").groupBy("cls")
+    classes = stored(classes.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n")), "classes")
+
+    def of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        codes = Codes()
+        for _, texts in _texts(batches):
+            for t in texts:
+                yield shingle_set(t, k, codes)
+
+    def of_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for _, blobs in _texts(batches, "tokens"):
+            for x in blobs:
+                yield np.frombuffer(x, np.uint64)
+
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    left = stored(_shared(docs.select("text"), of_text, percent, _POOL, total // 4).select("cls"), "left")
+    sets = stored(_sets(docs, stored(classes.join(left, "cls").select("cls", "rep"), "wanted"), k), "sets")
+
+    likely = stored(_verified(_groups(sets, percent), sets, percent), "likely")
+    grouped = stored(components(likely), "groups").select(F.col("node").alias("cls"), F.col("root").alias("grp"))
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    prefixes = stored(_shared(sets.select("tokens"), of_bytes, percent, 2**64, total), "prefixes")
+    rows = prefixes.join(grouped, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
+    opened = stored(_opened(rows, percent), "opened")
+
+    every = rows.select("cls", "n", "alone", "grp")
+    query = opened.join(every.select("cls", "n", "alone"), "cls")
+    inside = query.join(every.select(F.col("grp").alias("other"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("alone").alias("b_alone")), "other")
+    # What one of them has alone is no overlap.
+    room = f"{percent} * (n + m) <= {100 + percent} * least(n - alone, m - b_alone)"
+    pairs = inside.where(room).select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct()
+    more = stored(_verified(stored(pairs, "pairs"), sets, percent), "links")
 
     roots = components(likely.union(more)).select(F.col("node").alias("cls"), "root")
     named = classes.join(roots, "cls").select("root", "rep").groupBy("root").agg(F.min("rep").alias("component"))
