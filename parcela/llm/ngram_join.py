@@ -251,15 +251,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _groups(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of a class and a likely leader, by equal least values; sketches sort out the unlikely."""
-    one = sets.select("cls", "n", "sketch")
-    bands = one.select("cls", "n", "sketch", F.explode(F.sequence(F.lit(0), F.lit(_BANDS - 1))).alias("band"))
+    """Pairs (a, b) of a likely leader and a class, by equal least values; sketches sort out the unlikely.
+
+    The leader is the class with the smallest share of tokens that it has alone: of a family of near
+    copies the one next to their original, which links with all that can link with any.
+    """
+    share = F.floor(F.col("alone") * 100_000 / F.col("n")).alias("share")
+    bands = sets.select("cls", "n", share, "sketch", F.explode(F.sequence(F.lit(0), F.lit(_BANDS - 1))).alias("band"))
     bands = bands.withColumn("least", F.expr("sketch[band]"))
-    lead = bands.groupBy("band", "least").agg(F.min(F.struct("cls", "n", "sketch")).alias("l"), F.max("cls").alias("last")).where("last > l.cls")
-    met = bands.join(lead, ["band", "least"]).where("cls > l.cls")
+    lead = bands.groupBy("band", "least").agg(F.min(F.struct("share", "cls", "n", "sketch")).alias("l"), F.count("*").alias("size")).where("size > 1")
+    met = bands.join(lead, ["band", "least"]).where("cls <> l.cls")
     equal = "aggregate(zip_with(sketch, l.sketch, (x, y) -> if(x = y, 1, 0)), 0, (x, y) -> x + y)"
     close = f"100 * least(n, l.n) >= {percent} * greatest(n, l.n) and {equal} >= {_SKETCH // 2}"
-    return met.where(close).select(F.col("l.cls").alias("a"), F.col("cls").alias("b")).distinct()
+    return met.where(close).select(F.least("l.cls", "cls").alias("a"), F.greatest("l.cls", "cls").alias("b")).distinct()
 
 
 def _opened(rows: DataFrame, percent: int) -> DataFrame:
@@ -286,8 +290,8 @@ def near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Two documents link when their shared shingles of ``k`` words are ``percent`` per cent of all they
     have, or more; component_id is the smallest doc_id that links lead to, the own one included. No
     text, or one without words, has no shingles and links with nothing. Copies are compared once.
-    Rows with a null doc_id get no links of their own; an empty table gives none. Sets are compared
-    as 64-bit fingerprints.
+    Rows with a null doc_id get no links of their own, those that agree in doc_id and text agree in the
+    result, and an empty table gives none. Sets are compared as 64-bit fingerprints.
     """
     spark = docs.sparkSession
     shared_dir(spark)
@@ -311,10 +315,11 @@ def near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     left = stored(_shared(docs.select("text"), of_text, percent, _POOL, total // 4).select("cls"), "left")
     sets = stored(_sets(docs, stored(classes.join(left, "cls").select("cls", "rep"), "wanted"), k), "sets")
 
-    likely = stored(_verified(_groups(sets, percent), sets, percent), "likely")
-    grouped = stored(components(likely), "groups").select(F.col("node").alias("cls"), F.col("root").alias("grp"))
     total = sets.agg(F.sum("n")).first()[0] or 0
     prefixes = stored(_shared(sets.select("tokens"), of_bytes, percent, 2**64, total), "prefixes")
+    sketched = sets.select("cls", "sketch").join(prefixes.select("cls", "n", "alone"), "cls")
+    likely = stored(_verified(_groups(sketched, percent), sets, percent), "likely")
+    grouped = stored(components(likely), "groups").select(F.col("node").alias("cls"), F.col("root").alias("grp"))
     rows = prefixes.join(grouped, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     opened = stored(_opened(rows, percent), "opened")
 
