@@ -65,8 +65,8 @@ def exact(docs: DataFrame, capacity: int = 250_000, key_bits: int = 64) -> DataF
     """A row per document: doc_id, keep_id, group_size, kept, text_sha256, chain.
 
     Texts are equal if their bytes are; null counts as empty. The largest doc_id of a group stays.
-    Rows with one and the same doc_id and text count separately in group_size. Rows whose doc_id
-    is null stay only where the whole group's ids are null. No other column is read; an empty
+    Rows that agree in doc_id and text count separately in group_size and are marked alike. Rows whose
+    doc_id is null stay only where the whole group's ids are null. No other column is read; an empty
     table gives an empty result.
     """
     entries, found = index(docs, capacity, key_bits)
@@ -77,7 +77,7 @@ def exact(docs: DataFrame, capacity: int = 250_000, key_bits: int = 64) -> DataF
         "doc_id",
         keep.alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
-        F.coalesce(F.col("doc_id") == keep, F.lit(True)).alias("kept"),
+        F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
         F.coalesce("chain", F.lit(0)).alias("chain"),
     )

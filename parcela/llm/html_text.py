@@ -22,8 +22,10 @@ BLOCKS = frozenset(
 MARKED = frozenset(
     "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright "
     "disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo "
-    "promotion recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "promotion recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+#: A ``header`` in a name is one of the page, unless one of these says that it is the article's.
+OWN_HEADER = frozenset("article content entry post story title".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 _HOLDERS = ("article", "main")
 _CLOSES_P = BLOCKS - {"br"}
@@ -68,7 +70,9 @@ class _Lines(HTMLParser):
             a = dict(attrs)
             dropped = dropped or "hidden" in a or a.get("aria-hidden") == "true" or (a.get("role") or "").lower() in ROLES
             named = f"{a.get('class') or ''} {a.get('id') or ''}".lower()
-            marked = tag not in ("html", "body", "main") and not MARKED.isdisjoint(re.split(r"[^a-z0-9]+", named))
+            parts = set(re.split(r"[^a-z0-9]+", named))
+            of_page = "header" in parts and not inside and OWN_HEADER.isdisjoint(parts)
+            marked = tag not in ("html", "body", "main") and (of_page or not MARKED.isdisjoint(parts))
         holder = tag in _HOLDERS and not dropped and not marked
         if holder:
             for e in self.stack:  # what wraps an article is no menu, whatever its name

@@ -50,7 +50,11 @@ def ranked(keys: np.ndarray, top: int) -> np.ndarray:
 
 
 def learn(docs: DataFrame, top: int = TOP, most: int = LEARN) -> list[tuple[str, int, int]]:
-    """(lang, gram, rank) of each language of ``docs`` (doc_id, text, lang); rows without either are unread."""
+    """(lang, gram, rank) of each language of ``docs`` (doc_id, text, lang); rows without text or lang are unread.
+
+    What comes to the driver is ``top`` rows for each distinct value of lang. Equal counts are ranked
+    by the gram's code, so the result depends on the rows alone.
+    """
     known = docs.where("lang is not null and text is not null")
     n = known.select("lang").count()
     if n > most:

@@ -47,7 +47,7 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     profiles = langid.learn(docs.where(~held_out))
     return langid.identify(docs, profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 

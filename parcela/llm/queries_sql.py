@@ -1,6 +1,6 @@
 """The same results in the SQL of an independent engine."""
 
-from . import mixing, quality
+from . import mixing, quality, secrets, urls
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -67,7 +67,74 @@ def _op8() -> str:
     return "with " + ",\n".join(out) + f"\nselect doc_id, source, lang, topic, n_tokens, weight, p, {draw} < p as selected from e join h using (source, lang, topic)"
 
 
+def _op2() -> str:
+    """Each rule's matches placed by the lengths of what lies before them, as rows."""
+    out = []
+    for k, r in enumerate(secrets.RULES):
+        p = "'" + r.pattern.replace("'", "''") + "'"
+        out.append(f"""m{k} as (select doc_id, m, v, g, unnest(range(1, len(m) + 1)) as j from (select doc_id, regexp_extract_all(text, {p}, 0) as m,
+            regexp_extract_all(text, {p}, {r.group}) as v, string_split_regex(text, {p}) as g from d where regexp_matches(text, {p})))""")
+        out.append(f"""s{k} as (select doc_id, {k} as rank, '{r.kind}' as kind, (length(array_to_string(g[1:j], '')) + length(array_to_string(m[1:j - 1], '')))::bigint as start,
+            length(m[j]) as own from m{k} where length(v[j]) >= {r.least})""")
+    every = " union all ".join(f"select * from s{k}" for k in range(len(secrets.RULES)))
+    base = [k for k, r in enumerate(secrets.RULES) if r.base]
+    counts = ", ".join(f"count(*) filter (kind = '{r.kind}') as n_{r.kind}" for r in secrets.RULES if r.base)
+    written = "string_agg(kind || ':' || start || ':' || (start + own), ',' order by start, rank)"
+    names = ", ".join(f"coalesce(n_{r.kind}, 0)::bigint as n_{r.kind}" for r in secrets.RULES if r.base)
+    return f"""with d as (select doc_id, coalesce(text, '') as text from documents), {", ".join(out)}, e as ({every}),
+    a as (select doc_id, {counts}, {written} as spans, {written} filter (rank in ({", ".join(map(str, base))})) as base from e group by doc_id)
+    select d.doc_id, {names}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join a using (doc_id)"""
+
+
+def _op3() -> str:
+    def rules(what: str) -> str:
+        longest = sorted(urls.RULES, key=lambda r: (-len(r.text), r.text))
+        tests = [f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}') then '{getattr(r, what)}'" for r in longest]
+        return "case " + " ".join(tests) + " end"
+
+    def rho(level: str) -> str:
+        return f"""(select coalesce(least({urls.MOST_RHO}, greatest({urls.LEAST_RHO}, round(case when n - nn / n - (k - 1) > 0 then (q - (k - 1)) / (n - nn / n - (k - 1))
+            else {urls.MOST_RHO} end, 9))), {urls.MOST_RHO})::double as rho from (select sum(pow(bad / n - up, 2) * n / (up * (1 - up))) as q, sum(n)::double as n, sum(n * n)::double as nn, count(*) as k from {level} where n > 0))"""
+
+    def shrunk(level: str) -> str:
+        return f"(select *, bad + (1 - rho) / rho * up as alpha, n - bad + (1 - rho) / rho * (1 - up) as beta from {level}, {rho(level)} r)"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""with cut as (select page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{upper}', '{upper.lower()}'), '') as host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
+    lb as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad from labels group by 1),
+    oc as (select page_id, max(bad) as bad from (select page_id, try_cast(nullif(regexp_extract(path, '/(\d{{1,18}})(?:\.html|/)?$', 1), '') as bigint) as doc_id from cut) join lb using (doc_id) group by 1),
+    ho as (select host, count(bad) as n, coalesce(sum(bad), 0)::bigint as bad from cut left join oc using (page_id) group by 1),
+    nm as (select *, split_part(host, '.', -1) as suffix, array_to_string((string_split(host, '.'))[-2:], '.') as domain from ho),
+    su as (select suffix, sum(n)::bigint as n, sum(bad)::bigint as bad from nm group by 1),
+    s1 as (select su.*, (sum(bad) over () + 1.0) / (sum(n) over () + 2.0) as up from su),
+    s2 as (select suffix, alpha / (alpha + beta) as up from {shrunk("s1")}),
+    d1 as (select suffix, domain, sum(nm.n)::bigint as n, sum(nm.bad)::bigint as bad, min(up) as up from nm join s2 using (suffix) group by 1, 2),
+    d2 as (select domain, alpha / (alpha + beta) as up from {shrunk("d1")}),
+    h1 as (select nm.host, nm.n, nm.bad, up from nm join d2 using (domain)),
+    h2 as (select host, alpha / (alpha + beta) as mean, alpha + beta as total from {shrunk("h1")}),
+    h3 as (select host, mean - {urls.Z} * sqrt(mean * (1 - mean) / (total + 1)) as low from h2)
+    select page_id, host, path, {rules("text")} as rule, coalesce({rules("verdict")}, case when round(low, 9) > {urls.LIMIT} then 'block' else 'allow' end) as verdict,
+        round(low, 6)::double as bad_low from cut left join h3 using (host)"""
+
+
+OP6 = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sh as (select distinct doc_id, unnest(case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as x from d),
+n as (select doc_id, count(*) as n from sh group by 1),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from sh a join sh b using (x) where a.doc_id < b.doc_id group by all),
+l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * k >= 85 * (na.n + nb.n - k)),
+e as (select a, b from l union all select b, a from l),
+r as (select doc_id as node, doc_id as other from d union select r.node, e.b from r join e on e.a = r.other)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id from d left join n using (doc_id)
+join (select node, min(other) as component_id from r group by 1) m on m.node = d.doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_secret_ledger": _op2(),
+    "op3_url_reputation": _op3(),
+    "op6_ngram_jaccard": OP6,
     "op8_source_mixing": _op8(),
     "op9_exact_dedup": OP9,
     "op10_quality_rules": OP10,
