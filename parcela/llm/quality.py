@@ -106,15 +106,14 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least_words: int =
         return f"({r.denominator} > 0 and ({' or '.join(tests)}))"
 
     failed = "array_compact(array(" + ", ".join(f"if({breach(r)}, '{r.name}', null)" for r in rules) + "))" if rules else "cast(array() as array<string>)"
+    # One expression from text to verdict, so that a filter on it that is pushed down is evaluated once.
+    source = {"n_symbols": f"coalesce({symbols}, 0L)", "n_lines": "k.n_lines", "n_dup_lines": "k.n_dup_lines"}
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_repeat_words")
-    held = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"], F.expr(counts).alias("__w"), F.expr(line_counts).alias("__l"), F.expr(f"coalesce({symbols}, 0L)").alias("__s"))
-    body = f"named_struct({', '.join(f'{n!r}, {n}' for n in names)}, 'base_failed', n_words < {least_words} or 100 * n_repeat_words > {most_repeated} * n_words, 'failed', {failed})"
-    source = {"n_symbols": "__s", "n_lines": "__l.n_lines", "n_dup_lines": "__l.n_dup_lines"}
-    where = {n: source.get(n, f"__w.{n}") for n in names}
-    first = "named_struct(" + ", ".join(f"'{n}', {where[n]}" for n in names) + ")"
-    verdict = let("q", first, _prefixed(body, names))
-    full = let("v", verdict, "named_struct(" + ", ".join(f"'{n}', v.{n}" for n in (*names, "base_failed", "failed")) + ", 'kept', not v.base_failed and size(v.failed) = 0)")
-    return held.select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"], F.expr(full).alias("quality"))
+    gathered = "named_struct(" + ", ".join(f"'{n}', {source.get(n, f'c.{n}')}" for n in names) + ")"
+    judged = f"named_struct({', '.join(f'{n!r}, {n}' for n in names)}, 'base_failed', n_words < {least_words} or 100 * n_repeat_words > {most_repeated} * n_words, 'failed', {failed})"
+    full = "named_struct(" + ", ".join(f"'{n}', v.{n}" for n in (*names, "base_failed", "failed")) + ", 'kept', not v.base_failed and size(v.failed) = 0)"
+    verdict = let("c", counts, let("k", line_counts, let("q", gathered, let("v", _prefixed(judged, names), full))))
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"], F.expr(verdict).alias("quality"))
 
 
 def _prefixed(sql: str, names: tuple[str, ...]) -> str:
