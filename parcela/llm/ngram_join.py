@@ -28,7 +28,8 @@ from .shingles import Codes, mixed, set_id, shingle_set
 _POOL = int(0.25 * 2**64)
 #: Tokens in a batch of the first pass, tokens that a counting task gets on average, the classes of
 #: one batch from which on a token counts as very common, and the length of a class's sketch.
-_BATCH, _TASK, _COMMON, _SKETCH, _BANDS = 1_500_000, 1_000_000, 32, 12, 4
+_BATCH, _TASK, _COMMON, _SKETCH, _BANDS = 1_000_000, 700_000, 32, 12, 4
+_SLICE = 512  # rows that a Python worker holds as objects
 _NEED = 2_000_000  # ids that may be broadcast
 
 _ENTRY = np.dtype([("cls", "<i8"), ("token", "<u8"), ("level", "u1")])
@@ -36,8 +37,11 @@ _CLASS = np.dtype([("cls", "<i8"), ("n", "<u4"), ("pool", "<u4")])
 
 
 def _texts(batches: Iterator[pa.RecordBatch], of: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Slices of the batches with one column as bytes; no more than a slice is held as Python objects."""
     for b in batches:
-        yield b, b.column(of).cast(pa.binary()).to_pylist()
+        for i in range(0, b.num_rows, _SLICE):
+            part = b.slice(i, _SLICE)
+            yield part, part.column(of).cast(pa.binary()).to_pylist()
 
 
 def _members(docs: DataFrame, k: int) -> DataFrame:
@@ -235,9 +239,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose whole sets are similar."""
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b, left_sets in _texts(batches, "x"):
             keep = []
-            for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
+            for x, y in zip(left_sets, b.column("y").to_pylist(), strict=True):
                 s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = np.sort(np.concatenate((s, t)))
                 shared = int((both[1:] == both[:-1]).sum())

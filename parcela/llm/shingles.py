@@ -25,7 +25,7 @@ def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
 class Codes(dict):
     """The 8-byte hash of each word; remembers ``most`` words, so that memory is bounded."""
 
-    def __init__(self, most: int = 300_000) -> None:
+    def __init__(self, most: int = 150_000) -> None:
         super().__init__()
         self.most = most
 
