@@ -25,16 +25,14 @@ def words_sql(text: str = "text") -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests on one machine) a temporary folder is made and set.
+    Where the setting is absent (tests on one machine) the context's checkpoint folder is taken, and
+    if there is none a temporary one is made.
     """
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="parcela-")
-        spark.conf.set("spark.checkpoint.dir", found)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(found)
-    return found
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="parcela-"))
+    return found or sc._jsc.sc().getCheckpointDir().get()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
