@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import codecs
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,28 +20,35 @@ from .common import scratch, shared_dir
 #: A block: this mark, then six little-endian 32-bit numbers (documents, tokens, symbols, rules,
 #: first nonterminal, bytes of a symbol), then the arrays that ``encode_block`` lists.
 MAGIC = b"RPR1"
+#: Stands for a null id in a block; such documents come first.
+NO_ID = -(2**63)
 #: A block is closed at so many tokens (a longer document has one of its own), grammars grow for so
 #: many rounds at most, by pairs that occur so often, and a round must shorten the block by 1/GAIN.
-BLOCK, ROUNDS, LEAST, GAIN = 1_000_000, 6, 24, 100
+BLOCK, ROUNDS, LEAST, GAIN = 1_000_000, 4, 24, 30
 _HASH = 20
 
 
-def _pairs(s: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of neighbours (packed in 64 bits) that occur ``least`` times or more, sorted, and their counts."""
+def _frequent(s: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the bucket of its pair if that pair is frequent, else -1; and each bucket's pair.
+
+    Pairs are hashed to buckets. A bucket stands for the pair of it that was written last; other
+    pairs of the bucket wait for a later round. Counts are exact, and nothing is sorted.
+    """
     key = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-    # Buckets of hashed pairs bound the counts from above: what lies in a light one is no candidate.
-    at = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH)).astype(np.int64)
-    heavy = np.bincount(at, minlength=1 << _HASH) >= least
-    found, count = np.unique(key[heavy[at]], return_counts=True)
-    return found[count >= least], count[count >= least]
+    at = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH)).astype(np.int32)
+    pair = np.zeros(1 << _HASH, np.uint64)
+    pair[at] = key
+    own = pair[at] == key
+    count = np.bincount(at[own], minlength=1 << _HASH)
+    return np.where(own & (count >= least)[at], at, -1), pair
 
 
 def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, int]:
     """(symbols, rules, first nonterminal): nonterminal ``first + k`` stands for the two symbols of rule k.
 
     Each round makes a rule of every pair that occurs ``least`` times or more, and replaces the
-    pairs from the left; where two overlap, the left one is taken. A rule that then stands for less
-    than ``least`` / 4 places is given up before the round is applied, so that rules pay for themselves.
+    pairs from the left; where two overlap, the left one is taken. A pair that is left with fewer
+    than ``least`` / 2 places of its own makes no rule, so that rules pay for themselves.
     """
     s = ids.astype(np.uint32)
     first = int(s.max()) + 1 if len(s) else 0
@@ -44,31 +56,25 @@ def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS) -> tuple[n
     for _ in range(rounds):
         if len(s) < 2:
             break
-        found, _ = _pairs(s, least)
-        for sift in (True, False):
-            if not len(found):
-                break
-            key = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-            at = np.minimum(np.searchsorted(found, key), len(found) - 1)
-            hit = found[at] == key
-            places = np.flatnonzero(hit)
-            if not len(places):
-                break
-            # In a run of overlapping pairs every second one is taken, from the left.
-            begins = np.concatenate(([True], places[1:] != places[:-1] + 1))
-            start = np.maximum.accumulate(np.where(begins, places, 0))
-            taken = places[(places - start) % 2 == 0]
-            use = np.bincount(at[taken], minlength=len(found))
-            if sift:
-                found = found[use >= max(2, least // 4)]
-        if not len(found) or not len(places):
+        at, pair = _frequent(s, least)
+        places = np.flatnonzero(at >= 0)
+        if not len(places):
             break
-        new = np.flatnonzero(use)
-        number = np.zeros(len(found), np.uint32)
-        number[new] = first + len(rules) + np.arange(len(new), dtype=np.uint32)
-        rules = np.concatenate((rules, np.stack((found[new] >> np.uint64(32), found[new] & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32)))
+        # In a run of overlapping pairs every second one is taken, from the left.
+        begins = np.concatenate(([True], places[1:] != places[:-1] + 1))
+        start = np.maximum.accumulate(np.where(begins, places, 0))
+        taken = places[(places - start) % 2 == 0]
+        use = np.bincount(at[taken], minlength=1 << _HASH)
+        made = np.flatnonzero(use >= max(2, least // 2))
+        if not len(made):
+            break
+        number = np.zeros(1 << _HASH, np.uint32)
+        number[made] = first + len(rules) + np.arange(len(made), dtype=np.uint32)
+        rules = np.concatenate((rules, np.stack((pair[made] >> np.uint64(32), pair[made] & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32)))
+        new = number[at[taken]]
+        taken, new = taken[new > 0], new[new > 0]
         before = len(s)
-        s[taken] = number[at[taken]]
+        s[taken] = new
         keep = np.ones(len(s), bool)
         keep[taken + 1] = False
         s = s[keep]
@@ -156,52 +162,119 @@ class Block:
         return self.slice(start, start + int(self.counts[k]))
 
 
-class Encoder:
-    """A tokenizers file, applied to what stands between ASCII blanks; frequent pieces are remembered.
+def _kept_in_worker(name: str, make):
+    """What ``make`` gives, kept for the later tasks of the same Python worker."""
+    state = sys.modules.setdefault("parcela_worker_state", types.ModuleType("parcela_worker_state"))
+    if not hasattr(state, name):
+        setattr(state, name, make())
+    return getattr(state, name)
 
-    The vocabulary's normalizer and splitter never join what white space separates, so a text's ids
-    are those of its pieces in turn. ``most`` bounds the memory.
-    """
 
-    def __init__(self, path: str, end: int, most: int = 400_000) -> None:
-        import tokenizers
+class _Pieces:
+    """Pieces that were met before, with their ids, in a few flat arrays."""
 
-        self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.most, self.end = most, np.array([end], "<u4").tobytes()
+    def __init__(self) -> None:
+        self.text = pa.array([], pa.large_string())
+        self.size = np.empty(0, np.int32)
+        self.flat = np.empty(0, np.uint32)
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = list({w for words in cut for w in words if w not in known})
-        here = known
-        if new:
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found, strict=True)}
-            if len(known) + len(fresh) <= self.most:
-                known.update(fresh)
-            else:
-                here = {**known, **fresh} if len(fresh) > len(known) else _Both(known, fresh)
-        get = here.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)) + self.end, "<u4") for words in cut]
+    def add(self, text: pa.Array, size: np.ndarray, flat: np.ndarray) -> None:
+        self.text = pa.concat_arrays([self.text, text])
+        self.size = np.concatenate((self.size, size))
+        self.flat = np.concatenate((self.flat, flat))
 
 
-class _Both(dict):
-    """``fresh``, and behind it what was known before."""
+class Encoder:
+    """A tokenizers file, applied to what stands between blanks; frequent pieces are remembered.
 
-    def __init__(self, known: dict[str, bytes], fresh: dict[str, bytes]) -> None:
-        super().__init__(fresh)
-        self.known = known
+    The vocabulary's normalizer and splitter never join what white space separates, so a text's ids
+    are those of its pieces in turn. They part letters and digits from a comma or full stop, and lower
+    all letters, so that ``Word,`` has the ids of ``word`` and those of the comma. ``most`` pieces
+    are remembered at most.
+    """
 
-    def __missing__(self, word: str) -> bytes:
-        return self.known[word]
+    def __init__(self, path: str, end: int, most: int = 1_000_000) -> None:
+        import tokenizers
+
+        self.tokenizer = _kept_in_worker(f"tokenizer:{path}", lambda: tokenizers.Tokenizer.from_file(path))
+        self.model = tokenizers.Tokenizer(self.tokenizer.model)
+        self.known: _Pieces = _kept_in_worker(f"pieces:{path}", _Pieces)
+        self.most, self.end = most, end
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in printable]
+        #: How the vocabulary writes bytes.
+        self.shown = "".join(chr(b if b in printable else 256 + rest.index(b)) for b in range(256))
+
+    def _encoded(self, stems: list[str]) -> dict[str, bytes]:
+        """The ids of each stem. What is one word of lower-case letters goes to the model at once."""
+        plain = [w for w in stems if w.isalpha() and (w.isascii() or max(w) < "\u0250")]
+        found: dict[str, bytes] = {}
+        if plain:
+            words = [w if w.isascii() else codecs.charmap_decode(w.encode(), "strict", self.shown)[0] for w in plain]
+            e = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
+            raw = array("I", e.ids).tobytes()
+            ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(plain)))).tolist()
+            begin = 0
+            for w, end in zip(plain, ends, strict=True):
+                found[w] = raw[begin:end]
+                begin = end
+        other = [w for w in stems if w not in found]
+        found |= {w: array("I", e.ids).tobytes() for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True)}
+        return found
+
+    @staticmethod
+    def _stem(piece: str) -> tuple[str, str]:
+        """A piece's lower-case stem, and the comma or full stop that ends it."""
+        mark = ""
+        if piece[-1:] in (",", ".") and piece[-2:-1].isalnum():
+            piece, mark = piece[:-1], piece[-1]
+        # Beyond these letters lower case can depend on what stands around.
+        return (piece.lower() if piece.isascii() or max(piece) < "\u0250" else piece), mark
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, as 32-bit numbers."""
+        stems = [(p, "") if p.isalpha() and p.isascii() and p.islower() else self._stem(p) for p in pieces]
+        found = self._encoded(list({stem for stem, _ in stems} | {",", "."}))
+        marks = {",": found[","], ".": found["."], "": b""}
+        return [found[stem] + marks[mark] for stem, mark in stems]
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, with the end id; distinct pieces are looked up once for all texts."""
+        clean = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        cut = pc.split_pattern(clean, " ")
+        pieces = cut.flatten().dictionary_encode()
+        known = self.known
+        row = pc.index_in(pieces.dictionary, value_set=known.text)
+        new = pieces.dictionary.filter(row.is_null())
+        ids = self._ids(new.to_pylist())
+        new_size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        new_flat = np.frombuffer(b"".join(ids), np.uint32)
+        size = np.concatenate((known.size, new_size, np.ones(1, np.int32)))
+        flat = np.concatenate((known.flat, new_flat, np.array([self.end], np.uint32)))
+        start = np.cumsum(size, dtype=np.int64) - size
+        row = row.fill_null(-1).to_numpy(zero_copy_only=False)
+        row = np.where(row >= 0, row, len(known.size) - 1 + np.cumsum(row < 0))
+        # In order of first use, so that the frequent ones are among those remembered.
+        room = max(0, self.most - len(known.size))
+        if room and len(new):
+            known.add(new[:room], new_size[:room], new_flat[: int(new_size[:room].sum())])
+
+        ends = np.asarray(cut.offsets)[1:] - cut.offsets[0].as_py()
+        at = np.insert(row[np.asarray(pieces.indices)] if len(row) else np.empty(0, np.int64), ends, len(size) - 1)
+        n = size[at]
+        upto = np.cumsum(n, dtype=np.int64)
+        # Each token's place in ``flat``: the start of its piece, and its place in the piece.
+        place = np.arange(int(upto[-1]) if len(upto) else 0, dtype=np.int32) + np.repeat((start[at] - (upto - n)).astype(np.int32), n)
+        tokens = flat[place]
+        return np.split(tokens, upto[ends + np.arange(len(ends))][:-1]) if len(ends) else []
 
 
 def write(docs: DataFrame, tokenizer_path: str, end: int = 2, path: str | None = None, block: int = BLOCK) -> str:
     """Encodes all texts and writes them as blocks in ascending doc_id order; returns the path.
 
     A file row: part (the range of doc_ids), block, part_start (tokens of the part before it),
-    n_tokens, payload. Null texts are empty: they have the end id alone. Documents are never cut.
+    n_tokens, payload. Null texts are empty: they have the end id alone; null ids come
+    first. Documents are never cut.
     Each task writes the blocks of one range through Spark's commit, so a lost executor's work is
     done again and never counted twice. Rows of equal doc_id stay neighbours.
     """
@@ -222,21 +295,21 @@ def write(docs: DataFrame, tokenizer_path: str, end: int = 2, path: str | None =
             return pa.RecordBatch.from_arrays(arrays, ["part", "block", "part_start", "n_tokens", "payload"])
 
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                piece = b.slice(i, 256)
-                for p, doc, found in zip(piece.column("part").to_pylist(), piece.column("doc_id").to_pylist(), encoder(piece.column("text").to_pylist()), strict=True):
+            for i in range(0, b.num_rows, 4096):
+                piece = b.slice(i, 4096)
+                for p, doc, found in zip(piece.column("part").to_pylist(), piece.column("doc_id").to_pylist(), encoder(piece.column("text")), strict=True):
                     if ids and (p != part or size + len(found) > block):
                         yield close()
                     if p != part:
                         part, number, before = p, 0, 0
-                    ids.append(doc)
+                    ids.append(NO_ID if doc is None else doc)
                     held.append(found)
                     size += len(found)
         if ids:
             yield close()
 
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sorted_docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    sorted_docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
     placed = sorted_docs.withColumn("part", F.spark_partition_id())
     out = placed.mapInArrow(blocks, "part int, block int, part_start bigint, n_tokens bigint, payload binary")
     out.write.parquet(path)
@@ -260,7 +333,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ends = np.cumsum(counts)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * (e - c) : 4 * e]) for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(block.doc_ids), pa.array(start + ends - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                doc_ids = pa.array(block.doc_ids, mask=block.doc_ids == NO_ID)
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(start + ends - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     placed = files.join(F.broadcast(sums), "part").select((F.col("part_base") + F.col("part_start")).alias("start"), "payload")
     return placed.mapInArrow(decoded, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
