@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import small, stored
 
 #: A host is blocked if its bad share is above ``LIMIT`` with a posterior margin of ``Z`` deviations.
 LIMIT, Z = 0.3, 1.645
@@ -52,15 +52,21 @@ def matched(rules: tuple[Rule, ...], what: str) -> Column:
     return out
 
 
-def _rho(groups: DataFrame, by: str, prior: str) -> DataFrame:
-    """One row a parent-wide level: how alike the outcomes of a group are beyond chance, by moments."""
-    p = F.col(prior)
-    g = groups.where("n > 0").select("n", (F.pow(F.col("bad") / F.col("n") - p, 2) * F.col("n") / (p * (1 - p))).alias("q"))
-    s = g.agg(F.sum("q").alias("q"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count("*").alias("k"))
-    room = F.col("n") - F.col("nn") / F.col("n") - (F.col("k") - 1)
-    rho = F.when(room > 0, (F.col("q") - (F.col("k") - 1)) / room).otherwise(F.lit(MOST_RHO))
-    kept = F.least(F.lit(MOST_RHO), F.greatest(F.lit(LEAST_RHO), F.round(rho, 9)))
-    return s.select(F.coalesce(kept, F.lit(MOST_RHO)).alias("rho"), F.lit(1).alias("one"))
+def _rho(level: DataFrame) -> float:
+    """How alike the outcomes of a group are beyond chance, by moments, from (n, bad, up)."""
+    p = F.col("up")
+    apart = (F.pow(F.col("bad") / F.col("n") - p, 2) * F.col("n") / (p * (1 - p))).alias("q")
+    s = level.where("n > 0").select("n", apart).agg(F.sum("q").alias("q"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"), F.count("*").alias("k")).first()
+    room = s.n - s.nn / s.n - (s.k - 1) if s.n else 0
+    rho = (s.q - (s.k - 1)) / room if room > 0 else MOST_RHO
+    return min(MOST_RHO, max(LEAST_RHO, round(rho, 9)))
+
+
+def _shrunk(level: DataFrame) -> DataFrame:
+    """``level`` (n, bad, up) with the Beta parameters of its groups: prior mean ``up``, the level's own weight."""
+    rho = _rho(level)
+    weight = (1 - rho) / rho
+    return level.withColumns({"alpha": F.col("bad") + weight * F.col("up"), "beta": F.col("n") - F.col("bad") + weight * (1 - F.col("up"))})
 
 
 def reputation(hosts: DataFrame) -> DataFrame:
@@ -68,28 +74,20 @@ def reputation(hosts: DataFrame) -> DataFrame:
 
     Adds alpha, beta, mean, low and high. All outcomes give the prior mean of suffixes, a suffix's
     posterior that of its domains, a domain's that of its hosts; each level's prior weight comes
-    from how much its groups differ (beta-binomial, by moments). Suffix and domain are the last one
-    and two labels of a host, as no list of public suffixes is at hand. A host without outcomes
-    has its domain's mean with the prior's weight.
+    from how much its groups differ (beta-binomial, by moments; one number a level comes to the
+    driver). Suffix and domain are the last one and two labels of a host, as no list of public
+    suffixes is at hand. A host without outcomes has its domain's mean with the prior's weight.
     """
-    named = hosts.withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("domain", F.substring_index("host", ".", -2))
-    suffixes = named.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("one", F.lit(1))
-    every = suffixes.groupBy("one").agg(((F.sum("bad") + 1.0) / (F.sum("n") + 2.0)).alias("up"))
-    suffixes = suffixes.join(F.broadcast(every), "one")
-
-    def shrunk(level: DataFrame, by: str) -> DataFrame:
-        """Beta parameters of each group with prior mean ``up`` and the level's own weight."""
-        weight = (1 - F.col("rho")) / F.col("rho")
-        found = level.join(F.broadcast(_rho(level, by, "up")), "one")
-        return found.withColumns({"alpha": F.col("bad") + weight * F.col("up"), "beta": F.col("n") - F.col("bad") + weight * (1 - F.col("up"))}).drop("rho")
-
+    named = stored(hosts.withColumns({"suffix": F.substring_index("host", ".", -1), "domain": F.substring_index("host", ".", -2)}), "hosts")
+    sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    domains = named.groupBy("suffix", "domain").agg(*sums)
+    suffixes = domains.groupBy("suffix").agg(*sums)
+    every = suffixes.agg(*sums).first()
     mean = (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("up")
-    over = shrunk(suffixes, "suffix").select("suffix", mean)
-    domains = named.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(over, "suffix").withColumn("one", F.lit(1))
-    over = shrunk(domains, "domain").select("domain", mean)
-    each = shrunk(named.join(over, "domain").withColumn("one", F.lit(1)), "host")
+    over = _shrunk(suffixes.withColumn("up", F.lit(((every.bad or 0) + 1.0) / ((every.n or 0) + 2.0)))).select("suffix", mean)
+    over = stored(_shrunk(domains.join(over, "suffix")).select("domain", mean), "domains")
     total = F.col("alpha") + F.col("beta")
-    each = each.withColumn("mean", F.col("alpha") / total)
+    each = _shrunk(named.join(over, "domain")).withColumn("mean", F.col("alpha") / total)
     spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1))
     return each.select("host", "n", "bad", "alpha", "beta", "mean", (F.col("mean") - Z * spread).alias("low"), (F.col("mean") + Z * spread).alias("high"))
 
@@ -107,7 +105,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = RULES
     cut = pages.select("page_id", host.alias("host"), path.alias("path"))
     labelled = cut.join(outcomes.select("page_id", F.col("bad").cast("bigint").alias("bad")), "page_id", "left")
     hosts = labelled.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("bad"))
-    rated = reputation(hosts).select("host", F.col("low").alias("bad_low"))
+    rated = stored(reputation(hosts).select("host", F.col("low").alias("bad_low")), "reputation")
     joined = cut.join(small(rated, 200_000), "host", "left")
     rule, verdict = matched(rules, "text"), matched(rules, "verdict")
     by_host = F.when(F.round("bad_low", 9) > limit, "block").otherwise("allow")
