@@ -9,7 +9,7 @@ from parcela.operators import cells
 from .registry import query, table
 
 #: Mean value per user and hour, some missing, some out of range, in tenths of a degree.
-_SERIES = """s as (select user_id, (epoch(ts)::bigint // 3600) as hour, sum(round(value * 100)::bigint)::bigint // 100 as total from events group by all),
+_SERIES = """s as (select user_id, floor(epoch(ts) / 3600)::bigint as hour, sum(round(value * 100)::bigint)::bigint // 100 as total from events group by all),
 c as (select user_id, hour, case when total % 11 <> 0 then total % 80 - 22.0 end as v from s),
 j as (select *, lag(v) over w as b, lead(v) over w as a from c window w as (partition by user_id order by hour)),
 g as (select user_id, hour, v, v is not null and (a is not null or b is not null) and (b is null or abs(v - b) > 8) and (a is null or abs(v - a) > 8) as jump from j),
