@@ -58,8 +58,9 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of ``links`` (a, b): rows (node, root), root the smallest node.
 
     Alternates large-star and small-star steps, each a grouped minimum and a join, until no edge
-    changes; every round is stored, so a lost executor costs one round. Nodes without links are
-    absent. Nulls and loops are dropped.
+    changes; every step is stored, so a lost executor costs one step, and the join of a hub with many
+    edges, being one of two plain shuffles, can be split. Nodes without links are absent. Nulls and
+    loops are dropped.
     """
     edges = stored(
         links.where("a is not null and b is not null and a <> b")
@@ -70,10 +71,10 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(most_rounds):
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "low")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large.where("a <> b").distinct(), "large")
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m")), "low")
         joined = large.join(low, "a")
         kept = joined.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         edges = stored(kept.where("a <> b").distinct(), "edges")

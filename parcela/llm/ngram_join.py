@@ -264,7 +264,8 @@ def _groups(sets: DataFrame, percent: int) -> DataFrame:
     bands = sets.select("cls", "n", share, "sketch", F.explode(F.sequence(F.lit(0), F.lit(_BANDS - 1))).alias("band"))
     bands = bands.withColumn("least", F.expr("sketch[band]"))
     lead = bands.groupBy("band", "least").agg(F.min(F.struct("share", "cls", "n", "sketch")).alias("l"), F.count("*").alias("size")).where("size > 1")
-    met = bands.join(lead, ["band", "least"]).where("cls <> l.cls")
+    # Written, the leaders come to the join by a shuffle of their own, and a hot value can be split.
+    met = bands.join(stored(lead, "leaders"), ["band", "least"]).where("cls <> l.cls")
     equal = "aggregate(zip_with(sketch, l.sketch, (x, y) -> if(x = y, 1, 0)), 0, (x, y) -> x + y)"
     close = f"100 * least(n, l.n) >= {percent} * greatest(n, l.n) and {equal} >= {_SKETCH // 2}"
     return met.where(close).select(F.least("l.cls", "cls").alias("a"), F.greatest("l.cls", "cls").alias("b")).distinct()
