@@ -50,8 +50,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def small(df: DataFrame, most: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``most`` rows, else as it is."""
-    n = df.limit(most + 1).count()
-    return F.broadcast(df) if n <= most else df
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
