@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, scratch, shared_dir
+from .common import let, scratch, shared_dir, stored
 
 
 @dataclass(frozen=True)
@@ -98,7 +98,9 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
     wanted: Column = reduce(lambda a, b: a | b, [F.lit(False)])
     one = some.select("blob_id", "pairs", F.explode("found").alias("f"))
     wanted = reduce(lambda a, k: a | ((F.col("f.kind") == k) & F.array_contains("pairs", run[k])), kinds, wanted)
-    merged = one.where(wanted).select("blob_id", "f").distinct().groupBy("blob_id").agg(F.array_sort(F.collect_list("f")).alias("found"))
+    # A blob's findings are at most its spans. Written, they come to the join by a shuffle of their
+    # own, so that a blob which very many paths hold can be split.
+    merged = stored(one.where(wanted).select("blob_id", "f").distinct().groupBy("blob_id").agg(F.array_sort(F.collect_list("f")).alias("found")), "found")
     addressed = paths.withColumn("blob_id", F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
     return addressed.drop("found").join(merged, "blob_id", "left").withColumn("found", F.coalesce("found", F.expr(f"cast(array() as {_SPANS})")))
 
