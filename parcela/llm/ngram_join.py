@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, shared_dir, small, stored
+from .common import arrow_rows, components, shared_dir, small, stored
 from .shingles import Codes, mixed, set_id, shingle_set
 
 #: Of all classes, tokens below this 64-bit number are counted.
@@ -298,6 +298,11 @@ def near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Rows with a null doc_id get no links of their own, those that agree in doc_id and text agree in the
     result, and an empty table gives none. Sets are compared as 64-bit fingerprints.
     """
+    with arrow_rows(docs.sparkSession, _SLICE):
+        return _near(docs, k, percent)
+
+
+def _near(docs: DataFrame, k: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     shared_dir(spark)
     docs = docs.select("doc_id", "text")
