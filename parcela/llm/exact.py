@@ -22,13 +22,14 @@ def directory(histogram: DataFrame, capacity: int, most_depth: int = MOST_DEPTH)
     prefix = F.expr(f"shiftright(cell, {most_depth} - depth)").alias("prefix")
     climbed = histogram.select("cell", "n_keys", levels).select("cell", "n_keys", "depth", prefix)
     full = climbed.groupBy("depth", "prefix").agg(F.sum("n_keys").alias("held")).where(F.col("held") > capacity)
-    fits = climbed.join(full, ["depth", "prefix"], "left_anti").groupBy("cell").agg(F.min("depth").alias("depth"))
+    # Fewer rows than the directory has entries.
+    fits = climbed.join(F.broadcast(full), ["depth", "prefix"], "left_anti").groupBy("cell").agg(F.min("depth").alias("depth"))
     depth = F.coalesce("depth", F.lit(most_depth))
     found = histogram.select("cell").join(fits, "cell", "left").select("cell", depth.alias("depth"))
     return found.select("cell", F.concat_ws(":", "depth", F.expr(f"shiftright(cell, {most_depth} - depth)")).alias("bucket"), "depth")
 
 
-def index(docs: DataFrame, capacity: int = 250_000, key_bits: int = 64) -> tuple[DataFrame, DataFrame]:
+def index(docs: DataFrame, capacity: int = 50_000, key_bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """The entries of all documents, and the index of the chains of their keys, both as files.
 
     Entries: doc_id, key, text_sha256. Index: bucket, key, chain (the place in the key's chain of
@@ -61,7 +62,7 @@ def index(docs: DataFrame, capacity: int = 250_000, key_bits: int = 64) -> tuple
     return entries, spark.read.parquet(path)
 
 
-def exact(docs: DataFrame, capacity: int = 250_000, key_bits: int = 64) -> DataFrame:
+def exact(docs: DataFrame, capacity: int = 50_000, key_bits: int = 64) -> DataFrame:
     """A row per document: doc_id, keep_id, group_size, kept, text_sha256, chain.
 
     Texts are equal if their bytes are; null counts as empty. The largest doc_id of a group stays.

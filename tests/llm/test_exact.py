@@ -19,7 +19,7 @@ def expected(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("capacity", "bits"), [(250_000, 64), (2, 4), (1, 1), (3, 16)])
+@pytest.mark.parametrize(("capacity", "bits"), [(50_000, 64), (2, 4), (1, 1), (3, 16)])
 def test_groups(odd, odd_rows, capacity, bits):
     out = exact.exact(odd, capacity, bits).collect()
     assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in out), key=str) == expected(odd_rows)
