@@ -68,35 +68,43 @@ def tempered(cells: DataFrame, names: tuple[str, ...], power: float) -> dict[str
 
 
 def _chances(docs: DataFrame, targets: dict[str, DataFrame] | None, keep: float, power: float, sweeps: int, seed: int) -> DataFrame:
-    """``docs`` with ``__mix`` and ``__chance``: weight, p and selected."""
+    """``docs`` with ``__mix`` and ``__chance``: weight, p, selected, expected and times."""
     names = ("source", "lang", "topic")
     each = _weighed(docs)
     cells = stored(each.select("__mix.*").groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "cells")
     fitted = rake(cells, targets or tempered(cells, names, power), sweeps)
     budget = F.expr("sum(tokens) over ()") * F.lit(keep)
-    p = F.least(F.lit(1.0), F.round(F.col("weight") * budget / F.col("tokens"), 9))
-    chances = stored(fitted.select(F.struct(*names).alias("__cell"), F.round("weight", 9).alias("__weight"), p.alias("__p")), "chances")
+    expected = F.round(F.col("weight") * budget / F.col("tokens"), 9)
+    chances = stored(fitted.select(F.struct(*names).alias("__cell"), F.round("weight", 9).alias("__weight"), expected.alias("__e")), "chances")
     keyed = each.withColumn("__cell", F.struct(*[F.col(f"__mix.{n}").alias(n) for n in names]))
     # Cells are the product of the categories, whatever the number of documents; should they be
     # many all the same, the join is by a shuffle.
     drawn = keyed.join(small(chances, 200_000), "__cell")
-    chance = F.struct(F.col("__weight").alias("weight"), F.col("__p").alias("p"), (_draw(seed) < F.col("__p")).alias("selected"))
-    return drawn.withColumn("__chance", chance).drop("__cell", "__weight", "__p")
+    p, whole = F.least(F.lit(1.0), F.col("__e")), F.floor("__e")
+    times = whole + (_draw(seed) < F.col("__e") - whole).cast("bigint")
+    chance = F.struct(F.col("__weight").alias("weight"), p.alias("p"), (_draw(seed) < p).alias("selected"), F.col("__e").alias("expected"), times.alias("times"))
+    return drawn.withColumn("__chance", chance).drop("__cell", "__weight", "__e")
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, power: float = TEMPER, sweeps: int = SWEEPS, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, power: float = TEMPER, sweeps: int = SWEEPS, seed: int = 0, repeats: bool = False) -> DataFrame:
     """Each document's chance under the mixture, and whether it is drawn.
 
     Returns doc_id, source, lang, topic, n_tokens, weight (its cell's fitted share of tokens), p (the
     cell's fitted tokens over its own, at most 1) and selected. ``keep`` of all tokens is aimed at;
-    a cell that has too few tokens for its share is taken whole. Null categories count as ``(none)``,
-    a null or empty text as one token. Equal doc_ids are drawn alike, null ones as one id. An empty
-    table gives none.
+    a cell that has too few tokens for its share is taken whole, once, and what it lacks is made up
+    nowhere: its categories stay under their targets, and the sample under ``keep``. With ``repeats``
+    the targets hold: two more columns give the expected count (p without its limit of 1) and
+    ``times``, how often the document is drawn, at least once where selected. Null categories count
+    as ``(none)``, a null or empty text as one token. Equal doc_ids are drawn alike, null ones as one
+    id. An empty table gives none.
     """
-    return _chances(docs, targets, keep, power, sweeps, seed).select("doc_id", "__mix.*", "__chance.*")
+    names = ("weight", "p", "selected") + (("expected", "times") if repeats else ())
+    return _chances(docs, targets, keep, power, sweeps, seed).select("doc_id", "__mix.*", *[f"__chance.{n}" for n in names])
 
 
-def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, power: float = TEMPER, sweeps: int = SWEEPS, seed: int = 0) -> DataFrame:
-    """The documents drawn, with their own columns, as ``mix`` draws them."""
+def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, power: float = TEMPER, sweeps: int = SWEEPS, seed: int = 0, repeats: bool = False) -> DataFrame:
+    """The documents drawn, with their own columns, as ``mix`` draws them; with ``repeats`` a row for each time."""
     drawn = _chances(docs, targets, keep, power, sweeps, seed).where("__chance.selected")
+    if repeats:
+        drawn = drawn.withColumn("__time", F.explode(F.expr("sequence(1L, __chance.times)")))
     return drawn.select(*[F.col(f"`{c}`") for c in docs.columns])

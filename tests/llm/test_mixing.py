@@ -59,6 +59,22 @@ def test_given_targets_are_met(spark):
     assert abs(drawn / sum(r.n_tokens for r in out) - 0.4) < 0.05
 
 
+def test_repeats_meet_targets_of_scarce_cells(spark):
+    """A source with 5 % of the tokens is to have 40 %: drawn once at most it cannot."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("w x y").alias("text"), F.expr("if(id % 20 = 0, 'a', 'b')").alias("source"), F.expr("if(id % 3 = 0, 'en', 'fr')").alias("lang"))
+    share = lambda n, m: spark.createDataFrame(list(m.items()), f"{n} string, share double")
+    targets = {"source": share("source", {"a": 0.4, "b": 0.6}), "lang": share("lang", {"en": 0.5, "fr": 0.5}), "topic": share("topic", {"paragraph": 1.0})}
+    out = mixing.mix(docs, targets, keep=0.5, repeats=True).collect()
+    mass = sum(r.expected * r.n_tokens for r in out)
+    assert math.isclose(mass / sum(r.n_tokens for r in out), 0.5, abs_tol=1e-6)
+    assert math.isclose(sum(r.expected * r.n_tokens for r in out if r.source == "a") / mass, 0.4, abs_tol=1e-6)
+    assert math.isclose(sum(r.expected * r.n_tokens for r in out if r.lang == "en") / mass, 0.5, abs_tol=1e-6)
+    assert all(r.selected == (r.times > 0) and math.floor(r.expected) <= r.times <= math.ceil(r.expected) for r in out)
+    rows = mixing.sample(docs, targets, keep=0.5, repeats=True).collect()
+    assert len(rows) == sum(r.times for r in out)
+    assert abs(len(rows) / 6000 - 0.5) < 0.02 and abs(sum(r.source == "a" for r in rows) / len(rows) - 0.4) < 0.02
+
+
 def test_absent_target_gets_none(spark, none):
     docs = spark.createDataFrame([(i, "x y", s, "en") for i, s in enumerate("aabb")], "doc_id bigint, text string, source string, lang string")
     t = mixing.tempered(docs.groupBy("source", "lang").agg(F.lit("paragraph").alias("topic"), F.count("*").alias("tokens")), ("lang", "topic"), 1.0)
