@@ -28,6 +28,8 @@ MARKED = frozenset(
 OWN_HEADER = frozenset("article content entry post story title".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 _HOLDERS = ("article", "main")
+#: Blocks that hold a line or a part of a story; a region is never one of them but what they lie in.
+_PARTS = frozenset("address blockquote center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 header hgroup legend li ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _CLOSES_P = BLOCKS - {"br"}
 
 
@@ -125,9 +127,10 @@ def main_text(html: str | None, sigma: float = 1.0, part: float = 0.5) -> str:
 
     Each line has a text-to-tag ratio. Ratios are smoothed, and lines at or over ``part`` of the mean
     form the content cluster. The article or main element with most of the cluster's text is the
-    region, whole. A page without such elements has as region the innermost element that holds
-    three quarters of the cluster's text, from its first line of the cluster to its last. Lines of
-    the region that belong to menus, adverts, notices, forms, comments or hidden elements are left out.
+    region, whole. A page without such elements has as region the innermost container (no paragraph,
+    heading, list, table or section) around the cluster's first line that holds three quarters of the
+    cluster's text, whole as well, or the page. Lines of the region that belong to menus, adverts,
+    notices, forms, comments or hidden elements are left out.
     """
     parser = _Lines()
     parser.feed(html or "")
@@ -153,11 +156,9 @@ def main_text(html: str | None, sigma: float = 1.0, part: float = 0.5) -> str:
         return " ".join(t for t, _, up in lines if any(e.number == region for e in up))
     total = sum(len(t) * c for (t, _, _), c in zip(lines, content, strict=True))
     first = next(i for i, c in enumerate(content) if c)
-    path = [e.number for e in lines[first][2]]
+    path = [e.number for e in lines[first][2] if e.tag in BLOCKS - _PARTS]
     region = next((k for k in reversed(path) if 4 * held[k] >= 3 * total), None)
-    inside = [i for i, (_, _, up) in enumerate(lines) if region is None or any(e.number == region for e in up)]
-    chosen = [i for i in inside if content[i]]
-    return " ".join(lines[i][0] for i in inside if chosen and chosen[0] <= i <= chosen[-1])
+    return " ".join(t for t, _, up in lines if region is None or any(e.number == region for e in up))
 
 
 def extract(pages: DataFrame) -> DataFrame:

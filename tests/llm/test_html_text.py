@@ -33,6 +33,18 @@ def test_short_blocks_stay():
     assert got.split() == ["Word"] * 104
 
 
+def _blocks(*sizes, tag="p"):
+    return "".join(f"<{tag}>{chr(97 + i) * n}</{tag}>" for i, n in enumerate(sizes))
+
+
+@pytest.mark.parametrize("sizes", [(40, 90, 600, 600, 600, 600, 600, 120, 60), (30, 900, 20), (900, 20, 20), (20, 20, 900)])
+@pytest.mark.parametrize("tag", ["p", "section"])
+def test_edge_blocks_stay_without_an_article(sizes, tag):
+    """Also where one paragraph or section holds most of the text."""
+    got = html_text.main_text(PAGE.format(main=f"<div class=post>{_blocks(*sizes, tag=tag)}</div>"))
+    assert [len(w) for w in got.split()] == list(sizes)
+
+
 @pytest.mark.parametrize("html", [None, "", "plain text", "<p", "<!--", "</article></article>", "<article>" * 300, "<p>x</p>" * 5000])
 def test_odd_pages(html):
     got = html_text.main_text(html)
