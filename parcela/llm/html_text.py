@@ -24,6 +24,16 @@ MARKED = frozenset(
     "disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo "
     "promotion recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+#: Readers' comments and consent to cookies stay out even where they are most of a page.
+NEVER = frozenset("comment comments consent cookie cookies disqus gdpr replies respond".split())
+#: Of these, a name such as ``site-footer`` is one by its last word too, unless it begins as a term or flag does.
+PARTS_LAST = NEVER | frozenset(
+    "ad ads banner breadcrumb breadcrumbs footer masthead menu modal nav navbar navigation newsletter overlay pager pagination popup "
+    "sidebar signup toolbar topbar".split()
+)
+FLAGS = frozenset("author cat category format has is layout no not status tag tax term topic type with without".split())
+#: A name that ends so tells a state of the page (``comments-open``).
+STATES = frozenset("active closed count disabled enabled free off on open".split())
 #: A ``header`` in a name is one of the page, unless one of these says that it is the article's.
 OWN_HEADER = frozenset("article content entry post story title".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -33,10 +43,27 @@ _PARTS = frozenset("address blockquote center dd details dl dt figcaption figure
 _CLOSES_P = BLOCKS - {"br"}
 
 
+def _mark(names: list[str]) -> int:
+    """What class and id tokens say: 0 nothing, 1 a menu, advert or the like, 2 one of ``NEVER``.
+
+    A token counts by its whole or its first word, and by its last where that is the thing named.
+    """
+    out = 0
+    for name in names:
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+        if not words or len(words) > 1 and words[-1] in STATES:
+            continue
+        said = {words[0]} & MARKED
+        if words[0] not in FLAGS:
+            said |= {words[-1]} & PARTS_LAST
+        out = max(out, 2 if said & NEVER else 1 if said else 0)
+    return out
+
+
 class _Element:
     __slots__ = ("tag", "number", "dropped", "marked", "holder")
 
-    def __init__(self, tag: str, number: int, dropped: bool, marked: bool, holder: bool) -> None:
+    def __init__(self, tag: str, number: int, dropped: bool, marked: int, holder: bool) -> None:
         self.tag, self.number, self.dropped, self.marked, self.holder = tag, number, dropped, marked, holder
 
 
@@ -67,18 +94,19 @@ class _Lines(HTMLParser):
         if tag in _CLOSES_P:
             self._end("p", "div td li section article main body".split())
         inside = any(e.holder for e in self.stack)
-        dropped, marked = tag in DROPPED or (tag == "header" and not inside), False
+        dropped, marked = tag in DROPPED or (tag == "header" and not inside), 0
         if attrs:
             a = dict(attrs)
             dropped = dropped or "hidden" in a or a.get("aria-hidden") == "true" or (a.get("role") or "").lower() in ROLES
             named = f"{a.get('class') or ''} {a.get('id') or ''}".lower()
             parts = set(re.split(r"[^a-z0-9]+", named))
             of_page = "header" in parts and not inside and OWN_HEADER.isdisjoint(parts)
-            marked = tag not in ("html", "body", "main") and (of_page or not MARKED.isdisjoint(parts))
+            if tag not in ("html", "body", "main") and (of_page or not MARKED.isdisjoint(parts)):
+                marked = max(int(of_page), _mark(named.split()))
         holder = tag in _HOLDERS and not dropped and not marked
         if holder:
             for e in self.stack:  # what wraps an article is no menu, whatever its name
-                e.marked = False
+                e.marked = 0
         self.number += 1
         self.stack.append(_Element(tag, self.number, dropped, marked, holder))
 
@@ -122,6 +150,30 @@ def smoothed(values: list[float], sigma: float) -> list[float]:
     return out
 
 
+def _cluster(lines: list[tuple[str, int, tuple[_Element, ...]]], sigma: float, part: float) -> list[bool]:
+    """Whether each line is of the content cluster."""
+    smooth = smoothed([len(t) / max(1, n) for t, n, _ in lines], sigma)
+    limit = part * sum(smooth) / max(1, len(smooth))
+    return [s >= limit for s in smooth]
+
+
+def _lift(lines: list[tuple[str, int, tuple[_Element, ...]]], sigma: float, part: float) -> None:
+    """Unmarks what holds over half of the cluster's text, marked lines counted: no menu is most of a page."""
+    lines = [(t, n, up) for t, n, up in lines if not any(e.dropped or e.marked > 1 for e in up)]
+    if not any(e.marked for _, _, up in lines for e in up):
+        return
+    held: dict[_Element, int] = defaultdict(int)
+    total = 0
+    for (text, _, up), inside in zip(lines, _cluster(lines, sigma, part), strict=True):
+        total += len(text) * inside
+        for e in up:
+            if e.marked:
+                held[e] += len(text) * inside
+    for e, n in held.items():
+        if 2 * n > total:
+            e.marked, e.holder = 0, e.tag in _HOLDERS
+
+
 def main_text(html: str | None, sigma: float = 1.0, part: float = 0.5) -> str:
     """The article of a page; empty where there is none.
 
@@ -130,19 +182,18 @@ def main_text(html: str | None, sigma: float = 1.0, part: float = 0.5) -> str:
     region, whole. A page without such elements has as region the innermost container (no paragraph,
     heading, list, table or section) around the cluster's first line that holds three quarters of the
     cluster's text, whole as well, or the page. Lines of the region that belong to menus, adverts,
-    notices, forms, comments or hidden elements are left out.
+    notices, forms, comments or hidden elements are left out; but what only its name marks, and not as
+    readers' comments or cookies, stays if it holds over half of the cluster's text.
     """
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
+    _lift(parser.lines, sigma, part)
     lines = [(t, n, up) for t, n, up in parser.lines if not any(e.dropped or e.marked for e in up)]
     if not lines:
         return ""
-    ratio = [len(t) / max(1, n) for t, n, _ in lines]
-    smooth = smoothed(ratio, sigma)
-    limit = part * sum(smooth) / len(smooth)
-    content = [s >= limit for s in smooth]
+    content = _cluster(lines, sigma, part)
     held: dict[int, int] = defaultdict(int)
     holders: dict[int, int] = defaultdict(int)
     for (text, _, up), inside in zip(lines, content, strict=True):

@@ -45,6 +45,22 @@ def test_edge_blocks_stay_without_an_article(sizes, tag):
     assert [len(w) for w in got.split()] == list(sizes)
 
 
+@pytest.mark.parametrize(
+    "main",
+    [
+        "<article class='post tag-social category-notices comments-open'>{}</article>",
+        "<article class='post tag-comments has-sidebar' id=post-7>{}</article>",
+        "<article class='widget'>{}</article>",
+        "<main><div class='elementor-widget-container'>{}</div></main>",
+        "<main><div class='widget social'>{}</div><div class='share-bar'>Share it</div><div class='site-footer'>Foot</div></main>",
+        "<div class='widget'><div class='post has-alert'>{}</div></div>",
+    ],
+)
+def test_names_do_not_drop_the_article(main):
+    body = f"<h1>Head</h1>{_blocks(80, 200, 30)}<ul class='related-posts'><li>Other</li></ul><div id=post-comments>{_blocks(900, 900)}</div>"
+    assert [len(w) for w in html_text.main_text(PAGE.format(main=main.format(body))).split()] == [4, 80, 200, 30]
+
+
 @pytest.mark.parametrize("html", [None, "", "plain text", "<p", "<!--", "</article></article>", "<article>" * 300, "<p>x</p>" * 5000])
 def test_odd_pages(html):
     got = html_text.main_text(html)
