@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII white space.
@@ -55,6 +55,32 @@ def small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def text_mark() -> Column:
+    """64 bits of the text's SHA-256, which tell the texts of one doc_id apart; null counts as empty."""
+    return F.xxhash64(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def rows_left(docs: DataFrame, gone: DataFrame, tied: DataFrame) -> DataFrame:
+    """``docs`` without the rows ``gone`` and with one row for each of ``tied``, with its own columns.
+
+    Both have (doc_id, mark), the mark as ``text_mark`` gives it, each pair once; null ids are equal.
+    Of tied rows that differ in other columns any one is left.
+    """
+    names = docs.columns
+    rows = docs.withColumn("__mark", text_mark())
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__other"))
+        return left.join(right, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__other")), how)
+
+    out = joined(rows, small(gone, 2_000_000), "left_anti")
+    if not tied.isEmpty():
+        tied = small(tied, 2_000_000)
+        one = joined(out, tied, "left_semi").dropDuplicates(["doc_id", "__mark"])
+        out = joined(out, tied, "left_anti").union(one)
+    return out.select(*[F.col(f"`{c}`") for c in names])
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
     """Within it, Python workers get ``most`` rows at once; for rows that are long."""

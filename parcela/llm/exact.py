@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, shared_dir, small, stored
+from .common import rows_left, scratch, shared_dir, small, stored
 
 #: Bits of a key that the directory can tell apart, so that it has 16,384 entries at most.
 MOST_DEPTH = 14
@@ -85,8 +85,8 @@ def exact(docs: DataFrame, capacity: int = 50_000, key_bits: int = 64) -> DataFr
 
 
 def keep(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay, with their own columns."""
-    gone = exact(docs, **options).where("not kept").select("doc_id")
-    return docs.join(small(gone, 4_000_000), "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
-
-
+    """One row of each group, of the largest doc_id (null only where all are), with its own columns."""
+    rows = exact(docs, **options).where("group_size > 1").select("doc_id", F.xxhash64("text_sha256").alias("mark"), "kept")
+    counted = stored(rows.groupBy("doc_id", "mark", "kept").count(), "verdicts")
+    pair = ("doc_id", "mark")
+    return rows_left(docs, counted.where("not kept").select(*pair), counted.where("kept and count > 1").select(*pair))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, components, shared_dir, small, stored
+from .common import arrow_rows, components, rows_left, shared_dir, small, stored, text_mark
 from .shingles import Codes, mixed, set_id, shingle_set
 
 #: Of all classes, tokens below this 64-bit number are counted.
@@ -350,6 +350,14 @@ def _near(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def keep(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with its own columns."""
-    gone = near(docs, **options).where("doc_id <> component_id").select("doc_id")
-    return docs.join(small(gone, 4_000_000), "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    """One row of each component, that of the smallest doc_id (null only where all are), with its own columns.
+
+    Here each (doc_id, text) is a document of its own: texts of one id are judged apart, those of null
+    ids link too, and of rows that agree in both one is left, also where the text has no words.
+    """
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text_mark().alias("mark"))
+    found = near(docs.select(row.alias("doc_id"), "text"), **options)
+    verdict = found.select("doc_id.doc_id", "doc_id.mark", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    counted = stored(verdict.groupBy("doc_id", "mark", "kept").count().where("not kept or count > 1"), "verdicts")
+    pair = ("doc_id", "mark")
+    return rows_left(docs, counted.where("not kept").select(*pair), counted.where("kept").select(*pair))

@@ -44,3 +44,12 @@ def test_keep_and_empty(odd, odd_rows, none):
     assert len(texts) == len(set(texts)) == len({r[1] or "" for r in odd_rows if r[0] not in (None, 100)})
     assert kept.columns == odd.columns
     assert exact.exact(none).count() == 0 and exact.keep(none).count() == 0
+
+
+def test_keep_judges_rows(spark, odd, odd_rows):
+    """All odd rows, null ids and repeated rows among them, and an id with two texts."""
+    texts = [r.text or "" for r in exact.keep(odd).collect()]
+    assert sorted(texts) == sorted({r[1] or "" for r in odd_rows})
+    rows = [(1, "A"), (1, "B"), (2, "A"), (3, "C"), (3, "C"), (None, "C"), (None, "D"), (None, "D"), (4, None), (5, "")]
+    kept = exact.keep(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, "B"), (2, "A"), (3, "C"), (None, "D"), (5, "")], key=str)

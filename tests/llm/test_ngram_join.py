@@ -85,6 +85,16 @@ def test_odd_rows(odd, odd_rows, none):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in expected.items() if i == c}
 
 
+def test_keep_judges_rows(spark):
+    """Null ids, repeated rows, and an id with two texts."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (2, a + " z"), (2, b), (3, c), (3, c), (3, c + " z"), (None, a + " y"), (None, d), (None, d), (None, d + " z"), (4, ""), (5, "")]
+    kept = ngram_join.keep(spark.createDataFrame(rows, "doc_id bigint, text string"), k=4, percent=85).collect()
+    got = sorted(((r.doc_id, r.text.split(" ")[0][:1]) for r in kept), key=str)
+    assert got == sorted([(1, "a"), (2, "b"), (3, "c"), (None, "d"), (4, ""), (5, "")], key=str)
+    assert [r.text for r in kept if r.doc_id == 3][0] in (c, c + " z")
+
+
 def test_sets():
     codes = Codes(2)
     assert len(shingle_set(b"a b c d e", 4, codes)) == 2
