@@ -10,7 +10,7 @@ from parcela.llm.common import stored
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality.keep(docs)
+    return quality.passing(docs)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

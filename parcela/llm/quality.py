@@ -78,12 +78,12 @@ def _repeats_sql() -> str:
     return f"if(size(w) < 4, 0L, {let('h', h, f'if(size(array_distinct(h)) = size(h), 0L, {covered(places)})')})"
 
 
-def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED) -> DataFrame:
-    """``docs`` with ``quality``, a struct of the counts, ``base_failed``, ``failed`` and ``kept``.
+def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED, name: str = "quality") -> DataFrame:
+    """``docs`` with ``quality`` (or another ``name``), a struct of the counts, ``base_failed``, ``failed`` and ``kept``.
 
     Null and empty texts count as having no words: they fail the base. A ratio whose denominator
     is 0 passes its rule. Very long texts are read whole. Every input column stays, also one that
-    is called ``quality`` already, which is replaced. Rows are judged one by one, so ties,
+    is called ``quality`` already, which is replaced unless ``name`` is another. Rows are judged one by one, so ties,
     repeated rows and empty tables need no care.
     """
     stop = ", ".join("'" + w.replace("'", "\\'") + "'" for w in STOP_WORDS.split())
@@ -113,7 +113,7 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, least_words: int =
     judged = f"named_struct({', '.join(f'{n!r}, {n}' for n in names)}, 'base_failed', n_words < {least_words} or 100 * n_repeat_words > {most_repeated} * n_words, 'failed', {failed})"
     full = "named_struct(" + ", ".join(f"'{n}', v.{n}" for n in (*names, "base_failed", "failed")) + ", 'kept', not v.base_failed and size(v.failed) = 0)"
     verdict = let("c", counts, let("k", line_counts, let("q", gathered, let("v", _prefixed(judged, names), full))))
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"], F.expr(verdict).alias("quality"))
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != name], F.expr(verdict).alias(name))
 
 
 def _prefixed(sql: str, names: tuple[str, ...]) -> str:
@@ -122,5 +122,10 @@ def _prefixed(sql: str, names: tuple[str, ...]) -> str:
 
 
 def keep(docs: DataFrame, **options) -> DataFrame:
-    """The documents that pass, with their own columns."""
+    """The documents that pass, with their own columns but one called ``quality``; ``passing`` keeps that too."""
     return quality(docs, **options).where("quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"])
+
+
+def passing(docs: DataFrame, **options) -> DataFrame:
+    """The documents that pass, with all their own columns."""
+    return quality(docs, name="__quality", **options).where("__quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])

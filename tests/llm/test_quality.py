@@ -38,6 +38,15 @@ def test_verdicts(spark, none):
     assert quality.quality(none).count() == 0
 
 
+def test_pipeline_keeps_a_quality_column(spark, none, sf_dir):
+    import corpus_pipeline
+
+    good = " ".join(["the house of a friend and the dog"] + [f"word{i} of x{i} the y{i}" for i in range(30)])
+    df = spark.createDataFrame([(1, good, "high"), (2, "x", "low")], "doc_id bigint, text string, quality string")
+    assert [tuple(r) for r in corpus_pipeline.good(spark, df, sf_dir).collect()] == [(1, good, "high")]
+    assert corpus_pipeline.good(spark, none, sf_dir).columns == none.columns
+
+
 def test_plan_has_no_shuffle_and_no_python(odd):
     plan = quality.quality(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
