@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import codecs
+import json
+import os
+import re
 import sys
 import types
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,65 +23,88 @@ from .common import scratch, shared_dir
 MAGIC = b"RPR1"
 #: Stands for a null id in a block; such documents come first.
 NO_ID = -(2**63)
-#: A block is closed at so many tokens (a longer document has one of its own), grammars grow for so
-#: many rounds at most, by pairs that occur so often, and a round must shorten the block by 1/GAIN.
-BLOCK, ROUNDS, LEAST, GAIN = 1_000_000, 4, 24, 30
-_HASH = 20
-
-
-def _frequent(s: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each place the bucket of its pair if that pair is frequent, else -1; and each bucket's pair.
-
-    Pairs are hashed to buckets. A bucket stands for the pair of it that was written last; other
-    pairs of the bucket wait for a later round. Counts are exact, and nothing is sorted.
-    """
-    key = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-    at = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH)).astype(np.int32)
-    pair = np.zeros(1 << _HASH, np.uint64)
-    pair[at] = key
-    own = pair[at] == key
-    count = np.bincount(at[own], minlength=1 << _HASH)
-    return np.where(own & (count >= least)[at], at, -1), pair
-
-
-def repair(ids: np.ndarray, least: int = LEAST, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, int]:
+#: A block is closed at so many tokens; a longer document has one of its own. A longer block has a
+#: better grammar and needs more memory: README gives figures.
+BLOCK = 1 << 19
+#: Places and symbols that fit one sorted number; longer blocks are sorted by a slower way.
+_PLACE, _SYMBOL = 20, 22
+
+
+def _late_in_runs(s: np.ndarray) -> np.ndarray:
+    """The places of pairs of equal symbols that overlap the pair before: every second one of a run."""
+    run = np.flatnonzero(s[1:] == s[:-1])
+    if not len(run):
+        return run
+    begins = np.concatenate(([True], run[1:] != run[:-1] + 1))
+    start = np.maximum.accumulate(np.where(begins, run, 0))
+    return run[(run - start) % 2 == 1]
+
+
+def _sorted_pairs(s: np.ndarray, at: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places ``at`` in the order of their pairs, then of their own, and the pairs in that order."""
+    if len(s) <= 1 << _PLACE and symbols < 1 << _SYMBOL:
+        z = s[at].astype(np.uint64) << np.uint64(_SYMBOL + _PLACE)
+        z |= s[at + 1].astype(np.uint64) << np.uint64(_PLACE)
+        z |= at.astype(np.uint64)
+        z.sort()
+        return (z & np.uint64((1 << _PLACE) - 1)).astype(np.int64), z >> np.uint64(_PLACE)
+    key = s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
+    order = np.argsort(key, kind="stable")
+    return at[order], key[order]
+
+
+def repair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(symbols, rules, first nonterminal): nonterminal ``first + k`` stands for the two symbols of rule k.
 
-    Each round makes a rule of every pair that occurs ``least`` times or more, and replaces the
-    pairs from the left; where two overlap, the left one is taken. A pair that is left with fewer
-    than ``least`` / 2 places of its own makes no rule, so that rules pay for themselves.
+    Pairs are replaced until none occurs twice without overlap. In each round a place is replaced if
+    its pair is more frequent than those of both neighbouring places (of equal counts one goes first),
+    so that the most frequent pair is always replaced everywhere, and with it all that do not touch a
+    more frequent one. Counts are exact. A pair that is left with one place in a round waits for the next. Only pairs that
+    occurred twice or touch a new symbol are counted again: no other can become frequent.
     """
     s = ids.astype(np.uint32)
     first = int(s.max()) + 1 if len(s) else 0
-    rules = np.empty((0, 2), np.uint32)
-    for _ in range(rounds):
-        if len(s) < 2:
-            break
-        at, pair = _frequent(s, least)
-        places = np.flatnonzero(at >= 0)
-        if not len(places):
+    rules, n_rules = [np.empty((0, 2), np.uint32)], 0
+    at = np.arange(max(0, len(s) - 1))
+    while len(at):
+        overlapping = np.zeros(len(s), bool)
+        overlapping[_late_in_runs(s)] = True
+        late = at[overlapping[at]]
+        at, key = _sorted_pairs(s, at[~overlapping[at]], first + n_rules)
+        edge = np.ones(len(key) + 1, bool)
+        np.not_equal(key[1:], key[:-1], out=edge[1:-1])
+        count = np.diff(np.flatnonzero(edge))
+        many = count > 1
+        if not many.any():
             break
-        # In a run of overlapping pairs every second one is taken, from the left.
-        begins = np.concatenate(([True], places[1:] != places[:-1] + 1))
-        start = np.maximum.accumulate(np.where(begins, places, 0))
-        taken = places[(places - start) % 2 == 0]
-        use = np.bincount(at[taken], minlength=1 << _HASH)
-        made = np.flatnonzero(use >= max(2, least // 2))
-        if not len(made):
-            break
-        number = np.zeros(1 << _HASH, np.uint32)
-        number[made] = first + len(rules) + np.arange(len(made), dtype=np.uint32)
-        rules = np.concatenate((rules, np.stack((pair[made] >> np.uint64(32), pair[made] & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32)))
-        new = number[at[taken]]
-        taken, new = taken[new > 0], new[new > 0]
-        before = len(s)
+        at, count = at[np.repeat(many, count)], count[many]
+        head = at[np.cumsum(count) - count]
+        by_rank = np.argsort(count, kind="stable")
+        rank = np.empty(len(count), np.int32)
+        rank[by_rank] = np.arange(1, len(count) + 1, dtype=np.int32)
+        # The rank of the pair at place i is weight[i + 1]; 0 where there is none to replace.
+        weight = np.zeros(len(s) + 1, np.int32)
+        weight[at + 1] = np.repeat(rank, count)
+        here = weight[1:]
+        best = here > weight[:-1]
+        best[:-1] &= here[:-1] > here[1:]
+        taken = np.flatnonzero(best)
+        made = np.bincount(here[taken], minlength=len(count) + 1) > 1
+        taken = taken[made[here[taken]]]
+        number = (np.cumsum(made) - 1).astype(np.uint32)
+        shown = head[by_rank[made[1:]]]
+        rules.append(np.stack((s[shown], s[shown + 1]), 1))
+        new = np.uint32(first + n_rules) + number[here[taken]]
         s[taken] = new
+        n_rules += len(shown)
+        open_places = np.zeros(len(s), bool)
+        for some in (at, late, taken, taken[taken > 0] - 1):
+            open_places[some] = True
         keep = np.ones(len(s), bool)
         keep[taken + 1] = False
         s = s[keep]
-        if (before - len(s)) * GAIN < before:
-            break
-    return s, rules, first
+        at = np.flatnonzero(open_places[keep][:-1])
+    return s, np.concatenate(rules), first
 
 
 def _lengths(rules: np.ndarray, first: int) -> np.ndarray:
@@ -98,19 +122,29 @@ def _lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for."""
+def _sizes(symbols: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
+    """How many ids each symbol stands for."""
+    size = np.ones(len(symbols), np.int64)
+    inner = symbols >= first
+    size[inner] = lengths[symbols[inner].astype(np.int64) - first]
+    return size
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, first: int, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that ``symbols`` stand for. Each id is written once, to the place that the lengths give it."""
+    lengths = _lengths(rules, first) if lengths is None else lengths
+    size = _sizes(symbols, lengths, first)
+    place = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint32)
     s = symbols
-    while len(rules) and len(s) and int(s.max()) >= first:
-        inner = s >= first
-        size = np.where(inner, 2, 1)
-        at = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), np.uint32)
-        out[at[~inner]] = s[~inner]
-        pair = rules[s[inner] - np.uint32(first)]
-        out[at[inner]], out[at[inner] + 1] = pair[:, 0], pair[:, 1]
-        s = out
-    return s
+    while len(s):
+        plain = s < first
+        out[place[plain]] = s[plain]
+        pair, place = rules[s[~plain].astype(np.int64) - first], place[~plain]
+        left = _sizes(pair[:, 0], lengths, first)
+        s = np.concatenate((pair[:, 0], pair[:, 1]))
+        place = np.concatenate((place, place + left))
+    return out
 
 
 def encode_block(doc_ids: list[int], docs: list[np.ndarray]) -> bytes:
@@ -143,18 +177,14 @@ class Block:
         self.symbols = np.frombuffer(blob, f"<u{wide}", m, at + 4 * r).astype(np.uint32)
 
     def all(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first)
+        return expand(self.symbols, self.rules, self.first, self.lengths)
 
     def slice(self, start: int, stop: int) -> np.ndarray:
         """The ids from ``start`` to ``stop``; only the symbols that cover them are expanded."""
-        size = np.ones(len(self.symbols), np.int64)
-        inner = self.symbols >= self.first
-        if len(self.rules):
-            size[inner] = self.lengths[self.symbols[inner] - np.uint32(self.first)]
-        ends = np.cumsum(size)
+        ends = np.cumsum(_sizes(self.symbols, self.lengths, self.first))
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
         begin = int(ends[a - 1]) if a else 0
-        return expand(self.symbols[a:b], self.rules, self.first)[start - begin : stop - begin]
+        return expand(self.symbols[a:b], self.rules, self.first, self.lengths)[start - begin : stop - begin]
 
     def document(self, k: int) -> np.ndarray:
         """The ids of the block's ``k``-th document."""
@@ -171,7 +201,10 @@ def _kept_in_worker(name: str, make):
 
 
 class _Pieces:
-    """Pieces that were met before, with their ids, in a few flat arrays."""
+    """Pieces that were met before, with their ids, in a few flat arrays of bounded size."""
+
+    #: At most so many pieces, of so many bytes each.
+    MOST, LONGEST = 1_000_000, 32
 
     def __init__(self) -> None:
         self.text = pa.array([], pa.large_string())
@@ -179,105 +212,156 @@ class _Pieces:
         self.flat = np.empty(0, np.uint32)
 
     def add(self, text: pa.Array, size: np.ndarray, flat: np.ndarray) -> None:
-        self.text = pa.concat_arrays([self.text, text])
-        self.size = np.concatenate((self.size, size))
-        self.flat = np.concatenate((self.flat, flat))
+        short = pc.less_equal(pc.binary_length(text), self.LONGEST).to_numpy(zero_copy_only=False)
+        short &= np.cumsum(short) <= self.MOST - len(self.text)
+        if short.any():
+            self.text = pa.concat_arrays([self.text, text.filter(pa.array(short))])
+            self.size = np.concatenate((self.size, size[short]))
+            self.flat = np.concatenate((self.flat, flat[np.repeat(short, size)]))
+
+
+#: Letters whose lower case is one letter, whatever stands around them; a dotted capital I is none.
+_PLAIN = "^[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+$"
 
 
 class Encoder:
-    """A tokenizers file, applied to what stands between blanks; frequent pieces are remembered.
+    """A tokenizers file applied to whole texts, with the end id after each.
 
-    The vocabulary's normalizer and splitter never join what white space separates, so a text's ids
-    are those of its pieces in turn. They part letters and digits from a comma or full stop, and lower
-    all letters, so that ``Word,`` has the ids of ``word`` and those of the comma. ``most`` pieces
-    are remembered at most.
+    Where the file lower-cases, drops white space and cuts at it, as ``word_bpe_49k.json`` does, blanks
+    and line feeds never lie within a token, and a letter never joins with the comma or full stop after
+    it. A text's ids are then those of its pieces in turn, each distinct piece goes through the library
+    once, and frequent ones are remembered. With any other file, and for texts that hold one of the
+    file's added tokens, the library gets whole texts.
     """
 
-    def __init__(self, path: str, end: int, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, end: int) -> None:
         import tokenizers
 
         self.tokenizer = _kept_in_worker(f"tokenizer:{path}", lambda: tokenizers.Tokenizer.from_file(path))
-        self.model = tokenizers.Tokenizer(self.tokenizer.model)
         self.known: _Pieces = _kept_in_worker(f"pieces:{path}", _Pieces)
-        self.most, self.end = most, end
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in printable]
-        #: How the vocabulary writes bytes.
-        self.shown = "".join(chr(b if b in printable else 256 + rest.index(b)) for b in range(256))
-
-    def _encoded(self, stems: list[str]) -> dict[str, bytes]:
-        """The ids of each stem. What is one word of lower-case letters goes to the model at once."""
-        plain = [w for w in stems if w.isalpha() and (w.isascii() or max(w) < "\u0250")]
-        found: dict[str, bytes] = {}
-        if plain:
-            words = [w if w.isascii() else codecs.charmap_decode(w.encode(), "strict", self.shown)[0] for w in plain]
-            e = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
-            raw = array("I", e.ids).tobytes()
-            ends = (4 * np.cumsum(np.bincount(np.array(e.word_ids, np.int64), minlength=len(plain)))).tolist()
-            begin = 0
-            for w, end in zip(plain, ends, strict=True):
-                found[w] = raw[begin:end]
-                begin = end
-        other = [w for w in stems if w not in found]
-        found |= {w: array("I", e.ids).tobytes() for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True)}
-        return found
-
-    @staticmethod
-    def _stem(piece: str) -> tuple[str, str]:
-        """A piece's lower-case stem, and the comma or full stop that ends it."""
-        mark = ""
-        if piece[-1:] in (",", ".") and piece[-2:-1].isalnum():
-            piece, mark = piece[:-1], piece[-1]
-        # Beyond these letters lower case can depend on what stands around.
-        return (piece.lower() if piece.isascii() or max(piece) < "\u0250" else piece), mark
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece, as 32-bit numbers."""
-        stems = [(p, "") if p.isalpha() and p.isascii() and p.islower() else self._stem(p) for p in pieces]
-        found = self._encoded(list({stem for stem, _ in stems} | {",", "."}))
-        marks = {",": found[","], ".": found["."], "": b""}
-        return [found[stem] + marks[mark] for stem, mark in stems]
+        self.end = end
+        added = self.tokenizer.get_added_tokens_decoder()
+        names = [t.content for t in added.values()]
+        self.added = "(?i)" + "|".join(map(re.escape, names))
+        self.hint = os.path.commonprefix([n.lower() for n in names] + [n.upper() for n in names])
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_piece = bool(added) and _cuts_at_blanks(rules)
+        if self.by_piece:
+            # Stands between pieces where their number of words is unknown.
+            self.between, self.gap = next((i, t.content) for i, t in added.items())
+            ends = [i for word, i in self.tokenizer.get_vocab().items() if word.endswith("</w>")]
+            self.last = np.zeros(max(ends) + 1 + len(added), bool)
+            self.last[ends] = True
+            # What is plain lower case already goes to the file's model without the file's patterns.
+            self.words = tokenizers.Tokenizer(self.tokenizer.model)
+            cuts = tokenizers.pre_tokenizers
+            self.words.pre_tokenizer = cuts.Sequence([cuts.WhitespaceSplit(), cuts.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+    def _library(self, text: str, tokenizer=None) -> np.ndarray:
+        return np.array((tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts and ids of any pieces."""
+        ids = self._library(self.gap.join(pieces))
+        gaps = np.flatnonzero(ids == self.between)
+        return np.diff(np.concatenate(([-1], gaps, [len(ids)]))) - 1, np.delete(ids, gaps)
+
+    def _letters(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts and ids of pieces of plain letters: each is one word, whose last token says so."""
+        ids = self._library(" ".join(pieces), self.words)
+        ends = np.flatnonzero(self.last[ids])
+        if len(ends) != len(pieces):
+            return self._apart(pieces)
+        return np.diff(np.concatenate(([-1], ends))), ids
+
+    def _new(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The pieces, those of plain letters first, their token counts and their ids."""
+        plain = pc.match_substring_regex(pieces, _PLAIN)
+        sizes, flats = [np.empty(0, np.int32)], [np.empty(0, np.uint32)]
+        both = [(self._letters, pieces.filter(plain)), (self._apart, pieces.filter(pc.invert(plain)))]
+        for way, some in ((self._letters, pc.utf8_lower(both[0][1])), both[1]):
+            for i in range(0, len(some), 2048):
+                size, flat = way(some.slice(i, 2048).to_pylist())
+                sizes.append(size.astype(np.int32))
+                flats.append(flat)
+        return pa.concat_arrays([x for _, x in both]), np.concatenate(sizes), np.concatenate(flats)
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text, with the end id; distinct pieces are looked up once for all texts."""
-        clean = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
-        cut = pc.split_pattern(clean, " ")
+        """The ids of each text, null counting as empty, with the end id."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = pa.array([True] * len(texts), pa.bool_())
+        if self.by_piece:
+            whole = pc.match_substring(texts, self.hint)
+            if pc.any(whole).as_py():
+                whole = pc.match_substring_regex(texts, self.added)
+        rows = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        found = self._by_piece(pc.if_else(whole, "", texts)) if self.by_piece else [np.empty(0, np.uint32)] * len(texts)
+        for i in rows.tolist():
+            found[i] = np.append(self._library(texts[i].as_py()), np.uint32(self.end))
+        return found
+
+    def _by_piece(self, texts: pa.Array) -> list[np.ndarray]:
+        # In this order: ``ascii_lower`` needs an array that is no slice of another.
+        clean = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
+        cut = pc.split_pattern(pc.replace_substring_regex(clean, "([a-z])([,.]) ", r"\1 \2 "), " ")
         pieces = cut.flatten().dictionary_encode()
         known = self.known
         row = pc.index_in(pieces.dictionary, value_set=known.text)
-        new = pieces.dictionary.filter(row.is_null())
-        ids = self._ids(new.to_pylist())
-        new_size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-        new_flat = np.frombuffer(b"".join(ids), np.uint32)
+        new, new_size, new_flat = self._new(pieces.dictionary.filter(row.is_null()))
+        place = pc.index_in(pieces.dictionary, value_set=new)
         size = np.concatenate((known.size, new_size, np.ones(1, np.int32)))
         flat = np.concatenate((known.flat, new_flat, np.array([self.end], np.uint32)))
-        start = np.cumsum(size, dtype=np.int64) - size
-        row = row.fill_null(-1).to_numpy(zero_copy_only=False)
-        row = np.where(row >= 0, row, len(known.size) - 1 + np.cumsum(row < 0))
-        # In order of first use, so that the frequent ones are among those remembered.
-        room = max(0, self.most - len(known.size))
-        if room and len(new):
-            known.add(new[:room], new_size[:room], new_flat[: int(new_size[:room].sum())])
+        start = (np.cumsum(size, dtype=np.int64) - size).astype(np.int32)
+        row = pc.coalesce(row, pc.add(place, pa.scalar(len(known.size), pa.int32()))).to_numpy(zero_copy_only=False)
+        known.add(new, new_size, new_flat)
 
+        # ``at`` has the row of each piece, and that of the end id after each text.
         ends = np.asarray(cut.offsets)[1:] - cut.offsets[0].as_py()
-        at = np.insert(row[np.asarray(pieces.indices)] if len(row) else np.empty(0, np.int64), ends, len(size) - 1)
+        at = np.insert(row[np.asarray(pieces.indices)], ends, len(size) - 1)
         n = size[at]
         upto = np.cumsum(n, dtype=np.int64)
-        # Each token's place in ``flat``: the start of its piece, and its place in the piece.
-        place = np.arange(int(upto[-1]) if len(upto) else 0, dtype=np.int32) + np.repeat((start[at] - (upto - n)).astype(np.int32), n)
-        tokens = flat[place]
+        # Steps of 1 within a piece, and from the end of a piece to the start of the next.
+        step = np.ones(int(upto[-1]) if len(upto) else 0, np.int32)
+        some = n > 0
+        begin, long = start[at[some]], n[some]
+        step[(upto - n)[some]] = begin - np.concatenate(([0], (begin + long - 1)[:-1]))
+        tokens = flat[np.cumsum(step, dtype=np.int32)]
         return np.split(tokens, upto[ends + np.arange(len(ends))][:-1]) if len(ends) else []
 
 
+def _cuts_at_blanks(rules: dict) -> bool:
+    """Whether a tokenizers file lower-cases, and cuts words from white space and from what is no letter."""
+    normal = [r["type"] for r in (rules["normalizer"] or {}).get("normalizers", [])]
+    cuts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    cut = cuts[0].get("pattern", {}).get("Regex", "")
+    words = cut.split("|")[-3:] == [r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+"] and cuts[0]["behavior"] == "Removed"
+    return words and normal == ["NFC", "Replace", "Lowercase"] and rules["model"].get("end_of_word_suffix") == "</w>"
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``most`` bytes of text, or of one row that is longer."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+        begin = 0
+        while begin < b.num_rows:
+            before = int(size[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(size, before + most, "right")))
+            yield b.slice(begin, end - begin)
+            begin = end
+
+
 def write(docs: DataFrame, tokenizer_path: str, end: int = 2, path: str | None = None, block: int = BLOCK) -> str:
     """Encodes all texts and writes them as blocks in ascending doc_id order; returns the path.
 
     A file row: part (the range of doc_ids), block, part_start (tokens of the part before it),
-    n_tokens, payload. Null texts are empty: they have the end id alone; null ids come
-    first. Documents are never cut.
+    n_tokens, first_id and last_id (null for a null id), payload. Null texts are empty: they have the
+    end id alone; null ids come first; rows of equal ids go by a hash of the text, so that many of them can
+    lie in several ranges, then by the text. Documents are never cut. Ids must be whole numbers.
     Each task writes the blocks of one range through Spark's commit, so a lost executor's work is
-    done again and never counted twice. Rows of equal doc_id stay neighbours.
+    done again and never counted twice. An empty table has no block; other columns are unread.
     """
+    if dict(docs.dtypes)["doc_id"] not in ("bigint", "int", "smallint", "tinyint"):
+        raise ValueError("doc_id must be a whole number")
     spark = docs.sparkSession
     shared_dir(spark)
     path = path or scratch(spark, "tokens")
@@ -290,34 +374,34 @@ def write(docs: DataFrame, tokenizer_path: str, end: int = 2, path: str | None =
 
         def close() -> pa.RecordBatch:
             nonlocal number, before, ids, held, size
-            arrays = [pa.array([x], t) for x, t in ((part, pa.int32()), (number, pa.int32()), (before, pa.int64()), (size, pa.int64()), (encode_block(ids, held), pa.binary()))]
+            known = [None if x == NO_ID else x for x in (ids[0], ids[-1])]
+            fields = [(part, pa.int32()), (number, pa.int32()), (before, pa.int64()), (size, pa.int64()), (known[0], pa.int64()), (known[1], pa.int64()), (encode_block(ids, held), pa.binary())]
             number, before, ids, held, size = number + 1, before + size, [], [], 0
-            return pa.RecordBatch.from_arrays(arrays, ["part", "block", "part_start", "n_tokens", "payload"])
-
-        for b in batches:
-            for i in range(0, b.num_rows, 4096):
-                piece = b.slice(i, 4096)
-                for p, doc, found in zip(piece.column("part").to_pylist(), piece.column("doc_id").to_pylist(), encoder(piece.column("text")), strict=True):
-                    if ids and (p != part or size + len(found) > block):
-                        yield close()
-                    if p != part:
-                        part, number, before = p, 0, 0
-                    ids.append(NO_ID if doc is None else doc)
-                    held.append(found)
-                    size += len(found)
+            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in fields], ["part", "block", "part_start", "n_tokens", "first_id", "last_id", "payload"])
+
+        for piece in _slices(batches):
+            for p, doc, found in zip(piece.column("part").to_pylist(), piece.column("doc_id").to_pylist(), encoder(piece.column("text")), strict=True):
+                if ids and (p != part or size + len(found) > block):
+                    yield close()
+                if p != part:
+                    part, number, before = p, 0, 0
+                ids.append(NO_ID if doc is None else doc)
+                held.append(found)
+                size += len(found)
         if ids:
             yield close()
 
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sorted_docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
-    placed = sorted_docs.withColumn("part", F.spark_partition_id())
-    out = placed.mapInArrow(blocks, "part int, block int, part_start bigint, n_tokens bigint, payload binary")
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
+    ordered = keyed.repartitionByRange(n, "doc_id", "mark").sortWithinPartitions("doc_id", "mark", "text")
+    placed = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
+    out = placed.mapInArrow(blocks, "part int, block int, part_start bigint, n_tokens bigint, first_id bigint, last_id bigint, payload binary")
     out.write.parquet(path)
     return path
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """A row per document, from the files: doc_id, start, n_tokens, ids_crc32, block_bytes.
+    """A row per document, from the files: doc_id, start, n_tokens, ids_crc32.
 
     ``start`` adds the sums of the parts before (one number a part, so the table is small) to the
     part's own running sum. A document is decoded from its block's grammar.
@@ -341,15 +425,27 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> dict[int, list[int]]:
-    """The ids of a few documents, each decoded alone."""
-    wanted = set(doc_ids)
+    """The ids of a few documents, each decoded alone.
+
+    Only blocks whose range of ids has a wanted one are read; the scan's statistics skip the others.
+    Of rows with equal ids one is given.
+    """
+    wanted = sorted(set(doc_ids))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = set(wanted)
         for b in batches:
             for blob in b.column("payload").to_pylist():
                 block = Block(blob)
-                hit = [k for k, d in enumerate(block.doc_ids.tolist()) if d in wanted]
+                hit = [k for k, d in enumerate(block.doc_ids.tolist()) if d in own]
                 yield pa.RecordBatch.from_arrays([pa.array([int(block.doc_ids[k]) for k in hit], pa.int64()), pa.array([block.document(k).tolist() for k in hit], pa.list_(pa.int64()))], ["doc_id", "ids"])
 
-    rows = spark.read.parquet(path).select("payload").mapInArrow(some, "doc_id bigint, ids array<bigint>").collect()
+    if not wanted:
+        return {}
+    # A block that begins with null ids may hold others.
+    begins = F.col("first_id").isNull() | (F.col("first_id") <= F.lit(wanted[-1]))
+    near = spark.read.parquet(path).where(begins & (F.col("last_id") >= wanted[0]))
+    held = F.array(*[F.lit(x) for x in wanted])
+    inside = F.exists(held, lambda x: x.between(F.coalesce("first_id", F.lit(NO_ID)), F.col("last_id")))
+    rows = near.where(inside).select("payload").mapInArrow(some, "doc_id bigint, ids array<bigint>").collect()
     return {r.doc_id: r.ids for r in rows}

@@ -2,6 +2,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -13,14 +15,26 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 ids = st.lists(st.integers(0, 6), max_size=400)
 
 
-@settings(max_examples=80, deadline=None)
-@given(ids, st.integers(2, 6))
-def test_grammar_round_trip(values, least):
+@settings(max_examples=150, deadline=None)
+@given(ids)
+def test_grammar_round_trip(values):
     raw = np.array(values, np.uint32)
-    s, rules, first = tokenfile.repair(raw, least)
+    s, rules, first = tokenfile.repair(raw)
     assert tokenfile.expand(s, rules, first).tolist() == values
     sizes = tokenfile._lengths(rules, first)
     assert sizes.tolist() == [len(tokenfile.expand(np.array([first + k], np.uint32), rules, first)) for k in range(len(rules))]
+    # No pair is left that occurs twice without overlap.
+    met = {}
+    for i, pair in enumerate(zip(s.tolist(), s[1:].tolist(), strict=False)):
+        assert i - met.setdefault(pair, i) < 2
+
+
+def test_long_blocks_have_the_same_grammar(monkeypatch):
+    raw = np.random.default_rng(1).integers(0, 9, 5000).astype(np.uint32)
+    fast = tokenfile.repair(raw)
+    monkeypatch.setattr(tokenfile, "_PLACE", 3)
+    slow = tokenfile.repair(raw)
+    assert all((a == b).all() for a, b in zip(fast[:2], slow[:2], strict=True))
 
 
 @settings(max_examples=40, deadline=None)
@@ -39,8 +53,54 @@ def test_block_round_trip_and_random_access(docs, seed):
 
 def test_repeats_shrink():
     raw = np.tile(np.arange(50, dtype=np.uint32), 400)
-    s, rules, first = tokenfile.repair(raw, 24, 10)
-    assert len(s) < len(raw) / 30 and tokenfile.expand(s, rules, first).tolist() == raw.tolist()
+    s, rules, first = tokenfile.repair(raw)
+    assert len(s) + 2 * len(rules) < 200 and tokenfile.expand(s, rules, first).tolist() == raw.tolist()
+
+
+def _same(encoder, library, texts):
+    got = encoder(pa.array(texts, pa.string()))
+    want = library.encode_batch(texts, add_special_tokens=False)
+    return [t for t, a, e in zip(texts, got, want, strict=True) if a.tolist() != [*e.ids, 2]]
+
+
+def test_ids_are_the_library_s_for_all_letters():
+    """Every letter and mark of the first plane in words, alone, before a comma and a full stop, in both cases."""
+    encoder, library = tokenfile.Encoder(PATH, 2), Tokenizer.from_file(PATH)
+    odd = [chr(i) for i in range(33, 0x3200) if chr(i).isprintable()] + list("İıſKÅ\u0307\u0301ﬁßẞΣσς日本한\u1100\u1161𝐀😀")
+    texts = [f"{c} a{c}b, {c}. A{c}. {c}{c}, x{c} {c}I\u0307." for c in odd]
+    assert _same(encoder, library, texts) == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abzABZIİıßéÉïΣ\u0301\u0307.,'!#0<|> \n\t\r\u00a0\u2003s t") | st.characters(exclude_categories=["Cs"]), max_size=60), max_size=6))
+def test_ids_are_the_library_s_for_any_text(texts):
+    texts += ["<|endoftext|> a <|ENDOFTEXT|>.", "x<|startoftext|>y, It's I'LL"]
+    assert _same(tokenfile.Encoder(PATH, 2), Tokenizer.from_file(PATH), texts) == []
+
+
+def test_other_files_get_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = tokenfile.Encoder(path, 2)
+    assert not encoder.by_piece and _same(encoder, Tokenizer.from_file(path), ["A b,  c.\n", "", " İ."]) == []
+
+
+def test_equal_ids_have_one_order(spark):
+    rows = [(7, t) for t in ("b", None, "a", "", "a", "c d")] + [(None, "z"), (None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    runs = [sorted(map(tuple, tokenfile.read(spark, tokenfile.write(docs.repartition(n), PATH)).collect()), key=lambda r: r[1]) for n in (1, 3)]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+    with pytest.raises(ValueError):
+        tokenfile.write(docs.withColumn("doc_id", F.lit("x")), PATH)
+
+
+def test_lookup_skips_blocks(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('word ', id) as text")
+    path = tokenfile.write(docs, PATH, block=50)
+    blocks = spark.read.parquet(path).orderBy("first_id").collect()
+    assert len(blocks) > 20 and all(a.last_id < b.first_id for a, b in zip(blocks, blocks[1:], strict=False))
+    t = Tokenizer.from_file(PATH)
+    assert tokenfile.lookup(spark, path, [3, 399, 1000]) == {k: [*t.encode(f"word {k}", add_special_tokens=False).ids, 2] for k in (3, 399)}
+    assert tokenfile.lookup(spark, path, []) == {}
 
 
 def test_files_match_the_tokenizer(spark, odd, none):
