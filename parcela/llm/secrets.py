@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, scratch, shared_dir, stored
+from .common import let, scratch, shared_dir, small, stored
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,9 @@ RULES = (
     Rule("login_url", r"[a-z][a-z0-9+]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
 )
 
+#: Blobs that may be named to all tasks.
+_NAMED = 1_000_000
+
 _SPANS = "array<struct<start: bigint, rank: int, kind: string, stop: bigint>>"
 
 
@@ -50,35 +53,51 @@ def _literal(text: str) -> str:
 def spans_sql(rule: Rule, rank: int, text: str = "text") -> str:
     """SQL for a rule's spans: leftmost matches that don't overlap, then those too short dropped.
 
-    ``split`` gives what lies between the matches, so that a running sum of lengths places them.
+    ``split`` gives what lies between the matches, and the sum of all lengths before places a match.
+    The sums are taken over blocks of matches first, so n matches cost about n to the power 1.5.
     """
     p = _literal(rule.pattern)
-    places = f"""filter(transform(m, (x, j) -> named_struct(
-        'start', aggregate(slice(g, 1, j + 1), 0L, (a, b) -> a + length(b)) + aggregate(slice(m, 1, j), 0L, (a, b) -> a + length(b)),
+    total = "aggregate({0}, 0L, (a, b) -> a + b)"
+    before = f"p[j div b] + {total.format('slice(l, cast(j div b as int) * b + 1, j % b)')} + length(g[j])"
+    places = f"""filter(transform(m, (x, j) -> named_struct('start', {before},
         'rank', {rank}, 'kind', '{rule.kind}', 'stop', cast(length(x) as bigint), 'own', length(v[j]))), x -> x.own >= {rule.least})"""
     moved = f"transform({places}, x -> named_struct('start', x.start, 'rank', x.rank, 'kind', x.kind, 'stop', x.start + x.stop))"
+    blocks = "sequence(0, cast((size(m) - 1) div b as int))"
+    sums = f"transform({blocks}, k -> {total.format('slice(l, k * b + 1, b)')})"
+    firsts = f"transform({blocks}, k -> {total.format('slice(s, 1, k)')})"
+    placed = let("l", "transform(m, (x, j) -> cast(length(x) + length(g[j]) as bigint))", let("b", "cast(ceil(sqrt(size(m))) as int)", let("s", sums, let("p", firsts, moved))))
     own = f"regexp_extract_all({text}, {p}, {rule.group})"
-    found = let("m", f"regexp_extract_all({text}, {p}, 0)", let("v", own, let("g", f"split({text}, {p}, -1)", moved)))
+    found = let("m", f"regexp_extract_all({text}, {p}, 0)", let("v", own, let("g", f"split({text}, {p}, -1)", placed)))
     return f"if({text} rlike {p}, {found}, cast(array() as {_SPANS}))"
 
 
 def scan(versions: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, str]:
     """Adds to the ledger what no earlier scan has seen of ``versions`` (text): (the whole ledger, its path).
 
-    A blob is the SHA-256 of a text. A ledger row says which rule versions were run over a blob and
-    what they found. A blob is scanned once however many paths hold it, only with the rule versions
-    that its rows lack. Each scan writes its rows as files of their own, so a failed one leaves none.
+    ``versions`` may have a row for each path and version of it. A blob is the SHA-256 of a text; null
+    counts as empty. A ledger row says which rule versions were run over a blob and what they found. A
+    blob is scanned once however many paths hold it, only with the rule versions that its rows lack.
+    Texts are scanned where they are read; only those that occur twice or more are shuffled, after the
+    copies of a task have met, and if there are too many of them to be named to all tasks, all that are to be scanned. Each
+    scan writes its rows as files of their own, so a failed one leaves none.
     """
     spark = versions.sparkSession
     shared_dir(spark)
-    blobs = versions.select(F.coalesce("text", F.lit("")).alias("text")).distinct().withColumn("blob_id", F.sha2("text", 256))
+    texts = versions.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob_id", F.sha2("text", 256))
+    counted = stored(texts.groupBy("blob_id").agg(F.count("*").alias("n")), "blobs")
     every = F.array(*[F.lit(r.pair) for r in rules])
     if ledger is None:
-        ledger, todo = scratch(spark, "ledger"), blobs.withColumn("todo", every)
+        ledger = scratch(spark, "ledger")
+        again = small(counted.where("n > 1").select("blob_id"), _NAMED)
+        single, copied = texts.join(again, "blob_id", "left_anti"), texts.join(again, "blob_id", "left_semi")
+        todo = single.union(copied.groupBy("blob_id").agg(F.first("text").alias("text")).select(*single.columns)).withColumn("todo", every)
     else:
         seen = spark.read.parquet(ledger).select("blob_id", F.explode("pairs").alias("pair")).groupBy("blob_id").agg(F.collect_set("pair").alias("seen"))
         missing = F.array_except(every, F.coalesce("seen", F.expr("cast(array() as array<string>)")))
-        todo = blobs.join(seen, "blob_id", "left").withColumn("todo", missing).where(F.size("todo") > 0)
+        unseen = stored(counted.join(seen, "blob_id", "left").select("blob_id", "n", missing.alias("todo")).where(F.size("todo") > 0), "unseen")
+        single = texts.join(small(unseen.where("n = 1").drop("n"), _NAMED), "blob_id")
+        copied = texts.join(small(unseen.where("n > 1").drop("n"), _NAMED), "blob_id")
+        todo = single.union(copied.groupBy("blob_id", "todo").agg(F.first("text").alias("text")).select(*single.columns))
     parts = [F.expr(f"if(array_contains(todo, '{r.pair}'), {spans_sql(r, k)}, cast(array() as {_SPANS}))") for k, r in enumerate(rules)]
     found = todo.select("blob_id", F.col("todo").alias("pairs"), F.array_sort(F.concat(*parts)).alias("found"))
     found.write.mode("append").parquet(ledger)

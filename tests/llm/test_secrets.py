@@ -54,3 +54,28 @@ def test_odd_rows(odd, odd_rows, none):
 def test_no_python_in_plan(odd):
     ledger, _ = secrets.scan(odd)
     assert "Python" not in secrets.report(secrets.findings(odd, ledger))._jdf.queryExecution().toString()
+
+
+def test_many_hits_in_one_text(spark):
+    """Places are right at every block edge, and many hits take no quadratic time."""
+    import time
+
+    hits = [f"x{'y' * (i % 7)} {format(i, '032x')}" for i in range(20_000)]
+    text = "é" + "".join(hits)
+    began = time.perf_counter()
+    ledger, _ = secrets.scan(spark.createDataFrame([(text,)], "text string"))
+    found = ledger.select("found").first()[0]
+    assert time.perf_counter() - began < 30
+    want, at = [], 1
+    for h in hits:
+        want.append((at + len(h) - 32, at + len(h)))
+        at += len(h)
+    assert [(f.start, f.stop) for f in found if f.kind == "hex"] == want
+
+
+def test_scan_without_broadcast(spark, odd, monkeypatch):
+    whole = sorted(map(tuple, secrets.scan(odd)[0].select("blob_id").collect()))
+    monkeypatch.setattr(secrets, "_NAMED", -1)
+    ledger, path = secrets.scan(odd)
+    assert sorted(map(tuple, ledger.select("blob_id").collect())) == whole
+    assert secrets.scan(odd, path)[0].count() == len(whole)
