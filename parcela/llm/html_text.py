@@ -26,14 +26,12 @@ MARKED = frozenset(
 )
 #: Readers' comments and consent to cookies stay out even where they are most of a page.
 NEVER = frozenset("comment comments consent cookie cookies disqus gdpr replies respond".split())
-#: Of these, a name such as ``site-footer`` is one by its last word too, unless it begins as a term or flag does.
-PARTS_LAST = NEVER | frozenset(
-    "ad ads banner breadcrumb breadcrumbs footer masthead menu modal nav navbar navigation newsletter overlay pager pagination popup "
-    "sidebar signup toolbar topbar".split()
+#: Words that say nothing of what an element holds. A name of several words marks it only if all are of these or marked,
+#: so that ``site-footer`` does and ``menu-of-the-day`` does not.
+NEUTRAL = frozenset(
+    "area bar block bottom box center column container content global group header inner items item layout left link links list main "
+    "outer page panel post posts primary region right row secondary section site space strip top unit wrap wrapper zone".split()
 )
-FLAGS = frozenset("author cat category format has is layout no not status tag tax term topic type with without".split())
-#: A name that ends so tells a state of the page (``comments-open``).
-STATES = frozenset("active closed count disabled enabled free off on open".split())
 #: A ``header`` in a name is one of the page, unless one of these says that it is the article's.
 OWN_HEADER = frozenset("article content entry post story title".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
@@ -41,59 +39,106 @@ _HOLDERS = ("article", "main")
 #: Blocks that hold a line or a part of a story; a region is never one of them but what they lie in.
 _PARTS = frozenset("address blockquote center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 header hgroup legend li ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _CLOSES_P = BLOCKS - {"br"}
+#: Whose end a start tag implies, and what they are closed no further than.
+_IMPLIED = {
+    "li": (("li",), ("ul", "ol", "menu")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")),
+    "tr": (("tr",), ("table", "thead", "tbody", "tfoot")),
+    "thead": (("thead", "tbody", "tfoot"), ("table",)),
+    "tbody": (("thead", "tbody", "tfoot"), ("table",)),
+    "tfoot": (("thead", "tbody", "tfoot"), ("table",)),
+    "option": (("option",), ("select", "datalist")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+}
+_P_BARS = tuple("div td th li section article main body table blockquote dd".split())
+_INLINE_BARS = tuple("div td th li section article main body nav aside footer header table blockquote".split())
+_TABLE_PARTS = frozenset("table caption tbody td tfoot th thead tr".split())
+_IN_HEAD = frozenset("base link meta noscript script style template title".split())
 
 
 def _mark(names: list[str]) -> int:
-    """What class and id tokens say: 0 nothing, 1 a menu, advert or the like, 2 one of ``NEVER``.
-
-    A token counts by its whole or its first word, and by its last where that is the thing named.
-    """
+    """What class and id tokens say: 0 nothing, 1 a menu, advert or the like, 2 one of ``NEVER``."""
     out = 0
     for name in names:
-        words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
-        if not words or len(words) > 1 and words[-1] in STATES:
-            continue
-        said = {words[0]} & MARKED
-        if words[0] not in FLAGS:
-            said |= {words[-1]} & PARTS_LAST
-        out = max(out, 2 if said & NEVER else 1 if said else 0)
+        words = {w for w in re.split(r"[^a-z]+", name) if w}
+        if words <= MARKED | NEUTRAL and words & MARKED:
+            out = max(out, 2 if words & NEVER else 1)
     return out
 
 
 class _Element:
-    __slots__ = ("tag", "number", "dropped", "marked", "holder")
+    __slots__ = ("tag", "number", "up", "dropped", "marked", "holder", "inside", "link", "gone", "held", "text")
+
+    def __init__(self, tag: str, number: int, up: _Element | None, dropped: bool, marked: int, holder: bool) -> None:
+        self.tag, self.number, self.up, self.dropped, self.marked, self.holder = tag, number, up, dropped, marked, holder
+        #: Whether it is, or lies in, an article or main; and a link.
+        self.inside = holder or (up is not None and up.inside)
+        self.link = tag == "a" or (up is not None and up.link)
+        #: Whether it is, or lies in, something that is left out whatever the cluster says.
+        self.gone = dropped or marked > 1 or (up is not None and up.gone)
+        #: Characters of the cluster, and of all lines, below it.
+        self.held = self.text = 0
 
-    def __init__(self, tag: str, number: int, dropped: bool, marked: int, holder: bool) -> None:
-        self.tag, self.number, self.dropped, self.marked, self.holder = tag, number, dropped, marked, holder
+
+class _Line:
+    __slots__ = ("text", "tags", "links", "at", "ratio", "content", "low")
+
+    def __init__(self, text: str, tags: int, links: int, at: _Element | None) -> None:
+        self.text, self.tags, self.links, self.at = text, tags, links, at
+        self.ratio, self.content, self.low = len(text) / max(1, tags), False, False
 
 
 class _Lines(HTMLParser):
-    """Turns events into lines, one a block of text: (text, tags in it, ancestors)."""
+    """Turns events into lines, one a block of text. Elements know what they lie in; each step is quick however deep it is."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[_Element, ...]]] = []
+        self.lines: list[_Line] = []
+        self.elements: list[_Element] = []
         self.stack: list[_Element] = []
+        self.places: dict[str, list[int]] = defaultdict(list)  # where on the stack a tag is open
         self.text: list[str] = []
-        self.tags = self.number = 0
+        self.tags = self.links = 0
 
     def flush(self) -> None:
         if self.text:
             words = " ".join("".join(self.text).split())
             if words:
-                self.lines.append((words, self.tags, tuple(self.stack)))
-                self.tags = 0
+                self.lines.append(_Line(words, self.tags, self.links, self.stack[-1] if self.stack else None))
+                self.tags = self.links = 0
             self.text = []
 
+    def _last(self, tags: tuple[str, ...]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def _end(self, tags: tuple[str, ...], bars: tuple[str, ...] = ()) -> None:
+        """Closes the innermost of ``tags``, and what lies in it, unless one of ``bars`` lies between."""
+        at = self._last(tags)
+        if at < 0 or self._last(bars) > at:
+            return
+        while len(self.stack) > at:
+            if self.stack[-1].marked:
+                self.flush()
+            self.places[self.stack.pop().tag].pop()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
+        if self.places.get("head") and tag not in _IN_HEAD and tag != "head":
+            self.flush()
+            self._end(("head",), ("template",))
         if tag in VOID:
             return
         if tag in _CLOSES_P:
-            self._end("p", "div td li section article main body".split())
-        inside = any(e.holder for e in self.stack)
+            self._end(("p",), _P_BARS)
+        if tag in _IMPLIED:
+            self._end(*_IMPLIED[tag])
+        up = self.stack[-1] if self.stack else None
+        inside = up is not None and up.inside
         dropped, marked = tag in DROPPED or (tag == "header" and not inside), 0
         if attrs:
             a = dict(attrs)
@@ -103,36 +148,39 @@ class _Lines(HTMLParser):
             of_page = "header" in parts and not inside and OWN_HEADER.isdisjoint(parts)
             if tag not in ("html", "body", "main") and (of_page or not MARKED.isdisjoint(parts)):
                 marked = max(int(of_page), _mark(named.split()))
-        holder = tag in _HOLDERS and not dropped and not marked
-        if holder:
-            for e in self.stack:  # what wraps an article is no menu, whatever its name
-                e.marked = 0
-        self.number += 1
-        self.stack.append(_Element(tag, self.number, dropped, marked, holder))
+        holder = tag in _HOLDERS and not dropped and not marked and not (up is not None and up.gone)
+        if marked:
+            self.flush()
+        e = _Element(tag, len(self.elements), up, dropped, marked, holder)
+        if holder and not inside:  # what wraps an article is no menu, whatever its name
+            while up is not None and not up.text:
+                up.marked, up.text, up = up.marked & 2, 1, up.up
+        self.elements.append(e)
+        self.places[tag].append(len(self.stack))
+        self.stack.append(e)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.stack and self.stack[-1].tag == tag and tag not in BLOCKS:
-            self.stack.pop()
-
-    def _end(self, tag: str, bars: list[str]) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k].tag == tag:
-                del self.stack[k:]
-                return
-            if self.stack[k].tag in bars:
-                return
+        if tag not in VOID and tag not in BLOCKS and self.stack and self.stack[-1].tag == tag:
+            self._end((tag,))
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
-        if tag not in VOID:
-            inline = tag not in BLOCKS or tag == "p"
-            self._end(tag, "div td li section article main body nav aside footer header".split() if inline else [])
+        if tag == "p" or tag not in BLOCKS:
+            self._end((tag,), _INLINE_BARS)
+        elif tag not in VOID:
+            self._end((tag,), () if tag in _TABLE_PARTS else ("td", "th"))
 
     def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1].tag == "head" and not data.isspace():
+            self._end(("head",))
+        if self.stack and self.stack[-1].gone:
+            return
         self.text.append(data)
+        if self.stack and self.stack[-1].link:
+            self.links += len(data.strip())
 
 
 def smoothed(values: list[float], sigma: float) -> list[float]:
@@ -150,66 +198,132 @@ def smoothed(values: list[float], sigma: float) -> list[float]:
     return out
 
 
-def _cluster(lines: list[tuple[str, int, tuple[_Element, ...]]], sigma: float, part: float) -> list[bool]:
-    """Whether each line is of the content cluster."""
-    smooth = smoothed([len(t) / max(1, n) for t, n, _ in lines], sigma)
+def _cluster(lines: list[_Line], sigma: float, part: float) -> None:
+    """Says of each line whether it is of the content cluster."""
+    smooth = smoothed([x.ratio for x in lines], sigma)
     limit = part * sum(smooth) / max(1, len(smooth))
-    return [s >= limit for s in smooth]
-
-
-def _lift(lines: list[tuple[str, int, tuple[_Element, ...]]], sigma: float, part: float) -> None:
-    """Unmarks what holds over half of the cluster's text, marked lines counted: no menu is most of a page."""
-    lines = [(t, n, up) for t, n, up in lines if not any(e.dropped or e.marked > 1 for e in up)]
-    if not any(e.marked for _, _, up in lines for e in up):
-        return
-    held: dict[_Element, int] = defaultdict(int)
-    total = 0
-    for (text, _, up), inside in zip(lines, _cluster(lines, sigma, part), strict=True):
-        total += len(text) * inside
-        for e in up:
-            if e.marked:
-                held[e] += len(text) * inside
-    for e, n in held.items():
-        if 2 * n > total:
-            e.marked, e.holder = 0, e.tag in _HOLDERS
+    for x, s in zip(lines, smooth, strict=True):
+        x.content, x.low = s >= limit, x.ratio < limit
+
+
+def _left(elements: list[_Element], lines: list[_Line], least: int) -> list[_Line]:
+    """The lines that lie in nothing dropped, or marked with ``least`` or more."""
+    out = []
+    for e in elements:
+        out.append(e.dropped or e.marked >= least or (e.up is not None and out[e.up.number]))
+    return [x for x in lines if x.at is None or not out[x.at.number]]
+
+
+def _sum(elements: list[_Element], lines: list[_Line]) -> int:
+    """Gives each element the characters of its lines, and of those in the cluster; returns the cluster's."""
+    for e in elements:
+        e.held = e.text = 0
+    for x in lines:
+        if x.at is not None:
+            x.at.text += len(x.text)
+            x.at.held += len(x.text) * x.content
+    for e in reversed(elements):
+        if e.up is not None:
+            e.up.held += e.held
+            e.up.text += e.text
+    return sum(len(x.text) for x in lines if x.content)
+
+
+def _without_menus(lines: list[_Line]) -> list[_Line]:
+    """Without menus that have no name: runs of lines of low ratio, three quarters links each, that reach out of the cluster."""
+    out: list[_Line] = []
+    run: list[_Line] = []
+    for x in [*lines, None]:
+        if x is not None and x.low and 4 * x.links >= 3 * len(x.text):
+            run.append(x)
+            continue
+        if len(run) < 2 or all(r.content for r in run):
+            out += run
+        run = []
+        if x is not None:
+            out.append(x)
+    return out
+
+
+def _within(x: _Line, regions: set[int], known: dict[int, bool]) -> bool:
+    """Whether a line lies in one of the elements ``regions``; ``known`` remembers what was found for elements."""
+    path, e = [], x.at
+    while e is not None and e.number not in known:
+        path.append(e)
+        known[e.number] = e.number in regions
+        e = None if known[e.number] else e.up
+    found = bool(path and known[path[-1].number]) or (e is not None and known[e.number])
+    for p in path:
+        known[p.number] = found
+    return found
+
+
+def _regions(elements: list[_Element], lines: list[_Line], total: int) -> set[int] | None:
+    """The elements that hold the content; none for the whole page.
+
+    The article or main element with most of the cluster's text; of equals the inner one, then the
+    first. Others beside it belong to it if half of their own text is of the cluster. Without such
+    elements, the innermost container around the cluster's first line with three quarters of its text.
+    """
+    holders = [e for e in elements if e.holder and e.text]
+    if holders:
+        best = min(holders, key=lambda e: (-e.held, e.text, e.number))
+        found: set[int] = {best.number}
+        over = set()
+        e = best.up
+        while e is not None:
+            over.add(e.number)
+            e = e.up
+        # In their order, so that an outer one is met before those in it.
+        below = [False] * len(elements)
+        for e in elements:
+            below[e.number] = e.number in found or (e.up is not None and below[e.up.number])
+            if e.holder and e.text and not below[e.number] and e.number not in over and 2 * e.held >= e.text:
+                found.add(e.number)
+                below[e.number] = True
+        return found
+    e = next(x for x in lines if x.content).at
+    while e is not None:
+        if e.tag in BLOCKS - _PARTS and 4 * e.held >= 3 * total:
+            return {e.number}
+        e = e.up
+    return None
 
 
 def main_text(html: str | None, sigma: float = 1.0, part: float = 0.5) -> str:
     """The article of a page; empty where there is none.
 
-    Each line has a text-to-tag ratio. Ratios are smoothed, and lines at or over ``part`` of the mean
-    form the content cluster. The article or main element with most of the cluster's text is the
-    region, whole. A page without such elements has as region the innermost container (no paragraph,
-    heading, list, table or section) around the cluster's first line that holds three quarters of the
-    cluster's text, whole as well, or the page. Lines of the region that belong to menus, adverts,
-    notices, forms, comments or hidden elements are left out; but what only its name marks, and not as
-    readers' comments or cookies, stays if it holds over half of the cluster's text.
+    Each line, a block of text, has a text-to-tag ratio. Ratios are smoothed, and lines at or over ``part`` of
+    their mean form the content cluster. It chooses the regions (``_regions``), which are taken whole but for
+    lines that belong to menus, adverts, notices, forms, comments or hidden elements, and for runs of links
+    outside the cluster. What only its name marks, and not as readers' comments or cookies, stays if it
+    holds over half of the cluster's text: no menu is most of a page. End tags that may be left out are
+    implied. Time and memory grow with the page's length, whatever is left open.
     """
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    _lift(parser.lines, sigma, part)
-    lines = [(t, n, up) for t, n, up in parser.lines if not any(e.dropped or e.marked for e in up)]
+    elements = parser.elements
+    named = [e for e in elements if e.marked == 1]
+    if named:
+        lines = _left(elements, parser.lines, 2)
+        _cluster(lines, sigma, part)
+        total = _sum(elements, lines)
+        for e in named:
+            if 2 * e.held > total:
+                e.marked, e.holder = 0, e.tag in _HOLDERS
+    lines = _left(elements, parser.lines, 1)
     if not lines:
         return ""
-    content = _cluster(lines, sigma, part)
-    held: dict[int, int] = defaultdict(int)
-    holders: dict[int, int] = defaultdict(int)
-    for (text, _, up), inside in zip(lines, content, strict=True):
-        for depth, e in enumerate(up):
-            held[e.number] += len(text) * inside
-            if e.holder:
-                holders[e.number] = max(holders[e.number], depth)
-    if holders:
-        # Most text first; of equals the inner one, then the first.
-        region = min(holders, key=lambda k: (-held[k], -holders[k], k))
-        return " ".join(t for t, _, up in lines if any(e.number == region for e in up))
-    total = sum(len(t) * c for (t, _, _), c in zip(lines, content, strict=True))
-    first = next(i for i, c in enumerate(content) if c)
-    path = [e.number for e in lines[first][2] if e.tag in BLOCKS - _PARTS]
-    region = next((k for k in reversed(path) if 4 * held[k] >= 3 * total), None)
-    return " ".join(t for t, _, up in lines if region is None or any(e.number == region for e in up))
+    _cluster(lines, sigma, part)
+    lines = _without_menus(lines)
+    if not lines:
+        return ""
+    total = _sum(elements, lines)
+    regions = _regions(elements, lines, total)
+    known: dict[int, bool] = {}
+    return " ".join(x.text for x in lines if regions is None or _within(x, regions, known))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,3 +1,8 @@
+import random
+import re
+import time
+from html import unescape
+
 import pytest
 
 from parcela.llm import html_text
@@ -77,3 +82,86 @@ def test_table(spark):
     out = sorted(map(tuple, html_text.extract(df).collect()), key=str)
     assert out == sorted([(1, "u", "é😀", 2), (1, "u", "é😀", 2), (2, None, "", 0), (None, "v", "", 0)], key=str)
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<head><title>T</title><body><p>One.<p>Two.", "One. Two."),
+        ("<head><title>T</title><p>One.<p>Two.", "One. Two."),
+        ("<head>Loose <p>Two.", "Loose Two."),
+        ("<article><ul><li class=share>Share<li>Real item</ul></article>", "Real item"),
+        ("<article><table><tr><td class=sidebar>side<td>Real cell<tr><td>More</table></article>", "Real cell More"),
+        ("<article><dl><dt class=ad>Ad<dd>Real<dt>Term</dl></article>", "Real Term"),
+        ("<article><p class=notice-board>Board.</p><p id=comment-on-law>Law.</p><p class=menu-of-the-day>Soup.</p></article>", "Board. Law. Soup."),
+        ("<article><h2>A</h2><p>One long text of the first part.</p></article><article><h2>B</h2><p>One long text of the second part.</p></article>", "A One long text of the first part. B One long text of the second part."),
+        ("<article><p>Cell <table><tr><td>x</div></td><td>y</td></tr></table> after</article>", "Cell x y after"),
+    ],
+)
+def test_end_tags_may_be_left_out(html, text):
+    assert html_text.main_text(html) == text
+
+
+LINKS = "".join(f"<div><a href={i}>Go {i}</a></div>" for i in range(6))
+
+
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_ratios_decide(holder, monkeypatch):
+    """A menu without a name, and teasers beside the story, go by their ratios alone."""
+    story = "".join(f"<p>{'A long sentence of the story. ' * 8}{i}</p>" for i in range(5))
+    teasers = "".join(f"<article><b><i><a href=x><b>T{i}</b></a></i></b></article>" for i in range(3)) if holder == "article" else ""
+    page = f"<body><{holder}><h1>Head</h1>{LINKS}{story}<p>End.</p></{holder}>{teasers}</body>"
+    got = html_text.main_text(page)
+    assert got.startswith("Head A long") and got.endswith("4 End.") and "Go" not in got
+    monkeypatch.setattr(html_text, "smoothed", lambda values, sigma: [1.0] * len(values))
+    assert "Go 3" in html_text.main_text(page)
+
+
+@pytest.mark.parametrize("broken", ["<font><b>x<div>y", "<div>x", "<b>x", "<ul><li>x", "<p><i>x", "<table><tr><td>x", "</div></b>x"])
+def test_broken_pages_take_linear_time(broken):
+    began = time.perf_counter()
+    got = html_text.main_text(broken * (50_000 // broken.count("<")))
+    assert time.perf_counter() - began < 4 and "x" in got
+
+
+def _page(rng):
+    """A page built from known parts, and the text of its article."""
+    words = [f"w{i}é" for i in range(40)] + ["a&amp;b", "x&lt;y", "&#233;t"]
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    def plain(x):
+        return unescape(re.sub(r"<[^>]*>", "", x))
+
+    blocks, texts = [], []
+    for i in range(rng.randint(3, 9)):
+        tag = "h1" if i == 0 else rng.choice(["p", "p", "p", "h2", "blockquote", "li"])
+        inner = prose(rng.choice([2, 8, 30, 90]) if i else 5)
+        if rng.random() < 0.4:
+            inner = f"{inner} <b>{prose(2)}</b>\n <i class=x>{prose(1)}</i>"
+        texts.append(" ".join(plain(inner).split()))
+        inner = f"<{tag}>{inner}" + ("" if tag in ("p", "li") and rng.random() < 0.4 else f"</{tag}>")
+        blocks.append(f"<ul>{inner}</ul>" if tag == "li" else inner)
+        if rng.random() < 0.3:
+            blocks.append(rng.choice(["<div class='ad-box'>Buy now</div>", "<aside>Side</aside>", "<script>var a='<p>no</p>'</script>", "<ul class=share-links><li>Tweet<li>Post</ul>", "<!-- no -->", "<form>Mail <input></form>"]))
+    outer = rng.choice(["<article>{}</article>", "<main>{}</main>", "<main><article class='post tag-news'>{}</article></main>", "<div class=content-main><div>{}</div></div>"])
+    parts = [
+        rng.choice(["<header><a href=/>Site</a></header>", ""]),
+        "<nav><ul>" + "".join(f"<li><a href={i}>N{i}</a>" for i in range(5)) + "</ul></nav>",
+        rng.choice(["<div class='cookie-notice'>We use cookies</div>", "<div class=ad>" + prose(9) + "</div>", ""]),
+        outer.format("".join(blocks)),
+        rng.choice(["<section id=comments><article><p>" + prose(60) + "</p></article></section>", "<div id=sidebar>" + prose(5) + "</div>", ""]),
+        "<footer>&copy; " + prose(6) + "</footer>",
+    ]
+    return "<!DOCTYPE html><html><head><title>T</title></head><body>" + "".join(parts), " ".join(t for t in texts if t)
+
+
+def test_pages_of_known_articles():
+    rng = random.Random(5)
+    wrong = []
+    for _ in range(400):
+        html, text = _page(rng)
+        if html_text.main_text(html) != text:
+            wrong.append((html, text))
+    assert not wrong, (len(wrong), wrong[0], html_text.main_text(wrong[0][0]))
