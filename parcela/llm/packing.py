@@ -5,11 +5,12 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_sql
+from .common import text_mark, words_sql
 
 #: Production parameters: permitted lengths in tokens, what a sequence costs besides its tokens, and
 #: the pieces that one packing task gets on average.
@@ -78,27 +79,28 @@ def pack_sizes(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, overhead:
 
 
 def pieces(docs: DataFrame, most: int) -> DataFrame:
-    """(doc_id, piece, start, n_tokens): each document cut where it is longer than ``most`` words.
+    """(doc_id, mark, n, copy, piece, start, n_tokens): each document cut where it is longer than ``most`` words.
 
-    A null or blank text has no pieces. Rows that share doc_id and text are told apart by ``copy``,
-    a count from 0; rows of unlike texts likewise, by length.
+    A null or blank text has no pieces. ``mark`` stands for the text; rows that share doc_id and text
+    are told apart by ``copy``, a count from 0.
     """
-    sized = docs.select("doc_id", F.expr(f"cast(size({words_sql()}) as bigint)").alias("n")).where("n > 0")
-    # One row for each id and length keeps repeated rows whole without a window.
-    counted = sized.groupBy("doc_id", "n").count().select("doc_id", "n", F.explode(F.expr("sequence(0L, count - 1)")).alias("copy"))
-    cut = counted.select("doc_id", "n", "copy", F.explode(F.expr(f"sequence(0L, (n - 1) div {most})")).alias("piece"))
-    return cut.select("doc_id", "n", "copy", "piece", F.expr(f"piece * {most}").alias("start"), F.expr(f"least({most}, n - piece * {most})").alias("n_tokens"))
+    sized = docs.select("doc_id", text_mark().alias("mark"), F.expr(f"cast(size({words_sql()}) as bigint)").alias("n")).where("n > 0")
+    # One row for each id and text keeps repeated rows whole without a window.
+    counted = sized.groupBy("doc_id", "mark", "n").count().select("doc_id", "mark", "n", F.explode(F.expr("sequence(0L, count - 1)")).alias("copy"))
+    cut = counted.select("doc_id", "mark", "n", "copy", F.explode(F.expr(f"sequence(0L, (n - 1) div {most})")).alias("piece"))
+    return cut.select("doc_id", "mark", "n", "copy", "piece", F.expr(f"piece * {most}").alias("start"), F.expr(f"least({most}, n - piece * {most})").alias("n_tokens"))
 
 
 def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
-    """A row per piece: doc_id, copy, piece, start, n_tokens, bin_id, bin_length, bin_tokens, offset.
+    """A row per piece: doc_id, mark, copy, piece, start, n_tokens, bin_id, bin_length, bin_tokens, offset.
 
     Pieces (words ``start`` to ``start + n_tokens`` of a document; only a document over the largest
     length has more than one) are dealt to shards by a hash of their own key, so no source or group
     of copies meets in one; ``shard`` bounds the mean. Each shard is packed by best fit, largest
     first, and at last each bin is cut down to the shortest permitted length that holds its pieces.
     The result depends on the rows alone, not on how they are partitioned. Null and blank texts have
-    no row; null ids are packed like others; an empty table gives none; other columns are unread.
+    no row; ids stay as they are, of whatever type, and null ids are packed like others; an empty table
+    gives none; other columns are unread.
     """
     lengths = sorted(set(lengths))
     if not lengths or lengths[0] < 1:
@@ -106,28 +108,48 @@ def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVER
     cut = pieces(docs, lengths[-1])
     # From row counts only: words per piece are bounded, and a document has one piece at least.
     n = max(1, -(-docs.count() // shard))
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "n", "copy", "piece")
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "mark", "n", "copy", "piece")
     dealt = cut.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
-    names = ["doc_id", "copy", "piece", "start", "n_tokens"]
-
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n_tokens", "doc_id", "n", "copy", "piece"], ascending=[False, True, True, True, True], kind="stable").reset_index(drop=True)
-        placed = pack_sizes(pdf.n_tokens.tolist(), lengths, overhead)
-        out = pdf[names].copy()
-        out["bin"] = [b for b, _ in placed]
-        out["offset"] = [o for _, o in placed]
-        out["bin_tokens"] = out.groupby("bin").n_tokens.transform("sum")
-        out["bin_length"] = [lengths[bisect_left(lengths, t)] for t in out.bin_tokens]
-        out["bin_id"] = [f"{pdf['shard'].iat[0]}-{b}" for b in out.bin]
-        return out[[*names, "bin_id", "bin_length", "bin_tokens", "offset"]]
+    names = ["doc_id", "mark", "copy", "piece", "start", "n_tokens"]
+    order = [("n_tokens", "descending"), *[(c, "ascending") for c in ("doc_id", "mark", "n", "copy", "piece")]]
+
+    def packed(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=order))
+        sizes = rows.column("n_tokens").to_pylist()
+        placed = pack_sizes(sizes, lengths, overhead)
+        held: dict[int, int] = {}
+        for (b, _), size in zip(placed, sizes, strict=True):
+            held[b] = held.get(b, 0) + size
+        home = rows.column("shard")[0].as_py()
+        out = rows.select(names)
+        out = out.append_column("bin_id", pa.array([f"{home}-{b}" for b, _ in placed], pa.string()))
+        out = out.append_column("bin_length", pa.array([lengths[bisect_left(lengths, held[b])] for b, _ in placed], pa.int32()))
+        out = out.append_column("bin_tokens", pa.array([held[b] for b, _ in placed], pa.int64()))
+        return out.append_column("offset", pa.array([o for _, o in placed], pa.int64()))
 
     kind = dict(cut.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, copy bigint, piece bigint, start bigint, n_tokens bigint, bin_id string, bin_length int, bin_tokens bigint, offset bigint"
-    return dealt.groupBy("shard").applyInPandas(packed, schema)
+    schema = f"doc_id {kind}, mark bigint, copy bigint, piece bigint, start bigint, n_tokens bigint, bin_id string, bin_length int, bin_tokens bigint, offset bigint"
+    return dealt.groupBy("shard").applyInArrow(packed, schema)
+
+
+def with_texts(packed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``packed`` with ``text``, each piece's own part of its document: what a sequence is made of.
+
+    The pieces of a document put together give its text, but for white space after its last word.
+    Texts are shuffled once, by id and mark, each once however many rows repeat it.
+    """
+    once = docs.select(F.col("doc_id").alias("__id"), text_mark().alias("__mark"), "text")
+    once = once.groupBy("__id", "__mark").agg(F.first("text").alias("text"))
+    joined = packed.join(once, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")))
+    blank = r"\\x20\\x09-\\x0D"
+    words = f"slice(regexp_extract_all(text, '[{blank}]*[^{blank}]+', 0), cast(start as int) + 1, cast(n_tokens as int))"
+    whole = f"if(size({words_sql()}) = n_tokens, text, array_join({words}, ''))"
+    return joined.select(*packed.columns, F.expr(whole).alias("text"))
 
 
 def bins(packed: DataFrame) -> DataFrame:
-    """A row per bin: bin_id, bin_length, bin_tokens and its pieces in order."""
-    piece = F.struct("offset", "doc_id", "copy", "piece", "start", "n_tokens")
+    """A row per bin: bin_id, bin_length, bin_tokens and its pieces in order, with their texts if ``packed`` has them."""
+    own = [c for c in ("text",) if c in packed.columns]
+    piece = F.struct("offset", "doc_id", "mark", "copy", "piece", "start", "n_tokens", *own)
     return packed.groupBy("bin_id", "bin_length", "bin_tokens").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
 

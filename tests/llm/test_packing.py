@@ -63,3 +63,66 @@ def test_fill_beats_one_length():
         used[b] += s
     cut = sum(min(x for x in packing.LENGTHS if x >= u) for u in used.values())
     assert sum(sizes) / cut > 0.97
+
+
+def plain(sizes, lengths, overhead):
+    """The same rule with lists and loops alone."""
+    bins, out = [], []
+    for i, size in enumerate(sizes):
+        open_bins = [(cap - sum(held), b) for b, (cap, held) in enumerate(bins) if cap - sum(held) >= size]
+        if open_bins:
+            b = min(open_bins)[1]
+        else:
+            def price(c, size=size, rest=tuple(sizes[i + 1 :])):
+                room = c - size
+                for s in rest:  # largest first
+                    if s <= room:
+                        room -= s
+                return (packing.cost(c, overhead) / (c - room), c)
+
+            b = len(bins)
+            bins.append((min((c for c in lengths if c >= size), key=price), []))
+        out.append((b, sum(bins[b][1])))
+        bins[b][1].append(size)
+    return out
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 64), max_size=60), st.sampled_from([(64,), (16, 64), (8, 16, 32, 64)]), st.sampled_from([0, 16]))
+def test_against_brute_force(sizes, lengths, overhead):
+    sizes = sorted(sizes, reverse=True)
+    assert packing.pack_sizes(sizes, lengths, overhead) == plain(sizes, lengths, overhead)
+
+
+def test_whole_result_against_brute_force(odd, odd_rows):
+    """All rows in one shard: the sizes of pieces, bins and offsets are those of the plain rule."""
+    lengths = (64, 256, 1024)
+    sizes = sorted((n for r in odd_rows for k in [words(r[1])] for n in [*[1024] * (k // 1024), k % 1024] if n), reverse=True)
+    placed = plain(sizes, lengths, packing.OVERHEAD)
+    used = defaultdict(int)
+    for (b, _), s in zip(placed, sizes, strict=True):
+        used[b] += s
+    want = sorted((s, f"0-{b}", o, used[b], min(x for x in lengths if x >= used[b])) for (b, o), s in zip(placed, sizes, strict=True))
+    out = packing.pack(odd, lengths).collect()
+    assert sorted((r.n_tokens, r.bin_id, r.offset, r.bin_tokens, r.bin_length) for r in out) == want
+
+
+def test_ids_stay_as_they_are(spark):
+    ids = [2**60 + 1, 2**60 + 3, None, -5]
+    docs = spark.createDataFrame([(i, f"a b {i}") for i in ids], "doc_id bigint, text string")
+    assert sorted((r.doc_id for r in packing.pack(docs).collect()), key=str) == sorted(ids, key=str)
+    named = spark.createDataFrame([("x", "a b"), (None, "c")], "doc_id string, text string")
+    assert {r.doc_id for r in packing.pack(named).collect()} == {"x", None}
+
+
+def test_texts_of_pieces_make_the_documents(odd, odd_rows):
+    docs = odd.select("doc_id", "text")
+    out = packing.with_texts(packing.pack(docs, (64, 256, 1024), shard=10), docs)
+    whole = defaultdict(list)
+    for r in sorted(out.collect(), key=lambda r: r.start):
+        assert words(r.text) == r.n_tokens
+        whole[r.doc_id, r.mark, r.copy].append(r.text)
+    got = sorted((str(k[0]), "".join(v).rstrip("\x20\t\n\x0b\x0c\r")) for k, v in whole.items())
+    assert got == sorted((str(r[0]), r[1].rstrip("\x20\t\n\x0b\x0c\r")) for r in odd_rows if words(r[1]))
+    full = packing.bins(out).first()
+    assert all(p.text for p in full.pieces) and full.bin_tokens == sum(p.n_tokens for p in full.pieces)
