@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: n-grams in a profile and of a document, and documents that profiles are learned from (about so
-#: many; drawn by a hash of doc_id, all of them where there are fewer).
-TOP, LEARN = 300, 20_000
+from .common import shared_dir, stored
+
+#: n-grams in a profile and of a document; documents of each language that its profile is learned from
+#: (about so many; drawn by a hash of id and text, all of them where there are fewer); and languages at most.
+TOP, LEARN, MOST_LANGS = 300, 5_000, 10_000
 
 _GAP = 1  # what stands for a run of characters that are no letters
 
@@ -52,13 +54,19 @@ def ranked(keys: np.ndarray, top: int) -> np.ndarray:
 def learn(docs: DataFrame, top: int = TOP, most: int = LEARN) -> list[tuple[str, int, int]]:
     """(lang, gram, rank) of each language of ``docs`` (doc_id, text, lang); rows without text or lang are unread.
 
-    What comes to the driver is ``top`` rows for each distinct value of lang. Equal counts are ranked
-    by the gram's code, so the result depends on the rows alone.
+    Each language is learned from about ``most`` documents of its own, so that a rare one keeps all of its few.
+    What comes to the driver is ``top`` rows for each distinct value of lang; more than ``MOST_LANGS``
+    values are an error, as their profiles would not fit a task. Equal counts are ranked by the gram's code, so
+    the result depends on the rows alone. Repeated rows are in or out together.
     """
+    shared_dir(docs.sparkSession)
     known = docs.where("lang is not null and text is not null")
-    n = known.select("lang").count()
-    if n > most:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(1_000_000 * most / n)))
+    counts = stored(known.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    if counts.count() > MOST_LANGS:
+        raise ValueError(f"lang has more than {MOST_LANGS} values")
+    part = counts.select("lang", (F.lit(1_000_000.0) * most / F.col("n")).alias("part"))
+    # At most ``MOST_LANGS`` rows.
+    known = known.join(F.broadcast(part), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.col("part"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, held, size = Grams(), {}, 0

@@ -66,5 +66,40 @@ def test_odd_rows(odd, odd_rows, none):
     assert {r.lang_pred for r in langid.identify(odd, []).collect()} == {"und"}
 
 
-def test_bounded_sample(odd):
-    assert {r[0] for r in langid.learn(odd, most=8)} <= {"en", "fr"}
+def test_rare_languages_are_learned(spark, monkeypatch):
+    rows = [(i, f"the common tongue number {i}", "en") for i in range(3000)] + [(None, "ein seltener satz", "de"), (9001, "une phrase rare", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    profiles = langid.learn(docs, most=20)
+    assert {p[0] for p in profiles} == {"en", "de", "fr"}
+    assert {r.doc_id: r.lang_pred for r in langid.identify(docs.where("lang <> 'en'"), profiles).collect()} == {None: "de", 9001: "fr"}
+    monkeypatch.setattr(langid, "MOST_LANGS", 2)
+    with pytest.raises(ValueError):
+        langid.learn(docs)
+
+
+def test_against_brute_force(odd, odd_rows):
+    """Profiles, distances and verdicts by counters and loops; equal counts go by the letters' codes."""
+    top = 40
+
+    def best(counts):
+        def code(gram):
+            return sum((1 if c == "_" else ord(c)) << 21 * k for k, c in enumerate(reversed(gram)))
+
+        return sorted(counts, key=lambda g: (-counts[g], code(g)))[:top]
+
+    sums = {}
+    for _, text, lang, _ in odd_rows:
+        if lang is not None and text is not None:
+            sums.setdefault(lang, Counter()).update(plain_grams(text))
+    known = {lang: {g: i for i, g in enumerate(best(c))} for lang, c in sums.items()}
+    want = []
+    for i, text, _, _ in odd_rows:
+        mine = best(plain_grams(text))
+        if not mine:
+            want.append((i, "und", 0.0))
+            continue
+        apart = {lang: sum(abs(r - ranks[g]) if g in ranks else top for r, g in enumerate(mine)) for lang, ranks in known.items()}
+        lang = min(sorted(apart), key=apart.get)
+        want.append((i, lang, round(1 - apart[lang] / (top * len(mine)), 9)))
+    out = langid.identify(odd, langid.learn(odd, top, most=10**9), top).collect()
+    assert sorted(((r.doc_id, r.lang_pred, round(r.score, 9)) for r in out), key=str) == sorted(want, key=str)
