@@ -53,16 +53,19 @@ def _op8() -> str:
     ]
     names = ("source", "lang", "topic")
     for n in names:
-        out.append(f"o_{n} as (select {n}, pow(sum(tokens)::double, {mixing.TEMPER}) as p from c group by {n})")
-        out.append(f"t_{n} as (select {n}, p / sum(p) over () as t_{n} from o_{n})")
+        order = f"order by cap / s, {n} rows between"
+        out.append(f"o_{n} as (select {n}, sum(tokens)::bigint as cap, pow(sum(tokens)::double, {mixing.TEMPER}) as s from c group by {n})")
+        out.append(f"q_{n} as (select {n}, cap, s / sum(s) over () as s from o_{n})")
+        out.append(f"""l_{n} as (select {n}, cap, s, ((select sum(tokens) * {mixing.KEEP} from c) - coalesce(sum(cap) over ({order} unbounded preceding and 1 preceding), 0))
+            / sum(s) over ({order} current row and unbounded following) as level from q_{n})""")
+        out.append(f"t_{n} as (select {n}, case when cap / s <= level then cap::double else s * max(case when cap / s > level then level end) over () end as t_{n} from l_{n})")
     out.append("f0 as materialized (select c.*, tokens::double as weight, t_source, t_lang, t_topic from c join t_source using (source) join t_lang using (lang) join t_topic using (topic))")
     k = 0
     for _ in range(mixing.SWEEPS):
         for n in names:
-            out.append(f"f{k + 1} as materialized (select * replace (case when sum(weight) over (partition by {n}) > 0 then weight * t_{n} / sum(weight) over (partition by {n}) else 0 end as weight) from f{k})")
+            out.append(f"f{k + 1} as materialized (select * replace (least(tokens::double, case when sum(weight) over (partition by {n}) > 0 then weight * t_{n} / sum(weight) over (partition by {n}) else 0 end) as weight) from f{k})")
             k += 1
-    out.append(f"g as (select source, lang, topic, tokens, weight / sum(weight) over () as weight, sum(tokens) over () * {mixing.KEEP} as budget from f{k})")
-    out.append("h as (select source, lang, topic, round(weight, 9) as weight, least(1.0, round(weight * budget / tokens, 9))::double as p from g)")
+    out.append(f"h as (select source, lang, topic, round(weight / sum(weight) over (), 9) as weight, least(1.0, round(weight / tokens, 9))::double as p from f{k})")
     draw = "('0x' || substr(md5(doc_id || ':0'), 1, 12))::ubigint::double / 281474976710656.0"
     return "with " + ",\n".join(out) + f"\nselect doc_id, source, lang, topic, n_tokens, weight, p, {draw} < p as selected from e join h using (source, lang, topic)"
 

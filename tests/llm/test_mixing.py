@@ -9,16 +9,30 @@ from pyspark.sql import functions as F
 from parcela.llm import mixing
 
 
-def fitted(cells, targets, sweeps):
+def fitted(cells, targets, sweeps, budget):
+    """Scarce categories give all they have, found by dealing what they lack again and again."""
+    tokens = []
+    for axis, share in enumerate(targets):
+        cap = defaultdict(int)
+        for k, v in cells.items():
+            cap[k[axis]] += v
+        full = set()
+        while True:
+            left = budget - sum(cap[k] for k in full)
+            rest = sum(share[k] for k in share if k not in full)
+            more = {k for k in share if k not in full and share[k] / rest * left > cap[k]}
+            if not more:
+                break
+            full |= more
+        tokens.append({k: cap[k] if k in full else share[k] / rest * left for k in share})
     w = {k: float(v) for k, v in cells.items()}
     for _ in range(sweeps):
-        for axis, share in enumerate(targets):
+        for axis, target in enumerate(tokens):
             held = defaultdict(float)
             for k, v in w.items():
                 held[k[axis]] += v
-            w = {k: v * share.get(k[axis], 0.0) / held[k[axis]] if held[k[axis]] > 0 else 0.0 for k, v in w.items()}
-    total = sum(w.values())
-    return {k: v / total if total else 0.0 for k, v in w.items()}
+            w = {k: min(cells[k], v * target.get(k[axis], 0.0) / held[k[axis]]) if held[k[axis]] > 0 else 0.0 for k, v in w.items()}
+    return w
 
 
 def test_against_brute_force(odd, odd_rows):
@@ -34,11 +48,10 @@ def test_against_brute_force(odd, odd_rows):
             mass[k[axis]] += v
         powers = {k: v**mixing.TEMPER for k, v in mass.items()}
         targets.append({k: v / sum(powers.values()) for k, v in powers.items()})
-    w = fitted(cells, targets, mixing.SWEEPS)
-    budget = sum(cells.values()) * mixing.KEEP
+    w = fitted(cells, targets, mixing.SWEEPS, sum(cells.values()) * mixing.KEEP)
     for r in out:
         cell = (r.source, r.lang, r.topic)
-        p = min(1.0, round(w[cell] * budget / cells[cell], 9))
+        p = min(1.0, round(w[cell] / cells[cell], 9))
         assert math.isclose(r.p, p, abs_tol=2e-9)
         name = "(none)" if r.doc_id is None else str(r.doc_id)
         draw = int(hashlib.md5(f"{name}:0".encode()).hexdigest()[:12], 16) / 16**12
@@ -95,3 +108,21 @@ def test_sample_keeps_columns(odd):
 def test_draw_depends_on_seed_alone(odd, seed):
     a = sorted((str(r.doc_id), r.selected) for r in mixing.mix(odd, seed=seed).collect())
     assert a == sorted((str(r.doc_id), r.selected) for r in mixing.mix(odd.repartition(7), seed=seed).collect())
+
+
+def test_scarce_sources_give_all_and_the_others_the_rest(spark):
+    """20 documents against 980, half and half of 600: all 20, and 580."""
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("w").alias("text"), F.expr("if(id < 20, 'a', 'b')").alias("source"), F.lit("en").alias("lang"))
+    share = lambda n, m: spark.createDataFrame(list(m.items()), f"{n} string, share double")
+    targets = {"source": share("source", {"a": 0.5, "b": 0.5}), "lang": share("lang", {"en": 1.0}), "topic": share("topic", {"paragraph": 1.0})}
+    out = mixing.mix(docs, targets, keep=0.6).collect()
+    mass = {s: sum(r.p for r in out if r.source == s) for s in "ab"}
+    assert math.isclose(mass["a"], 20, abs_tol=1e-6) and math.isclose(mass["b"], 580, abs_tol=1e-5)
+    found = {(r.marginal, r.value): (r.target, r.expected) for r in mixing.balance(docs, targets, keep=0.6).collect()}
+    assert all(math.isclose(t, e, rel_tol=1e-6) for t, e in found.values()) and math.isclose(found["source", "b"][0], 580, rel_tol=1e-9)
+
+
+def test_more_cells_than_one_task_fits(odd, monkeypatch):
+    few = sorted(map(str, mixing.mix(odd).collect()))
+    monkeypatch.setattr(mixing, "_CELLS", -1)
+    assert sorted(map(str, mixing.mix(odd).collect())) == few
