@@ -10,7 +10,7 @@ from parcela.llm.common import stored
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality.passing(docs)
+    return quality.keep(docs)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and the bins that they share."""
-    return packing.pack(docs)
+    """The pieces of the documents with their texts, and the bins that they share."""
+    return packing.with_texts(packing.pack(docs), docs)
 
 
 STAGES = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -27,12 +28,15 @@ def words_sql(text: str = "text") -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests on one machine) the context's checkpoint folder is taken, and
-    if there is none a temporary one is made.
+    Where the setting is absent the context's checkpoint folder is taken. If there is none, a
+    temporary one is made, but only where everything runs in one process (``local``, as in tests):
+    elsewhere executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not found and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="parcela-"))
     return found or sc._jsc.sc().getCheckpointDir().get()
 

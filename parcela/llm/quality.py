@@ -122,10 +122,9 @@ def _prefixed(sql: str, names: tuple[str, ...]) -> str:
 
 
 def keep(docs: DataFrame, **options) -> DataFrame:
-    """The documents that pass, with their own columns but one called ``quality``; ``passing`` keeps that too."""
-    return quality(docs, **options).where("quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"])
+    """The documents that pass, with all their own columns, also one that is called ``quality``.
 
-
-def passing(docs: DataFrame, **options) -> DataFrame:
-    """The documents that pass, with all their own columns."""
+    Null and empty texts fail. Rows are judged one by one: repeated ones stay or go together, and an
+    empty table stays empty.
+    """
     return quality(docs, name="__quality", **options).where("__quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
