@@ -15,6 +15,8 @@ and the members of an opened group are compared with the query over whole sets (
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,10 @@ from .shingles import Codes, mixed, set_id, shingle_set
 _POOL = int(0.25 * 2**64)
 #: Tokens in a batch of the first pass, tokens that a counting task gets on average, the classes of
 #: one batch from which on a token counts as very common, and the length of a class's sketch.
-_BATCH, _TASK, _COMMON, _SKETCH, _BANDS = 1_000_000, 700_000, 32, 12, 4
+_BATCH, _TASK, _COMMON, _SKETCH, _BANDS = 800_000, 500_000, 32, 12, 4
+#: Parts that a batch is dealt to at most, and partitions of a shuffle at most. Beyond them parts are
+#: dealt again to finer ones, and a task takes several of those in turn.
+_PARTS, _REDUCERS = 4_096, 20_000
 _SLICE = 512  # rows that a Python worker holds as objects
 _NEED = 2_000_000  # ids that may be broadcast
 
@@ -45,7 +50,7 @@ def _texts(batches: Iterator[pa.RecordBatch], of: str = "text") -> Iterator[tupl
 
 
 def _members(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, cls (null without words) and n of each document."""
+    """doc_id, cls (null without words), other (a second number of the set) and n of each document."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,44 +58,149 @@ def _members(docs: DataFrame, k: int) -> DataFrame:
         for b, texts in _texts(batches):
             sets = [shingle_set(t, k, codes) for t in texts]
             cls = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), cls, pa.array(map(len, sets), pa.int64())], ["doc_id", "cls", "n"])
+            other = pa.array([set_id(s, again=1) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), cls, other, pa.array(map(len, sets), pa.int64())], ["doc_id", "cls", "other", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(each, f"doc_id {kind}, cls bigint, n bigint")
+    return docs.select("doc_id", "text").mapInArrow(each, f"doc_id {kind}, cls bigint, other bigint, n bigint")
 
 
-def _dealt(values: np.ndarray, keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+def _apart(members: DataFrame) -> tuple[DataFrame, frozenset[int]]:
+    """``members`` with unlike sets in unlike classes, and the ids that unlike sets had in common.
+
+    Sets whose first numbers are equal by chance, some hundreds in 10^11, go by their second ones.
+    """
+    pairs = members.where("cls is not null").groupBy("cls").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    met = pairs.where("low <> high").select("cls").limit(_NEED + 1).collect()
+    if len(met) > _NEED:
+        raise RuntimeError("set ids collide more often than chance allows")
+    shared = frozenset(r.cls for r in met)
+    if shared:
+        table = F.broadcast(members.sparkSession.createDataFrame([(c, True) for c in shared], "cls bigint, met boolean"))
+        members = members.join(table, "cls", "left").withColumn("cls", F.when(F.col("met"), F.col("other")).otherwise(F.col("cls")))
+    return members.select("doc_id", "cls", "n"), shared
+
+
+def _dealt(values: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """``values`` in the parts that ``keys`` say, without empty ones."""
     order = np.argsort(keys, kind="stable")
-    ends = np.cumsum(np.bincount(keys, minlength=parts))
-    values = values[order]
-    begin = 0
-    for part, end in enumerate(ends):
-        if end > begin:
-            yield part, values[begin:end]
-        begin = end
+    keys, values = keys[order], values[order]
+    if not len(keys):
+        return
+    begins = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)], strict=True):
+        yield int(keys[begin]), values[begin:end]
 
 
 def _batch(rows: list[tuple[int, str, bytes]]) -> pa.RecordBatch:
     part, kind, blob = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.string()), pa.array(blob, pa.binary())], ["part", "kind", "blob"])
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(kind, pa.string()), pa.array(blob, pa.binary())], ["part", "kind", "blob"])
+
+
+_BLOBS = "part bigint, kind string, blob binary"
+_PAIR = np.dtype([("cls", "<i8"), ("token", "<u8")])
+
+
+def _token_blob(cls: np.ndarray, token: np.ndarray) -> bytes:
+    """Tokens and their classes, each class once."""
+    used, at = np.unique(cls, return_inverse=True)
+    return np.array([len(used), len(token)], "<u4").tobytes() + used.astype("<i8").tobytes() + token.astype("<u8").tobytes() + at.astype("<u4").tobytes()
+
+
+def _of_token_blob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    d, n = (int(x) for x in np.frombuffer(blob, "<u4", 2))
+    ids, token = np.frombuffer(blob, "<i8", d, 8), np.frombuffer(blob, "<u8", n, 8 + 8 * d)
+    return ids[np.frombuffer(blob, "<u4", n, 8 + 8 * d + 8 * n)], token
+
+
+def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, bytes]]:
+    for b in batches:
+        for i in range(0, b.num_rows, 256):
+            piece = b.slice(i, 256)
+            yield from zip(*(piece.column(c).to_pylist() for c in ("part", "kind", "blob")), strict=True)
 
 
-_BLOBS = "part int, kind string, blob binary"
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple[int, str, bytes]]]]:
+    """The blobs of each part in turn; they come sorted by part."""
+    return groupby(_blobs(batches), key=itemgetter(0))
 
 
-def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total: int) -> DataFrame:
+def _common(token: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted tokens, those that occur ``least`` times or more, and where they are."""
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(token)), bool), token[1:] != token[:-1])))
+    count = np.diff(np.append(first, len(token)))
+    return token[first[count >= least]], np.repeat(count >= least, count)
+
+
+def _parted(blobs: DataFrame, parts: int) -> DataFrame:
+    """``blobs`` with each part in one task, part after part. ``parts`` above ``_PARTS`` are reached by dealing twice.
+
+    A blob's first part is its key modulo the first dealing's count; the second dealing reads a first part's blobs by
+    the batch, so that its tokens are dense there: a token that no single batch of the corpus has often enough to be
+    sent as a mark is met here, and its entries leave the way of the counting tasks.
+    """
+    if parts > _PARTS:
+
+        def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[str, list[np.ndarray]] = {}
+            size = 0
+
+            def finer(x: np.ndarray) -> np.ndarray:
+                return (x.astype(np.uint64) % np.uint64(parts)).astype(np.int64)
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                out = []
+                if "token" in held:
+                    pairs = np.concatenate(held["token"])
+                    pairs = pairs[np.argsort(pairs["token"])]
+                    marks, often = _common(pairs["token"], _COMMON)
+                    out += [(p, "mark", x.tobytes()) for p, x in _dealt(marks, finer(marks))]
+                    if often.any():
+                        past = np.zeros(int(often.sum()), _ENTRY)
+                        past["cls"], past["token"], past["level"] = pairs["cls"][often], pairs["token"][often], 255
+                        out.append((int(past["cls"][0]) % parts, "entry", past.tobytes()))
+                    pairs = pairs[~often]
+                    out += [(p, "token", _token_blob(x["cls"], x["token"])) for p, x in _dealt(pairs, finer(pairs["token"]))]
+                for kind, of, field in (("mark", "<u8", None), ("class", _CLASS, "cls"), ("entry", _ENTRY, "cls")):
+                    if kind in held:
+                        x = np.concatenate(held[kind])
+                        out += [(p, kind, y.tobytes()) for p, y in _dealt(x, finer(x if field is None else x[field]))]
+                held.clear()
+                for i in range(0, len(out), 4096):
+                    yield _batch(out[i : i + 4096])
+
+            for _, kind, blob in _blobs(batches):
+                if kind == "token":
+                    cls, token = _of_token_blob(blob)
+                    x = np.zeros(len(cls), _PAIR)
+                    x["cls"], x["token"] = cls, token
+                else:
+                    x = np.frombuffer(blob, {"mark": "<u8", "class": _CLASS, "entry": _ENTRY}[kind])
+                held.setdefault(kind, []).append(x)
+                size += len(x)
+                if size >= 2 * _BATCH:
+                    yield from flush()
+                    size = 0
+            yield from flush()
+
+        blobs = blobs.repartition(_PARTS, "part").mapInArrow(again, _BLOBS)
+    return blobs.repartition(min(parts, _REDUCERS), "part").sortWithinPartitions("part")
+
+
+def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total: int, clash: frozenset[int] = frozenset()) -> DataFrame:
     """(cls, n, alone, tokens) of each class whose prefix has a token that other classes have too.
 
     ``sets_of`` makes sets from batches of ``rows``; about ``total`` tokens are expected. Those
     under ``below`` are counted. The order has first what one class alone has (``alone`` tokens),
     then the rarer, then what is not counted; ``tokens`` are those of the prefix after the first.
 
-    Batches of classes send their tokens to counting tasks by token, packed in blobs. A token that
-    many classes of a batch have is sent as a mark only, its entries passing the counting task by,
-    so that no common token gathers anywhere. What has one class alone ends there; the rest goes on
-    to tasks by class, which cut the prefixes.
+    Batches of classes send their tokens to counting parts by token, packed in blobs. A token that
+    many classes of a batch have is sent as a mark only, its entries passing the counting by, so that
+    no common token gathers anywhere: of any other a batch has fewer than ``_COMMON`` entries, and where
+    batches are very many, so has a batch of the second dealing (``_parted``). What has one class alone ends there; the
+    rest goes on to parts by class, which cut the prefixes. A part is what one task holds at once.
     """
     parts = max(1, total // _TASK + 1)
+    deal = min(parts, _PARTS)
     pool_end = np.uint64(min(below, 2**64 - 1))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,32 +212,26 @@ def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total:
             classes["n"] = [n for n, _, _ in seen.values()]
             classes["pool"] = [c for _, c, _ in seen.values()]
             token = np.concatenate([t for _, _, t in seen.values()])
-            row = np.repeat(np.arange(len(seen), dtype=np.uint32), [len(t) for _, _, t in seen.values()])
+            cls = np.repeat(classes["cls"], [len(t) for _, _, t in seen.values()])
             seen.clear()
             order = np.argsort(token)
-            token, row = token[order], row[order]
-            first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-            count = np.diff(np.append(first, len(token)))
-            common = np.repeat(count >= _COMMON, count)
+            token, cls = token[order], cls[order]
+            marks, often = _common(token, _COMMON)
             turn[0] += 1
-            out = [(turn[0] % parts, "class", classes.tobytes())]
-            marks = token[first[count >= _COMMON]]
-            out += [(p, "mark", x.tobytes()) for p, x in _dealt(marks, (marks % np.uint64(parts)).astype(np.int64), parts)]
-            if common.any():
-                by = np.zeros(int(common.sum()), _ENTRY)
-                by["cls"], by["token"], by["level"] = classes["cls"][row[common]], token[common], 255
-                out.append(((turn[0] * 7919) % parts, "entry", by.tobytes()))
-            token, row = token[~common], row[~common]
-            pairs = np.zeros(len(token), [("token", "<u8"), ("row", "<u4")])
-            pairs["token"], pairs["row"] = token, row
-            for p, x in _dealt(pairs, (token % np.uint64(parts)).astype(np.int64), parts):
-                used, at = np.unique(x["row"], return_inverse=True)
-                out.append((p, "token", np.array([len(used), len(x)], "<u4").tobytes() + classes["cls"][used].tobytes() + x["token"].tobytes() + at.astype("<u4").tobytes()))
+            out = [(turn[0] % deal, "class", classes.tobytes())]
+            out += [(p, "mark", x.tobytes()) for p, x in _dealt(marks, (marks % np.uint64(deal)).astype(np.int64))]
+            if often.any():
+                by = np.zeros(int(often.sum()), _ENTRY)
+                by["cls"], by["token"], by["level"] = cls[often], token[often], 255
+                out.append(((turn[0] * 7919) % deal, "entry", by.tobytes()))
+            pairs = np.zeros(len(token) - int(often.sum()), _PAIR)
+            pairs["cls"], pairs["token"] = cls[~often], token[~often]
+            out += [(p, "token", _token_blob(x["cls"], x["token"])) for p, x in _dealt(pairs, (pairs["token"] % np.uint64(deal)).astype(np.int64))]
             yield _batch(out)
 
         held = 0
         for s in sets_of(batches):
-            if not len(s) or (cls := set_id(s)) in seen:
+            if not len(s) or (cls := set_id(s, clash)) in seen:
                 continue
             pool = int(np.searchsorted(s, pool_end, "right"))
             mine = s[: max(pool, len(s) - -(-percent * len(s) // 100) + 1)]
@@ -140,13 +244,14 @@ def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total:
             yield from flush()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, cls, marks, out = [], [], [], []
+        out: list[tuple[int, str, bytes]] = []
 
         def onward(kind: str, x: np.ndarray) -> None:
-            out.extend((p, kind, y.tobytes()) for p, y in _dealt(x, (x["cls"] % parts).astype(np.int64), parts))
+            out.extend((p, kind, y.tobytes()) for p, y in _dealt(x, (x["cls"].astype(np.uint64) % np.uint64(deal)).astype(np.int64)))
 
-        for b in batches:
-            for kind, blob in zip(b.column("kind").to_pylist(), b.column("blob").to_pylist(), strict=True):
+        for _, blobs in _by_part(batches):
+            token, cls, marks = [], [], []
+            for _, kind, blob in blobs:
                 if kind == "class":
                     onward("class", np.frombuffer(blob, _CLASS))
                 elif kind == "entry":
@@ -154,68 +259,67 @@ def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total:
                 elif kind == "mark":
                     marks.append(np.frombuffer(blob, "<u8"))
                 else:
-                    d, n = np.frombuffer(blob, "<u4", 2)
-                    ids = np.frombuffer(blob, "<i8", d, 8)
-                    token.append(np.frombuffer(blob, "<u8", n, 8 + 8 * d))
-                    cls.append(ids[np.frombuffer(blob, "<u4", n, 8 + 8 * d + 8 * n)])
+                    c, t = _of_token_blob(blob)
+                    token.append(t)
+                    cls.append(c)
                 if len(out) >= 4096:
                     yield _batch(out)
                     out.clear()
-        if token:
-            t, c = np.concatenate(token), np.concatenate(cls)
-            token.clear()
-            cls.clear()
-            order = np.argsort(t)
-            t, c = t[order], c[order]
-            first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
-            count = np.diff(np.append(first, len(t)))
-            marked = np.isin(t[first], np.concatenate(marks)) if marks else np.zeros(len(first), bool)
-            shared = marked | (np.minimum.reduceat(c, first) != np.maximum.reduceat(c, first))
-            level = np.where(marked, 255, np.minimum(count, 254)).astype(np.uint8)
-            some = np.repeat(shared, count)
-            entries = np.zeros(int(some.sum()), _ENTRY)
-            entries["cls"], entries["token"], entries["level"] = c[some], t[some], np.repeat(level, count)[some]
-            onward("entry", entries)
+            if token:
+                t, c = np.concatenate(token), np.concatenate(cls)
+                token.clear()
+                cls.clear()
+                order = np.argsort(t)
+                t, c = t[order], c[order]
+                first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+                count = np.diff(np.append(first, len(t)))
+                marked = np.isin(t[first], np.concatenate(marks)) if marks else np.zeros(len(first), bool)
+                shared = marked | (np.minimum.reduceat(c, first) != np.maximum.reduceat(c, first))
+                level = np.where(marked, 255, np.minimum(count, 254)).astype(np.uint8)
+                some = np.repeat(shared, count)
+                entries = np.zeros(int(some.sum()), _ENTRY)
+                entries["cls"], entries["token"], entries["level"] = c[some], t[some], np.repeat(level, count)[some]
+                onward("entry", entries)
         if out:
             yield _batch(out)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, classes = [], []
-        for b in batches:
-            for kind, blob in zip(b.column("kind").to_pylist(), b.column("blob").to_pylist(), strict=True):
+        for _, blobs in _by_part(batches):
+            entries, classes = [], []
+            for _, kind, blob in blobs:
                 (classes if kind == "class" else entries).append(np.frombuffer(blob, _CLASS if kind == "class" else _ENTRY))
-        if not entries:
-            return
-        c = np.unique(np.concatenate(classes))
-        e = np.concatenate(entries)
-        beyond = e["token"] > pool_end
-        order = np.lexsort((e["token"], np.where(beyond, 0, e["level"]), beyond, e["cls"]))
-        e = e[order]
-        fresh = np.concatenate(([True], (e["cls"][1:] != e["cls"][:-1]) | (e["token"][1:] != e["token"][:-1])))
-        e = e[fresh]
-        first = np.flatnonzero(np.concatenate(([True], e["cls"][1:] != e["cls"][:-1])))
-        count = np.diff(np.append(first, len(e)))
-        own = c[np.searchsorted(c["cls"], e["cls"][first])]
-        beyond = e["token"] > pool_end
-        pooled = np.add.reduceat((~beyond).astype(np.int64), first)
-        n = own["n"].astype(np.int64)
-        prefix = n - -(-percent * n // 100) + 1
-        alone = own["pool"].astype(np.int64) - pooled
-        room = np.maximum(0, prefix - alone)
-        place = np.arange(len(e)) - np.repeat(first, count)
-        kept = beyond | (place < np.repeat(room, count))
-        sizes = np.add.reduceat(kept.astype(np.int64), first)
-        some = sizes > 0
-        tokens = pa.array(e["token"][kept].astype(np.int64))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes[some]))).astype(np.int32)), tokens)
-        yield pa.RecordBatch.from_arrays([pa.array(own["cls"][some]), pa.array(n[some]), pa.array(alone[some]), lists], ["cls", "n", "alone", "tokens"])
-
-    first = rows.mapInArrow(sent, _BLOBS).repartition(parts, "part")
-    second = first.mapInArrow(counted, _BLOBS).repartition(parts, "part")
+            if entries:
+                yield _prefixes(np.unique(np.concatenate(classes)), np.concatenate(entries), percent, pool_end)
+
+    first = _parted(rows.mapInArrow(sent, _BLOBS), parts)
+    second = _parted(first.mapInArrow(counted, _BLOBS), parts)
     return second.mapInArrow(cut, "cls bigint, n bigint, alone bigint, tokens array<bigint>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+def _prefixes(c: np.ndarray, e: np.ndarray, percent: int, pool_end: np.uint64) -> pa.RecordBatch:
+    """The rows of ``_shared`` for classes ``c`` with entries ``e``."""
+    beyond = e["token"] > pool_end
+    e = e[np.lexsort((e["token"], np.where(beyond, 0, e["level"]), beyond, e["cls"]))]
+    e = e[np.concatenate(([True], (e["cls"][1:] != e["cls"][:-1]) | (e["token"][1:] != e["token"][:-1])))]
+    first = np.flatnonzero(np.concatenate(([True], e["cls"][1:] != e["cls"][:-1])))
+    count = np.diff(np.append(first, len(e)))
+    own = c[np.searchsorted(c["cls"], e["cls"][first])]
+    beyond = e["token"] > pool_end
+    pooled = np.add.reduceat((~beyond).astype(np.int64), first)
+    n = own["n"].astype(np.int64)
+    prefix = n - -(-percent * n // 100) + 1
+    alone = own["pool"].astype(np.int64) - pooled
+    room = np.maximum(0, prefix - alone)
+    place = np.arange(len(e)) - np.repeat(first, count)
+    kept = beyond | (place < np.repeat(room, count))
+    sizes = np.add.reduceat(kept.astype(np.int64), first)
+    some = sizes > 0
+    tokens = pa.array(e["token"][kept].astype(np.int64))
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes[some]))).astype(np.int32)), tokens)
+    return pa.RecordBatch.from_arrays([pa.array(own["cls"][some]), pa.array(n[some]), pa.array(alone[some]), lists], ["cls", "n", "alone", "tokens"])
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, k: int, clash: frozenset[int]) -> DataFrame:
     """cls, n, tokens (the set, as bytes) and sketch of each class of ``wanted`` (cls, rep), from the text of ``rep``."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +328,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             rows = []
             for own, t in zip(b.column("cls").to_pylist(), texts, strict=True):
                 s = shingle_set(t, k, codes)
-                if len(s) and set_id(s) == own:
+                if len(s) and set_id(s, clash) == own:
                     rows.append((own, len(s), s.tobytes(), [int(mixed(s, 101 + i).min() & np.uint64(0x7FFFFFFF)) for i in range(_SKETCH)]))
             if rows:
                 cls, n, blob, sketch = zip(*rows, strict=True)
@@ -296,7 +400,8 @@ def near(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     have, or more; component_id is the smallest doc_id that links lead to, the own one included. No
     text, or one without words, has no shingles and links with nothing. Copies are compared once.
     Rows with a null doc_id get no links of their own, those that agree in doc_id and text agree in the
-    result, and an empty table gives none. Sets are compared as 64-bit fingerprints.
+    result, and an empty table gives none; other columns are unread. Shingles are compared as 64-bit
+    fingerprints, sets by two of them.
     """
     with arrow_rows(docs.sparkSession, _SLICE):
         return _near(docs, k, percent)
@@ -306,7 +411,7 @@ def _near(docs: DataFrame, k: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     shared_dir(spark)
     docs = docs.select("doc_id", "text")
-    members = stored(_members(docs, k), "members")
+    members, clash = _apart(stored(_members(docs, k), "members"))
     classes = members.where("cls is not null and doc_id is not null").groupBy("cls")
     classes = stored(classes.agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n")), "classes")
 
@@ -322,11 +427,11 @@ def _near(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 yield np.frombuffer(x, np.uint64)
 
     total = classes.agg(F.sum("n")).first()[0] or 0
-    left = stored(_shared(docs.select("text"), of_text, percent, _POOL, total // 4).select("cls"), "left")
-    sets = stored(_sets(docs, stored(classes.join(left, "cls").select("cls", "rep"), "wanted"), k), "sets")
+    left = stored(_shared(docs.select("text"), of_text, percent, _POOL, total // 4, clash).select("cls"), "left")
+    sets = stored(_sets(docs, stored(classes.join(left, "cls").select("cls", "rep"), "wanted"), k, clash), "sets")
 
     total = sets.agg(F.sum("n")).first()[0] or 0
-    prefixes = stored(_shared(sets.select("tokens"), of_bytes, percent, 2**64, total), "prefixes")
+    prefixes = stored(_shared(sets.select("tokens"), of_bytes, percent, 2**64, total, clash), "prefixes")
     sketched = sets.select("cls", "sketch").join(prefixes.select("cls", "n", "alone"), "cls")
     likely = stored(_verified(_groups(sketched, percent), sets, percent), "likely")
     grouped = stored(components(likely), "groups").select(F.col("node").alias("cls"), F.col("root").alias("grp"))

@@ -54,6 +54,11 @@ def shingle_set(text: bytes | None, k: int, codes: Codes) -> np.ndarray:
     return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
-def set_id(tokens: np.ndarray) -> int:
-    """A signed 64-bit id of a set of shingles; equal sets have equal ids."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).astype(np.int64)))
+def set_id(tokens: np.ndarray, clash: frozenset[int] = frozenset(), again: int = 0) -> int:
+    """A signed 64-bit id of a set of shingles; equal sets have equal ids.
+
+    ``again`` gives a second id that has nothing to do with the first. Sets whose first id is in
+    ``clash``, which other sets have too, get their second one.
+    """
+    found = int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes(), again)).astype(np.int64))
+    return set_id(tokens, again=1) if found in clash else found

@@ -73,6 +73,29 @@ def test_common_tokens_pass_by(spark, monkeypatch):
     assert got == brute(docs, 4, 70)
 
 
+@pytest.mark.parametrize("common", [2, 32])
+def test_parts_dealt_twice(spark, monkeypatch, common):
+    """Many more parts than a batch is dealt to, and several parts a task."""
+    docs = families(6)
+    for name, value in (("_COMMON", common), ("_BATCH", 400), ("_TASK", 100), ("_PARTS", 3), ("_REDUCERS", 4)):
+        monkeypatch.setattr(ngram_join, name, value)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near(df, 4, 70).collect()}
+    assert got == brute(docs, 4, 70)
+
+
+def test_sets_whose_ids_collide(spark):
+    a, b, c = (shingle_set(t, 4, Codes()) for t in (b"a b c d e", b"f g h i j", b"k l m n o"))
+    ids, others = [set_id(x) for x in (a, b, c)], [set_id(x, again=1) for x in (a, b, c)]
+    assert not set(ids) & set(others)
+    # As if the first two had one id.
+    rows = [(1, ids[0], others[0], 2), (2, ids[0], others[1], 2), (3, ids[2], others[2], 2), (4, ids[2], others[2], 2), (5, None, None, 0)]
+    members, clash = ngram_join._apart(spark.createDataFrame(rows, "doc_id bigint, cls bigint, other bigint, n bigint"))
+    assert clash == {ids[0]}
+    assert {r.doc_id: r.cls for r in members.collect()} == {1: others[0], 2: others[1], 3: ids[2], 4: ids[2], 5: None}
+    assert set_id(a, clash) == others[0] and set_id(c, clash) == ids[2]
+
+
 def test_odd_rows(odd, odd_rows, none):
     out = ngram_join.near(odd, 4, 85).collect()
     assert len(out) == len(odd_rows)
