@@ -102,13 +102,21 @@ def _op3() -> str:
     def shrunk(level: str) -> str:
         return f"(select *, bad + (1 - rho) / rho * up as alpha, n - bad + (1 - rho) / rho * (1 - up) as beta from {level}, {rho(level)} r)"
 
+    bare = "regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '')"
+    deep = f"regexp_matches({bare}, '(^|[.])({'|'.join(urls.SECOND.split())})[.]({'|'.join(urls.COUNTRIES.split())})$')"
+    number = f"(regexp_matches({bare}, '^[0-9]+([.][0-9]+)+$') or starts_with({bare}, '['))"
+
+    def labels(n: int) -> str:
+        last = f"array_to_string((string_split({bare}, '.'))[-{{0}}:], '.')"
+        return f"case when {number} then {bare} when {deep} then {last.format(n + 1)} else {last.format(n)} end"
+
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return rf"""with cut as (select page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{upper}', '{upper.lower()}'), '') as host,
         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
     lb as (select doc_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad from labels group by 1),
     oc as (select page_id, max(bad) as bad from (select page_id, try_cast(nullif(regexp_extract(path, '/(\d{{1,18}})(?:\.html|/)?$', 1), '') as bigint) as doc_id from cut) join lb using (doc_id) group by 1),
     ho as (select host, count(bad) as n, coalesce(sum(bad), 0)::bigint as bad from cut left join oc using (page_id) group by 1),
-    nm as (select *, split_part(host, '.', -1) as suffix, array_to_string((string_split(host, '.'))[-2:], '.') as domain from ho),
+    nm as (select *, {labels(1)} as suffix, {labels(2)} as domain from ho),
     su as (select suffix, sum(n)::bigint as n, sum(bad)::bigint as bad from nm group by 1),
     s1 as (select su.*, (sum(bad) over () + 1.0) / (sum(n) over () + 2.0) as up from su),
     s2 as (select suffix, alpha / (alpha + beta) as up from {shrunk("s1")}),

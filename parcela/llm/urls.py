@@ -15,6 +15,11 @@ LIMIT, Z = 0.3, 1.645
 LEAST_RHO, MOST_RHO = 0.001, 0.99
 
 
+#: Second labels under which a country's names are registered, and the countries that do so.
+SECOND = "ac co com edu gob gov gouv ltd me ne net nom or org plc sch"
+COUNTRIES = "ae ar at au bd bo br cl cn co cr do ec eg es gt hk hn hu id il in jp ke kr kw lk mx my na ng ni np nz om pa pe ph pk pl pr py qa sa sg sv th tn tr tw tz ua ug uk uy ve vn za zm zw"
+
+
 @dataclass(frozen=True)
 class Rule:
     verdict: str
@@ -69,16 +74,32 @@ def _shrunk(level: DataFrame) -> DataFrame:
     return level.withColumns({"alpha": F.col("bad") + weight * F.col("up"), "beta": F.col("n") - F.col("bad") + weight * (1 - F.col("up"))})
 
 
+def names_of(host: str = "host") -> tuple[str, str]:
+    """SQL for a host's suffix and registered domain, without user name and port.
+
+    A suffix is the last label, or the last two where they are a country and one of its second
+    labels; the domain has one label more. An address of numbers is its own suffix and domain.
+    """
+    bare = f"regexp_replace(regexp_replace({host}, '^.*@', ''), ':[0-9]*$', '')"
+    second = "|".join(SECOND.split())
+    country = "|".join(COUNTRIES.split())
+    deep = rf"{bare} rlike '(^|[.])({second})[.]({country})$'"
+    number = rf"({bare} rlike '^[0-9]+([.][0-9]+)+$' or {bare} like '[%')"
+    tail = f"substring_index({bare}, '.', {{0}})"
+    return tuple(f"case when {number} then {bare} when {deep} then {tail.format(-a - 1)} else {tail.format(-a)} end" for a in (1, 2))
+
+
 def reputation(hosts: DataFrame) -> DataFrame:
     """Posterior of the bad share of each host, from ``hosts`` (host, n, bad: labelled outcomes).
 
     Adds alpha, beta, mean, low and high. All outcomes give the prior mean of suffixes, a suffix's
     posterior that of its domains, a domain's that of its hosts; each level's prior weight comes
     from how much its groups differ (beta-binomial, by moments; one number a level comes to the
-    driver). Suffix and domain are the last one and two labels of a host, as no list of public
-    suffixes is at hand. A host without outcomes has its domain's mean with the prior's weight.
+    driver). ``names_of`` says what suffix and domain of a host are. A host without outcomes has its
+    domain's mean with the prior's weight.
     """
-    named = stored(hosts.withColumns({"suffix": F.substring_index("host", ".", -1), "domain": F.substring_index("host", ".", -2)}), "hosts")
+    suffix, domain = names_of()
+    named = stored(hosts.withColumns({"suffix": F.expr(suffix), "domain": F.expr(domain)}), "hosts")
     sums = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = named.groupBy("suffix", "domain").agg(*sums)
     suffixes = domains.groupBy("suffix").agg(*sums)

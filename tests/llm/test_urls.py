@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from parcela.llm import urls
 
 
@@ -37,3 +38,13 @@ def test_outcomes_and_odd_rows(spark):
     assert sorted(map(tuple, outcomes.collect())) == [(1, 1), (2, 1), (3, 0)]
     assert urls.judge(pages, outcomes).count() == 6
     assert urls.judge(pages.limit(0), outcomes.limit(0)).count() == 0
+
+
+def test_suffix_and_domain(spark):
+    want = {
+        "a.b.example.com": ("com", "example.com"), "x.y.co.uk": ("co.uk", "y.co.uk"), "co.uk": ("co.uk", "co.uk"), "user:pw@shop.example.com:8080": ("com", "example.com"),
+        "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"), "[::1]:8080": ("[::1]", "[::1]"), "localhost": ("localhost", "localhost"), "": ("", ""), "me.example.de": ("de", "example.de"),
+    }
+    suffix, domain = urls.names_of()
+    out = spark.createDataFrame([(h,) for h in want], "host string").select("host", F.expr(suffix), F.expr(domain)).collect()
+    assert {r[0]: (r[1], r[2]) for r in out} == want
