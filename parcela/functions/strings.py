@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import html
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Fixed value: the name space of DNS names for ids derived from names.
 NAMESPACE_DNS = "6ba7b8109dad11d180b400c04fd430c8"
 
-#: The entities that listings use.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-
 
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
@@ -23,9 +21,23 @@ def one_line(c: Column) -> Column:
     return strip(F.replace(c, F.lit("\n"), F.lit(" ")))
 
 
+@F.pandas_udf("string")
+def _decoded(texts: pd.Series) -> pd.Series:
+    return texts.map(html.unescape, na_action="ignore")
+
+
 def unescape(c: Column) -> Column:
-    """The listed entities decoded; ``&amp;`` last, so that nothing is decoded twice."""
-    return reduce(lambda a, e: F.replace(a, F.lit(e[0]), F.lit(e[1])), ENTITIES, strip(c))
+    """All character references of HTML decoded, by name and by number, the ends trimmed first.
+
+    The table of names is that of the standard library, so this is an Arrow function; texts come to it in
+    batches.
+    """
+    return _decoded(strip(c))
+
+
+def capitalised(c: Column) -> Column:
+    """The first letter upper-case, the others lower-case."""
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 2**31 - 2)))
 
 
 def hidden_field(c: Column, name: str) -> Column:

@@ -13,6 +13,14 @@ def new_rows(found: DataFrame, known: DataFrame, key: Sequence[str]) -> DataFram
     return found.join(known.select(*key), list(key), "left_anti")
 
 
+def placed(reports: DataFrame, communes: DataFrame, regions: DataFrame) -> DataFrame:
+    """Reports with the names of their commune and region; unknown ones are null.
+
+    The optimizer sees the sizes of both lookups and broadcasts them while they are small.
+    """
+    return reports.join(communes, "comuna_id", "left").join(regions, "region_id", "left")
+
+
 def insert_absent(known: DataFrame, seed: DataFrame, key: Sequence[str]) -> DataFrame:
     """``known`` with those rows of ``seed`` that it lacks."""
     return known.unionByName(new_rows(seed, known, key))

@@ -17,26 +17,25 @@ MONTHLY_METRICS = (
 TWO_MONTH_PARAMETERS = ("q_recuperado", "q_puentes_termicos", "q_contra_terreno", "q_piso_ventilado", "q_ventanas", "q_muros", "q_techo", "q_infiltraciones", "q_ventilacion", "q_sol")
 
 
-def monthly_boxes(spark, top: float = 60.0, row_height: float = 20.0) -> DataFrame:
-    """Field boxes of the monthly page, from the rule that spaces them: 13.5 mm a month, 12 mm wide."""
-    metrics = F.posexplode(F.array(*[F.lit(m) for m in MONTHLY_METRICS])).alias("band", "metric")
-    grid = spark.range(12).select(F.col("id").cast("int").alias("i")).select("i", metrics)
-    x1, y1 = 42 + 13.5 * F.col("i"), top + row_height * F.col("band")
-    return grid.select(F.lit(4).alias("page_no"), F.format_string("%s_mes_%d", "metric", F.col("i") + 1).alias("field"), x1.alias("x1"), y1.alias("y1"), (x1 + 12).alias("x2"), (y1 + row_height * 0.8).alias("y2"))
-
-
 def audited(boxes: DataFrame) -> DataFrame:
     """Boxes with ``ok``: they have an extent and lie on the page."""
     on_page = (F.col("x1") >= 0) & (F.col("y1") >= 0) & (F.col("x2") <= PAGE_MM[0]) & (F.col("y2") <= PAGE_MM[1])
     return boxes.withColumn("ok", F.coalesce((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")) & on_page, F.lit(False)))
 
 
-def in_boxes(spans: DataFrame, boxes: DataFrame, doc: str = "doc_id", blank: bool = False, band: float = 10.0) -> DataFrame:
+def _few(rows: DataFrame, most: int = 10_000) -> DataFrame:
+    """``rows`` marked for broadcast if they are at most ``most``."""
+    return F.broadcast(rows) if len(rows.take(most + 1)) <= most else rows
+
+
+def in_boxes(spans: DataFrame, boxes: DataFrame, doc: str = "doc_id", blank: bool = False, band: float = 10.0, line: float | None = None) -> DataFrame:
     """The text of each box of each page: spans whose centre lies inside, by row and then column.
 
-    Boxes are a fixed catalogue of a few hundred rows and go out to all tasks. They meet spans by page
-    and by bands of ``band`` millimetres, so a span is tried against the boxes of its own band only.
-    With ``blank`` the boxes without text are rows too, on pages that have any span.
+    Boxes are a catalogue of a few hundred rows and go out to all tasks; a larger one is joined by a
+    shuffle. They meet spans by page and by bands of ``band`` millimetres, so a span is tried against the boxes
+    of its own band only. Spans that lie ``line`` millimetres or more below the one before begin a new line of
+    the text; without it the text is one line. With ``blank`` the boxes without text are rows too, on pages
+    that have any span.
     """
     cx, cy = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2
     mx, my = (cx / F.col("page_w") * PAGE_MM[0]).alias("mx"), (cy / F.col("page_h") * PAGE_MM[1]).alias("my")
@@ -44,12 +43,17 @@ def in_boxes(spans: DataFrame, boxes: DataFrame, doc: str = "doc_id", blank: boo
     good = audited(boxes).where("ok").select("page_no", "field", *[F.col(c).alias(f"b_{c}") for c in ("x1", "y1", "x2", "y2")])
     banded = good.withColumn("band", F.explode(F.sequence(F.floor(F.col("b_y1") / band), F.floor(F.col("b_y2") / band))))
     hit = F.col("mx").between(F.col("b_x1"), F.col("b_x2")) & F.col("my").between(F.col("b_y1"), F.col("b_y2"))
-    met = placed.join(F.broadcast(banded), ["page_no", "band"]).where(hit)
-    words = F.array_sort(F.collect_list(F.struct("my", "mx", "text")))
-    out = met.groupBy(doc, "page_no", "field").agg(F.trim(F.array_join(F.transform(words, lambda x: x["text"]), " ")).alias("text"))
+    met = placed.join(_few(banded), ["page_no", "band"]).where(hit)
+    words = met.groupBy(doc, "page_no", "field").agg(F.array_sort(F.collect_list(F.struct("my", "mx", "text"))).alias("w"))
+    if line is None:
+        text = F.array_join(F.transform("w", lambda x: x["text"]), " ")
+    else:
+        gap = lambda x, i: F.when(i == 0, "").when(x["my"] - F.get("w", F.greatest(i - 1, F.lit(0)))["my"] >= line, "\n").otherwise(" ")
+        text = F.array_join(F.transform("w", lambda x, i: F.concat(gap(x, i), x["text"])), "")
+    out = words.select(doc, "page_no", "field", F.regexp_replace(text, r"^\s+|\s+$", "").alias("text"))
     if not blank:
         return out
-    every = spans.select(doc, "page_no").distinct().join(F.broadcast(good.select("page_no", "field")), "page_no")
+    every = spans.select(doc, "page_no").distinct().join(_few(good.select("page_no", "field")), "page_no")
     return every.join(out, [doc, "page_no", "field"], "left").withColumn("text", F.coalesce("text", F.lit("")))
 
 

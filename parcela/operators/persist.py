@@ -10,8 +10,11 @@ from pyspark.sql.types import BooleanType, ByteType, DataType, DoubleType, Float
 
 from parcela.functions.strings import composite_key
 
-#: How columns of extracted pages are called in their tables; patterns apply to the rest.
+#: How columns of extracted pages are called in their tables; patterns apply to the rest of the consumption page.
+CODE = {"codigo_evaluacion": "codigo_evaluacion_energetica"}
+PLACES = {"region": "region_nombre", "comuna": "comuna_nombre", "tipo_vivienda": "tipo_vivienda_nombre"}
 RENAMED = {
+    **CODE,
     "calefaccion_kwh_per": "calefaccion_porcentaje",
     "iluminacion_kwh_per": "iluminacion_porcentaje",
     "agua_caliente_sanitaria_kwh_per": "agua_caliente_sanitaria_porcentaje",
@@ -20,6 +23,26 @@ RENAMED = {
     "consumo_ep_agua_caliente_sanitaria_kwh": "consumo_energia_primaria_agua_caliente_sanitaria_kwh",
     "consumo_ep_iluminacion_kwh": "consumo_energia_primaria_iluminacion_kwh",
     "consumo_ep_ventiladores_kwh": "consumo_energia_primaria_ventiladores_kwh",
+    "generacion_ep_fotovoltaicos_kwh": "generacion_energia_primaria_fotovoltaicos_kwh",
+    "total_consumo_ep_antes_fotovoltaica_kwh": "total_consumo_energia_primaria_antes_fotovoltaica_kwh",
+    "consumo_total_ep_obj_kwh": "consumo_total_energia_primaria_objeto_kwh",
+    "consumo_total_ep_ref_kwh": "consumo_total_energia_primaria_referencia_kwh",
+}
+#: The maps of the other tables.
+TABLE_NAMES = {
+    "pagina1": {**CODE, "tipo_evaluacion": "tipo_evaluacion_nombre", **PLACES},
+    "pagina2": {**CODE, **PLACES, "zona_termica": "zona_termica_nombre"},
+    "pagina3_envolvente": {**CODE, "ua_phil": "ua_mas_phi_l", "orientacion": "orientacion_nombre"},
+    "pagina4": {
+        **CODE,
+        "demanda_calef_viv_eval_kwh": "demanda_calefaccion_viv_eval_kwh",
+        "demanda_calef_viv_ref_kwh": "demanda_calefaccion_viv_ref_kwh",
+        "demanda_enfri_viv_eval_kwh": "demanda_enfriamiento_viv_eval_kwh",
+        "demanda_enfri_viv_ref_kwh": "demanda_enfriamiento_viv_ref_kwh",
+    },
+    "pagina5": CODE,
+    "pagina6": {**CODE, "temp_exterior": "temperatura_exterior", "temp_interior": "temperatura_interior"},
+    "pagina7": CODE,
 }
 RENAMED_PARTS = (("_proy_", "_proyectado_"), ("_ref_", "_referencia_"))
 
@@ -38,6 +61,11 @@ def renamed(name: str, exact: Mapping[str, str] = RENAMED, parts: Sequence[tuple
     return out[: -len("_per")] + "_porcentaje" if out.endswith("_per") else out
 
 
+def table_column(table: str, name: str) -> str:
+    """What a column of an extracted page is called in its table."""
+    return renamed(name) if table == "pagina3_consumos" else TABLE_NAMES[table].get(name, name)
+
+
 def to_schema(rows: DataFrame, columns: Sequence[str], names: Mapping[str, str] | None = None) -> DataFrame:
     """``rows`` renamed and cut down to the columns that the table has."""
     out = rows.withColumnsRenamed(names or {c: renamed(c) for c in rows.columns})

@@ -3,57 +3,65 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcela.functions import dates, numbers, strings
-from parcela.operators import layout, nested
-
-#: The orientations of the envelope page, in its order, and the parts of its table.
-ORIENTATIONS = ("Horiz", "N", "NE", "E", "SE", "S", "SO", "O", "NO", "Pisos")
-TEXT_EXIGENCIAS = ("puerta_principal_exigencia_w_m2_k",)
+from parcela.operators import layout, nested, persist, work
 
+from . import catalogue
 
-def kind_of(column: str) -> str:
-    """How a column's text is read: date, percent, unit, number or text, by its name."""
-    if column == "emitida_el":
-        return "date"
-    if column == "porcentaje_ahorro":
-        return "percent"
-    if column.endswith("_exigencia_w_m2_k") and column not in TEXT_EXIGENCIAS:
-        return "unit"
-    measure = any(part in column for part in ("kwh", "_m2", "porcentaje", "kgco2", "demanda_", "_hr"))
-    return "number" if measure and column not in TEXT_EXIGENCIAS else "text"
+#: The orientations of the envelope page, in its order, and the letter's column of the first page.
+ORIENTATIONS = ("Horiz", "N", "NE", "E", "SE", "S", "SO", "O", "NO", "Pisos")
+LETTER = "letra_eficiencia_energetica_dem"
+#: Spans so many millimetres apart are lines of their own.
+LINE = 1.5
 
 
 def typed(text: Column, kind: str) -> Column:
-    if kind == "date":
-        return dates.report_date(text)
-    if kind == "percent":
-        return numbers.percent(numbers.first_int_line(F.regexp_replace(text, r"(?m)\s*%\s*$", "")))
-    if kind == "unit":
-        return numbers.unit_number(text)
-    return numbers.locale_number(text) if kind == "number" else F.nullif(strings.one_line(text), F.lit(""))
+    """A field's value by its kind; null where it can't be read. Texts that are missing are null, blank ones empty."""
+    last = F.get(F.reverse(F.split(strings.strip(text), r"\R")), F.lit(0))
+    readers = {
+        "text": lambda: strings.strip(text),
+        "line": lambda: strings.one_line(text),
+        "number": lambda: numbers.locale_number(text),
+        "last": lambda: numbers.locale_number(last),
+        "unit": lambda: numbers.unit_number(text),
+        "integer": lambda: numbers.first_int_line(text),
+        "date": lambda: dates.report_date(last),
+    }
+    return readers[kind]()
 
 
-def single_page(texts: DataFrame, doc: str, columns: Sequence[str]) -> DataFrame:
-    """One row a document from (doc, field, text); a text that can't be read leaves null in its column alone.
+def single_page(texts: DataFrame, doc: str, page: int) -> DataFrame:
+    """One row a document from (doc, field, text), with all fields of page 1, 2, 3 or 7; a text that can't be read is null in its column alone.
 
-    A page with ``porcentaje_ahorro`` gets the letter that it stands for.
+    Page 1 gets the letter that its saved share stands for.
     """
-    wide = layout.fields(texts, doc, columns)
-    out = [typed(F.col(c), kind_of(c)).alias(c) for c in columns]
-    page = wide.select(doc, *out)
-    return page.withColumn("letra_eficiencia_energetica_dem", numbers.grade(F.col("porcentaje_ahorro"))) if "porcentaje_ahorro" in columns else page
+    kinds = catalogue.single(page)
+    wide = layout.fields(texts, doc, list(kinds))
+    out = wide.select(doc, *[typed(F.col(c), kind).alias(c) for c, kind in kinds.items()])
+    return out.withColumn(LETTER, numbers.grade(numbers.percent(F.col("porcentaje_ahorro")))) if page == 1 else out
+
+
+def _code() -> Column:
+    return F.first(F.when(F.col("field") == "codigo_evaluacion", strings.strip(F.col("text"))), ignorenulls=True).alias("codigo_evaluacion")
 
 
 def monthly_page(texts: DataFrame, doc: str, metrics: Sequence[str] = layout.MONTHLY_METRICS) -> DataFrame:
-    """Twelve rows a document, a column a metric, from fields ``<metric>_mes_<month>``."""
-    names = [f"{m}_mes_{k}" for m in metrics for k in range(1, 13)]
-    wide = layout.fields(texts, doc, names)
-    read = wide.select(doc, *[numbers.locale_number(F.col(n)).alias(n) for n in names])
-    return nested.wide_to_long(read, [doc], metrics, 12)
+    """Twelve rows a document, a column a metric, from fields ``<metric>_mes_<month>``; the report's code on each.
+
+    Names are cut into metric and month where the texts are, so one shuffle by document is all.
+    """
+    cut = lambda k: F.regexp_extract("field", r"^(.*)_mes_(\d+)$", k)
+    value = F.struct(cut(1).alias("metric"), cut(2).try_cast("int").alias("mes_id"), numbers.locale_number(F.col("text")).alias("value"))
+    cells = F.collect_list(F.when(F.col("field").rlike(r"_mes_\d+$"), value)).alias("cells")
+    each = texts.groupBy(doc).agg(_code(), cells).select(doc, "codigo_evaluacion", "cells", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("mes_id"))
+    mine = each.withColumn("cells", F.expr("filter(cells, c -> c.mes_id = mes_id)"))
+    found = [F.expr(f"get(filter(cells, c -> c.metric = '{m}'), 0).value").alias(m) for m in metrics]
+    return mine.select(doc, "codigo_evaluacion", "mes_id", *found)
 
 
 def two_month_page(spans: DataFrame, doc: str) -> DataFrame:
@@ -63,22 +71,42 @@ def two_month_page(spans: DataFrame, doc: str) -> DataFrame:
     return values.select(doc, dates.month_of_name(F.col("month")).alias("mes_id"), vals.alias("v")).select(doc, "mes_id", *[F.get("v", F.lit(i)).alias(f"{p}_kwh") for i, p in enumerate(layout.TWO_MONTH_PARAMETERS)])
 
 
+def envelope_lists(texts: DataFrame, doc: str) -> DataFrame:
+    """The lists that ``envelope_page`` takes, and the code, from the texts of the envelope's blocks and cells."""
+    blocks = {"opaque": ("opacos_area", 10), "opaque_u": ("opacos_u", 10), "translucent": ("traslucidos_area", 9), "translucent_u": ("traslucidos_u", 9)}
+    cells = [*catalogue.BRIDGES, "ua_mas_phi_l"]
+    names = [name for name, _ in blocks.values()] + [f.name for f in catalogue.fields(3) if f.kind == "cell"]
+    wide = layout.fields(texts, doc, ["codigo_evaluacion", *names])
+    number = lambda c: numbers.locale_number(c)
+    read = {k: F.transform(nested.last_n(F.filter(F.split(strings.strip(F.col(name)), r"\R"), lambda x: x != ""), n), number) for k, (name, n) in blocks.items()}
+    last = lambda c: F.get(F.reverse(F.split(strings.strip(F.col(c)), r"\R")), F.lit(0))
+    rows = {c: [n for n in names if n.rsplit("_", 1)[0] == c] for c in cells}
+    read |= {c: F.array(*[numbers.last_line_number(F.col(n)) if c == "ua_mas_phi_l" else number(last(n)) for n in found]) for c, found in rows.items()}
+    code = strings.strip(F.col("codigo_evaluacion")).alias("codigo_evaluacion")
+    return wide.select(doc, code, *[c.alias(k) for k, c in read.items()]).withColumnRenamed("ua_mas_phi_l", "totals")
+
+
 def envelope_page(lists: DataFrame, doc: str) -> DataFrame:
-    """Ten rows a document, one an orientation, from its lists of lines.
+    """Ten rows a document, one an orientation, from its lists of numbers.
 
-    ``opaque`` and ``translucent`` (arrays of numbers), ``bridges`` (eight numbers) and ``totals`` (twelve, of
-    which the fifth and the eleventh are subtotals). Bridges have neither a first nor a last
-    orientation, translucent parts no last one.
+    ``opaque`` and ``translucent`` areas, their ``_u`` values, eight numbers of each bridge ``p01_w_k`` to ``p05_w_k``, and twelve
+    ``totals``, of which the fifth and the eleventh are subtotals; those that ``lists`` lacks are left out, and the
+    code, if there is one, is on each row. Bridges have neither a first nor a last orientation, translucent parts no last one.
     """
     ten = len(ORIENTATIONS)
+    framed = lambda c, before: nested.pad(nested.framed(F.col(c), before, 1, "double"), ten, "double")
     parts = {
-        "elementos_opacos_area_m2": nested.pad(F.col("opaque"), ten, "double"),
-        "elementos_traslucidos_area_m2": nested.pad(nested.framed(F.col("translucent"), 0, 1, "double"), ten, "double"),
-        "p01_w_k": nested.pad(nested.framed(F.col("bridges"), 1, 1, "double"), ten, "double"),
-        "ua_mas_phi_l": nested.pad(nested.drop_places(F.col("totals"), (4, 10)), ten, "double"),
+        "elementos_opacos_area_m2": ("opaque", lambda c: nested.pad(F.col(c), ten, "double")),
+        "elementos_opacos_u_w_m2_k": ("opaque_u", lambda c: nested.pad(F.col(c), ten, "double")),
+        "elementos_traslucidos_area_m2": ("translucent", lambda c: framed(c, 0)),
+        "elementos_traslucidos_u_w_m2_k": ("translucent_u", lambda c: framed(c, 0)),
+        **{b: (b, lambda c: framed(c, 1)) for b in catalogue.BRIDGES},
+        "ua_mas_phi_l": ("totals", lambda c: nested.pad(nested.drop_places(F.col(c), (4, 10)), ten, "double")),
     }
-    named = lists.select(doc, F.array(*[F.lit(o) for o in ORIENTATIONS]).alias("orientacion_nombre"), *[c.alias(n) for n, c in parts.items()])
-    return nested.zip_rows(named, [doc], ["orientacion_nombre", *parts])
+    given = {n: make(c).alias(n) for n, (c, make) in parts.items() if c in lists.columns}
+    code = [c for c in ("codigo_evaluacion",) if c in lists.columns]
+    named = lists.select(doc, *code, F.array(*[F.lit(o) for o in ORIENTATIONS]).alias("orientacion_nombre"), *given.values())
+    return nested.zip_rows(named, [doc, *code], ["orientacion_nombre", *given])
 
 
 def hourly_page(cells: DataFrame, doc: str) -> DataFrame:
@@ -91,3 +119,55 @@ def hourly_page(cells: DataFrame, doc: str) -> DataFrame:
     rows = cells.select(doc, dates.month_of_name(F.col("month")).alias("mes_id"), F.posexplode(zipped).alias("hora", "v"))
     low = numbers.low_confidence(F.col("v.o"), F.col("v.i"), F.col("v.so"), F.col("v.si"))
     return rows.select(doc, "mes_id", "hora", F.col("v.o").alias("temperatura_exterior"), F.col("v.i").alias("temperatura_interior"), low.alias("ocr_low_confidence"))
+
+
+#: The tables of a report, and the rows that each has.
+TABLES = {"pagina1": 1, "pagina2": 1, "pagina3_consumos": 1, "pagina3_envolvente": 10, "pagina4": 12, "pagina5": 2, "pagina6": 96, "pagina7": 1}
+
+
+def extract(spans: DataFrame, doc: str, cells: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The eight tables of reports from the spans of their pages, with the tables' own column names.
+
+    ``cells`` are the hourly lists that ``hourly_page`` takes, read from the picture of page 6; without them its rows
+    have no values. A page that a report lacks, or that can't be read, leaves its own table without rows or values. Each
+    page's spans are filtered where they are scanned.
+    """
+    spark = spans.sparkSession
+
+    def texts(page: int) -> DataFrame:
+        return layout.in_boxes(spans.where(F.col("page_no") == page), catalogue.boxes(spark, page), doc, blank=True, line=LINE)
+
+    third = texts(3)
+    codes = texts(6).groupBy(doc).agg(_code())
+    if cells is None:
+        months = F.explode(F.array(*[F.lit(m) for m in nested.HOURLY_MONTHS])).alias("month")
+        empty = [F.lit(None).cast("array<double>").alias(c) for c in ("outer", "inner", "outer_scores", "inner_scores")]
+        cells = codes.select(doc, months, *empty)
+    fifth = two_month_page(spans.where("page_no = 5"), doc)
+    code5 = texts(5).groupBy(doc).agg(_code())
+    pages = {
+        "pagina1": single_page(texts(1), doc, 1),
+        "pagina2": single_page(texts(2), doc, 2),
+        "pagina3_consumos": single_page(third, doc, 3),
+        "pagina3_envolvente": envelope_page(envelope_lists(third, doc), doc).drop("pos"),
+        "pagina4": monthly_page(texts(4), doc),
+        "pagina5": code5.withColumn("mes_id", F.explode(F.array(F.lit(1), F.lit(7)))).join(fifth, [doc, "mes_id"], "left"),
+        "pagina6": hourly_page(cells, doc).join(codes, doc, "left"),
+        "pagina7": single_page(texts(7), doc, 7),
+    }
+    return {name: df.withColumnsRenamed({c: persist.table_column(name, c) for c in df.columns if c != doc}) for name, df in pages.items()}
+
+
+def page_rows(tables: dict[str, DataFrame], doc: str, ident: object = None) -> DataFrame:
+    """How many rows each table has of each report, or of the report ``ident``; 0 where it has none."""
+    one = [(df if ident is None else df.where(F.col(doc) == F.lit(ident))).select(doc, F.lit(name).alias("table_name")) for name, df in tables.items()]
+    pairs = reduce(DataFrame.unionByName, one)
+    counts = pairs.groupBy(doc).agg(*[F.count_if(F.col("table_name") == n).alias(n) for n in tables])
+    return counts.select(doc, F.explode(F.array(*[F.struct(F.lit(n).alias("table_name"), F.col(n).alias("n_rows")) for n in tables])).alias("p")).select(doc, "p.*")
+
+
+def validated(tables: dict[str, DataFrame], doc: str) -> DataFrame:
+    """Per report: whether its first page has a code, its hourly rows and those that are filled or of low confidence, and ``ok``."""
+    hours = tables["pagina6"].select(F.col(doc).alias("eval_id"), F.col("temperatura_exterior").alias("outer"), F.col("temperatura_interior").alias("inner"), F.col("ocr_low_confidence").alias("low_confidence"))
+    codes = tables["pagina1"].select(F.col(doc).alias("eval_id"), F.col("codigo_evaluacion_energetica").alias("codigo"))
+    return work.validation(hours.join(codes, "eval_id", "full_outer"))

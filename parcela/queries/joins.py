@@ -12,11 +12,9 @@ from .registry import EV, query, reports, table
 @query(f"""with {EV} select eval_id, n_name as comuna, r_name as region from ev
 left join nation on n_nationkey = comuna_id left join region on r_regionkey = n_regionkey and r_regionkey <> 2""")
 def eval_region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Communes and regions of a country are a fixed few hundred rows.
-    communes = F.broadcast(table(spark, sf_dir, "nation"))
-    regions = F.broadcast(table(spark, sf_dir, "region").where("r_regionkey <> 2"))
-    joined = reports(spark, sf_dir).join(communes, F.col("comuna_id") == F.col("n_nationkey"), "left").join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return joined.select("eval_id", F.col("n_name").alias("comuna"), F.col("r_name").alias("region"))
+    communes = table(spark, sf_dir, "nation").selectExpr("n_nationkey as comuna_id", "n_name as comuna", "n_regionkey as region_id")
+    regions = table(spark, sf_dir, "region").where("r_regionkey <> 2").selectExpr("r_regionkey as region_id", "r_name as region")
+    return directory.placed(reports(spark, sf_dir), communes, regions).select("eval_id", "comuna", "region")
 
 
 @query(f"with {EV} select eval_id from ev where pdf_status = 'pending' and comuna_id in (select n_nationkey from nation where n_regionkey = 1)")
@@ -30,10 +28,10 @@ def pending_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.pending(reports(spark, sf_dir), limit=25).select("eval_id")
 
 
-@query(f"with {EV} select eval_id from ev where eval_id % 3 = 0 and eval_id not in (select eval_id from ev where eval_id % 2 = 0)")
+@query(f"with {EV} select eval_id from ev where eval_id not in (select eval_id from ev where pdf_status = 'failed')")
 def new_rows_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = reports(spark, sf_dir)
-    return directory.new_rows(ev.where("eval_id % 3 = 0"), ev.where("eval_id % 2 = 0"), ["eval_id"]).select("eval_id")
+    return directory.new_rows(ev, ev.where("pdf_status = 'failed'"), ["eval_id"]).select("eval_id")
 
 
 @query("select count(*) as n, sum(l_quantity)::bigint as quantity from lineitem where l_linenumber = 1")

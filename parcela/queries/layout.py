@@ -5,11 +5,15 @@ from pyspark.sql import functions as F
 
 from parcela.functions.strings import unescape
 from parcela.operators import layout as op
+from parcela.plans import catalogue
 from parcela.sources.listing import page_fields
 
 from .registry import query, table
 
-_BOXES = """bx as (select 4 as page_no, 'm' || b || '_mes_' || (i + 1) as field, 42 + 13.5 * i as x1, 60.0 + 20 * b as y1, 54 + 13.5 * i as x2, 76.0 + 20 * b as y2 from range(0, 12) t(i), range(0, 8) u(b))"""
+_BOXES = """bx as (select m || '_mes_' || (i + 1) as field, 42 + 13.5 * i as x1, y1, 54 + 13.5 * i as x2, y2 from range(0, 12) t(i), (values
+('demanda_calefaccion_viv_eval_kwh', 139.5, 143.5), ('demanda_calefaccion_viv_ref_kwh', 144.0, 148.0), ('demanda_enfriamiento_viv_eval_kwh', 161.4, 165.5),
+('demanda_enfriamiento_viv_ref_kwh', 166.0, 170.2), ('sobrecalentamiento_viv_eval_hr', 254.8, 258.8), ('sobrecalentamiento_viv_ref_hr', 259.5, 263.4),
+('sobreenfriamiento_viv_eval_hr', 274.8, 278.8), ('sobreenfriamiento_viv_ref_hr', 279.2, 283.3)) u(m, y1, y2) union all select 'codigo_evaluacion', 62.3, 30.7, 88.1, 36.0)"""
 _SPANS = """sp as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::int::varchar as text,
 (l_partkey % 200) + 0.25 as mx, (l_suppkey * 7 % 330) + 0.25 as my from lineitem)"""
 
@@ -23,16 +27,10 @@ def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _monthly(spark: SparkSession) -> DataFrame:
-    band = F.array(*[F.lit(m) for m in op.MONTHLY_METRICS])
-    named = F.concat(F.lit("m"), F.array_position(band, F.regexp_replace("field", r"_mes_\d+$", "")) - 1, F.regexp_extract("field", r"_mes_\d+$", 0))
-    return op.monthly_boxes(spark).withColumn("field", named)
-
-
 @query(f"""with {_BOXES}, {_SPANS} select l_orderkey as doc_id, field, string_agg(text, ' ' order by my, mx, text) as text
 from sp, bx where mx between x1 and x2 and my between y1 and y2 group by all""")
 def box_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.in_boxes(_spans(spark, sf_dir), _monthly(spark)).select("doc_id", "field", "text")
+    return op.in_boxes(_spans(spark, sf_dir), catalogue.boxes(spark, 4)).select("doc_id", "field", "text")
 
 
 @query("""select p_partkey, p_size % 4 > 0 and p_size % 5 > 0 and p_size * 4.0 + p_size % 4 * 20.0 <= 215.9 and p_size * 6.0 + p_size % 5 * 10.0 <= 330 as ok from part""")
@@ -67,10 +65,15 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.posexplode(links).alias("pos", "link"))
 
 
-@query(r"""select page_id, regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1),
-'^\s+|\s+$', '', 'g'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), 'x^', '') as title from pages""")
+_NAMED = {"&ntilde;": "ñ", "&aacute;": "á", "&Eacute;": "É", "&uuml;": "ü", "&euro;": "€", "&hellip;": "…", "&#241;": "ñ", "&#xE9;": "é", "&#128512;": "😀", "&nbsp;": "\u00a0", "&iquest;": "¿"}
+
+
+@query(r"""select page_id, replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1),
+'^\s+|\s+$', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&amp;', '&') || ' """ + "".join(_NAMED.values()) + """&lt;' as title from pages""")
 def html_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", unescape(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)).alias("title"))
+    more = " " + "".join(_NAMED) + "&amp;lt;"
+    title = F.concat(F.regexp_replace(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1), r"^\s+|\s+$", ""), F.lit(more))
+    return table(spark, sf_dir, "pages").select("page_id", unescape(title).alias("title"))
 
 
 @query(r"""select page_id, len(regexp_extract_all(html, '<a '))::bigint as n_links, len(regexp_extract_all(html, '<li>'))::bigint as n_items,

@@ -55,13 +55,13 @@ def mirror_detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return persist.with_mirror_key(rows, ["l_orderkey", "l_linenumber"]).groupBy("mirror_key").agg(F.count("*").alias("n"))
 
 
-@query("""with r as (select l_orderkey || ':' || l_linenumber as k from lineitem where l_orderkey % 4 = 0),
-m as (select distinct l_orderkey || ':' || l_linenumber as k from lineitem where l_orderkey % 8 = 0)
+@query("""with r as (select l_orderkey || ':' || l_linenumber as k from lineitem),
+m as (select distinct l_orderkey || ':' || l_linenumber as k from lineitem where l_returnflag = 'N')
 select count(distinct k) filter (k not in (select k from m)) as created,
 count(*) - count(distinct k) filter (k not in (select k from m)) as updated from r""")
 def mirror_upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = persist.with_mirror_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
-    return persist.upsert_counts(keyed.where("l_orderkey % 4 = 0"), keyed.where("l_orderkey % 8 = 0"))
+    return persist.upsert_counts(keyed, keyed.where("l_returnflag = 'N'"))
 
 
 @query("""select distinct l_orderkey || ':' || coalesce(nullif(l_linenumber, 3)::varchar, 'None') || ':' || coalesce(nullif(l_returnflag, 'N'), 'None') as mirror_key from lineitem""")

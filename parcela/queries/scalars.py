@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcela.functions import dates, numbers, strings
+from parcela.sources import files
 
 from .registry import query, table
 
@@ -52,7 +53,7 @@ def coord_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
 
-@query("""select o_orderkey, case when o_orderkey % 10 = 7 then null else o_orderdate::date::varchar end as parsed from orders""")
+@query("""select o_orderkey, case when o_orderkey % 10 = 7 or o_orderkey % 12 = 2 then null else o_orderdate::date::varchar end as parsed from orders""")
 def locale_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, k = F.col("o_orderdate"), F.col("o_orderkey")
     names = F.array(*[F.lit(n) for n, _ in sorted(((n, m) for n, m in dates.MONTHS.items() if n != "setiembre"), key=lambda x: x[1])])
@@ -61,7 +62,8 @@ def locale_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 == 7, F.concat(F.lit("32-13-2020 o "), long))
         .when(k % 3 == 0, F.date_format(d, "dd-MM-yyyy"))
         .when(k % 3 == 1, F.concat(F.lit("  "), F.date_format(d, "d / M / yyyy"), F.lit(" 10:30")))
-        .otherwise(F.concat(F.lit("Santiago, "), long))
+        .when(k % 12 == 2, F.concat(F.lit("Santiago, "), long))
+        .otherwise(F.concat(long, F.lit(".")))
     )
     return table(spark, sf_dir, "orders").select("o_orderkey", dates.report_date(text).cast("string").alias("parsed"))
 
@@ -94,14 +96,24 @@ def first_int_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", numbers.first_int_line(text).alias("value"))
 
 
-@query("""select doc_id, case doc_id % 3 when 0 then '%PDF-1.4 ' || substr(text, 1, 60) || '%%EOF x %%EOF' when 1 then '%PDF' || substr(text, 1, 60) end as carved,
-doc_id % 3 = 0 as accepted from documents""")
+@query("""select doc_id, case doc_id % 3 when 0 then '%PDF-1.4 ' || coalesce(text, '') || '%%EOF x %%EOF' when 1 then '%PDF' || coalesce(text, '') end as carved,
+doc_id % 3 = 0 and octet_length(encode('%PDF-1.4 ' || coalesce(text, '') || '%%EOF x %%EOF')) > 1000 as accepted from documents""")
 def carve_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, body = F.col("doc_id"), F.substring("text", 1, 60)
+    """Whole texts as payloads, carved as bytes."""
+    k, body = F.col("doc_id"), F.coalesce("text", F.lit(""))
     text = F.when(k % 3 == 0, F.concat(F.lit("junk%PDF-1.4 "), body, F.lit("%%EOF x %%EOF\r\n<html>"))).when(k % 3 == 1, F.concat(F.lit("%PDF"), body)).otherwise("<html>%%EOF")
-    carved = strings.carve(text)
+    carved = files.carved(F.encode(text, "UTF-8"))
     status = F.when(k % 3 == 1, 500).otherwise(200)
-    return table(spark, sf_dir, "documents").select("doc_id", carved.alias("carved"), strings.acceptable(status, carved, 20).alias("accepted"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.decode(carved, "UTF-8").alias("carved"), strings.acceptable(status, carved).alias("accepted"))
+
+
+@query("""select o_orderkey, o_orderdate::date::varchar as day, strftime(o_orderdate::timestamp, '%Y-%m-%dT%H:%M:%S')
+|| case when o_orderkey % 2 = 0 then '' else '.250000' end || '+00:00' as moment, o_orderpriority[1] || lower(o_orderpriority[2:]) as name from orders""")
+def iso_serialise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moment = F.col("o_orderdate").cast("timestamp") + F.expr("make_interval(0, 0, 0, 0, 0, 0, (o_orderkey % 2) * 0.25)")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"), moment.alias("moment"), "o_orderpriority")
+    shown = [dates.iso(F.col(c), dict(rows.dtypes)[c]).alias(c) for c in ("o_orderkey", "day", "moment")]
+    return rows.select(*shown, strings.capitalised(F.col("o_orderpriority")).alias("name"))
 
 
 @query("select p_partkey, case p_size % 3 when 0 then 'A+' when 1 then null else 'C' end as letra, case when p_size % 2 = 0 then 'v' || p_size else '' end as viewstate from part")
