@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Fixed value: the name space of DNS names for ids derived from names.
 NAMESPACE_DNS = "6ba7b8109dad11d180b400c04fd430c8"
@@ -21,7 +22,7 @@ def one_line(c: Column) -> Column:
     return strip(F.replace(c, F.lit("\n"), F.lit(" ")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decoded(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

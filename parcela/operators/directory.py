@@ -61,12 +61,16 @@ def changed(known: DataFrame, found: DataFrame, key: str, columns: Sequence[str]
     return both.select(key, *columns, change.alias("change")).where("change is not null")
 
 
-def early_stop(pages: DataFrame, unit: Sequence[str], order: str, grace: int = 2, rows: str = "n_rows", new: str = "n_new") -> DataFrame:
+def early_stop(pages: DataFrame, unit: Sequence[str], order: str, grace: int = 2, rows: str = "n_rows", new: str = "n_new", reverse: bool = False) -> DataFrame:
     """The pages of each unit that an incremental crawl visits before it stops early.
 
     It stops at the first page that ends ``grace`` consecutive ones with rows but nothing new. Pages
-    without rows neither count nor interrupt. Adds ``early_stopped`` to each page of a unit.
+    without rows neither count nor interrupt. ``reverse`` visits the last page first, as new reports are on the last
+    pages. Adds ``early_stopped`` to each page of a unit.
     """
+    if reverse:
+        back = pages.withColumn("__visit", -F.col(order))
+        return early_stop(back, unit, "__visit", grace, rows, new).drop("__visit")
     by = Window.partitionBy(*unit).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = pages.where(F.col(rows) > 0).withColumn("__isle", F.sum((F.col(new) > 0).cast("int")).over(by))
     run = Window.partitionBy(*unit, "__isle").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -85,6 +89,31 @@ def resume_plan(units: DataFrame, progress: DataFrame, key: Sequence[str], incre
     return todo.select(*key, (F.coalesce("pages_done", F.lit(0)) + 1).cast("bigint").alias("start_page"))
 
 
+def saved_progress(progress: DataFrame, units: DataFrame, key: Sequence[str], now: Column) -> DataFrame:
+    """``progress`` with the rows of ``units`` in the place of those of the same unit, stamped ``now``.
+
+    A unit that failed before it had a page keeps the pages that an earlier run had done. Units must be
+    distinct; columns that ``units`` lacks are null in new rows and stay in others.
+    """
+    kept = [c for c in progress.columns if c not in (*key, "updated_at")]
+    old = progress.select(*key, *[F.col(c).alias(f"o_{c}") for c in kept], F.col("updated_at").alias("o_updated_at"))
+    new = units.select(*key, *[F.col(c).alias(f"n_{c}") for c in kept if c in units.columns], F.lit(True).alias("__new"))
+    both = old.join(new, list(key), "full_outer")
+    fresh = F.col("__new").isNotNull()
+
+    def value(c: str) -> Column:
+        if c not in units.columns:
+            return F.col(f"o_{c}")
+        found = F.col(f"n_{c}")
+        if c in ("pages_done", "total_pages"):
+            found = F.when(F.col("n_last_error").isNotNull(), F.greatest(found, F.col(f"o_{c}"))).otherwise(found)
+        return F.when(fresh, found).otherwise(F.col(f"o_{c}"))
+
+    stamp = F.when(fresh, now.cast(dict(progress.dtypes)["updated_at"])).otherwise(F.col("o_updated_at"))
+    out = both.select(*key, *[value(c).alias(c) for c in kept], stamp.alias("updated_at"))
+    return out.select(*progress.columns)
+
+
 def rollup_discovery(units: DataFrame, by: str = "region_id") -> DataFrame:
     """New rows, failed units and units by region, and in all (null region)."""
     return units.rollup(by).agg(F.sum("rows_new").cast("bigint").alias("rows_new"), F.count_if(F.col("last_error").isNotNull()).alias("errors"), F.count("*").alias("units"))

@@ -6,10 +6,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import plain_number
+from parcela.storage import stored
+
+#: Exemplars that go out with a task, 16 a label or so.
+MOST_EXEMPLARS = 10_000
 
 
 def template_mean(samples: DataFrame, label: str = "label", pixels: str = "pixels") -> DataFrame:
@@ -24,12 +29,33 @@ def templates_of(means: DataFrame, label: str = "label") -> DataFrame:
     return pairs.select(label, F.expr("transform(p, x -> x.mean)").alias("exemplar"))
 
 
+def matching_cells(glyphs: DataFrame, truth: DataFrame, key: Sequence[str], order: str = "ord", kind: str = "kind", text: str = "text") -> DataFrame:
+    """Glyphs of the cells whose digits are as many as those of their true ``text``, each with its ``label``; other cells teach nothing."""
+    digits = F.split(F.regexp_replace(text, r"\D", ""), "")
+    known = truth.select(*key, F.filter(digits, lambda d: d != "").alias("__digits"))
+    cells = glyphs.where(F.col(kind) == "digit").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in glyphs.columns if c not in (*key, order, kind)]))).alias("__g"))
+    both = cells.join(known, list(key)).where(F.size("__g") == F.size("__digits"))
+    zipped = both.select(*key, F.explode(F.arrays_zip(F.col("__g").alias("g"), F.col("__digits").alias("label"))).alias("z"))
+    return zipped.select(*key, "z.g.*", "z.label")
+
+
 def stride_sample(samples: DataFrame, label: str, order: Sequence[str], k: int = 12) -> DataFrame:
-    """Up to ``k`` samples of each label, evenly strided over its order."""
-    by = Window.partitionBy(label)
-    ranked = samples.withColumn("__i", F.row_number().over(by.orderBy(*order)) - 1).withColumn("__n", F.count("*").over(by))
+    """Up to ``k`` samples of each label, evenly strided over its order, which must be total.
+
+    Rows are numbered within ranges of label and order, and ranges by the counts of those before, so that a label
+    with very many samples is no one task's.
+    """
+    n = max(1, int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Written, as the bounds of ranges are drawn anew by each evaluation.
+    ranged = stored(samples.repartitionByRange(n, label, *order).withColumn("__part", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy(label, "__part").agg(F.count("*").alias("__held"))
+    each = Window.partitionBy(label)
+    before = F.sum("__held").over(each.orderBy("__part")) - F.col("__held")
+    parts = counts.select(label, "__part", before.alias("__before"), F.sum("__held").over(each).alias("__n"))
+    inside = F.row_number().over(Window.partitionBy("__part", label).orderBy(*order)) - 1
+    ranked = ranged.withColumn("__i", inside).join(parts, ["__part", label]).withColumn("__i", F.col("__i") + F.col("__before"))
     step = F.greatest(F.lit(1), F.floor(F.col("__n") / k))
-    return ranked.where((F.col("__i") % step == 0) & (F.col("__i") < k * step)).drop("__i", "__n")
+    return ranked.where((F.col("__i") % step == 0) & (F.col("__i") < k * step)).select(*samples.columns)
 
 
 def _centred(c: Column) -> Column:
@@ -50,37 +76,51 @@ def correlation(a: Column, b: Column) -> Column:
 def classify(glyphs: DataFrame, templates: DataFrame, key: str, pixels: str = "pixels", label: str = "label") -> DataFrame:
     """Each glyph's best label and score by correlation with all exemplars; of equals the first exemplar.
 
-    ``templates`` (label, exemplar_no, exemplar) are a fixed few, 16 a label at most, and go out as
-    one array with each task, so that glyphs are read once and nothing is shuffled or paired up.
-    Glyphs that match nothing are ``?`` with score -1.
+    ``templates`` (label, exemplar_no, exemplar) go out as one array with each task, so that glyphs are read once
+    and nothing is shuffled or paired up; more than ``MOST_EXEMPLARS`` are an error. Glyphs that match nothing,
+    or whose size is another, are ``?`` with score -1. A batch is scored by one product of matrices.
     """
-    rows = templates.orderBy(label, "exemplar_no").collect()
-    names = [str(r[label]) for r in rows]
+    rows = templates.orderBy(label, "exemplar_no").limit(MOST_EXEMPLARS + 1).collect()
+    if len(rows) > MOST_EXEMPLARS:
+        raise ValueError(f"more than {MOST_EXEMPLARS} exemplars")
+    names = np.array([str(r[label]) for r in rows] + ["?"], object)
     wall = np.array([r["exemplar"] for r in rows], np.float64)
     wall -= wall.mean(1, keepdims=True)
     norm = np.linalg.norm(wall, axis=1)
     kind = dict(glyphs.dtypes)[key]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            labels, scores = [], []
-            for p in b.column("pixels").to_pylist():
-                best, score = "?", -1.0
-                if p is not None and len(p) == wall.shape[1]:
-                    v = np.asarray(p, np.float64)
-                    v = v - v.mean()
-                    length = np.linalg.norm(v)
+        for whole in batches:
+            for i in range(0, whole.num_rows, 4096):
+                b = whole.slice(i, 4096)
+                pixels = b.column("pixels")
+                fits = pc.fill_null(pc.equal(pc.list_value_length(pixels), wall.shape[1]), False)
+                fits = pc.and_(fits, pc.equal(_nulls_in(pixels), 0))
+                best, score = np.full(b.num_rows, len(names) - 1), np.full(b.num_rows, -1.0)
+                some = np.flatnonzero(fits.to_numpy(zero_copy_only=False))
+                if len(some):
+                    v = pixels.filter(fits).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(some), -1)
+                    v = v - v.mean(1, keepdims=True)
+                    length = np.linalg.norm(v, axis=1, keepdims=True)
                     with np.errstate(divide="ignore", invalid="ignore"):
-                        like = np.round(np.where((norm > 0) & (length > 0), wall @ v / (norm * length), -2.0), 12)
-                    if len(like) and like.max() > -1:
-                        best, score = names[int(like.argmax())], float(like.max())
-                labels.append(best)
-                scores.append(score)
-            yield pa.RecordBatch.from_arrays([b.column(key), pa.array(labels), pa.array(scores)], [key, "best", "score"])
+                        like = np.round(np.where((norm > 0) & (length > 0), v @ wall.T / (norm * length), -2.0), 12)
+                    top = like.argmax(1)
+                    most = like[np.arange(len(some)), top]
+                    good = most > -1
+                    best[some[good]], score[some[good]] = top[good], most[good]
+                yield pa.RecordBatch.from_arrays([b.column(key), pa.array(names[best], pa.string()), pa.array(score)], [key, "best", "score"])
 
     return glyphs.select(key, F.col(pixels).alias("pixels")).mapInArrow(each, f"{key} {kind}, best string, score double")
 
 
+def _nulls_in(lists: pa.Array) -> pa.Array:
+    """How many values of each list are null; 0 for a null list."""
+    counts = np.zeros(len(lists), np.int64)
+    parents = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
+    np.add.at(counts, parents, pc.is_null(lists.flatten()).to_numpy(zero_copy_only=False).astype(np.int64))
+    return pa.array(counts)
+
+
 def read_cells(glyphs: DataFrame, key: Sequence[str], order: str = "ord", char: str = "ch") -> DataFrame:
     """The number that a cell's glyphs spell from left to right, a comma being decimal."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, char))), lambda x: x[char]), "")
@@ -94,6 +134,11 @@ def cell_confidence(cells: DataFrame, glyphs: DataFrame, key: Sequence[str], sco
     return cells.select(*key).join(least, list(key), "left").withColumn("confidence", F.coalesce("confidence", F.lit(-1.0)))
 
 
+def hourly_pages(cells: DataFrame, pages: DataFrame, doc: str, least: int = 6) -> DataFrame:
+    """The cells of reports with ``least`` pages or more (``doc``, page_count); others have no hourly page to read."""
+    return cells.join(pages.where(F.col("page_count") >= least).select(doc), doc, "left_semi")
+
+
 def low_scores_out(cells: DataFrame, least: float = 0.55) -> DataFrame:
     """Cells that are sure and plausible enough to serve as further samples."""
     return cells.where((F.col("confidence") >= least) & F.col("value").between(-20.0, 50.0))

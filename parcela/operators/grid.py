@@ -8,17 +8,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def gaps(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
-    """Adds ``gap``, the way from the line before, and ``next_gap``."""
-    w = Window.partitionBy(*by).orderBy(pos)
-    return lines.withColumns({"gap": F.col(pos) - F.lag(pos).over(w), "next_gap": F.lead(pos).over(w) - F.col(pos)})
+def _median(sorted_values: str) -> str:
+    n = f"size({sorted_values})"
+    return f"if({n} = 0, null, ({sorted_values}[cast(({n} - 1) div 2 as int)] + {sorted_values}[cast({n} div 2 as int)]) / 2D)"
+
+
+def _pitched(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
+    """(by, places, gaps, pitch): the sorted lines of a document, some hundreds, and what parts them, by one shuffle."""
+    held = lines.where(F.col(pos).isNotNull()).groupBy(*by).agg(F.array_sort(F.collect_list(F.col(pos).cast("double"))).alias("places"))
+    gaps = "if(size(places) < 2, cast(array() as array<double>), transform(sequence(1, size(places) - 1), i -> places[i] - places[i - 1]))"
+    found = held.withColumn("gaps", F.expr(gaps)).withColumn("ordered", F.array_sort("gaps")).withColumn("middle", F.expr(_median("ordered")))
+    found = found.withColumn("wide", F.expr("filter(ordered, g -> g > 0.5 * middle)"))
+    return found.select(*by, "places", "gaps", F.expr(_median("wide")).alias("pitch")).where("pitch is not null")
 
 
 def robust_pitch(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
     """The median gap over half the median gap."""
-    found = gaps(lines, by, pos).where("gap is not null")
-    first = found.groupBy(*by).agg(F.percentile("gap", F.lit(0.5)).alias("__m"))
-    return found.join(first, list(by)).where("gap > 0.5 * __m").groupBy(*by).agg(F.percentile("gap", F.lit(0.5)).alias("pitch"))
+    return _pitched(lines, by, pos).select(*by, "pitch")
 
 
 def bounds(lines: DataFrame, by: Sequence[str], pos: str, cells: int = 24, least: int = 5) -> DataFrame:
@@ -27,11 +33,32 @@ def bounds(lines: DataFrame, by: Sequence[str], pos: str, cells: int = 24, least
     A line is regular if a neighbour is a pitch away, give or take 30 per cent. With fewer than
     ``least`` regular lines there is no grid.
     """
-    pitch = robust_pitch(lines, by, pos)
-    near = lambda c: F.abs(F.col(c) - F.col("pitch")) < 0.3 * F.col("pitch")
-    regular = gaps(lines, by, pos).join(pitch, list(by)).where(F.coalesce(near("gap"), F.lit(False)) | F.coalesce(near("next_gap"), F.lit(False)))
-    last = regular.groupBy(*by).agg(F.max(pos).alias("last"), F.first("pitch").alias("pitch"), F.count("*").alias("n")).where(F.col("n") >= least)
-    return last.select(*by, F.explode(F.sequence(F.lit(0), F.lit(cells))).alias("k"), "last", "pitch").select(*by, "k", (F.col("last") - F.col("pitch") * (cells - F.col("k"))).alias("bound"))
+    near = "coalesce(abs(get(gaps, {0}) - pitch) < 0.3 * pitch, false)"
+    regular = F.expr(f"filter(places, (p, i) -> {near.format('i - 1')} or {near.format('i')})")
+    found = _pitched(lines, by, pos).withColumn("regular", regular).where(F.size("regular") >= least)
+    last = found.select(*by, F.element_at("regular", -1).alias("last"), "pitch", F.explode(F.sequence(F.lit(0), F.lit(cells))).alias("k"))
+    return last.select(*by, "k", (F.col("last") - F.col("pitch") * (cells - F.col("k"))).alias("bound"))
+
+
+def lines_of(sums: DataFrame, by: Sequence[str], index: str, ink: str, share: float = 0.4) -> DataFrame:
+    """The middles of the runs of columns whose ink reaches ``share`` of the most: the grid's vertical lines."""
+    most = sums.groupBy(*by).agg((F.max(ink) * share).alias("__t"))
+    found = runs(sums.join(most, list(by)), by, index, F.col(ink) >= F.col("__t"))
+    return found.select(*by, ((F.col("begin") + F.col("end")) / 2).alias("pos"))
+
+
+def crop(left: Column, right: Column, top: Column, bottom: Column, width: Column, height: Column, inset: float = 0.06, margin: int = 2) -> Column:
+    """The part (x1, x2, y1, y2) of a picture that holds a cell: ``inset`` of its width off each side, ``margin`` pixels around its rows, within the picture."""
+    off = (right - left) * inset
+    x1, x2 = F.greatest(F.lit(0), F.floor(left + off)), F.least(width, F.floor(right - off))
+    y1, y2 = F.greatest(F.lit(0), F.floor(top) - margin), F.least(height, F.floor(bottom) + margin)
+    return F.struct(*[v.cast("int").alias(n) for n, v in (("x1", x1), ("x2", x2), ("y1", y1), ("y2", y2))])
+
+
+def cropped(pixels: Column, part: Column) -> Column:
+    """The pixels (rows of values) of a part; empty where it has no extent."""
+    wide, high = F.greatest(F.lit(0), part["x2"] - part["x1"]), F.greatest(F.lit(0), part["y2"] - part["y1"])
+    return F.transform(F.slice(pixels, part["y1"] + 1, high), lambda row: F.slice(row, part["x1"] + 1, wide))
 
 
 def runs(rows: DataFrame, by: Sequence[str], index: str, on: Column) -> DataFrame:

@@ -1,6 +1,6 @@
 """Glyphs, and the grid that holds them."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcela.operators import glyphs as op
@@ -109,3 +109,41 @@ gr as (select *, sum(n) over (partition by s_suppkey order by b) as g from nw)
 select s_suppkey, greatest(0, min(b) - 3)::int as "begin", least(119, max(e) + 3)::int as "end" from gr group by s_suppkey, g having max(e) - min(b) >= 6""")
 def band_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.merged(_bands(spark, sf_dir), ["s_suppkey"], limit=119)
+
+
+@query("""with g as (select l_orderkey as cell, l_linenumber as ord, l_partkey as pixel, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) as i,
+count(*) over (partition by l_orderkey) as n from lineitem where l_returnflag <> 'R'), t as (select o_orderkey as cell, regexp_replace((o_orderkey * 37)::varchar, '0', '', 'g') as digits from orders)
+select cell, i::int as ord, digits[i] as label from g join t using (cell) where n = length(digits)""")
+def template_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells whose glyphs and true digits are as many teach their glyphs' labels."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("kind", F.when(F.col("l_returnflag") == "R", "comma").otherwise("digit"))
+    order = F.row_number().over(Window.partitionBy("l_orderkey", "kind").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    glyphs = lines.select(F.col("l_orderkey").alias("cell"), order.alias("ord"), "kind")
+    truth = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("cell"), F.replace(F.concat(F.lit("-"), F.col("o_orderkey") * 37, F.lit(" ,")), F.lit("0"), F.lit("")).alias("text"))
+    return op.matching_cells(glyphs, truth, ["cell"]).select("cell", "ord", "label")
+
+
+@query("""with c as (select p_partkey, p_size as l, p_size + p_partkey % 40 + 1 as r, p_size % 20 as t, p_size % 20 + 7 as b from part),
+d as (select p_partkey, greatest(0, floor(l + (r - l) * 0.06))::int as x1, least(60, floor(r - (r - l) * 0.06))::int as x2, greatest(0, t - 2)::int as y1, least(25, b + 2)::int as y2 from c)
+select *, (greatest(0, x2 - x1) * greatest(0, y2 - y1))::int as n_pixels from d""")
+def cell_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, top = F.col("p_size"), F.col("p_size") % 20
+    part = grid.crop(s, s + F.col("p_partkey") % 40 + 1, top, top + 7, F.lit(60), F.lit(25))
+    picture = F.expr("transform(sequence(1, 25), y -> sequence(1, 60))")
+    cut = table(spark, sf_dir, "part").select("p_partkey", part.alias("c"), grid.cropped(picture, part).alias("px"))
+    return cut.select("p_partkey", "c.*", F.aggregate("px", F.lit(0), lambda a, row: a + F.size(row)).alias("n_pixels"))
+
+
+@query("""with s as (select l_orderkey as doc, l_linenumber as x, sum(l_quantity) as ink from lineitem group by all), t as (select doc, max(ink) * 0.4 as least from s group by 1),
+k as (select doc, x, x - row_number() over (partition by doc order by x) as g from s join t using (doc) where ink >= least) select doc, ((min(x) + max(x)) / 2)::double as pos from k group by doc, g""")
+def ink_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("x")).agg(F.sum("l_quantity").alias("ink"))
+    return grid.lines_of(sums, ["doc"], "x", "ink")
+
+
+@query("select p_partkey, m::int as month from part, range(1, 5) t(m) where p_size % 9 >= 6")
+def hourly_page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of fewer than six pages have no hourly page."""
+    parts = table(spark, sf_dir, "part")
+    cells = parts.select("p_partkey", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("month"))
+    return op.hourly_pages(cells, parts.select("p_partkey", (F.col("p_size") % 9).alias("page_count")), "p_partkey")

@@ -4,15 +4,24 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from html import unescape
 from html.parser import HTMLParser
+from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 PAGE_SIZE = 10
+#: Ids of the elements that hold the count and the rows of each kind of report, the classes around
+#: the inputs that name a report and its label, and the hidden fields that carry a session's state.
+COUNT_SPAN = {1: "ContentPlaceHolder1_ResultadoGrillaPre", 2: "ContentPlaceHolder1_ResultadoGrillaCal"}
+GRID_TABLE = {1: "ContentPlaceHolder1_grdViviendasPre", 2: "ContentPlaceHolder1_grdViviendasCal"}
+REPORT_BOX, LABEL_BOX = "BtVerEtiqueta", "BtVerMapa"
+HIDDEN = ("__VIEWSTATE", "__VIEWSTATEGENERATOR", "__EVENTVALIDATION")
 ROW_SCHEMA = (
     "identificacion string, tipologia string, comuna string, proyecto string, calificacion_energetica string, "
     "calificacion_equipos string, codigo_informe string, codigo_etiqueta string"
@@ -20,99 +29,148 @@ ROW_SCHEMA = (
 _COLUMNS = [c.split()[0] for c in ROW_SCHEMA.split(", ")]
 
 
-class _Counts(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.links = self.items = 0
-        self.lang: str | None = None
-
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag == "a":
-            self.links += 1
-        elif tag == "li":
-            self.items += 1
-        elif tag == "html" and self.lang is None:
-            self.lang = dict(attrs).get("lang") or None
-
-
 def page_fields(pages: DataFrame) -> DataFrame:
-    """page_id, n_links, n_items and lang of raw pages, however broken their markup."""
+    """page_id, n_links, n_items and lang of raw pages, by patterns of their start tags: null html has none."""
+    html = F.coalesce("html", F.lit(""))
+    count = lambda tag: F.regexp_count(html, F.lit(rf"(?i)<{tag}(?=[\s/>])")).cast("bigint")
+    lang = F.nullif(F.regexp_extract(html, r"""(?is)<html\b[^>]*?\slang\s*=\s*["']?([^"'\s>]*)""", 1), F.lit(""))
+    return pages.select("page_id", count("a").alias("n_links"), count("li").alias("n_items"), lang.alias("lang"))
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = []
-            for html in b.column("html").to_pylist():
-                p = _Counts()
-                p.feed(html or "")
-                p.close()
-                found.append(p)
-            arrays = [b.column("page_id"), pa.array([p.links for p in found], pa.int64()), pa.array([p.items for p in found], pa.int64()), pa.array([p.lang for p in found], pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, ["page_id", "n_links", "n_items", "lang"])
 
-    kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "html").mapInArrow(each, f"page_id {kind}, n_links bigint, n_items bigint, lang string")
+class _Cell:
+    def __init__(self, plain: bool) -> None:
+        self.plain, self.text = plain, ""
+        self.images: list[str] = []
+        self.inputs: dict[str, str] = {}
 
 
-class _Grid(HTMLParser):
-    """Cells of each body row: their text, image names and input values."""
+class _Page(HTMLParser):
+    """The count and the grid rows of one kind of report; other tables of the page are passed over."""
 
-    def __init__(self) -> None:
+    def __init__(self, tipo: int) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[list[dict]] = []
-        self.body = 0
+        self.span, self.grid = COUNT_SPAN[tipo], GRID_TABLE[tipo]
+        self.count = ""
+        self.rows: list[list[_Cell]] = []
+        self.tables: list[bool] = []  # the open tables, and whether each is the grid
+        self.spans: list[bool] = []
+        self.boxes: list[str] = []  # the open boxes of the cell
+        self.body = self.in_cell = False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        a = dict(attrs)
+        if tag == "span":
+            self.spans.append(a.get("id") == self.span)
+        elif tag == "table":
+            self.tables.append(a.get("id") == self.grid)
+        if not (self.tables and self.tables[-1]):
+            return
         if tag == "tbody":
-            self.body += 1
+            self.body = True
         elif self.body and tag == "tr":
             self.rows.append([])
+            self.in_cell = False
         elif self.body and tag == "td" and self.rows:
-            self.rows[-1].append({"text": "", "images": [], "inputs": []})
-        elif self.body and self.rows and self.rows[-1]:
-            a = dict(attrs)
-            if tag == "img":
-                self.rows[-1][-1]["images"].append(a.get("src") or "")
+            self.rows[-1].append(_Cell("class" not in a and "style" not in a))
+            self.in_cell, self.boxes = True, []
+        elif self.in_cell:
+            cell = self.rows[-1][-1]
+            if tag == "div":
+                self.boxes.append(a.get("class") or "")
+            elif tag == "img":
+                cell.images.append(a.get("src") or "")
             elif tag == "input":
-                self.rows[-1][-1]["inputs"].append(a.get("name") or "")
+                box = next((b for b in reversed(self.boxes) if b in (REPORT_BOX, LABEL_BOX)), "")
+                cell.inputs.setdefault(box, a.get("name") or "")
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag in ("span", "table", "div"):
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag == "tbody":
-            self.body -= 1
+        if tag == "span" and self.spans:
+            self.spans.pop()
+        elif tag == "table" and self.tables:
+            if self.tables.pop():
+                self.body = self.in_cell = False
+        elif tag in ("td", "tr", "tbody") and self.tables and self.tables[-1]:
+            self.in_cell = False
+            self.body = self.body and tag != "tbody"
+        elif tag == "div" and self.in_cell and self.boxes:
+            self.boxes.pop()
 
     def handle_data(self, data: str) -> None:
-        if self.body and self.rows and self.rows[-1]:
-            self.rows[-1][-1]["text"] += data
+        if any(self.spans):
+            self.count += data + " "
+        if self.in_cell and self.tables and self.tables[-1] and not self.boxes:
+            self.rows[-1][-1].text += data
 
 
-def _grade(images: list[str]) -> str | None:
-    for name in images:
+def _grade(cells: list[_Cell], from_last: int) -> str | None:
+    if len(cells) < from_last:
+        return None
+    for name in cells[-from_last].images:
         if m := re.search(r"Letra(.*?)\.png", name):
             return None if m[1] == "--" else m[1]
     return None
 
 
-def grid_rows(html: str | None) -> list[dict]:
-    """The rows of a result grid, each read on its own: a missing cell is null in its row alone.
+def _read(html: str | None, tipo: int) -> _Page:
+    page = _Page(tipo)
+    page.feed(html or "")
+    page.close()
+    return page
+
 
-    The first four cells are texts, the two before the last are images of grades, and the inputs of
-    the last are the report and the label. Rows without an identification are left out.
+def grid_rows(html: str | None, tipo: int) -> list[dict]:
+    """The rows of the kind's result grid, each read on its own: a missing cell is null in its row alone.
+
+    The first four cells without class and style are texts, the two before the last have images of grades, and the
+    last has the inputs of the report and the label. Rows without an identification are left out.
     """
-    parser = _Grid()
-    parser.feed(html or "")
-    parser.close()
     out = []
-    for cells in parser.rows:
-        text = [" ".join(c["text"].split()) or None for c in cells]
-        text += [None] * 4
-        if not text[0]:
-            continue
-        tail = cells[-3:] if len(cells) >= 7 else []
-        inputs = (tail[2]["inputs"] if tail else []) + [None, None]
-        grades = [_grade(c["images"]) for c in tail[:2]] if tail else [None, None]
-        out.append(dict(zip(_COLUMNS, (*text[:4], *grades, *inputs[:2]), strict=True)))
+    for cells in _read(html, tipo).rows:
+        text = [" ".join(c.text.split()) or None for c in cells if c.plain][:4]
+        text += [None] * (4 - len(text))
+        if text[0]:
+            inputs = cells[-1].inputs
+            out.append(dict(zip(_COLUMNS, (*text, _grade(cells, 3), _grade(cells, 2), inputs.get(REPORT_BOX), inputs.get(LABEL_BOX)), strict=True)))
     return out
 
 
+def result_count(html: str | None, tipo: int) -> int:
+    """The count of the kind's results; 0 if the page has none."""
+    found = re.search(r"([\d.]+)\s+Vivienda", " ".join(_read(html, tipo).count.split()))
+    digits = found[1].replace(".", "") if found else ""
+    return int(digits) if digits else 0
+
+
+def rows_of(pages: DataFrame) -> DataFrame:
+    """The grid rows of stored pages (comuna_id, tipo, page_no, html), with their place on the page."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for row in b.to_pylist():
+                for k, found in enumerate(grid_rows(row["html"], row["tipo"])):
+                    out.append({"comuna_id": row["comuna_id"], "tipo": row["tipo"], "page_no": row["page_no"], "row_no": k} | found)
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    numbers = ("comuna_id", "tipo", "page_no", "row_no")
+    arrow = pa.schema([*[(n, pa.int32()) for n in numbers], *[(c, pa.string()) for c in _COLUMNS]])
+    return pages.select("comuna_id", "tipo", "page_no", "html").mapInArrow(each, ", ".join(f"{n} int" for n in numbers) + f", {ROW_SCHEMA}")
+
+
+def options_of(html: Column, block: str = "dbComuna") -> Column:
+    """The options of a drop-down list as (id, name) pairs; -1, its prompt, is left out."""
+    part = F.regexp_extract(html, rf"(?s)({block}.*?</select>)", 1)
+    pattern = r"""<option[^>]*value="(-?\d+)"[^>]*>([^<]+)</option>"""
+    ids, names = (F.regexp_extract_all(part, F.lit(pattern), F.lit(k)) for k in (1, 2))
+    pairs = F.zip_with(ids, names, lambda i, n: F.struct(i.cast("int").alias("id"), F.regexp_replace(n, r"^\s+|\s+$", "").alias("name")))
+    return F.filter(pairs, lambda p: p["id"] != -1)
+
+
 def options(html: str | None, block: str = "dbComuna") -> list[tuple[int, str]]:
     """(id, name) of the options of a drop-down list; -1 is its prompt."""
     found = re.search(rf"{block}.*?</select>", html or "", re.S)
@@ -120,12 +178,6 @@ def options(html: str | None, block: str = "dbComuna") -> list[tuple[int, str]]:
     return [(int(v), unescape(n.strip())) for v, n in pairs if v != "-1"]
 
 
-def result_count(html: str | None) -> int:
-    found = re.search(r"([\d.]+)\s+Vivienda", html or "")
-    digits = found[1].replace(".", "") if found else ""
-    return int(digits) if digits else 0
-
-
 def page_total(n: int) -> int:
     return max(1, math.ceil(n / PAGE_SIZE)) if n else 0
 
@@ -137,42 +189,177 @@ class Unit(InputPartition):
         self.comuna_id, self.tipo, self.first = comuna_id, tipo, first
 
 
+class Transport(Protocol):
+    """Gives the pages of a unit; None where there is none. Page 1 is the one that a search gives."""
+
+    def page(self, unit: Unit, number: int) -> str | None: ...  # noqa: E704
+
+
+class StoredPages:
+    """Pages kept as files of any file system that pyarrow opens by its URI (or of a plain path)."""
+
+    def __init__(self, folder: str) -> None:
+        self.folder = folder
+
+    def page(self, unit: Unit, number: int) -> str | None:
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(self.folder) if "://" in self.folder else (fs.LocalFileSystem(), self.folder)
+        try:
+            with system.open_input_stream(f"{path}/{unit.comuna_id}_{unit.tipo}_{number}.html") as f:
+                return f.read().decode("utf-8")
+        except FileNotFoundError:
+            return None
+
+
+class Retrying:
+    """Another transport, asked again after growing waits while it fails; the last failure is raised."""
+
+    def __init__(self, inner: Transport, attempts: int = 3, base: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.inner, self.attempts, self.base, self.sleep = inner, attempts, base, sleep
+
+    def page(self, unit: Unit, number: int) -> str | None:
+        for k in range(self.attempts):
+            try:
+                return self.inner.page(unit, number)
+            except Exception:
+                if k + 1 == self.attempts:
+                    raise
+                self.sleep(self.base * 2**k)
+        return None
+
+
+class FormSession:
+    """A site of forms: each answer's hidden fields go out with the next request.
+
+    ``send(fields)`` posts and returns the page, ``send({})`` gets it. The region is chosen before the search, as a
+    search without it finds nothing; a unit's session lasts while its pages are asked for in turn.
+    """
+
+    def __init__(self, send: Callable[[dict], str], region_of: Callable[[int], int]) -> None:
+        self.send, self.region_of = send, region_of
+        self.state: dict[str, str] = {}
+        self.unit: tuple[int, int] | None = None
+
+    def _post(self, **fields) -> str:
+        html = self.send({**self.state, **{k: str(v) for k, v in fields.items()}} if fields else {})
+        for name in HIDDEN:
+            if m := re.search(rf'id="{name}"\s+value="([^"]*)"', html):
+                self.state[name] = m[1]
+        return html
+
+    def page(self, unit: Unit, number: int) -> str | None:
+        key = (unit.comuna_id, unit.tipo)
+        if self.unit != key or number == 1:
+            self.state = {}
+            self._post()
+            region = self.region_of(unit.comuna_id)
+            self._post(event="region", region=region)
+            first = self._post(event="search", region=region, comuna=unit.comuna_id, tipo=unit.tipo)
+            self.unit = key
+            if number == 1:
+                return first
+        return self._post(event="page", comuna=unit.comuna_id, tipo=unit.tipo, page=number)
+
+
+def crawl(transport: Transport, unit: Unit, known: frozenset[str] | None = None, grace: int = 2, most: int | None = None) -> Iterator[tuple]:
+    """What a unit's pages have: (page, place, row, is_new) for each row, and at last (None, -1, progress, None).
+
+    Without ``known`` all pages from ``unit.first`` on are read. With it, the identifications that are known already, the
+    crawl is incremental: the site lists the oldest first, so pages are read from the last one back until ``grace`` in a row
+    have rows but nothing new; pages without rows neither count nor interrupt. An error ends the unit, not the
+    read: it is kept in the progress, with the last page that was done.
+    """
+    progress = {"status": "pending", "pages_done": unit.first - 1, "total_pages": None, "rows_new": 0, "rows_seen": 0, "early_stopped": False, "last_error": None}
+    try:
+        html = transport.page(unit, 1)
+        total = page_total(result_count(html, unit.tipo))
+        total = min(total, most) if most else total
+        progress["total_pages"] = total
+        numbers = range(unit.first, total + 1) if known is None else range(total, 0, -1)
+        dry = done = 0
+        for number in numbers:
+            rows = grid_rows(html if number == 1 else transport.page(unit, number), unit.tipo)
+            fresh = 0
+            for k, row in enumerate(rows):
+                new = known is None or row["identificacion"] not in known
+                fresh += new
+                yield number, k, row, new
+            done += 1
+            progress |= {"pages_done": number if known is None else done, "rows_new": progress["rows_new"] + fresh, "rows_seen": progress["rows_seen"] + len(rows)}
+            if known is not None and rows:
+                dry = 0 if fresh else dry + 1
+                if dry >= grace:
+                    progress["early_stopped"] = True
+                    break
+        progress["status"] = "done"
+    except Exception as e:  # noqa: BLE001  a unit's failure must not end the others
+        progress["last_error"] = str(e)[:300]
+    yield None, -1, progress, None
+
+
+PROGRESS_SCHEMA = "status string, pages_done int, total_pages int, rows_new int, rows_seen int, early_stopped boolean, last_error string"
+_PROGRESS = [c.split()[0] for c in PROGRESS_SCHEMA.split(", ")]
+
+
 class ListingReader(DataSourceReader):
-    def __init__(self, folder: str, units: list[tuple[int, int, int]], grace: int | None) -> None:
-        self.folder, self.units, self.grace = folder, units, grace
+    """A partition per unit. Subclasses give another transport."""
+
+    def __init__(self, folder: str, units: list[tuple[int, int, int]], known: str | None, grace: int, most: int | None) -> None:
+        self.folder, self.units, self.known, self.grace, self.most = folder, units, known, grace, most
 
     def partitions(self) -> list[Unit]:
         return [Unit(*u) for u in self.units]
 
-    def fetch(self, unit: Unit, page: int) -> str | None:
-        """A page of a unit. Stored pages stand in for the site; another transport overrides this."""
-        try:
-            with open(f"{self.folder}/{unit.comuna_id}_{unit.tipo}_{page}.html", encoding="utf-8") as f:
-                return f.read()
-        except FileNotFoundError:
+    def transport(self) -> Transport:
+        return StoredPages(self.folder)
+
+    def known_of(self, unit: Unit) -> frozenset[str] | None:
+        """The unit's identifications in the Parquet table ``known``; its row groups of other units are skipped."""
+        if self.known is None:
             return None
+        import pyarrow.dataset as ds
+
+        of_unit = (ds.field("comuna_id") == unit.comuna_id) & (ds.field("tipo") == unit.tipo)
+        found = ds.dataset(self.known, format="parquet").to_table(columns=["identificacion"], filter=of_unit)
+        return frozenset(found.column(0).to_pylist())
 
     def read(self, unit: Unit) -> Iterator[tuple]:
-        html = self.fetch(unit, 1)
-        for page in range(unit.first, page_total(result_count(html)) + 1):
-            html = self.fetch(unit, page) if page > 1 else html
-            for k, row in enumerate(grid_rows(html)):
-                yield (unit.comuna_id, unit.tipo, page, k, *row.values())
+        for page, place, found, new in crawl(self.transport(), unit, self.known_of(unit), self.grace, self.most):
+            row = [None] * len(_COLUMNS) if page is None else [found[c] for c in _COLUMNS]
+            state = [found[c] for c in _PROGRESS] if page is None else [None] * len(_PROGRESS)
+            yield (unit.comuna_id, unit.tipo, page, place, *row, new, *state)
 
 
 class ListingSource(DataSource):
-    """``spark.read.format("listing")``; options: path, and units as ``comuna:tipo[:first page]``, comma-joined."""
+    """``spark.read.format("listing")``.
+
+    Options: ``path``; ``units`` as ``comuna:tipo[:first page]``, comma-joined; for an incremental crawl ``known``, a Parquet
+    table of (comuna_id, tipo, identificacion), and ``grace``; ``most`` pages of a unit. A unit's last row has its progress (``row_no`` -1).
+    """
 
     @classmethod
     def name(cls) -> str:
         return "listing"
 
     def schema(self) -> str:
-        return f"comuna_id int, tipo int, page_no int, row_no int, {ROW_SCHEMA}"
+        return f"comuna_id int, tipo int, page_no int, row_no int, {ROW_SCHEMA}, is_new boolean, {PROGRESS_SCHEMA}"
 
     def reader(self, schema) -> ListingReader:
-        units = [tuple(int(x) for x in u.split(":")) for u in self.options.get("units", "").split(",") if u]
-        return ListingReader(self.options["path"], [(*u, 1)[:3] for u in units], None)
+        o = self.options
+        units = [tuple(int(x) for x in u.split(":")) for u in o.get("units", "").split(",") if u]
+        most = o.get("most")
+        return ListingReader(o["path"], [(*u, 1)[:3] for u in units], o.get("known"), int(o.get("grace", "2")), int(most) if most else None)
+
+
+def found_rows(read: DataFrame) -> DataFrame:
+    """The rows of reports in what the source read."""
+    return read.where("row_no >= 0").drop(*_PROGRESS)
+
+
+def progress_of(read: DataFrame) -> DataFrame:
+    """The progress of each unit in what the source read."""
+    return read.where("row_no < 0").select("comuna_id", "tipo", *_PROGRESS)
 
 
 def register(spark: SparkSession) -> None:

@@ -1,15 +1,16 @@
 """Column functions against plain restatements of what they mean."""
 
 import datetime
+import html
 import re
 import uuid
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parcela.functions import dates, numbers, strings
+from parcela.sources import files
 
 
 def applied(spark, function, values, kind="string"):
@@ -69,18 +70,33 @@ def test_small_numbers(spark):
     assert applied(spark, numbers.dash_as_zero, ["-", "12,9"]) == [0.0, 12.9]
 
 
-def test_dates_golden(spark):
-    day = datetime.date
-    given_ = {
-        "15-01-2019": day(2019, 1, 15), "03/12/2020": day(2020, 12, 3), "10 de mayo de 2017": day(2017, 5, 10), " 1 / 2 / 2020 hoy": day(2020, 2, 1),
-        "32-13-2020": None, "32-13-2020, 1 de mayo de 2020": None, "no-soy-fecha": None, "": None, None: None, "31 de febrero de 2020": None, "1 de foo de 2020": None,
-    }
-    assert applied(spark, dates.report_date, list(given_)) == list(given_.values())
+FORMS = ("{d:02d}-{m:02d}-{y}", "{d}/{m}/{y}", " {d} - {m} / {y} a las 9", "{d} de {name} de {y}", "{d:02d}  de {NAME} de {y}, comuna")
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.dates(datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)), st.sampled_from(FORMS), st.sampled_from(["", "x ", "Talca, ", "el "])), min_size=20, max_size=40))
+def test_dates_of_any_form(spark, cases):
+    """A day written in each form is read; nothing is where another word comes first."""
+    names = {m: n for n, m in dates.MONTHS.items() if n != "setiembre"}
+    texts = [before + form.format(d=x.day, m=x.month, y=x.year, name=names[x.month], NAME=names[x.month].upper()) for x, form, before in cases]
+    assert applied(spark, dates.report_date, texts) == [None if before else x for x, _, before in cases]
+
+
+def test_dates_that_are_none(spark):
+    odd = ["30-02-2021", "00/05/2021", "7 de brumario de 1799", "31 de abril de 2022", "5-13-2022, 4 de julio de 2022", "hoy", " ", None, "2021-05-06"]
+    assert applied(spark, dates.report_date, odd) == [None] * len(odd)
 
 
 def test_months(spark):
-    assert applied(spark, dates.month_of_name, ["Enero", " julio ", "DICIEMBRE", "setiembre", "Foo", "4", None]) == [1, 7, 12, 9, None, None, None]
-    assert applied(spark, dates.month_of_number, [4, 13, 0, None], "int") == [4, None, None, None]
+    shown = [f"{' ' * (k % 3)}{name.upper() if k % 2 else name}" for k, name in enumerate(dates.MONTHS)]
+    assert applied(spark, dates.month_of_name, [*shown, "brumario", "11", "", None]) == [*dates.MONTHS.values(), None, None, None, None]
+    assert applied(spark, dates.month_of_number, [-1, 0, 1, 12, 13, None], "int") == [None, None, 1, 12, None, None]
+
+
+def test_iso(spark):
+    moments = [datetime.datetime(2021, 3, 4, 5, 6, 7), datetime.datetime(2021, 3, 4, 5, 6, 7, 80), None]
+    assert applied(spark, lambda c: dates.iso(c, "timestamp"), moments, "timestamp") == ["2021-03-04T05:06:07+00:00", "2021-03-04T05:06:07.000080+00:00", None]
+    assert applied(spark, lambda c: dates.iso(c, "date"), [datetime.date(900, 1, 2), None], "date") == ["0900-01-02", None]
 
 
 @settings(max_examples=5, deadline=None)
@@ -89,20 +105,33 @@ def test_uuid_of_name(spark, names):
     assert applied(spark, strings.name_uuid, names) == [str(uuid.uuid5(uuid.NAMESPACE_DNS, n)) for n in names]
 
 
-@pytest.mark.parametrize(
-    ("text", "expected"),
-    [
-        ("%PDF-1.4\nbody\n%%EOF\r\n<html>", "%PDF-1.4\nbody\n%%EOF"), ("<html>", None), ("", None), (None, None),
-        ("junk%PDF-1.4 content without eof", "%PDF-1.4 content without eof"), ("%PDF-1.4 a %%EOF b %%EOF trailing", "%PDF-1.4 a %%EOF b %%EOF"), ("%%EOF %PDF x", "%PDF x"),
-    ],
-)
-def test_carve(spark, text, expected):
-    assert applied(spark, strings.carve, [text]) == [expected]
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["%PDF", "%%EOF", "%", "F", "body ", "\n", "é", "PDF-"]), max_size=9).map("".join), min_size=20, max_size=40))
+def test_carve_any_payload(spark, payloads):
+    """From the first head to the end of the last end mark behind it, or to the end; the same for texts and bytes."""
+
+    def cut(text):
+        if "%PDF" not in text:
+            return None
+        rest = text[text.index("%PDF") :]
+        return rest[: rest.rindex("%%EOF") + 5] if "%%EOF" in rest else rest
+
+    want = [cut(p) for p in payloads]
+    assert applied(spark, strings.carve, payloads) == want
+    raw = applied(spark, lambda c: files.carved(F.encode(c, "UTF-8")), payloads)
+    assert [None if x is None else bytes(x).decode() for x in raw] == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["&amp;", "&ntilde;", "&Aacute", "&#241;", "&#xF1;", "&notin;", "&;", "&#0;", "lt;", "a", " ", "\n"]), max_size=8).map("".join), min_size=20, max_size=40))
+def test_character_references(spark, texts):
+    assert applied(spark, strings.unescape, texts) == [html.unescape(re.sub(r"^\s+|\s+$", "", t)) for t in texts]
 
 
 def test_texts(spark):
     assert applied(spark, strings.one_line, [" a\nb \t", None]) == ["a b", None]
-    assert applied(spark, strings.unescape, [" a &amp;lt; b &lt;c&gt; "]) == ["a &lt; b <c>"]
+    assert applied(spark, strings.unescape, [" a &amp;lt; b &lt;c&gt; ", None]) == ["a &lt; b <c>", None]
+    assert applied(spark, strings.capitalised, ["eNERO", "ñandú", "", None]) == ["Enero", "Ñandú", "", None]
     assert applied(spark, strings.grade_of_image, ["x/LetraB.png", "LetraA+.png", "Letra--.png", "x"]) == ["B", "A+", None, None]
     assert applied(spark, lambda c: strings.composite_key(F.lit(1), c), ["x", None]) == ["1:x", "1:None"]
     assert applied(spark, lambda c: strings.shown(c, True), [True, False, None], "boolean") == ["True", "False", "null"]

@@ -1,10 +1,15 @@
 """Operators on small cases whose results are known."""
 
+import datetime
+import json
+import random
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from parcela.operators import cells, diagnostics, directory, glyphs, grid, layout, nested, persist, work
-from parcela.plans import daily
+from parcela.operators import cells, diagnostics, directory, glyphs, grid, layout, mirror, nested, persist, work
+from parcela.plans import catalogue, daily, engine, report
 
 
 def rows(df, *columns):
@@ -119,6 +124,166 @@ def test_boxes(spark):
     assert rows(layout.in_boxes(spans, boxes, blank=True), "field", "text") == [("f", "a b"), ("g", "")]
 
 
+class Memory:
+    """A mirror in files, as sessions are other processes."""
+
+    def __init__(self, folder, refuse=()):
+        self.folder, self.refuse = folder, refuse
+
+    def _path(self, table, value):
+        return self.folder / f"{table}_{value}.json"
+
+    def search(self, table, key, value):
+        if value in self.refuse:
+            raise RuntimeError("HTTP 500 " + "x" * 300)
+        path = self._path(table, value)
+        return str(path) if path.exists() else None
+
+    def create(self, table, row):
+        self._path(table, row["eval_id"]).write_text(json.dumps(row))
+
+    def update(self, table, ident, row):
+        Path(ident).write_text(json.dumps(row | {"updated": True}))
+
+
+def test_mirror_writes_and_stamps(spark, tmp_path):
+    schema = "eval_id string, day date, at timestamp, synced_at date, processed_at date, id int"
+    rows_ = [(f"e{i}", datetime.date(2020, 1, 1), datetime.datetime(2020, 1, 1, 5), None, None, 9) for i in range(10)]
+    work_ = spark.createDataFrame(rows_, schema)
+    sent = persist.mirror_delta(work_)
+    after, results = mirror.sync(work_, {"evaluaciones": (work_, "eval_id")}, sent, lambda: Memory(tmp_path), F.lit("2030-01-01"), sessions=3)
+    assert results == {"evaluaciones": {"created": 10, "updated": 0, "remaining": 0, "error": None}}
+    assert after.where("synced_at = date'2030-01-01'").count() == 10 and persist.mirror_delta(after).isEmpty()
+    assert json.loads((tmp_path / "evaluaciones_e3.json").read_text()) == {"eval_id": "e3", "day": "2020-01-01", "at": "2020-01-01T05:00:00+00:00", "synced_at": None, "processed_at": None}
+    again = mirror.write(work_.union(work_), "evaluaciones", "eval_id", lambda: Memory(tmp_path), 3)
+    assert again == {"created": 0, "updated": 20, "remaining": 0, "error": None}
+    fresh = mirror.write(work_.union(work_), "other", "eval_id", lambda: Memory(tmp_path), 3)
+    assert (fresh["created"], fresh["updated"]) == (10, 10)
+
+
+def test_a_failed_table_stops_and_stamps_nothing(spark, tmp_path):
+    work_ = spark.createDataFrame([(f"e{i}", None) for i in range(10)], "eval_id string, synced_at date")
+    detail = spark.createDataFrame([("e1", 1), ("e2", 2), ("q", 3)], "eval_id string, v int")
+    tables = {"evaluaciones": (work_, "eval_id"), "pagina1": (detail, "eval_id")}
+    after, results = mirror.sync(work_, tables, work_, lambda: Memory(tmp_path, ["e4"]), F.lit("2030-01-01"), sessions=1)
+    one = results["evaluaciones"]
+    assert one["created"] == 4 and one["remaining"] == 6 and len(one["error"]) == 150
+    assert results["pagina1"] == {"created": 2, "updated": 0, "remaining": 0, "error": None}
+    assert after.where("synced_at is not null").count() == 0
+
+
+def test_table_names():
+    assert persist.table_column("pagina1", "tipo_evaluacion") == "tipo_evaluacion_nombre"
+    assert persist.table_column("pagina2", "zona_termica") == "zona_termica_nombre"
+    assert persist.table_column("pagina3_consumos", "consumo_total_ep_obj_kwh") == "consumo_total_energia_primaria_objeto_kwh"
+    assert persist.table_column("pagina4", "demanda_enfri_viv_ref_kwh") == "demanda_enfriamiento_viv_ref_kwh"
+    assert {persist.table_column(t, "codigo_evaluacion") for t in report.TABLES} == {"codigo_evaluacion_energetica"}
+
+
+def test_whole_report(spark):
+    """A span in the middle of every box of a document comes out as that field's text; a second document has page 1 alone."""
+    spans = []
+    for f in (f for p in range(1, 8) for f in catalogue.fields(p) if f.kind not in ("block", "label")):
+        x, y = (f.box[0] + f.box[2]) / 2, (f.box[1] + f.box[3]) / 2
+        text = {"integer": "45", "date": "10 de mayo de 2017", "text": f"t {f.name}", "line": f"t {f.name}"}.get(f.kind, "1.234,5")
+        for d in ("a", "b") if f.page == 1 else ("a",):
+            spans.append((d, f.page, 431.8, 660.0, 2 * x - 1, 2 * y - 1, 2 * x + 1, 2 * y + 1, 12.0, text))
+    df = spark.createDataFrame(spans, "doc_id string, page_no int, page_w double, page_h double, x0 double, y0 double, x1 double, y1 double, font_size double, text string")
+    tables = report.extract(df, "doc_id")
+    counts = {(r.doc_id, r.table_name): r.n_rows for r in report.page_rows(tables, "doc_id").collect()}
+    assert {t: counts["a", t] for t in report.TABLES} == report.TABLES
+    assert {t: counts["b", t] for t in report.TABLES} == {t: int(t == "pagina1") for t in report.TABLES}
+    assert {r.table_name for r in report.page_rows(tables, "doc_id", "b").collect()} == set(report.TABLES)
+    one = tables["pagina1"].where("doc_id = 'a'").first()
+    assert (one.porcentaje_ahorro, one.letra_eficiencia_energetica_dem, one.emitida_el) == (45, "C", datetime.date(2017, 5, 10))
+    assert one.comuna_nombre == "t comuna" and one.demanda_total_kwh_m2_ano == 1234.5
+    third = tables["pagina3_consumos"].first()
+    assert len(tables["pagina3_consumos"].columns) == 53 and third.agua_caliente_sanitaria_porcentaje == 1234.5 and third.coeficiente_energetico_c == 1234.5
+    assert tables["pagina4"].where("sobrecalentamiento_viv_ref_hr = 1234.5 and codigo_evaluacion_energetica = 't codigo_evaluacion'").count() == 12
+    checked = {r.eval_id: r for r in report.validated(tables, "doc_id").collect()}
+    assert checked["a"].ok and checked["a"].p6_rows == 96 and checked["a"].p6_filled == 0 and not checked["b"].ok
+
+
+def test_merge_blobs_against_a_loop(spark):
+    r = random.Random(4)
+    boxes = [(k, r.randint(0, 30), r.randint(0, 9), r.randint(1, 6), r.randint(1, 12)) for k in range(40) for _ in range(r.randint(0, 9))]
+    want = []
+    for k in range(40):
+        folded = []
+        for x, y, w, h in sorted(b[1:] for b in boxes if b[0] == k):
+            if folded and x - folded[-1][0] - folded[-1][2] <= 2 and abs(h - folded[-1][3]) < 0.6 * max(h, folded[-1][3]):
+                px, py, pw, ph = folded[-1]
+                folded[-1] = (px, min(py, y), max(px + pw, x + w) - px, max(py + ph, y + h) - min(py, y))
+            else:
+                folded.append((x, y, w, h))
+        want += [(k, i, *b) for i, b in enumerate(folded)]
+    out = glyphs.merge_blobs(spark.createDataFrame(boxes, "k int, x int, y int, w int, h int"), ["k"])
+    assert rows(out, "k", "ord", "x", "y", "w", "h") == sorted(want)
+
+
+def test_classify_by_the_batch(spark):
+    r = random.Random(2)
+    wall = [(str(i % 3), i, [r.random() for _ in range(6)]) for i in range(9)]
+    given = [(i, None if i % 11 == 0 else [1.0] * 6 if i % 13 == 0 else [0.5, None] * 3 if i % 17 == 0 else [r.random() for _ in range(5 if i % 7 == 0 else 6)]) for i in range(200)]
+
+    def best(v):
+        if v is None or len(v) != 6 or None in v or len(set(v)) == 1:
+            return ("?", -1.0)
+        found = []
+        for label, n, t in sorted(wall, key=lambda x: x[:2]):
+            a, b = [x - sum(v) / 6 for x in v], [x - sum(t) / 6 for x in t]
+            like = sum(p * q for p, q in zip(a, b, strict=True)) / (sum(p * p for p in a) * sum(q * q for q in b)) ** 0.5
+            found.append((round(like, 9), label))
+        top = max(f[0] for f in found)
+        return next((label, s) for s, label in found if s == top)
+
+    g = spark.createDataFrame(given, "id int, pixels array<double>")
+    t = spark.createDataFrame(wall, "label string, exemplar_no int, exemplar array<double>")
+    out = {x.id: (x.best, round(x.score, 9)) for x in glyphs.classify(g, t, "id").collect()}
+    assert out == {i: best(v) for i, v in given}
+
+
+def test_stride_sample_of_a_hot_label(spark):
+    data = [("hot", i) for i in range(500)] + [("few", i) for i in range(5)]
+    out = glyphs.stride_sample(spark.createDataFrame(data, "label string, i int").repartition(7), "label", ["i"])
+    assert rows(out, "label", "i") == sorted([("few", i) for i in range(5)] + [("hot", 41 * k) for k in range(12)])
+
+
+def test_engine_runs_the_chains(spark, tmp_path):
+    """Two days: the second sees only what is new, a failed unit keeps its error, and the mirror's stamp waits for success."""
+    from tests.test_sources import page
+
+    source, box = tmp_path / "site", tmp_path / "mirror"
+    source.mkdir()
+    box.mkdir()
+
+    def put(comuna, tipo, number, ids, total):
+        (source / f"{comuna}_{tipo}_{number}.html").write_text(page(ids, total, tipo), encoding="utf-8")
+
+    put(5, 1, 1, [f"a{i}" for i in range(10)], 12)
+    put(5, 1, 2, ["a10", "a11"], 12)
+    (source / "6_1_1.html").write_bytes(b"\xff\xfe broken")
+    communes = spark.createDataFrame([(5, 1), (6, 1), (7, 2)], "comuna_id int, region_id int")
+    outcome = lambda df: df.select("eval_id", F.lit(7).alias("page_count"), F.when(F.col("identificacion") == "a3", "boom").alias("extract_error"), F.lit(True).alias("valid"))
+    refuse = ["no"]
+    e = engine.Engine(spark, str(tmp_path / "store"), str(source), communes, outcome, lambda: Memory(box, refuse), "2024-01-01", daily.Settings(regions=(1, 2)))
+    out = daily.daily(e.steps(), e.settings)
+    assert out["discovery"]["regions"][1] == {"rows_new": 12, "errors": 1, "units": 4} and out["pending"] == 12
+    assert out["drain"] == {"selected": 12, "extracted": 11, "skipped": 0, "failed": 1}
+    assert out["mirror"]["evaluaciones"]["created"] == 12 and out["cleanup"] == {}
+    failed = e.progress.read().where("last_error is not null").collect()
+    assert [(r.comuna_id, r.tipo, r.status) for r in failed] == [(6, 1, "pending")]
+
+    put(5, 1, 2, ["a10", "a11", "a12"], 13)
+    put(6, 1, 1, ["b1"], 1)
+    e.now = "2024-01-02"
+    out = daily.daily(e.steps(), e.settings)
+    assert out["discovery"]["rows_new"] == 2 and out["pending"] == 2 and out["mirror"]["evaluaciones"] == {"created": 2, "updated": 0, "remaining": 0, "error": None}
+    assert e.reports.read().count() == 14 and e.progress.read().where("last_error is not null").count() == 0
+    assert e.reports.read().where("synced_at is null").count() == 0
+    assert daily.backfill([1], e.steps(), with_drain=False)["rows_new"] == 0
+
+
 def test_daily_survives_a_region():
     def discover(region):
         if region == 7:
