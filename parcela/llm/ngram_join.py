@@ -204,7 +204,7 @@ def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total:
     pool_end = np.uint64(min(below, 2**64 - 1))
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, turn = {}, [0]
+        seen: dict[int, tuple[int, int, np.ndarray]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             classes = np.zeros(len(seen), _CLASS)
@@ -217,13 +217,14 @@ def _shared(rows: DataFrame, sets_of: Callable, percent: int, below: int, total:
             order = np.argsort(token)
             token, cls = token[order], cls[order]
             marks, often = _common(token, _COMMON)
-            turn[0] += 1
-            out = [(turn[0] % deal, "class", classes.tobytes())]
+            # Any part will do, but not the same of all tasks.
+            home = int(classes["cls"][0]) % deal
+            out = [(home, "class", classes.tobytes())]
             out += [(p, "mark", x.tobytes()) for p, x in _dealt(marks, (marks % np.uint64(deal)).astype(np.int64))]
             if often.any():
                 by = np.zeros(int(often.sum()), _ENTRY)
                 by["cls"], by["token"], by["level"] = cls[often], token[often], 255
-                out.append(((turn[0] * 7919) % deal, "entry", by.tobytes()))
+                out.append(((home * 7919 + 1) % deal, "entry", by.tobytes()))
             pairs = np.zeros(len(token) - int(often.sum()), _PAIR)
             pairs["cls"], pairs["token"] = cls[~often], token[~often]
             out += [(p, "token", _token_blob(x["cls"], x["token"])) for p, x in _dealt(pairs, (pairs["token"] % np.uint64(deal)).astype(np.int64))]
