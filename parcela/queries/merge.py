@@ -70,12 +70,16 @@ def mirror_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return persist.with_mirror_key(rows, ["l_orderkey", "mes", "hora"]).select("mirror_key").distinct()
 
 
-_TYPED = [(1, "a", "TEXT"), (1, "b", "BIGINT"), (1, "c", None), (1, "id", "BIGINT"), (1, "d", "TINYINT"), (2, "a", "DOUBLE"), (2, "b", "DOUBLE"), (2, "c", "TEXT"), (2, "d", None), (3, "a", "BIGINT"), (3, "e", None)]
-
-
-@query("select * from (values ('a', 'DOUBLE'), ('b', 'BIGINT'), ('c', 'TEXT'), ('d', 'TINYINT'), ('e', 'TEXT')) t(name, sql_type)")
+@query("""with v as (select l_orderkey as row_no, unnest(['id', 'a', 'b', 'c', 'd']) as name, unnest(['BIGINT', case when l_orderkey > 40 then 'DOUBLE' when l_orderkey > 20 then 'TEXT' end,
+case when l_orderkey % 9 = 8 then 'TINYINT' when l_orderkey > 30 then 'BIGINT' else 'TEXT' end, case when l_orderkey % 2 = 0 then 'TEXT' end, null]) as t from (select distinct l_orderkey from lineitem))
+select name, coalesce(arg_min(t, row_no) filter (t <> 'TEXT'), 'TEXT') as sql_type from v where name <> 'id' group by 1""")
 def ddl_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return persist.inferred_types(spark.createDataFrame(_TYPED, "row_no int, name string, value_type string"))
+    """The types of values that change from row to row."""
+    values = """explode(map('id', 'BIGINT', 'a', case when l_orderkey > 40 then 'DOUBLE' when l_orderkey > 20 then 'TEXT' end,
+        'b', case when l_orderkey % 9 = 8 then 'TINYINT' when l_orderkey > 30 then 'BIGINT' else 'TEXT' end,
+        'c', if(l_orderkey % 2 = 0, 'TEXT', null), 'd', null)) as (name, value_type)"""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct().selectExpr("l_orderkey as row_no", values)
+    return persist.inferred_types(rows)
 
 
 @query("""select 'CREATE TABLE IF NOT EXISTS `nation` (`id` BIGINT PRIMARY KEY, `mirror_key` TEXT, `n_nationkey` BIGINT, `n_name` TEXT, `n_regionkey` BIGINT)' as statement
