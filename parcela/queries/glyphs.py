@@ -56,9 +56,14 @@ def blob_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", kind.alias("kind"))
 
 
-@query(None)
+@query("""with recursive b as (select l_orderkey, l_quantity::int as x, 0 as y, 3 as w, (10 + l_linenumber)::int as h,
+row_number() over (partition by l_orderkey order by l_quantity::int, l_linenumber) as rn from lineitem),
+f as (select l_orderkey, rn, 0 as ord, x, y, w, h from b where rn = 1 union all
+select b.l_orderkey, b.rn, f.ord + (not t.j)::int, case when t.j then f.x else b.x end, case when t.j then least(f.y, b.y) else b.y end,
+case when t.j then greatest(f.x + f.w, b.x + b.w) - f.x else b.w end, case when t.j then greatest(f.y + f.h, b.y + b.h) - least(f.y, b.y) else b.h end
+from f join b on b.l_orderkey = f.l_orderkey and b.rn = f.rn + 1, lateral (select b.x - (f.x + f.w) <= 2 and abs(b.h - f.h) < 0.6 * greatest(b.h, f.h) as j) t)
+select l_orderkey, ord::int as ord, arg_max(x, rn)::int as x, arg_max(y, rn)::int as y, arg_max(w, rn)::int as w, arg_max(h, rn)::int as h from f group by l_orderkey, ord""")
 def blob_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is merged depends on what was merged before, so a fold in order is checked by a test instead."""
     boxes = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "cast(l_quantity as int) as x", "0 as y", "3 as w", "cast(10 + l_linenumber as int) as h")
     return op.merge_blobs(boxes, ["l_orderkey"])
 

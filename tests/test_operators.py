@@ -52,6 +52,21 @@ def test_transition_and_summary(spark):
     assert work.drain_summary(out).first().asDict() == {"selected": 5, "extracted": 1, "skipped": 1, "failed": 3}
 
 
+def test_a_random_order_is_that_of_its_seed(spark):
+    queue = spark.range(300).withColumnRenamed("id", "eval_id")
+    order = lambda seed, n=3: [r.eval_id for r in work.shuffled(queue.repartition(n), seed).collect()]
+    assert order(1) == order(1, 7) and sorted(order(1)) == list(range(300)) and order(1) != order(2) != sorted(order(2))
+
+
+def test_small_numbers_and_scores(spark):
+    """Rules that have no query of their own: data rows of a band list, sure cells, and the older number rule."""
+    bands = spark.createDataFrame([(1, [(0.0, 2.0), (5.0, 8.0), (9.0, 12.0)]), (2, [(1.0, 3.0), (4.0, 6.0)]), (3, [(1.0, 3.0)])], "k int, b array<struct<begin: double, end: double>>")
+    out = {r.k: [tuple(x) for x in r.d] for r in bands.select("k", grid.data_rows(F.col("b"), F.lit(10.0), F.lit(30.0)).alias("d")).collect()}
+    assert out == {1: [(5, 8), (9, 12)], 2: [(1, 3), (4, 6)], 3: [(20, 30), (30, 40)]}
+    sure = spark.createDataFrame([(1, 0.6, 20.0), (2, 0.5, 20.0), (3, 0.9, 60.0), (4, 0.55, -20.0)], "k int, confidence double, value double")
+    assert rows(glyphs.low_scores_out(sure), "k") == [(1,), (4,)]
+
+
 def test_validation(spark):
     hours = spark.createDataFrame([("a", "c", 1.0, 2.0, False)] * 96 + [("b", None, None, 2.0, True)] * 96, "eval_id string, codigo string, outer double, inner double, low_confidence boolean")
     assert rows(work.validation(hours), "eval_id", "has_codigo", "p6_filled", "p6_low_confidence", "ok") == [("a", True, 96, 0, True), ("b", False, 0, 96, False)]
