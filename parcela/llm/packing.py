@@ -78,23 +78,24 @@ def pack_sizes(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS, overhead:
     return placed
 
 
-def pieces(docs: DataFrame, most: int) -> DataFrame:
-    """(doc_id, mark, n, copy, piece, start, n_tokens): each document cut where it is longer than ``most`` words.
+def pieces(docs: DataFrame, most: int, tokens: str | None = None) -> DataFrame:
+    """(doc_id, mark, n, copy, piece, start, n_tokens): each document cut where it is longer than ``most`` tokens.
 
-    A null or blank text has no pieces. ``mark`` stands for the text; rows that share doc_id and text
+    Tokens are words, or what the column ``tokens`` counts. A document without any has no pieces. ``mark`` stands for the text; rows that share doc_id and text
     are told apart by ``copy``, a count from 0.
     """
-    sized = docs.select("doc_id", text_mark().alias("mark"), F.expr(f"cast(size({words_sql()}) as bigint)").alias("n")).where("n > 0")
+    sized = docs.select("doc_id", text_mark().alias("mark"), F.expr(f"cast(size({words_sql()}) as bigint)" if tokens is None else f"cast(`{tokens}` as bigint)").alias("n")).where("n > 0")
     # One row for each id and text keeps repeated rows whole without a window.
     counted = sized.groupBy("doc_id", "mark", "n").count().select("doc_id", "mark", "n", F.explode(F.expr("sequence(0L, count - 1)")).alias("copy"))
     cut = counted.select("doc_id", "mark", "n", "copy", F.explode(F.expr(f"sequence(0L, (n - 1) div {most})")).alias("piece"))
     return cut.select("doc_id", "mark", "n", "copy", "piece", F.expr(f"piece * {most}").alias("start"), F.expr(f"least({most}, n - piece * {most})").alias("n_tokens"))
 
 
-def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
+def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVERHEAD, shard: int = SHARD, tokens: str | None = None) -> DataFrame:
     """A row per piece: doc_id, mark, copy, piece, start, n_tokens, bin_id, bin_length, bin_tokens, offset.
 
-    Pieces (words ``start`` to ``start + n_tokens`` of a document; only a document over the largest
+    Tokens are words, or the column ``tokens`` of ``docs`` says how many a document has (those of ``tokenfile.read``
+    can be joined to it; a null count is as none). Pieces (tokens ``start`` to ``start + n_tokens`` of a document; only a document over the largest
     length has more than one) are dealt to shards by a hash of their own key, so no source or group
     of copies meets in one; ``shard`` bounds the mean. Each shard is packed by best fit, largest
     first, and at last each bin is cut down to the shortest permitted length that holds its pieces.
@@ -105,7 +106,7 @@ def pack(docs: DataFrame, lengths: Sequence[int] = LENGTHS, overhead: int = OVER
     lengths = sorted(set(lengths))
     if not lengths or lengths[0] < 1:
         raise ValueError("lengths must be positive")
-    cut = pieces(docs, lengths[-1])
+    cut = pieces(docs, lengths[-1], tokens)
     # From row counts only: words per piece are bounded, and a document has one piece at least.
     n = max(1, -(-docs.count() // shard))
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "mark", "n", "copy", "piece")
@@ -147,6 +148,19 @@ def with_texts(packed: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.select(*packed.columns, F.expr(whole).alias("text"))
 
 
+def sequences(packed: DataFrame, ids: DataFrame) -> DataFrame:
+    """(bin_id, bin_length, ids, starts): the token ids of each bin in order, and where its pieces begin, for training.
+
+    ``packed`` is by token counts, and ``ids`` (doc_id, ids; ``tokenfile.documents``) has each id's tokens once. A bin has
+    at most the largest length's tokens, so neither its group nor its row grows with the data.
+    """
+    part = F.expr("slice(ids, cast(start as int) + 1, cast(n_tokens as int))")
+    joined = packed.join(ids.select(F.col("doc_id").alias("__id"), "ids"), F.col("doc_id") == F.col("__id"))
+    cut = joined.select("bin_id", "bin_length", F.struct("offset", part.alias("ids")).alias("p"))
+    held = cut.groupBy("bin_id", "bin_length").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    return held.select("bin_id", "bin_length", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"), F.transform("p", lambda x: x["offset"]).alias("starts"))
+
+
 def bins(packed: DataFrame) -> DataFrame:
     """A row per bin: bin_id, bin_length, bin_tokens and its pieces in order, with their texts if ``packed`` has them."""
     own = [c for c in ("text",) if c in packed.columns]

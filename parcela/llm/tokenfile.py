@@ -424,6 +424,20 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return placed.mapInArrow(decoded, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def documents(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id and ids (with the end id) of every document of the files, decoded block by block."""
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for blob in b.column("payload").to_pylist():
+                block = Block(blob)
+                ends = np.concatenate(([0], np.cumsum(block.counts.astype(np.int64)))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(block.all().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(block.doc_ids, mask=block.doc_ids == NO_ID), lists], ["doc_id", "ids"])
+
+    return spark.read.parquet(path).select("payload").mapInArrow(decoded, "doc_id bigint, ids array<int>")
+
+
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> dict[int, list[int]]:
     """The ids of a few documents, each decoded alone.
 

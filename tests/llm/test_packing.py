@@ -4,6 +4,7 @@ from collections import defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from parcela.llm import packing
 
@@ -126,3 +127,26 @@ def test_texts_of_pieces_make_the_documents(odd, odd_rows):
     assert got == sorted((str(r[0]), r[1].rstrip("\x20\t\n\x0b\x0c\r")) for r in odd_rows if words(r[1]))
     full = packing.bins(out).first()
     assert all(p.text for p in full.pieces) and full.bin_tokens == sum(p.n_tokens for p in full.pieces)
+
+
+def test_sequences_of_token_ids(spark, odd):
+    """The ids of all pieces of a document, put together, are those that the tokenizer gives its whole text."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from parcela.llm import tokenfile
+
+    name = public_tokenizers.path("word_bpe_49k.json")
+    docs = odd.where("doc_id is not null and doc_id <> 100").select("doc_id", "text")
+    path = tokenfile.write(docs, name)
+    counted = docs.join(tokenfile.read(spark, path).select("doc_id", F.col("n_tokens").alias("n")), "doc_id")
+    packed = packing.pack(counted, (64, 1024), shard=8, tokens="n")
+    where = {}
+    for r in packed.collect():
+        where.setdefault(r.doc_id, []).append((r.start, r.bin_id, r.offset, r.n_tokens))
+    bins = {r.bin_id: r for r in packing.sequences(packed, tokenfile.documents(spark, path)).collect()}
+    assert all(len(b.ids) <= b.bin_length and b.starts[0] == 0 for b in bins.values())
+    t = Tokenizer.from_file(name)
+    for r in docs.collect():
+        got = [x for _, b, at, n in sorted(where[r.doc_id]) for x in bins[b].ids[at : at + n]]
+        assert got == [*t.encode(r.text or "", add_special_tokens=False).ids, 2]
