@@ -88,8 +88,11 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...]
     every = F.array(*[F.lit(r.pair) for r in rules])
     if ledger is None:
         ledger = scratch(spark, "ledger")
-        again = small(counted.where("n > 1").select("blob_id"), _NAMED)
-        single, copied = texts.join(again, "blob_id", "left_anti"), texts.join(again, "blob_id", "left_semi")
+        # 64 bits will do: a blob that shares its own with a copied one is just grouped with the copies.
+        mark = F.xxhash64("blob_id").alias("mark")
+        again = small(counted.where("n > 1").select(mark), _NAMED)
+        marked = texts.withColumn("mark", mark)
+        single, copied = (marked.join(again, "mark", how).drop("mark") for how in ("left_anti", "left_semi"))
         todo = single.union(copied.groupBy("blob_id").agg(F.first("text").alias("text")).select(*single.columns)).withColumn("todo", every)
     else:
         seen = spark.read.parquet(ledger).select("blob_id", F.explode("pairs").alias("pair")).groupBy("blob_id").agg(F.collect_set("pair").alias("seen"))
