@@ -144,30 +144,39 @@ def low_scores_out(cells: DataFrame, least: float = 0.55) -> DataFrame:
     return cells.where((F.col("confidence") >= least) & F.col("value").between(-20.0, 50.0))
 
 
-def merge_blobs(blobs: DataFrame, key: Sequence[str], gap: int = 2, alike: float = 0.6) -> DataFrame:
-    """Neighbouring boxes (x, y, w, h) that belong to one glyph, joined from left to right.
-
-    A box joins the one before when at most ``gap`` pixels part them and their heights differ by
-    less than ``alike`` of the larger. What is merged grows, so the rows of a cell are folded in
-    order; a cell has a few dozen at most.
-    """
-    box = F.array_sort(F.collect_list(F.struct("x", "y", "w", "h")))
-    folded = F.expr(f"""aggregate(boxes, cast(array() as array<struct<x: int, y: int, w: int, h: int>>), (acc, b) ->
-        if(size(acc) > 0 and b.x - (acc[size(acc) - 1].x + acc[size(acc) - 1].w) <= {gap}
-           and abs(b.h - acc[size(acc) - 1].h) < {alike} * greatest(b.h, acc[size(acc) - 1].h),
-           concat(slice(acc, 1, size(acc) - 1), array(named_struct(
-               'x', acc[size(acc) - 1].x, 'y', least(acc[size(acc) - 1].y, b.y),
-               'w', greatest(acc[size(acc) - 1].x + acc[size(acc) - 1].w, b.x + b.w) - acc[size(acc) - 1].x,
-               'h', greatest(acc[size(acc) - 1].y + acc[size(acc) - 1].h, b.y + b.h) - least(acc[size(acc) - 1].y, b.y)))),
-           concat(acc, array(named_struct('x', b.x, 'y', b.y, 'w', b.w, 'h', b.h)))))""")
-    return blobs.groupBy(*key).agg(box.alias("boxes")).withColumn("boxes", folded).select(*key, F.posexplode("boxes").alias("ord", "b")).select(*key, "ord", "b.*")
+def digit_height(blobs: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, digit_h): the median height of a cell's boxes over 8 pixels high, else its highest; boxes of an area under 6 don't count."""
+    tall = F.col("h") > 8
+    found = blobs.where("area >= 6").groupBy(*key).agg(F.percentile(F.when(tall, F.col("h")), F.lit(0.5)).alias("__m"), F.max("h").alias("__x"))
+    return found.select(*key, F.coalesce("__m", F.col("__x").cast("double")).alias("digit_h"))
 
 
-def blob_kind(w: Column, h: Column, area: Column, y: Column, cell_h: Column) -> Column:
-    """noise (tiny), grid (tall and thin), comma (short and low) or digit."""
+def blob_kind(w: Column, h: Column, area: Column, y: Column, cell_h: Column, digit_h: Column) -> Column:
+    """noise (tiny), grid (taller than digits and thin), comma (short and low) or digit."""
     return (
         F.when(area < 5, "noise")
-        .when((h > 0.85 * cell_h) & (w < 0.15 * h), "grid")
-        .when((h < 0.35 * cell_h) & (y > 0.5 * cell_h), "comma")
+        .when((h > 1.18 * digit_h) & (w <= 6), "grid")
+        .when((h <= 0.45 * digit_h) & (y > 0.45 * cell_h), "comma")
         .otherwise("digit")
     )
+
+
+def merge_blobs(blobs: DataFrame, key: Sequence[str], gap: int = 2, alike: float = 0.6, comma: str | None = None) -> DataFrame:
+    """Neighbouring boxes (x, y, w, h) that belong to one glyph, joined from left to right; a row a glyph, in order.
+
+    A box joins the one before when at most ``gap`` pixels part them and their heights differ by
+    less than ``alike`` of the one before, unless one of both is a ``comma`` (a boolean column). What is merged grows, so the
+    rows of a cell are folded in order; a cell has a few dozen at most.
+    """
+    flag = F.lit(False) if comma is None else F.coalesce(F.col(comma), F.lit(False))
+    box = F.array_sort(F.collect_list(F.struct("x", "y", "w", "h", flag.alias("comma"))))
+    folded = F.expr(f"""aggregate(boxes, cast(array() as array<struct<x: int, y: int, w: int, h: int, comma: boolean>>), (acc, b) ->
+        if(size(acc) > 0 and not b.comma and not acc[size(acc) - 1].comma and b.x <= acc[size(acc) - 1].x + acc[size(acc) - 1].w + {gap}
+           and abs(b.h - acc[size(acc) - 1].h) < {alike} * acc[size(acc) - 1].h,
+           concat(slice(acc, 1, size(acc) - 1), array(named_struct(
+               'x', acc[size(acc) - 1].x, 'y', least(acc[size(acc) - 1].y, b.y),
+               'w', greatest(acc[size(acc) - 1].x + acc[size(acc) - 1].w, b.x + b.w) - acc[size(acc) - 1].x,
+               'h', greatest(acc[size(acc) - 1].y + acc[size(acc) - 1].h, b.y + b.h) - least(acc[size(acc) - 1].y, b.y), 'comma', false))),
+           concat(acc, array(named_struct('x', b.x, 'y', b.y, 'w', b.w, 'h', b.h, 'comma', b.comma)))))""")
+    out = blobs.groupBy(*key).agg(box.alias("boxes")).withColumn("boxes", folded).select(*key, F.posexplode("boxes").alias("ord", "b")).select(*key, "ord", "b.*")
+    return out.drop("comma") if comma is None else out.withColumnRenamed("comma", comma)

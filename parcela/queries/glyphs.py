@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcela.operators import glyphs as op
-from parcela.operators import grid
+from parcela.operators import grid, pictures
 
 from .registry import query, table
 
@@ -48,20 +48,47 @@ def cell_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.cell_confidence(table(spark, sf_dir, "orders"), lines, ["o_orderkey"])
 
 
-@query("""select p_partkey, case when p_size % 8 < 2 then 'noise' when p_size > 0.85 * 40 and p_size % 5 + 1 < 0.15 * p_size then 'grid'
-when p_size < 0.35 * 40 and p_partkey % 40 > 0.5 * 40 then 'comma' else 'digit' end as kind from part""")
+@query("""select p_partkey, case when p_size % 8 < 2 then 'noise' when p_size > 1.18 * (p_partkey % 30) and p_size % 9 + 1 <= 6 then 'grid'
+when p_size <= 0.45 * (p_partkey % 30) and p_partkey % 40 > 0.45 * 40 then 'comma' else 'digit' end as kind from part""")
 def blob_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.col("p_size")
-    kind = op.blob_kind(s % 5 + 1, s, (s % 8) * 3, F.col("p_partkey") % 40, F.lit(40))
+    s, k = F.col("p_size"), F.col("p_partkey")
+    kind = op.blob_kind(s % 9 + 1, s, (s % 8) * 3, k % 40, F.lit(40), k % 30)
     return table(spark, sf_dir, "part").select("p_partkey", kind.alias("kind"))
 
 
+@query("""select l_orderkey, coalesce(median(l_quantity) filter (l_quantity > 8), max(l_quantity))::double as digit_h from lineitem where l_linenumber + 3 >= 6 group by 1""")
+def digit_height(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boxes = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").alias("h"), (F.col("l_linenumber") + 3).alias("area"))
+    return op.digit_height(boxes, ["l_orderkey"])
+
+
+@query("""select p_partkey, 'b' || i as what, x::int as x, y::int as y, w::int as w, h::int as h, (w * h)::int as area from part, lateral (select 1 as i, 2 as x, 1 as y, p_size % 5 + 1 as w, p_size % 7 + 1 as h
+union all select 2, p_size % 5 + 5, p_size % 3 + 1, 3, 2 union all select 3, 20, 9, 1, 1) b""")
+def cell_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three dark rectangles on each grey cell are found again; none touches another."""
+    inside = lambda x, y, w, h: f"(x >= {x} and x < {x} + {w} and y >= {y} and y < {y} + {h})"
+    dark = " or ".join([inside("2", "1", "(p_size % 5 + 1)", "(p_size % 7 + 1)"), inside("(p_size % 5 + 5)", "(p_size % 3 + 1)", "3", "2"), inside("20", "9", "1", "1")])
+    picture = F.expr(f"transform(sequence(0, 11), y -> transform(sequence(0, 23), x -> cast(if({dark}, 20 + x % 3, 200 + y) as int)))")
+    found = pictures.blobs(table(spark, sf_dir, "part").select("p_partkey", picture.alias("pixels")), ["p_partkey"])
+    what = F.when(F.col("x") == 2, "b1").when(F.col("x") == 20, "b3").otherwise("b2")
+    return found.select("p_partkey", what.alias("what"), "x", "y", "w", "h", "area")
+
+
+@query("""select p_partkey, (i - 1)::int as pos, case when ((i - 1) % 24) // 6 < p_size % 4 then 0.0 else 255.0 end::double as value from part, range(1, 769) t(i) where p_size % 4 > 0""")
+def glyph_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of 8 by 4 pixels with some dark columns, black and white in 32 by 24."""
+    grey = "if(x >= 3 and y >= 2 and y < 10 and x - 3 < p_size % 4, 30 + y, 210 - x)"
+    picture = F.expr(f"transform(sequence(0, 11), y -> transform(sequence(0, 9), x -> {grey}))")
+    cells = table(spark, sf_dir, "part").where("p_size % 4 > 0").select("p_partkey", picture.alias("pixels"), F.lit(3).alias("x"), F.lit(2).alias("y"), F.lit(4).alias("w"), F.lit(8).alias("h"))
+    return pictures.normalised(cells, ["p_partkey"]).select("p_partkey", F.posexplode("pixels").alias("pos", "value"))
+
+
 @query("""with recursive b as (select l_orderkey, l_quantity::int as x, 0 as y, 3 as w, (10 + l_linenumber)::int as h,
 row_number() over (partition by l_orderkey order by l_quantity::int, l_linenumber) as rn from lineitem),
 f as (select l_orderkey, rn, 0 as ord, x, y, w, h from b where rn = 1 union all
 select b.l_orderkey, b.rn, f.ord + (not t.j)::int, case when t.j then f.x else b.x end, case when t.j then least(f.y, b.y) else b.y end,
 case when t.j then greatest(f.x + f.w, b.x + b.w) - f.x else b.w end, case when t.j then greatest(f.y + f.h, b.y + b.h) - least(f.y, b.y) else b.h end
-from f join b on b.l_orderkey = f.l_orderkey and b.rn = f.rn + 1, lateral (select b.x - (f.x + f.w) <= 2 and abs(b.h - f.h) < 0.6 * greatest(b.h, f.h) as j) t)
+from f join b on b.l_orderkey = f.l_orderkey and b.rn = f.rn + 1, lateral (select b.x - (f.x + f.w) <= 2 and abs(b.h - f.h) < 0.6 * f.h as j) t)
 select l_orderkey, ord::int as ord, arg_max(x, rn)::int as x, arg_max(y, rn)::int as y, arg_max(w, rn)::int as w, arg_max(h, rn)::int as h from f group by l_orderkey, ord""")
 def blob_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "cast(l_quantity as int) as x", "0 as y", "3 as w", "cast(10 + l_linenumber as int) as h")

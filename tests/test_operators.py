@@ -5,10 +5,11 @@ import json
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcela.operators import cells, diagnostics, directory, glyphs, grid, layout, mirror, nested, persist, work
+from parcela.operators import cells, diagnostics, directory, glyphs, grid, layout, mirror, nested, persist, pictures, work
 from parcela.plans import catalogue, daily, engine, report
 
 
@@ -121,6 +122,46 @@ def test_merge_blobs(spark):
     assert rows(out, "ord", "x", "y", "w", "h") == [(0, 0, 0, 8, 11), (1, 20, 0, 4, 10), (2, 25, 8, 2, 2)]
 
 
+def test_commas_are_not_merged(spark):
+    boxes = [(1, 0, 0, 4, 10, False), (1, 5, 8, 2, 9, True), (1, 8, 0, 3, 9, False), (1, 12, 1, 3, 10, None)]
+    out = glyphs.merge_blobs(spark.createDataFrame(boxes, "k int, x int, y int, w int, h int, low boolean"), ["k"], comma="low")
+    assert rows(out, "ord", "x", "y", "w", "h", "low") == [(0, 0, 0, 4, 10, False), (1, 5, 8, 2, 9, True), (2, 8, 0, 7, 11, False)]
+
+
+def test_components_against_a_flood():
+    r = np.random.default_rng(3)
+    for _ in range(60):
+        ink = r.random((r.integers(1, 14), r.integers(1, 14))) < 0.35
+        left, want = set(zip(*np.nonzero(ink), strict=True)), []
+        while left:
+            todo, part = [left.pop()], []
+            while todo:
+                y, x = todo.pop()
+                part.append((y, x))
+                near = {(y + i, x + j) for i in (-1, 0, 1) for j in (-1, 0, 1)} & left
+                left -= near
+                todo += near
+            ys, xs = zip(*part, strict=True)
+            want.append((min(xs), min(ys), max(xs) - min(xs) + 1, max(ys) - min(ys) + 1, len(part)))
+        assert pictures.components(ink) == sorted(want)
+
+
+def test_threshold_and_scale():
+    grey = np.array([[10, 12, 200], [11, 210, 205]])
+    assert 12 <= pictures.threshold(grey) < 200
+    even = np.arange(24.0).reshape(4, 6)
+    assert np.allclose(pictures.scaled(even, (2, 3)), even.reshape(2, 2, 3, 2).mean((1, 3)))
+    assert np.allclose(pictures.scaled(even, (8, 6)), np.repeat(even, 2, 0)) and np.isclose(pictures.scaled(even, (3, 4)).mean(), even.mean())
+
+
+def test_what_is_no_picture(spark):
+    data = [(1, None), (2, []), (3, [[1, 2], [3]]), (4, [[5, 5], [5, 5]]), (5, [[0, 255, 300], [255, 255, -4]])]
+    df = spark.createDataFrame(data, "k int, pixels array<array<int>>")
+    assert rows(pictures.blobs(df, ["k"]), "k", "x", "y", "w", "h", "area", "cell_h") == [(5, 0, 0, 1, 1, 1, 2), (5, 2, 1, 1, 1, 1, 2)]
+    boxed = df.selectExpr("k", "pixels", "0 as x", "0 as y", "if(k = 4, 0, 2) as w", "2 as h")
+    assert {r.k: r.pixels and len(r.pixels) for r in pictures.normalised(boxed, ["k"]).collect()} == {1: None, 2: None, 3: None, 4: None, 5: 768}
+
+
 def test_classify_ties_and_flat(spark):
     t = spark.createDataFrame([("1", 0, [0.0, 1.0, 0.0]), ("2", 0, [0.0, 2.0, 0.0])], "label string, exemplar_no int, exemplar array<double>")
     g = spark.createDataFrame([(1, [0.0, 5.0, 0.0]), (2, [3.0, 3.0, 3.0]), (3, None)], "id int, pixels array<double>")
@@ -226,7 +267,7 @@ def test_merge_blobs_against_a_loop(spark):
     for k in range(40):
         folded = []
         for x, y, w, h in sorted(b[1:] for b in boxes if b[0] == k):
-            if folded and x - folded[-1][0] - folded[-1][2] <= 2 and abs(h - folded[-1][3]) < 0.6 * max(h, folded[-1][3]):
+            if folded and x - folded[-1][0] - folded[-1][2] <= 2 and abs(h - folded[-1][3]) < 0.6 * folded[-1][3]:
                 px, py, pw, ph = folded[-1]
                 folded[-1] = (px, min(py, y), max(px + pw, x + w) - px, max(py + ph, y + h) - min(py, y))
             else:
