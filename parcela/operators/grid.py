@@ -27,16 +27,16 @@ def robust_pitch(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
     return _pitched(lines, by, pos).select(*by, "pitch")
 
 
-def bounds(lines: DataFrame, by: Sequence[str], pos: str, cells: int = 24, least: int = 5) -> DataFrame:
+def bounds(lines: DataFrame, by: Sequence[str], pos: str, cells: int = 24, least: int = 5, regular: int = 2) -> DataFrame:
     """``cells + 1`` bounds laid leftward from the last line of the regular grid.
 
     A line is regular if a neighbour is a pitch away, give or take 30 per cent. With fewer than
-    ``least`` regular lines there is no grid.
+    ``least`` lines, or ``regular`` ones among them, there is no grid.
     """
     near = "coalesce(abs(get(gaps, {0}) - pitch) < 0.3 * pitch, false)"
-    regular = F.expr(f"filter(places, (p, i) -> {near.format('i - 1')} or {near.format('i')})")
-    found = _pitched(lines, by, pos).withColumn("regular", regular).where(F.size("regular") >= least)
-    last = found.select(*by, F.element_at("regular", -1).alias("last"), "pitch", F.explode(F.sequence(F.lit(0), F.lit(cells))).alias("k"))
+    kept = F.expr(f"filter(places, (p, i) -> {near.format('i - 1')} or {near.format('i')})")
+    found = _pitched(lines, by, pos).where(F.size("places") >= least).withColumn("kept", kept).where(F.size("kept") >= regular)
+    last = found.select(*by, F.element_at("kept", -1).alias("last"), "pitch", F.explode(F.sequence(F.lit(0), F.lit(cells))).alias("k"))
     return last.select(*by, "k", (F.col("last") - F.col("pitch") * (cells - F.col("k"))).alias("bound"))
 
 
@@ -44,7 +44,7 @@ def lines_of(sums: DataFrame, by: Sequence[str], index: str, ink: str, share: fl
     """The middles of the runs of columns whose ink reaches ``share`` of the most: the grid's vertical lines."""
     most = sums.groupBy(*by).agg((F.max(ink) * share).alias("__t"))
     found = runs(sums.join(most, list(by)), by, index, F.col(ink) >= F.col("__t"))
-    return found.select(*by, ((F.col("begin") + F.col("end")) / 2).alias("pos"))
+    return found.select(*by, F.floor((F.col("begin") + F.col("end")) / 2).cast("int").alias("pos"))
 
 
 def crop(left: Column, right: Column, top: Column, bottom: Column, width: Column, height: Column, inset: float = 0.06, margin: int = 2) -> Column:

@@ -114,9 +114,9 @@ def robust_pitch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.robust_pitch(_lines(spark, sf_dir), ["s_suppkey"], "pos")
 
 
-@query(f"""with {_PITCH}, rg as (select s_suppkey, max(pos) as last, min(pitch) as pitch, count(*) as n from gp join pt using (s_suppkey)
-where coalesce(abs(gap - pitch) < 0.3 * pitch, false) or coalesce(abs(next_gap - pitch) < 0.3 * pitch, false) group by 1)
-select s_suppkey, k::int as k, (last - pitch * (24 - k))::double as bound from rg, range(0, 25) t(k) where n >= 5""")
+@query(f"""with {_PITCH}, rg as (select s_suppkey, max(pos) as last, min(pitch) as pitch, count(*) as n from gp join (select s_suppkey, count(*) as lines from gp group by 1) c using (s_suppkey) join pt using (s_suppkey)
+where coalesce(abs(gap - pitch) < 0.3 * pitch, false) or coalesce(abs(next_gap - pitch) < 0.3 * pitch, false) group by 1, lines having lines >= 5)
+select s_suppkey, k::int as k, (last - pitch * (24 - k))::double as bound from rg, range(0, 25) t(k) where n >= 2""")
 def grid_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid.bounds(_lines(spark, sf_dir), ["s_suppkey"], "pos")
 
@@ -167,7 +167,7 @@ def cell_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""with s as (select l_orderkey as doc, l_linenumber as x, sum(l_quantity) as ink from lineitem group by all), t as (select doc, max(ink) * 0.4 as least from s group by 1),
-k as (select doc, x, x - row_number() over (partition by doc order by x) as g from s join t using (doc) where ink >= least) select doc, ((min(x) + max(x)) / 2)::double as pos from k group by doc, g""")
+k as (select doc, x, x - row_number() over (partition by doc order by x) as g from s join t using (doc) where ink >= least) select doc, ((min(x) + max(x)) // 2)::int as pos from k group by doc, g""")
 def ink_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("x")).agg(F.sum("l_quantity").alias("ink"))
     return grid.lines_of(sums, ["doc"], "x", "ink")

@@ -169,9 +169,11 @@ def test_classify_ties_and_flat(spark):
 
 
 def test_bounds_need_a_grid(spark):
-    lines = spark.createDataFrame([(1, 10 * i) for i in range(25)] + [(2, 10), (2, 20)], "doc int, pos int")
+    lines = spark.createDataFrame([(1, 10 * i) for i in range(25)] + [(2, 10), (2, 20), (2, 30), (2, 40)] + [(3, i) for i in (0, 100, 205, 310, 1900)], "doc int, pos int")
     out = grid.bounds(lines, ["doc"], "pos")
-    assert rows(out, "doc", "bound") == [(1, 10.0 * i) for i in range(25)]
+    assert rows(out.where("doc = 1"), "doc", "bound") == [(1, 10.0 * i) for i in range(25)]
+    # Five lines of which four are regular: the last of these is the grid's end.
+    assert {r.doc for r in out.collect()} == {1, 3} and out.where("doc = 3 and k = 24").first().bound == 310
 
 
 def test_boxes(spark):
