@@ -47,7 +47,7 @@ def _sorted_pairs(s: np.ndarray, at: np.ndarray, symbols: int) -> tuple[np.ndarr
         z |= s[at + 1].astype(np.uint64) << np.uint64(_PLACE)
         z |= at.astype(np.uint64)
         z.sort()
-        return (z & np.uint64((1 << _PLACE) - 1)).astype(np.int64), z >> np.uint64(_PLACE)
+        return (z & np.uint64((1 << _PLACE) - 1)).astype(np.int32), z >> np.uint64(_PLACE)
     key = s[at].astype(np.uint64) << np.uint64(32) | s[at + 1]
     order = np.argsort(key, kind="stable")
     return at[order], key[order]
@@ -65,12 +65,14 @@ def repair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     s = ids.astype(np.uint32)
     first = int(s.max()) + 1 if len(s) else 0
     rules, n_rules = [np.empty((0, 2), np.uint32)], 0
-    at = np.arange(max(0, len(s) - 1))
+    at = np.arange(max(0, len(s) - 1), dtype=np.int32)
     while len(at):
-        overlapping = np.zeros(len(s), bool)
-        overlapping[_late_in_runs(s)] = True
-        late = at[overlapping[at]]
-        at, key = _sorted_pairs(s, at[~overlapping[at]], first + n_rules)
+        late = _late_in_runs(s)
+        if len(late):
+            early = np.ones(len(s), bool)
+            early[late] = False
+            at = at[early[at]]
+        at, key = _sorted_pairs(s, at, first + n_rules)
         edge = np.ones(len(key) + 1, bool)
         np.not_equal(key[1:], key[:-1], out=edge[1:-1])
         count = np.diff(np.flatnonzero(edge))
@@ -97,8 +99,9 @@ def repair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         new = np.uint32(first + n_rules) + number[here[taken]]
         s[taken] = new
         n_rules += len(shown)
-        open_places = np.zeros(len(s), bool)
-        for some in (at, late, taken, taken[taken > 0] - 1):
+        # To be looked at again: frequent pairs that stay, those that overlap, and what touches a new symbol.
+        open_places = here > 0
+        for some in (late, taken, taken[taken > 0] - 1):
             open_places[some] = True
         keep = np.ones(len(s), bool)
         keep[taken + 1] = False
@@ -122,28 +125,27 @@ def _lengths(rules: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
-def _sizes(symbols: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
-    """How many ids each symbol stands for."""
-    size = np.ones(len(symbols), np.int64)
-    inner = symbols >= first
-    size[inner] = lengths[symbols[inner].astype(np.int64) - first]
-    return size
+def _sizes(lengths: np.ndarray, first: int) -> np.ndarray:
+    """How many ids each symbol stands for, terminals first."""
+    return np.concatenate((np.ones(first, np.int32), lengths.astype(np.int32)))
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first: int, lengths: np.ndarray | None = None) -> np.ndarray:
     """The ids that ``symbols`` stand for. Each id is written once, to the place that the lengths give it."""
-    lengths = _lengths(rules, first) if lengths is None else lengths
-    size = _sizes(symbols, lengths, first)
-    place = np.cumsum(size) - size
-    out = np.empty(int(size.sum()), np.uint32)
-    s = symbols
+    sizes = _sizes(_lengths(rules, first) if lengths is None else lengths, first)
+    size = sizes[symbols]
+    ends = np.cumsum(size, dtype=np.int64)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+    s, place = symbols, ends - size
+    left, right = np.ascontiguousarray(rules[:, 0]), np.ascontiguousarray(rules[:, 1])
     while len(s):
-        plain = s < first
-        out[place[plain]] = s[plain]
-        pair, place = rules[s[~plain].astype(np.int64) - first], place[~plain]
-        left = _sizes(pair[:, 0], lengths, first)
-        s = np.concatenate((pair[:, 0], pair[:, 1]))
-        place = np.concatenate((place, place + left))
+        inner = np.flatnonzero(s >= first)
+        # Nonterminals are written as well, and their first id over them later.
+        out[place] = s
+        rule, place = s[inner] - np.uint32(first), place[inner]
+        a = left[rule]
+        s = np.concatenate((a, right[rule]))
+        place = np.concatenate((place, place + sizes[a]))
     return out
 
 
@@ -181,7 +183,7 @@ class Block:
 
     def slice(self, start: int, stop: int) -> np.ndarray:
         """The ids from ``start`` to ``stop``; only the symbols that cover them are expanded."""
-        ends = np.cumsum(_sizes(self.symbols, self.lengths, self.first))
+        ends = np.cumsum(_sizes(self.lengths, self.first)[self.symbols], dtype=np.int64)
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
         begin = int(ends[a - 1]) if a else 0
         return expand(self.symbols[a:b], self.rules, self.first, self.lengths)[start - begin : stop - begin]
@@ -274,8 +276,8 @@ class Encoder:
             return self._apart(pieces)
         return np.diff(np.concatenate(([-1], ends))), ids
 
-    def _new(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """The pieces, those of plain letters first, their token counts and their ids."""
+    def _new(self, pieces: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """The places of ``pieces``, those of plain letters first, and in this order the pieces, their token counts and ids."""
         plain = pc.match_substring_regex(pieces, _PLAIN)
         sizes, flats = [np.empty(0, np.int32)], [np.empty(0, np.uint32)]
         both = [(self._letters, pieces.filter(plain)), (self._apart, pieces.filter(pc.invert(plain)))]
@@ -284,7 +286,9 @@ class Encoder:
                 size, flat = way(some.slice(i, 2048).to_pylist())
                 sizes.append(size.astype(np.int32))
                 flats.append(flat)
-        return pa.concat_arrays([x for _, x in both]), np.concatenate(sizes), np.concatenate(flats)
+        letters = plain.to_numpy(zero_copy_only=False)
+        order = np.concatenate((np.flatnonzero(letters), np.flatnonzero(~letters)))
+        return order, pa.concat_arrays([x for _, x in both]), np.concatenate(sizes), np.concatenate(flats)
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text, null counting as empty, with the end id."""
@@ -307,12 +311,13 @@ class Encoder:
         pieces = cut.flatten().dictionary_encode()
         known = self.known
         row = pc.index_in(pieces.dictionary, value_set=known.text)
-        new, new_size, new_flat = self._new(pieces.dictionary.filter(row.is_null()))
-        place = pc.index_in(pieces.dictionary, value_set=new)
+        unknown = np.flatnonzero(row.is_null().to_numpy(zero_copy_only=False))
+        order, new, new_size, new_flat = self._new(pieces.dictionary.take(pa.array(unknown)))
         size = np.concatenate((known.size, new_size, np.ones(1, np.int32)))
         flat = np.concatenate((known.flat, new_flat, np.array([self.end], np.uint32)))
         start = (np.cumsum(size, dtype=np.int64) - size).astype(np.int32)
-        row = pc.coalesce(row, pc.add(place, pa.scalar(len(known.size), pa.int32()))).to_numpy(zero_copy_only=False)
+        row = row.fill_null(0).to_numpy(zero_copy_only=False).copy()
+        row[unknown[order]] = len(known.size) + np.arange(len(order))
         known.add(new, new_size, new_flat)
 
         # ``at`` has the row of each piece, and that of the end id after each text.
