@@ -20,3 +20,14 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_command_line(spark, sf_dir, tmp_path, capsys):
+    from parcela.__main__ import main
+
+    assert main(["list"]) == 0 and "status_histogram" in capsys.readouterr().out.split()
+    assert main(["run", "nothing", "--data", sf_dir]) == 2
+    assert main(["run", "pending_queue_size", "--data", sf_dir, "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert main(["status", "--store", str(tmp_path / "none")]) == 0 and main(["ddl"]) == 0
+    assert "CREATE TABLE IF NOT EXISTS `evaluaciones`" in capsys.readouterr().out
