@@ -22,15 +22,17 @@ BLOCKS = frozenset(
 MARKED = frozenset(
     "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright "
     "disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo "
-    "promotion recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split()
+    "promotion recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split()
 )
 #: Readers' comments and consent to cookies stay out even where they are most of a page.
 NEVER = frozenset("comment comments consent cookie cookies disqus gdpr replies respond".split())
 #: Words that say nothing of what an element holds. A name of several words marks it only if all are of these or marked,
 #: so that ``site-footer`` does and ``menu-of-the-day`` does not.
 NEUTRAL = frozenset(
-    "area bar block bottom box center column container content global group header inner items item layout left link links list main "
-    "outer page panel post posts primary region right row secondary section site space strip top unit wrap wrapper zone".split()
+    "area article articles bar block body bottom box button buttons center column container content count desktop fixed form global group head header "
+    "icon icons inner item items label layout left link links list main media message messages mobile next outer page panel policy post posts "
+    "previous primary reader readers reading region right row secondary section site slot space sticky stories story strip text this thread title tools "
+    "top trail unit user users wrap wrapper zone".split()
 )
 #: A ``header`` in a name is one of the page, unless one of these says that it is the article's.
 OWN_HEADER = frozenset("article content entry post story title".split())
@@ -143,7 +145,9 @@ class _Lines(HTMLParser):
         if attrs:
             a = dict(attrs)
             dropped = dropped or "hidden" in a or a.get("aria-hidden") == "true" or (a.get("role") or "").lower() in ROLES
-            named = f"{a.get('class') or ''} {a.get('id') or ''}".lower()
+            named = f"{a.get('class') or ''} {a.get('id') or ''}"
+            if not named.islower():
+                named = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named).lower()
             parts = set(re.split(r"[^a-z0-9]+", named))
             of_page = "header" in parts and not inside and OWN_HEADER.isdisjoint(parts)
             if tag not in ("html", "body", "main") and (of_page or not MARKED.isdisjoint(parts)):

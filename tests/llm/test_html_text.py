@@ -102,6 +102,15 @@ def test_end_tags_may_be_left_out(html, text):
     assert html_text.main_text(html) == text
 
 
+NAMES = ["related-articles", "siteFooter", "article-comments", "ad-1", "social-media", "shareIcons", "skip-link", "sidebar left-column", "newsletter_signup", "nav-previous"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_names_of_several_words(name):
+    page = f"<div class=story-page><div><h1>Head</h1>{_blocks(300, 40, 500)}</div><div class='{name}'>Not of the article</div></div>"
+    assert [len(w) for w in html_text.main_text(page).split()] == [4, 300, 40, 500]
+
+
 LINKS = "".join(f"<div><a href={i}>Go {i}</a></div>" for i in range(6))
 
 
