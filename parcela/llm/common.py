@@ -29,6 +29,14 @@ def small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_mark() -> Column:
     """64 bits of the text's SHA-256, which tell the texts of one doc_id apart; null counts as empty."""
     return F.xxhash64(F.sha2(F.coalesce("text", F.lit("")), 256))
@@ -40,19 +48,19 @@ def rows_left(docs: DataFrame, gone: DataFrame, tied: DataFrame) -> DataFrame:
     Both have (doc_id, mark), the mark as ``text_mark`` gives it, each pair once; null ids are equal.
     Of tied rows that differ in other columns any one is left.
     """
-    names = docs.columns
-    rows = docs.withColumn("__mark", text_mark())
+    mark, ident, other = (spare(docs, n) for n in ("__mark", "__id", "__other"))
+    rows = docs.withColumn(mark, text_mark())
 
     def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        right = right.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__other"))
-        return left.join(right, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__other")), how)
+        right = right.select(F.col("doc_id").alias(ident), F.col("mark").alias(other))
+        return left.join(right, F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(mark) == F.col(other)), how)
 
-    out = joined(rows, small(gone, 2_000_000), "left_anti")
+    out = joined(rows, small(gone, 1_000_000), "left_anti")
     if not tied.isEmpty():
-        tied = small(tied, 2_000_000)
-        one = joined(out, tied, "left_semi").dropDuplicates(["doc_id", "__mark"])
+        tied = small(tied, 1_000_000)
+        one = joined(out, tied, "left_semi").dropDuplicates(["doc_id", mark])
         out = joined(out, tied, "left_anti").union(one)
-    return out.select(*[F.col(f"`{c}`") for c in names])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 @contextmanager

@@ -41,6 +41,7 @@ def directory(keys: DataFrame, capacity: int, key_bits: int = 64, bits: int = 0)
     """
     n = keys.count()
     bits = min(key_bits, max(bits, ceil(log2(max(1, n / capacity))) + _SPARE))
+    step = _SPARE
     while True:
         cell = F.expr(_prefix("key", key_bits, bits)).alias("cell")
         held = keys.groupBy(cell).agg(F.count("*").alias("n_keys"), F.max("floor").alias("floor"))
@@ -51,7 +52,7 @@ def directory(keys: DataFrame, capacity: int, key_bits: int = 64, bits: int = 0)
         full = stored(full, "full")
         if bits == key_bits or full.where(F.col("depth") == bits).isEmpty():
             break
-        bits = min(key_bits, bits + _SPARE)
+        bits, step = min(key_bits, bits + step), 2 * step
     fits = climbed.join(small(full, _DIRECTORY), ["depth", "prefix"], "left_anti").groupBy("cell").agg(F.min("depth").cast("int").alias("depth"))
     found = cells.select("cell").join(fits, "cell", "left").fillna(bits, ["depth"])
     return found.select("cell", "depth", _bucket("cell", bits).alias("bucket"), F.lit(bits).alias("bits"))

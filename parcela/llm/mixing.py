@@ -157,8 +157,9 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
 
 def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, power: float = TEMPER, sweeps: int = SWEEPS, seed: int = 0, repeats: bool = False) -> DataFrame:
     """The documents drawn, with their own columns, as ``mix`` draws them; with ``repeats`` a row for each time."""
-    each = docs.withColumn("__cell", _cell())
-    drawn = _chances(each, _counted(docs), targets, keep, power, sweeps, seed, repeats).where("__chance.selected")
+    own = {c: f"__own_{i}" for i, c in enumerate(docs.columns)}  # so that no name of theirs meets one of ours
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], "doc_id", _cell().alias("__cell"))
+    drawn = _chances(inner, _counted(docs), targets, keep, power, sweeps, seed, repeats).where("__chance.selected")
     if repeats:
         drawn = drawn.withColumn("__time", F.explode(F.expr("sequence(1L, __chance.times)")))
-    return drawn.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return drawn.select(*[F.col(n).alias(c) for c, n in own.items()])

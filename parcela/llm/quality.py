@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, words_sql
+from .common import let, spare, words_sql
 
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -127,4 +127,5 @@ def keep(docs: DataFrame, **options) -> DataFrame:
     Null and empty texts fail. Rows are judged one by one: repeated ones stay or go together, and an
     empty table stays empty.
     """
-    return quality(docs, name="__quality", **options).where("__quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = spare(docs, "__quality")
+    return quality(docs, name=name, **options).where(f"`{name}`.kept").select(*[F.col(f"`{c}`") for c in docs.columns])

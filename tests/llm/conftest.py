@@ -3,7 +3,7 @@ import random
 import pytest
 
 #: Columns that operators might use inside.
-CLASHING = "n int, key string, quality string, kept boolean, found string, blob_id string, cls bigint, shard int, weight double, p double, bucket string, pos int, __mix int, text_sha256 string, host string, bad int, component_id bigint"
+CLASHING = "n int, key string, quality string, kept boolean, found string, blob_id string, cls bigint, shard int, weight double, p double, bucket string, pos int, __mix int, text_sha256 string, host string, bad int, component_id bigint, __mark int, __id string, __cell int, __chance string, __quality int, __time int"
 
 
 @pytest.fixture(scope="session")

@@ -73,7 +73,7 @@ def test_copies_in_two_buckets_are_not_met(spark, monkeypatch):
     assert sorted((r.keep_id, r.group_size) for r in owned.collect()) == [(4, 3), (5, 3)]
 
 
-@pytest.mark.parametrize(("capacity", "bits"), [(50_000, 64), (2, 10), (3, 4)])
+@pytest.mark.parametrize(("capacity", "bits"), [(2, 10), (3, 4)])
 def test_insert_equals_a_new_index(spark, odd, capacity, bits):
     first, second, third = (odd.where(f"pmod(hash(text, doc_id), 3) {x}") for x in ("= 0", "= 1", "= 2"))
     index, _ = exact.build(first, capacity, bits)
@@ -102,3 +102,17 @@ def test_keep_judges_rows(spark, odd, odd_rows):
     rows = [(1, "A"), (1, "B"), (2, "A"), (3, "C"), (3, "C"), (None, "C"), (None, "D"), (None, "D"), (4, None), (5, "")]
     kept = exact.keep(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(1, "B"), (2, "A"), (3, "C"), (None, "D"), (5, "")], key=str)
+
+
+def test_insert_of_nothing_and_into_nothing(spark, odd, none):
+    whole, entries = exact.build(odd, 2, 10)
+    names = ("key", "chain", "text_sha256", "keep_id", "group_size")
+    rows = lambda i: sorted(map(tuple, i.buckets(spark).select(*names).collect()), key=str)
+    assert rows(exact.insert(whole, odd, none)) == rows(whole)
+    empty, _ = exact.build(none, 2, 10)
+    assert rows(exact.insert(empty, none, odd)) == rows(whole)
+
+
+def test_internal_names_stay(odd):
+    kept = exact.keep(odd.withColumn("__mark", F.col("doc_id").cast("int")))
+    assert kept.columns == odd.columns and kept.where("not doc_id <=> cast(__mark as bigint)").count() == 0

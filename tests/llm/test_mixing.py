@@ -99,8 +99,9 @@ def test_absent_target_gets_none(spark, none):
 
 def test_sample_keeps_columns(odd):
     want = {r.doc_id for r in mixing.mix(odd).collect() if r.selected}
+    odd = odd.withColumn("__cell", F.col("doc_id").cast("int"))
     kept = mixing.sample(odd)
-    assert kept.columns == odd.columns
+    assert kept.columns == odd.columns and kept.where("not doc_id <=> cast(__cell as bigint)").count() == 0
     assert {r.doc_id for r in kept.collect()} == want
 
 
