@@ -8,23 +8,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _median(sorted_values: str) -> str:
-    n = f"size({sorted_values})"
-    return f"if({n} = 0, null, ({sorted_values}[cast(({n} - 1) div 2 as int)] + {sorted_values}[cast({n} div 2 as int)]) / 2D)"
+def _let(name: str, value: str, body: str) -> str:
+    """SQL that evaluates ``value`` once and uses it as ``name`` in ``body``; a projection may be evaluated at each use."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _pitched(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
-    """(by, places, gaps, pitch): the sorted lines of a document, some hundreds, and what parts them, by one shuffle."""
-    held = lines.where(F.col(pos).isNotNull()).groupBy(*by).agg(F.array_sort(F.collect_list(F.col(pos).cast("double"))).alias("places"))
-    gaps = "if(size(places) < 2, cast(array() as array<double>), transform(sequence(1, size(places) - 1), i -> places[i] - places[i - 1]))"
-    found = held.withColumn("gaps", F.expr(gaps)).withColumn("ordered", F.array_sort("gaps")).withColumn("middle", F.expr(_median("ordered")))
-    found = found.withColumn("wide", F.expr("filter(ordered, g -> g > 0.5 * middle)"))
-    return found.select(*by, "places", "gaps", F.expr(_median("wide")).alias("pitch")).where("pitch is not null")
+def _median(values: str) -> str:
+    n = f"size({values})"
+    return _let("o", f"array_sort({values})", f"if({n} = 0, null, (o[cast(({n} - 1) div 2 as int)] + o[cast({n} div 2 as int)]) / 2D)")
+
+
+#: Over ``places``, the sorted lines of a document: the gaps between them, and the median of those over half their median.
+_GAPS = "if(size(places) < 2, cast(array() as array<double>), transform(sequence(1, size(places) - 1), i -> places[i] - places[i - 1]))"
+_PITCH = _let("middle", _median("gaps"), _median("filter(gaps, g -> g > 0.5 * middle)"))
+
+
+def _places(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
+    """The sorted lines of a document, some hundreds, as one array: one shuffle."""
+    return lines.where(F.col(pos).isNotNull()).groupBy(*by).agg(F.array_sort(F.collect_list(F.col(pos).cast("double"))).alias("places"))
 
 
 def robust_pitch(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
     """The median gap over half the median gap."""
-    return _pitched(lines, by, pos).select(*by, "pitch")
+    pitch = F.expr(_let("gaps", _GAPS, _PITCH)).alias("pitch")
+    return _places(lines, by, pos).select(*by, pitch).where("pitch is not null")
 
 
 def bounds(lines: DataFrame, by: Sequence[str], pos: str, cells: int = 24, least: int = 5, regular: int = 2) -> DataFrame:
@@ -34,33 +41,15 @@ def bounds(lines: DataFrame, by: Sequence[str], pos: str, cells: int = 24, least
     ``least`` lines, or ``regular`` ones among them, there is no grid.
     """
     near = "coalesce(abs(get(gaps, {0}) - pitch) < 0.3 * pitch, false)"
-    kept = F.expr(f"filter(places, (p, i) -> {near.format('i - 1')} or {near.format('i')})")
-    found = _pitched(lines, by, pos).where(F.size("places") >= least).withColumn("kept", kept).where(F.size("kept") >= regular)
-    last = found.select(*by, F.element_at("kept", -1).alias("last"), "pitch", F.explode(F.sequence(F.lit(0), F.lit(cells))).alias("k"))
+    kept = f"filter(places, (p, i) -> {near.format('i - 1')} or {near.format('i')})"
+    ends = _let("kept", kept, f"if(size(kept) >= {regular}, named_struct('last', element_at(kept, -1), 'pitch', pitch), null)")
+    found = F.expr(_let("gaps", _GAPS, _let("pitch", _PITCH, ends))).alias("g")
+    # The explosion keeps the expression from being evaluated for each bound.
+    one = _places(lines, by, pos).where(F.size("places") >= least).select(*by, F.explode(F.array(found)).alias("g")).where("g is not null")
+    last = one.select(*by, "g.*", F.explode(F.sequence(F.lit(0), F.lit(cells))).alias("k"))
     return last.select(*by, "k", (F.col("last") - F.col("pitch") * (cells - F.col("k"))).alias("bound"))
 
 
-def lines_of(sums: DataFrame, by: Sequence[str], index: str, ink: str, share: float = 0.4) -> DataFrame:
-    """The middles of the runs of columns whose ink reaches ``share`` of the most: the grid's vertical lines."""
-    most = sums.groupBy(*by).agg((F.max(ink) * share).alias("__t"))
-    found = runs(sums.join(most, list(by)), by, index, F.col(ink) >= F.col("__t"))
-    return found.select(*by, F.floor((F.col("begin") + F.col("end")) / 2).cast("int").alias("pos"))
-
-
-def crop(left: Column, right: Column, top: Column, bottom: Column, width: Column, height: Column, inset: float = 0.06, margin: int = 2) -> Column:
-    """The part (x1, x2, y1, y2) of a picture that holds a cell: ``inset`` of its width off each side, ``margin`` pixels around its rows, within the picture."""
-    off = (right - left) * inset
-    x1, x2 = F.greatest(F.lit(0), F.floor(left + off)), F.least(width, F.floor(right - off))
-    y1, y2 = F.greatest(F.lit(0), F.floor(top) - margin), F.least(height, F.floor(bottom) + margin)
-    return F.struct(*[v.cast("int").alias(n) for n, v in (("x1", x1), ("x2", x2), ("y1", y1), ("y2", y2))])
-
-
-def cropped(pixels: Column, part: Column) -> Column:
-    """The pixels (rows of values) of a part; empty where it has no extent."""
-    wide, high = F.greatest(F.lit(0), part["x2"] - part["x1"]), F.greatest(F.lit(0), part["y2"] - part["y1"])
-    return F.transform(F.slice(pixels, part["y1"] + 1, high), lambda row: F.slice(row, part["x1"] + 1, wide))
-
-
 def runs(rows: DataFrame, by: Sequence[str], index: str, on: Column) -> DataFrame:
     """(begin, end) of each run of consecutive indexes for which ``on`` holds."""
     w = Window.partitionBy(*by).orderBy(index)
