@@ -20,29 +20,38 @@ LETTER = "letra_eficiencia_energetica_dem"
 LINE = 1.5
 
 
-def typed(text: Column, kind: str) -> Column:
-    """A field's value by its kind; null where it can't be read. Texts that are missing are null, blank ones empty."""
-    last = F.get(F.reverse(F.split(strings.strip(text), r"\R")), F.lit(0))
-    readers = {
-        "text": lambda: strings.strip(text),
-        "line": lambda: strings.one_line(text),
-        "number": lambda: numbers.locale_number(text),
-        "last": lambda: numbers.locale_number(last),
-        "unit": lambda: numbers.unit_number(text),
-        "integer": lambda: numbers.first_int_line(text),
-        "date": lambda: dates.report_date(last),
-    }
-    return readers[kind]()
+def _last_line(text: Column) -> Column:
+    return F.get(F.reverse(F.split(strings.strip(text), r"\R")), F.lit(0))
+
+
+#: Per kind the type of its values, and how they are read; null where a text can't be.
+READERS = {
+    "text": ("string", strings.strip),
+    "line": ("string", strings.one_line),
+    "number": ("double", numbers.locale_number),
+    "last": ("double", lambda c: numbers.locale_number(_last_line(c))),
+    "unit": ("double", numbers.unit_number),
+    "integer": ("bigint", numbers.first_int_line),
+    "date": ("date", lambda c: dates.report_date(_last_line(c))),
+}
 
 
-def single_page(texts: DataFrame, doc: str, page: int) -> DataFrame:
+def single_page(texts: DataFrame, doc: str, page: int, blank: bool = False) -> DataFrame:
     """One row a document from (doc, field, text), with all fields of page 1, 2, 3 or 7; a text that can't be read is null in its column alone.
 
-    Page 1 gets the letter that its saved share stands for.
+    Page 1 gets the letter that its saved share stands for. With ``blank`` a field without a row is an empty text. Texts
+    are read where they are, by the kind of their field, and then gathered by document: one shuffle.
     """
     kinds = catalogue.single(page)
-    wide = layout.fields(texts, doc, list(kinds))
-    out = wide.select(doc, *[typed(F.col(c), kind).alias(c) for c, kind in kinds.items()])
+    values = {}
+    for kind in dict.fromkeys(kinds.values()):
+        of, read = READERS[kind]
+        mine = F.col("field").isin([c for c, k in kinds.items() if k == kind])
+        values[of] = F.when(mine, read(F.col("text"))) if of not in values else values[of].when(mine, read(F.col("text")))
+    long = texts.select(doc, "field", *[v.alias(f"as_{of}") for of, v in values.items()])
+    found = [F.max(F.when(F.col("field") == c, F.col(f"as_{READERS[k][0]}"))).alias(c) for c, k in kinds.items()]
+    out = long.groupBy(doc).agg(*found)
+    out = out.fillna("", [c for c, k in kinds.items() if READERS[k][0] == "string"]) if blank else out
     return out.withColumn(LETTER, numbers.grade(numbers.percent(F.col("porcentaje_ahorro")))) if page == 1 else out
 
 
@@ -74,16 +83,19 @@ def two_month_page(spans: DataFrame, doc: str) -> DataFrame:
 def envelope_lists(texts: DataFrame, doc: str) -> DataFrame:
     """The lists that ``envelope_page`` takes, and the code, from the texts of the envelope's blocks and cells."""
     blocks = {"opaque": ("opacos_area", 10), "opaque_u": ("opacos_u", 10), "translucent": ("traslucidos_area", 9), "translucent_u": ("traslucidos_u", 9)}
-    cells = [*catalogue.BRIDGES, "ua_mas_phi_l"]
-    names = [name for name, _ in blocks.values()] + [f.name for f in catalogue.fields(3) if f.kind == "cell"]
-    wide = layout.fields(texts, doc, ["codigo_evaluacion", *names])
-    number = lambda c: numbers.locale_number(c)
-    read = {k: F.transform(nested.last_n(F.filter(F.split(strings.strip(F.col(name)), r"\R"), lambda x: x != ""), n), number) for k, (name, n) in blocks.items()}
-    last = lambda c: F.get(F.reverse(F.split(strings.strip(F.col(c)), r"\R")), F.lit(0))
-    rows = {c: [n for n in names if n.rsplit("_", 1)[0] == c] for c in cells}
-    read |= {c: F.array(*[numbers.last_line_number(F.col(n)) if c == "ua_mas_phi_l" else number(last(n)) for n in found]) for c, found in rows.items()}
-    code = strings.strip(F.col("codigo_evaluacion")).alias("codigo_evaluacion")
-    return wide.select(doc, code, *[c.alias(k) for k, c in read.items()]).withColumnRenamed("ua_mas_phi_l", "totals")
+    columns: dict[str, list[str]] = {}
+    for f in catalogue.fields(3):
+        if f.kind == "cell":
+            columns.setdefault(f.name.rsplit("_", 1)[0], []).append(f.name)
+    field, text = F.col("field"), F.col("text")
+    number = F.when(field.isin(columns["ua_mas_phi_l"]), numbers.last_line_number(text)).when(field.isin([n for c in catalogue.BRIDGES for n in columns[c]]), numbers.locale_number(_last_line(text)))
+    long = texts.select(doc, "field", "text", number.alias("number"))
+    of = lambda name, value: F.max(F.when(F.col("field") == name, F.col(value)))
+    lists = [F.array(*[of(n, "number") for n in names]).alias("totals" if c == "ua_mas_phi_l" else c) for c, names in columns.items()]
+    wide = long.groupBy(doc).agg(of("codigo_evaluacion", "text").alias("code"), *[of(name, "text").alias(k) for k, (name, _) in blocks.items()], *lists)
+    lines = lambda c: F.filter(F.split(strings.strip(F.col(c)), r"\R"), lambda x: x != "")
+    read = [F.transform(nested.last_n(lines(k), n), numbers.locale_number).alias(k) for k, (_, n) in blocks.items()]
+    return wide.select(doc, strings.strip(F.col("code")).alias("codigo_evaluacion"), *read, *catalogue.BRIDGES, "totals")
 
 
 def envelope_page(lists: DataFrame, doc: str) -> DataFrame:
@@ -135,7 +147,10 @@ def extract(spans: DataFrame, doc: str, cells: DataFrame | None = None) -> dict[
     spark = spans.sparkSession
 
     def texts(page: int) -> DataFrame:
-        return layout.in_boxes(spans.where(F.col("page_no") == page), catalogue.boxes(spark, page), doc, blank=True, line=LINE)
+        of_page = spans.where(F.col("page_no") == page)
+        # One row more for each document that has the page, whether or not a box of it has text.
+        there = of_page.select(doc, "page_no").distinct().select("*", F.lit("").alias("field"), F.lit("").alias("text"))
+        return layout.in_boxes(of_page, catalogue.boxes(spark, page), doc, line=LINE).unionByName(there)
 
     third = texts(3)
     codes = texts(6).groupBy(doc).agg(_code())
@@ -146,14 +161,14 @@ def extract(spans: DataFrame, doc: str, cells: DataFrame | None = None) -> dict[
     fifth = two_month_page(spans.where("page_no = 5"), doc)
     code5 = texts(5).groupBy(doc).agg(_code())
     pages = {
-        "pagina1": single_page(texts(1), doc, 1),
-        "pagina2": single_page(texts(2), doc, 2),
-        "pagina3_consumos": single_page(third, doc, 3),
+        "pagina1": single_page(texts(1), doc, 1, blank=True),
+        "pagina2": single_page(texts(2), doc, 2, blank=True),
+        "pagina3_consumos": single_page(third, doc, 3, blank=True),
         "pagina3_envolvente": envelope_page(envelope_lists(third, doc), doc).drop("pos"),
         "pagina4": monthly_page(texts(4), doc),
         "pagina5": code5.withColumn("mes_id", F.explode(F.array(F.lit(1), F.lit(7)))).join(fifth, [doc, "mes_id"], "left"),
         "pagina6": hourly_page(cells, doc).join(codes, doc, "left"),
-        "pagina7": single_page(texts(7), doc, 7),
+        "pagina7": single_page(texts(7), doc, 7, blank=True),
     }
     return {name: df.withColumnsRenamed({c: persist.table_column(name, c) for c in df.columns if c != doc}) for name, df in pages.items()}
 
