@@ -56,6 +56,10 @@ class Engine:
     def _stamp(self):
         return F.lit(self.now).cast("timestamp")
 
+    def _touched(self, rows: DataFrame) -> set[int]:
+        """The buckets of the reports that ``rows`` have: as many as the table has, at most."""
+        return {r[0] for r in rows.select(self.reports.bucket()).distinct().collect()}
+
     def discover(self, region: int, kinds: tuple[int, ...] = (1, 2), incremental: bool = True, resume: bool = False) -> dict:
         """Crawls a region's units, each in a task, and merges what they found; a failed unit keeps its error."""
         spark = self.spark
@@ -74,7 +78,7 @@ class Engine:
         seen = stored(read.load(), "crawl")
         rows = listing.found_rows(seen).join(of_region.select("comuna_id", "region_id"), "comuna_id")
         one = directory.last_wins(ingest.keyed(rows), ["eval_id"], [F.col("page_no"), F.col("row_no")])
-        touched = {r[0] for r in one.select(self.reports.bucket()).distinct().collect()}
+        touched = self._touched(one)
         if touched:
             merged = directory.upsert(self.reports.read(touched), one.select("eval_id", *SUMMARY), "eval_id", list(SUMMARY), list(STATE), self._stamp())
             self.reports.write(merged.drop("change").select(*[c.split()[0] for c in DIRECTORY.split(", ")]), self.reports.last_batch() + 1, touched)
@@ -92,10 +96,11 @@ class Engine:
         every = self.reports.read()
         chosen = stored(work.pending(work.shuffled(every), limit=limit), "chosen")
         moved = stored(work.transition(every, self.extract(chosen)), "moved")
-        left = every.join(moved, "eval_id", "left")
+        touched = self._touched(moved)
+        left = self.reports.read(touched).join(moved, "eval_id", "left")
         fresh = F.col("new_status").isNotNull() & (F.col("new_status") != "error")
         now = {"pdf_status": F.col("new_status"), "retry_count": F.col("new_retry_count"), "last_error": F.col("new_error"), "processed_at": self._stamp()}
-        self.reports.write(left.select(*[F.when(fresh, now[c]).otherwise(F.col(c)).alias(c) if c in now else F.col(c) for c in every.columns]), self.reports.last_batch() + 1)
+        self.reports.write(left.select(*[F.when(fresh, now[c]).otherwise(F.col(c)).alias(c) if c in now else F.col(c) for c in every.columns]), self.reports.last_batch() + 1, touched)
         return work.drain_summary(moved).first().asDict()
 
     def mirror(self, tables: dict[str, tuple[DataFrame, str]] | None = None, limit: int | None = None) -> dict:
@@ -104,9 +109,11 @@ class Engine:
         sent = stored(persist.mirror_delta(every, limit=limit, refreshed=True), "sent")
         if sent.isEmpty():
             return {}
-        after, results = mirror.sync(every, {"evaluaciones": (every, "eval_id"), **(tables or {})}, sent, self.connect, self._stamp())
-        if after is not every:
-            self.reports.write(after, self.reports.last_batch() + 1)
+        touched = self._touched(sent)
+        part = self.reports.read(touched)
+        after, results = mirror.sync(part, {"evaluaciones": (every, "eval_id"), **(tables or {})}, sent, self.connect, self._stamp())
+        if after is not part:
+            self.reports.write(after, self.reports.last_batch() + 1, touched)
         return results
 
     def cleanup(self) -> dict:
