@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, html_text, langid, mixing, ngram_join, packing, quality, secrets, tokenfile, urls
+from . import conversations, exact, html_text, langid, mixing, ngram_join, packing, quality, secrets, tokenfile, urls, vector_codes
 from .queries_sql import ORACLE_SQL
 
 
@@ -67,6 +67,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in names])
 
 
+def op12_annular_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    books = vector_codes.learn(vectors, parts=8, entries=16, rounds=6, scale=4096)
+    coded = vector_codes.with_sums(vector_codes.encode(vectors, books))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op13_signature_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = _table(spark, sf_dir, "conversations")
+    return conversations.audit(conversations.damaged(talks), talks)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing,
@@ -79,5 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_exact_dedup,
         op10_quality_rules,
+        op12_annular_codes,
+        op13_signature_repair,
     )
 }

@@ -1,6 +1,6 @@
 """The same results in the SQL of an independent engine."""
 
-from . import mixing, quality, secrets, urls
+from . import conversations, mixing, quality, secrets, urls
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -142,6 +142,98 @@ select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id from d l
 join (select node, min(other) as component_id from r group by 1) m on m.node = d.doc_id
 """
 
+#: Windows of 35 words as whole lists of words; a word goes if one that begins at most 34 words before it occurs twice.
+OP11 = rf"""
+with d as (select doc_id, row_number() over () as id, {_WORDS} as w from documents),
+p as (select id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i, unnest(list_transform(range(1, len(w) + 1),
+        lambda x: case when x <= len(w) - 34 then array_to_string(w[x:x + 34], ' ') end)) as seen from d),
+s as (select id, i, word, seen is not null and count(*) over (partition by seen) > 1 as twice from p),
+c as (select id, i, word, coalesce(bool_or(twice) over (partition by id order by i rows 34 preceding), false) as gone from s),
+k as (select id, count(*) as n_words, count(*) filter (gone) as n_removed, string_agg(word, ' ' order by i) filter (not gone) as kept from c group by id)
+select doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join k using (id)
+"""
+
+
+def _op12(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Full search in place of pruning: least distance first, then least index."""
+    near = f"""select c.id, c.p, c.label, c.x, min(list_sum(list_transform(range(1, len(c.x) + 1), lambda i: (c.x[i] - b.x[i]) * (c.x[i] - b.x[i]))) * {entries} + b.e) as m
+        from c join {{book}} b using (p) group by all"""
+    out = [
+        """v as (select vec_id, label, row_number() over (order by vec_id nulls last, embedding) as id,
+        list_transform(embedding, lambda x: floor(x::double * 4096)::bigint) as x from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"c as (select id, label, p::bigint as p, x[p * len(x) // {parts} + 1:(p + 1) * len(x) // {parts}] as x from v, range({parts}) r(p))",
+        f"b0 as (select p, id - 1 as e, x from c where id <= {entries})",
+    ]
+    for i in range(rounds):
+        out += [
+            f"a{i} as ({near.format(book=f'b{i}')})",
+            f"u{i} as (select p, m % {entries} as e, unnest(range(1, len(x) + 1)) as i, unnest(x) as x from a{i})",
+            f"t{i} as (select p, e, i, floor(sum(x) / count(*)::decimal(18, 0))::bigint as x from u{i} group by all)",
+            f"l{i} as (select p, e, list(x order by i) as x from t{i} group by all)",
+            f"b{i + 1} as (select p, e, coalesce(l.x, b.x) as x from b{i} b left join l{i} l using (p, e))",
+        ]
+    return f"""with {", ".join(x.replace(" as (", " as materialized (", 1) for x in out)},
+z as ({near.format(book=f"b{rounds}")}),
+f as (select id, string_agg(printf('%02x', m % {entries}), '' order by p) as code, sum(m // {entries})::bigint as error from z group by id),
+h as (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) as codebooks_sha256 from b{rounds})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from f join v using (id), h"""
+
+
+def _op13() -> str:
+    """The checksum bit by bit; the best edits by a table of states that grows row by row."""
+    c = conversations
+    moves = ", ".join(f"({s}, '{x}', '{e}', {cost}, {to}, {done})" for s in range(4) for x in "suaoxSUAO" for e, cost, to, done in c._choices(x, s))
+    ends = ", ".join(f"({s}, '{e}', {len(e) * c.INSERT})" for s, e in enumerate(("", "II", "I", "")))
+    blank = r"[\x20\x09-\x0D]"
+    crc = "list_reduce([4294967295::bigint] || list_transform(string_split(k, ''), lambda x: ascii(x)::bigint), lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))"
+    return rf"""
+with recursive o as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations),
+w as (select *, xor({crc}, 4294967295) % 20 as what from o),
+r as (select conv_id, turn, case what when 4 then 'user' else role end as role,
+    case what when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case what when 3 then 2 else 1 end)) as n from w where what <> 0),
+q as (select *, row_number() over g as pos, lag(role[1]) over g as before from r
+    window g as (partition by conv_id order by turn nulls first, role, text, n)),
+f as (select *, case when not regexp_matches(text, '[^ 	-
+]') then 'blank'
+    when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+    when not regexp_matches(text, '[.!?]{blank}*\z') then 'truncated' end as fault from q),
+l as (select *, case when fault in ('blank', 'duplicate') then 'x' else case when role[1] in ('s', 'u', 'a')
+    then case when fault is null then role[1] else upper(role[1]) end else case when fault is null then 'o' else 'O' end end end as letter from f),
+move(state, letter, edit, cost, next, done) as (values {moves}),
+step as (select m.state, m.letter, m.edit as edits, m.cost, m.next from move m where m.done
+    union all select a.state, b.letter, a.edit || b.edit, a.cost + b.cost, b.next from move a join move b on not a.done and b.done and a.next = b.state and a.letter = b.letter
+    union all select a.state, x.letter, a.edit || b.edit || x.edit, a.cost + b.cost + x.cost, x.next from move a
+      join move b on not a.done and not b.done and a.next = b.state and a.letter = b.letter join move x on x.done and b.next = x.state and b.letter = x.letter),
+dp as (select distinct conv_id, 0::bigint as pos, 0 as state, 0 as cost, '' as audit from l
+    union all select conv_id, pos, state, cost, audit from (
+      select d.conv_id, l.pos, s.next as state, d.cost + s.cost as cost, d.audit || s.edits as audit,
+        row_number() over (partition by d.conv_id, s.next order by d.cost + s.cost, d.audit || s.edits) as k
+      from dp d join l on l.conv_id is not distinct from d.conv_id and l.pos = d.pos + 1 join step s on s.state = d.state and s.letter = l.letter) where k = 1),
+fin(state, edits, cost) as (values {ends}),
+best as (select conv_id, cost, audit from (select d.conv_id, d.cost + e.cost as cost, d.audit || e.edits as audit,
+    row_number() over (partition by d.conv_id order by d.cost + e.cost, d.audit || e.edits) as k
+    from dp d join fin e using (state) join (select conv_id, max(pos) as pos from l group by all) z on z.conv_id is not distinct from d.conv_id and z.pos = d.pos) where k = 1),
+e as (select conv_id, audit, unnest(range(1, length(audit) + 1)) as i from best),
+told as (select conv_id, i, audit[i] as edit, length(replace(audit[:i], 'I', '')) as pos,
+    (length(replace(audit[:i], 'D', '')) - 1 + length(replace(audit, 'D', ''))) % 2 as second from e),
+m as (select told.conv_id, i, case when edit = 'K' then role when second = 0 then 'user' else 'assistant' end || ':' || case when edit = 'I' then '' else text end as line
+    from told left join l on edit <> 'I' and l.conv_id is not distinct from told.conv_id and l.pos = told.pos where edit <> 'D'),
+h as (select conv_id, string_agg(line, chr(10) order by i) as whole from m group by all),
+n as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+    count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (before is not null and before || role[1] not in ('su', 'ua', 'au')) as illegal from l group by all)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit,
+  sha256(coalesce(whole, '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join n on n.conv_id is not distinct from c.conv_id
+left join best b on b.conv_id is not distinct from c.conv_id left join h on h.conv_id is not distinct from c.conv_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_ledger": _op2(),
     "op3_url_reputation": _op3(),
@@ -149,4 +241,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_source_mixing": _op8(),
     "op9_exact_dedup": OP9,
     "op10_quality_rules": OP10,
+    "op12_annular_codes": _op12(),
+    "op13_signature_repair": _op13(),
 }
