@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, exact, html_text, langid, mixing, ngram_join, packing, quality, secrets, tokenfile, urls, vector_codes
+from . import conversations, exact, html_text, langid, mixing, ngram_join, packing, quality, secrets, substring, tokenfile, urls, vector_codes
 from .queries_sql import ORACLE_SQL
 
 
@@ -67,6 +67,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{n}" for n in names])
 
 
+def op11_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.cut(_table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_annular_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     books = vector_codes.learn(vectors, parts=8, entries=16, rounds=6, scale=4096)
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_exact_dedup,
         op10_quality_rules,
+        op11_relative_lz,
         op12_annular_codes,
         op13_signature_repair,
     )

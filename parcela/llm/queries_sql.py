@@ -241,6 +241,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_source_mixing": _op8(),
     "op9_exact_dedup": OP9,
     "op10_quality_rules": OP10,
+    "op11_relative_lz": OP11,
     "op12_annular_codes": _op12(),
     "op13_signature_repair": _op13(),
 }
