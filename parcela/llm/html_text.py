@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 
 #: Elements that hold no article text, void elements, blocks, and what class, id and
 #: role say of menus, adverts, notices, forms and reader comments.
-DROPPED = frozenset("nav footer aside form script style noscript template button select textarea iframe svg canvas object dialog menu head title datalist".split())
+UNSEEN = frozenset("script style noscript template button select textarea iframe svg canvas object head title datalist".split())
+ASIDE = frozenset("nav footer aside form dialog menu".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -24,6 +25,8 @@ MARKED = frozenset(
     "disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo "
     "promotion recommended related replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+#: Inside an article these say nothing of what an element holds: a paragraph in a banner's or an alert's style is its text.
+STYLES = frozenset("alert banner copyright recommended social".split())
 #: Readers' comments and consent to cookies stay out even where they are most of a page.
 NEVER = frozenset("comment comments consent cookie cookies disqus gdpr replies respond".split())
 #: Words that say nothing of what an element holds. A name of several words marks it only if all are of these or marked,
@@ -61,27 +64,30 @@ _TABLE_PARTS = frozenset("table caption tbody td tfoot th thead tr".split())
 _IN_HEAD = frozenset("base link meta noscript script style template title".split())
 
 
-def _mark(names: list[str]) -> int:
-    """What class and id tokens say: 0 nothing, 1 a menu, advert or the like, 2 one of ``NEVER``."""
+def _mark(names: list[str], styles: frozenset[str] = frozenset()) -> int:
+    """What class and id tokens say: 0 nothing, 1 a menu, advert or the like, 2 one of ``NEVER``. ``styles`` are words that mark nothing here."""
     out = 0
     for name in names:
         words = {w for w in re.split(r"[^a-z]+", name) if w}
-        if words <= MARKED | NEUTRAL and words & MARKED:
+        if words <= MARKED | NEUTRAL and words & (MARKED - styles):
             out = max(out, 2 if words & NEVER else 1)
     return out
 
 
 class _Element:
-    __slots__ = ("tag", "number", "up", "dropped", "marked", "holder", "inside", "link", "gone", "held", "text")
+    __slots__ = ("tag", "number", "up", "aside", "marked", "holder", "inside", "article", "link", "gone", "held", "text")
 
-    def __init__(self, tag: str, number: int, up: _Element | None, dropped: bool, marked: int, holder: bool) -> None:
-        self.tag, self.number, self.up, self.dropped, self.marked, self.holder = tag, number, up, dropped, marked, holder
-        #: Whether it is, or lies in, an article or main; and a link.
+    def __init__(self, tag: str, number: int, up: _Element | None, unseen: bool, aside: bool, marked: int, holder: bool) -> None:
+        self.tag, self.number, self.up, self.marked, self.holder = tag, number, up, marked, holder
+        #: Whether it is, or lies in, an article or main; an article; and a link.
         self.inside = holder or (up is not None and up.inside)
+        self.article = (holder and tag == "article") or (up is not None and up.article)
         self.link = tag == "a" or (up is not None and up.link)
-        #: Whether it is, or lies in, something that is left out whatever the cluster says.
-        self.gone = dropped or marked > 1 or (up is not None and up.gone)
-        #: Characters of the cluster, and of all lines, below it.
+        #: Whether it is, or lies in, a menu, footer, form or the like by its tag or role.
+        self.aside = aside or (up is not None and up.aside)
+        #: Whether it is, or lies in, something that no reader sees, readers' comments or consent to cookies.
+        self.gone = unseen or marked > 1 or (up is not None and up.gone)
+        #: Characters of the cluster, and of all lines that count, below it.
         self.held = self.text = 0
 
 
@@ -90,7 +96,7 @@ class _Line:
 
     def __init__(self, text: str, tags: int, links: int, at: _Element | None) -> None:
         self.text, self.tags, self.links, self.at = text, tags, links, at
-        self.ratio, self.content, self.low = len(text) / max(1, tags), False, False
+        self.ratio, self.content, self.low = 0.0, False, False
 
 
 class _Lines(HTMLParser):
@@ -122,7 +128,7 @@ class _Lines(HTMLParser):
         if at < 0 or self._last(bars) > at:
             return
         while len(self.stack) > at:
-            if self.stack[-1].marked:
+            if self.stack[-1].marked or self.stack[-1].aside:
                 self.flush()
             self.places[self.stack.pop().tag].pop()
 
@@ -140,22 +146,24 @@ class _Lines(HTMLParser):
         if tag in _IMPLIED:
             self._end(*_IMPLIED[tag])
         up = self.stack[-1] if self.stack else None
-        inside = up is not None and up.inside
-        dropped, marked = tag in DROPPED or (tag == "header" and not inside), 0
+        inside, in_article = up is not None and up.inside, up is not None and up.article
+        unseen, aside, marked = tag in UNSEEN, tag in ASIDE or (tag == "header" and not inside), 0
         if attrs:
             a = dict(attrs)
-            dropped = dropped or "hidden" in a or a.get("aria-hidden") == "true" or (a.get("role") or "").lower() in ROLES
+            role = (a.get("role") or "").lower()
+            unseen = unseen or "hidden" in a or a.get("aria-hidden") == "true"
+            aside = aside or (role in ROLES and not (in_article and role in STYLES))
             named = f"{a.get('class') or ''} {a.get('id') or ''}"
             if not named.islower():
                 named = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named).lower()
             parts = set(re.split(r"[^a-z0-9]+", named))
             of_page = "header" in parts and not inside and OWN_HEADER.isdisjoint(parts)
             if tag not in ("html", "body", "main") and (of_page or not MARKED.isdisjoint(parts)):
-                marked = max(int(of_page), _mark(named.split()))
-        holder = tag in _HOLDERS and not dropped and not marked and not (up is not None and up.gone)
-        if marked:
+                marked = max(int(of_page), _mark(named.split(), STYLES if in_article else frozenset()))
+        holder = tag in _HOLDERS and not (unseen or aside or marked) and not (up is not None and (up.gone or up.aside))
+        if marked or aside:
             self.flush()
-        e = _Element(tag, len(self.elements), up, dropped, marked, holder)
+        e = _Element(tag, len(self.elements), up, unseen, aside, marked, holder)
         if holder and not inside:  # what wraps an article is no menu, whatever its name
             while up is not None and not up.text:
                 up.marked, up.text, up = up.marked & 2, 1, up.up
@@ -202,28 +210,38 @@ def smoothed(values: list[float], sigma: float) -> list[float]:
     return out
 
 
-def _cluster(lines: list[_Line], sigma: float, part: float) -> None:
-    """Says of each line whether it is of the content cluster."""
-    smooth = smoothed([x.ratio for x in lines], sigma)
-    limit = part * sum(smooth) / max(1, len(smooth))
-    for x, s in zip(lines, smooth, strict=True):
-        x.content, x.low = s >= limit, x.ratio < limit
+def ratios(lines: list[_Line], beside: list[bool]) -> list[float]:
+    """Each line's characters by its tags; of a line that lies ``beside`` the story by name, tag or role none count."""
+    return [0.0 if out else len(x.text) / max(1, x.tags) for x, out in zip(lines, beside, strict=True)]
 
 
-def _left(elements: list[_Element], lines: list[_Line], least: int) -> list[_Line]:
-    """The lines that lie in nothing dropped, or marked with ``least`` or more."""
-    out = []
+def _cluster(lines: list[_Line], beside: list[bool], sigma: float, part: float) -> None:
+    """Says of each line whether it is of the content cluster: smoothed, its ratio is ``part`` of their mean or more.
+
+    Lines without a ratio take part in smoothing, but neither in the mean nor in the cluster.
+    """
+    values = ratios(lines, beside)
+    smooth = smoothed(values, sigma)
+    counted = [s for s, v in zip(smooth, values, strict=True) if v > 0]
+    limit = part * sum(counted) / max(1, len(counted))
+    for x, s, v in zip(lines, smooth, values, strict=True):
+        x.ratio, x.content, x.low = v, v > 0 and s >= limit, v < limit
+
+
+def _beside(elements: list[_Element], lines: list[_Line], named: bool) -> list[bool]:
+    """Of each line whether it lies beside the story by tag or role or, if ``named``, by a name."""
+    out: list[bool] = []
     for e in elements:
-        out.append(e.dropped or e.marked >= least or (e.up is not None and out[e.up.number]))
-    return [x for x in lines if x.at is None or not out[x.at.number]]
+        out.append(e.aside or (named and e.marked > 0) or (e.up is not None and out[e.up.number]))
+    return [x.at is not None and out[x.at.number] for x in lines]
 
 
 def _sum(elements: list[_Element], lines: list[_Line]) -> int:
-    """Gives each element the characters of its lines, and of those in the cluster; returns the cluster's."""
+    """Gives each element the characters of its lines with a ratio, and of those in the cluster; returns the cluster's."""
     for e in elements:
         e.held = e.text = 0
     for x in lines:
-        if x.at is not None:
+        if x.at is not None and x.ratio > 0:
             x.at.text += len(x.text)
             x.at.held += len(x.text) * x.content
     for e in reversed(elements):
@@ -233,20 +251,34 @@ def _sum(elements: list[_Element], lines: list[_Line]) -> int:
     return sum(len(x.text) for x in lines if x.content)
 
 
-def _without_menus(lines: list[_Line]) -> list[_Line]:
-    """Without menus that have no name: runs of lines of low ratio, three quarters links each, that reach out of the cluster."""
-    out: list[_Line] = []
+def _blank_menus(lines: list[_Line]) -> None:
+    """Takes their ratio from menus that have no name: runs of lines of low ratio, three quarters links each, that
+    reach out of the cluster. An article's own lists of links are its text.
+    """
     run: list[_Line] = []
     for x in [*lines, None]:
-        if x is not None and x.low and 4 * x.links >= 3 * len(x.text):
+        if x is not None and x.low and 4 * x.links >= 3 * len(x.text) and not (x.at is not None and x.at.article):
             run.append(x)
             continue
-        if len(run) < 2 or all(r.content for r in run):
-            out += run
+        if len(run) > 1 and not all(r.content for r in run):
+            for r in run:
+                r.ratio, r.content = 0.0, False
         run = []
-        if x is not None:
-            out.append(x)
-    return out
+
+
+def _main_runs(lines: list[_Line]) -> None:
+    """Leaves in the cluster its longest run of lines, and runs that have a quarter of its characters or more."""
+    runs: list[list[_Line]] = [[]]
+    for x in lines:
+        if x.content:
+            runs[-1].append(x)
+        elif runs[-1]:
+            runs.append([])
+    sizes = [sum(len(x.text) for x in run) for run in runs]
+    for run, n in zip(runs, sizes, strict=True):
+        if 4 * n < max(sizes):
+            for x in run:
+                x.content = False
 
 
 def _within(x: _Line, regions: set[int], known: dict[int, bool]) -> bool:
@@ -265,69 +297,84 @@ def _within(x: _Line, regions: set[int], known: dict[int, bool]) -> bool:
 def _regions(elements: list[_Element], lines: list[_Line], total: int) -> set[int] | None:
     """The elements that hold the content; none for the whole page.
 
-    The article or main element with most of the cluster's text; of equals the inner one, then the
-    first. Others beside it belong to it if half of their own text is of the cluster. Without such
-    elements, the innermost container around the cluster's first line with three quarters of its text.
+    The cluster chooses: the innermost container around its first line with nine tenths of its text. Tags
+    settle what that leaves open: articles in it that hold as much together are taken instead, or else the
+    article or main that it lies in.
     """
-    holders = [e for e in elements if e.holder and e.text]
+    e = next(x for x in lines if x.content).at
+    while e is not None and not (e.tag in BLOCKS - _PARTS and 10 * e.held >= 9 * total):
+        e = e.up
+    chosen = e
+    over = set()
+    while e is not None:
+        over.add(e.number)
+        e = e.up
+    below = [chosen is None] * len(elements)
+    holders = []
+    for e in elements:
+        below[e.number] = below[e.number] or e is chosen or (e.up is not None and below[e.up.number])
+        if e.holder and e.held and below[e.number]:
+            holders.append(e)
     if holders:
+        # Of equals the inner one, then the first. Others beside it belong to it if half of their own text is of the cluster.
         best = min(holders, key=lambda e: (-e.held, e.text, e.number))
-        found: set[int] = {best.number}
-        over = set()
-        e = best.up
+        found, held = {best.number}, best.held
+        above, e = set(), best.up
         while e is not None:
-            over.add(e.number)
+            above.add(e.number)
             e = e.up
-        # In their order, so that an outer one is met before those in it.
-        below = [False] * len(elements)
+        inner = [False] * len(elements)
         for e in elements:
-            below[e.number] = e.number in found or (e.up is not None and below[e.up.number])
-            if e.holder and e.text and not below[e.number] and e.number not in over and 2 * e.held >= e.text:
+            inner[e.number] = e.number in found or (e.up is not None and inner[e.up.number])
+            if e.holder and below[e.number] and not inner[e.number] and e.number not in above and e.text and 2 * e.held >= e.text:
                 found.add(e.number)
-                below[e.number] = True
-        return found
-    e = next(x for x in lines if x.content).at
-    while e is not None:
-        if e.tag in BLOCKS - _PARTS and 4 * e.held >= 3 * total:
-            return {e.number}
-        e = e.up
-    return None
+                held += e.held
+                inner[e.number] = True
+        if 10 * held >= 9 * total:
+            return found
+    around = max((e for e in elements if e.holder and e.number in over), key=lambda e: e.number, default=chosen)
+    return None if around is None else {around.number}
 
 
 def main_text(html: str | None, sigma: float = 1.0, part: float = 0.5) -> str:
     """The article of a page; empty where there is none.
 
-    Each line, a block of text, has a text-to-tag ratio. Ratios are smoothed, and lines at or over ``part`` of
-    their mean form the content cluster. It chooses the regions (``_regions``), which are taken whole but for
-    lines that belong to menus, adverts, notices, forms, comments or hidden elements, and for runs of links
-    outside the cluster. What only its name marks, and not as readers' comments or cookies, stays if it
-    holds over half of the cluster's text: no menu is most of a page. End tags that may be left out are
-    implied. Time and memory grow with the page's length, whatever is left open.
+    Each line, a block of text, has a text-to-tag ratio; characters of menus, headers and footers of the page, sidebars, adverts,
+    notices and forms, as their tags, roles and names say, count as none. Ratios are smoothed, and lines
+    at or over ``part`` of their mean form the content cluster. Its main runs choose the regions (``_regions``), of which
+    all lines are taken that are of the cluster or have a ratio, short ones too. Outside articles, runs of links that
+    reach out of the cluster are menus without a name. What only a name marks counts if it holds lines with over half of the
+    cluster's text, no article stands beside it: no menu is most of a page. Hidden elements, readers' comments and consent
+    to cookies are not read. End tags that may be left out are implied. Time and memory grow with the page's length,
+    whatever is left open.
     """
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    elements = parser.elements
-    named = [e for e in elements if e.marked == 1]
-    if named:
-        lines = _left(elements, parser.lines, 2)
-        _cluster(lines, sigma, part)
+    elements, lines = parser.elements, parser.lines
+    if any(e.marked == 1 for e in elements):
+        _cluster(lines, _beside(elements, lines, False), sigma, part)
         total = _sum(elements, lines)
-        for e in named:
-            if 2 * e.held > total:
+        article = any(e.holder and e.text for e in elements)
+        several = [0] * len(elements)
+        for x in lines:
+            if x.content and x.at is not None:
+                several[x.at.number] += 1
+        for e in reversed(elements):
+            if e.up is not None:
+                several[e.up.number] += several[e.number]
+            if e.marked == 1 and 2 * e.held > total and several[e.number] > 1 and (e.inside or not article):
                 e.marked, e.holder = 0, e.tag in _HOLDERS
-    lines = _left(elements, parser.lines, 1)
-    if not lines:
-        return ""
-    _cluster(lines, sigma, part)
-    lines = _without_menus(lines)
-    if not lines:
-        return ""
+    _cluster(lines, _beside(elements, lines, True), sigma, part)
+    _blank_menus(lines)
+    _main_runs(lines)
     total = _sum(elements, lines)
+    if not total:
+        return ""
     regions = _regions(elements, lines, total)
     known: dict[int, bool] = {}
-    return " ".join(x.text for x in lines if regions is None or _within(x, regions, known))
+    return " ".join(x.text for x in lines if (x.content or x.ratio > 0) and (regions is None or _within(x, regions, known)))
 
 
 def extract(pages: DataFrame) -> DataFrame:

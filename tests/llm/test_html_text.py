@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import time
@@ -114,16 +115,103 @@ def test_names_of_several_words(name):
 LINKS = "".join(f"<div><a href={i}>Go {i}</a></div>" for i in range(6))
 
 
-@pytest.mark.parametrize("holder", ["article", "div"])
-def test_ratios_decide(holder, monkeypatch):
+def test_ratios_decide(monkeypatch):
     """A menu without a name, and teasers beside the story, go by their ratios alone."""
     story = "".join(f"<p>{'A long sentence of the story. ' * 8}{i}</p>" for i in range(5))
-    teasers = "".join(f"<article><b><i><a href=x><b>T{i}</b></a></i></b></article>" for i in range(3)) if holder == "article" else ""
-    page = f"<body><{holder}><h1>Head</h1>{LINKS}{story}<p>End.</p></{holder}>{teasers}</body>"
-    got = html_text.main_text(page)
-    assert got.startswith("Head A long") and got.endswith("4 End.") and "Go" not in got
-    monkeypatch.setattr(html_text, "smoothed", lambda values, sigma: [1.0] * len(values))
-    assert "Go 3" in html_text.main_text(page)
+    teasers = "".join(f"<article><b><i><a href=x><b>T{i}</b></a></i></b></article>" for i in range(30))
+    for page in (f"<body><div><h1>Head</h1>{LINKS}{story}<p>End.</p></div></body>", f"<body>{LINKS}<article><h1>Head</h1>{story}<p>End.</p></article>{teasers * 9}</body>"):
+        got = html_text.main_text(page)
+        assert got.startswith("Head A long") and got.endswith("4 End.") and "Go" not in got
+        with monkeypatch.context() as m:
+            m.setattr(html_text, "ratios", lambda lines, beside: [1.0] * len(lines))
+            assert html_text.main_text(page) != got
+
+
+def test_links_of_an_article_stay():
+    """Lists of sources, links to chapters and tables of links are text of the article, unless a name says otherwise."""
+    long = "A long paragraph of many words. " * 9
+    sources = "".join(f"<li><a href={i}>Paper {i}</a></li>" for i in "123")
+    page = f"<article><h1>H</h1><p>{long}</p><h2>Sources</h2><ul>{sources}</ul></article>"
+    assert html_text.main_text(PAGE.format(main=page)) == f"H {long}Sources Paper 1 Paper 2 Paper 3"
+    page = f"<article><p>{long}</p><p><a href=1>Chapter one</a></p><p><a href=2>Chapter two</a></p><p>{long}</p><table><tr><td><a>x</a><td><a>y</a></table></article>"
+    assert html_text.main_text(PAGE.format(main=page)) == f"{long}Chapter one Chapter two {long}x y"
+    page = f"<article><p>{long}</p><ul class=related-posts>{sources}</ul><nav>{sources}</nav><ul role=menu>{sources}</ul></article>"
+    assert html_text.main_text(PAGE.format(main=page)) == long.strip()
+
+
+@pytest.mark.parametrize("block", ["p class=alert", "blockquote class='social'", "section class='recommended-reading'", "p class=banner", "p class='copyright'", "div role=alert"])
+def test_styles_of_an_article_stay(block):
+    tag = block.split()[0]
+    page = f"<article><h1>H</h1><p>{'Words of it. ' * 20}</p><{block}>Told aloud.</{tag}><p>End.</p></article>"
+    assert html_text.main_text(PAGE.format(main=page)).endswith("it. Told aloud. End.")
+    beside = f"<{block}>Told aloud.</{tag}><div><h1>H</h1><p>{'Words of it. ' * 20}</p><p>{'Words of it. ' * 20}</p></div>"
+    assert "aloud" not in html_text.main_text(PAGE.format(main=beside))
+
+
+def test_short_articles_and_long_adverts():
+    advert = f"<div class=ad>{'Buy this now and again. ' * 20}</div>"
+    assert html_text.main_text(f"<body>{advert}<article><h1>x</h1><p>y</p></article></body>") == "x y"
+    assert html_text.main_text(f"<body><article><h1>x</h1>{advert}<p>y</p></article></body>") == "x y"
+
+
+def _given(sf_dir):
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"{sf_dir}/pages.parquet", columns=["html"]).column("html").to_pylist()
+
+
+def test_constant_ratios_change_given_pages(sf_dir, monkeypatch):
+    """Without ratios the region is no longer that of the article: menus and footers come in."""
+    pages = _given(sf_dir)
+    found = [html_text.main_text(h) for h in pages]
+    monkeypatch.setattr(html_text, "ratios", lambda lines, beside: [1.0] * len(lines))
+    changed = [html_text.main_text(h) for h in pages]
+    assert sum(a != b for a, b in zip(found, changed, strict=True)) > len(pages) / 4
+
+
+def _plain_cluster(html, sigma=1.0, part=0.5):
+    """(text, ratio, in the cluster) of each line of a page as those given, by cutting its source at block tags."""
+    body = re.sub(r"<(script|style|title|!--).*?(</\1>|-->)", lambda m: "<i></i>" if m[1] != "!--" else "", html, flags=re.S)
+    lines, tags, beside = [], 0, 0
+    for piece in re.split(r"(<[^>]*>)", body):
+        if piece.startswith("<"):
+            tags += not piece.startswith("<!")
+            out = piece.startswith(("<nav", "<footer", "<div class=\"ad\""))
+            beside = 1 if out else 0 if piece in ("</nav>", "</footer>", "</div>") else beside
+            block = re.match(r"</?(html|head|body|nav|ul|li|div|article|h1|p|br|footer)\b", piece)
+            lines.append(None) if block else None
+        elif text := " ".join(unescape(piece).split()):
+            if lines and lines[-1]:
+                lines[-1] = (lines[-1][0] + " " + text, *lines[-1][1:])
+            else:
+                lines.append((text, tags, beside))
+                tags = 0
+    lines = [x for x in lines if x]
+    ratios = [0 if beside else len(t) / max(1, n) for t, n, beside in lines]
+    smooth = []
+    for i in range(len(ratios)):
+        near = {d: math.exp(-d * d / (2 * sigma**2)) for d in (-2, -1, 0, 1, 2) if 0 <= i + d < len(ratios)}
+        smooth.append(sum(w * ratios[i + d] for d, w in near.items()) / sum(near.values()))
+    counted = [s for s, r in zip(smooth, ratios, strict=True) if r]
+    limit = part * sum(counted) / max(1, len(counted))
+    return [(t, r, r > 0 and s >= limit) for (t, _, _), r, s in zip(lines, ratios, smooth, strict=True)]
+
+
+def test_ratios_smoothing_and_cluster_against_plain_ones(sf_dir):
+    some = 0
+    for html in _given(sf_dir):
+        parser = html_text._Lines()
+        parser.feed(html)
+        parser.close()
+        parser.flush()
+        html_text._cluster(parser.lines, html_text._beside(parser.elements, parser.lines, True), 1.0, 0.5)
+        expected = _plain_cluster(html)
+        assert [x.text for x in parser.lines] == [t for t, _, _ in expected]
+        by_tags = [abs(x.ratio - r) < 1e-9 for x, (_, r, _) in zip(parser.lines, expected, strict=True)]
+        assert all(by_tags), [(x.text[:30], x.ratio, r) for x, (_, r, _), ok in zip(parser.lines, expected, by_tags, strict=True) if not ok][:3]
+        assert [x.content for x in parser.lines] == [c for _, _, c in expected]
+        some += any(x.ratio > 0 and not x.content for x in parser.lines)
+    assert some > 0
 
 
 @pytest.mark.parametrize("broken", ["<font><b>x<div>y", "<div>x", "<b>x", "<ul><li>x", "<p><i>x", "<table><tr><td>x", "</div></b>x"])
