@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,59 +11,49 @@ from pyspark.sql.streaming import StreamingQuery
 from parcela.functions.strings import listing_id
 from parcela.operators import directory
 
+from .store import Store, Table, Version
+
 
 class VersionedTable:
-    """A Parquet table in buckets of its key, of which a write replaces those that it touches.
+    """A table of its own store, in buckets of its key, of which a write replaces those that it touches.
 
-    A write is a folder of its own, and a version file that says which folder holds each bucket is made last.
-    Readers see the old version or the new one. A batch that is run again after a failure writes
+    Each version notes the batch that made it. A batch that is run again after a failure writes
     again from the version that it was based on, so nothing is counted twice.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, key: str = "eval_id", buckets: int = 32) -> None:
-        self.spark, self.path, self.schema, self.key, self.buckets = spark, path.rstrip("/"), schema, key, buckets
-
-    def _hadoop(self, path: str):
-        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()), found
-
-    def _names(self, path: str) -> list[str]:
-        fs, found = self._hadoop(path)
-        return sorted(x.getPath().getName() for x in fs.listStatus(found)) if fs.exists(found) else []
-
-    def _version(self) -> tuple[dict[int, str], int]:
-        """The folder of each bucket that has rows, and the last batch."""
-        names = self._names(f"{self.path}/versions")
-        if not names:
-            return {}, -1
-        held = self.spark.read.text(f"{self.path}/versions/{names[-1]}").collect()
-        return {int(b): folder for b, folder in (r.value.split() for r in held)}, int(names[-1].split("_")[1])
+        self.store = Store(spark, path, {"rows": Table(schema, key, buckets)})
+        self.schema = schema
 
     def bucket(self, column: str | None = None) -> Column:
-        return F.pmod(F.xxhash64(column or self.key), F.lit(self.buckets)).cast("int")
+        return self.store.bucket("rows", column)
 
     def read(self, only: set[int] | None = None) -> DataFrame:
         """All rows, or those of some buckets."""
-        held, _ = self._version()
-        paths = [f"{self.path}/data/{folder}/bucket={b}" for b, folder in held.items() if only is None or b in only]
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+        return self.store.read("rows", only)
+
+    @staticmethod
+    def _batch(at: Version) -> int:
+        return int(at.notes.get("batch", "-1"))
 
     def last_batch(self) -> int:
-        return self._version()[1]
+        return self._batch(self.store.version())
 
     def write(self, df: DataFrame, batch: int, touched: set[int] | None = None) -> None:
         """``df`` in the place of all rows, or of those of the buckets ``touched``."""
-        held, _ = self._version()
-        name = uuid.uuid4().hex
-        # A bucket is dealt to a few tasks, so that no file and no task grows with it alone.
-        parted = df.withColumn("bucket", self.bucket()).repartition(max(self.buckets, 4 * len(touched or [])), "bucket", self.key)
-        parted.write.partitionBy("bucket").parquet(f"{self.path}/data/{name}")
-        made = {int(n.split("=")[1]) for n in self._names(f"{self.path}/data/{name}") if n.startswith("bucket=")}
-        after = {b: f for b, f in held.items() if touched is not None and b not in touched} | dict.fromkeys(made, name)
-        fs, mark = self._hadoop(f"{self.path}/versions/{batch + 1:020d}_{batch}_{name}")
-        out = fs.create(mark, True)
-        out.write(bytearray("".join(f"{b} {f}\n" for b, f in sorted(after.items())).encode()))
-        out.close()
+        at = self.store.version()
+        self.store.commit(at, {"rows": self.store.aside("rows", df, touched)}, {"batch": str(batch)})
+
+    def merge(self, batch: int, make: Callable[[Callable[[set[int]], DataFrame]], tuple[DataFrame, set[int]]]) -> None:
+        """Replaces buckets by what ``make`` gives, once for each batch; ``make`` reads buckets of the version that it changes."""
+
+        def changes(at: Version) -> tuple[dict, None]:
+            if batch <= self._batch(at):
+                return {}, None
+            rows, touched = make(lambda only: self.store.read("rows", only, at))
+            return {"rows": self.store.aside("rows", rows, touched)}, None
+
+        self.store.change(changes, lambda at: {"batch": str(batch)})
 
 
 SUMMARY = ("comuna_id", "tipo", "identificacion", "tipologia")
@@ -78,12 +68,14 @@ def keyed(rows: DataFrame) -> DataFrame:
 
 def merge_batch(table: VersionedTable, rows: DataFrame, batch: int, seen_at: str) -> None:
     """Upserts one batch of grid rows; a batch that was merged already is skipped."""
-    if batch <= table.last_batch():
-        return
-    one = directory.last_wins(keyed(rows), ["eval_id"], [F.col("page_no"), F.col("row_no")])
-    touched = {r[0] for r in one.select(table.bucket()).distinct().collect()}  # as many as there are buckets, at most
-    merged = directory.upsert(table.read(touched), one.select("eval_id", *SUMMARY), "eval_id", list(SUMMARY), list(STATE), F.lit(seen_at).cast("timestamp"))
-    table.write(merged.drop("change"), batch, touched)
+
+    def make(read: Callable[[set[int]], DataFrame]) -> tuple[DataFrame, set[int]]:
+        one = directory.last_wins(keyed(rows), ["eval_id"], [F.col("page_no"), F.col("row_no")])
+        touched = {r[0] for r in one.select(table.bucket()).distinct().collect()}  # as many as there are buckets, at most
+        merged = directory.upsert(read(touched), one.select("eval_id", *SUMMARY), "eval_id", list(SUMMARY), list(STATE), F.lit(seen_at).cast("timestamp"))
+        return merged.drop("change"), touched
+
+    table.merge(batch, make)
 
 
 def ingest(spark: SparkSession, folder: str, schema: str, table: VersionedTable, checkpoint: str, seen_at: str) -> StreamingQuery:
