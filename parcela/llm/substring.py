@@ -25,8 +25,8 @@ from .shingles import Codes, mixed
 
 #: Words of an anchor.
 SEED = 12
-#: Contexts of a block, about; and of one anchor in a block. Anchors with more are counted window by window instead.
-BLOCK, CROWD = 20_000, 5_000
+#: Contexts of a block, about; and of one anchor in a block. Anchors with more are dealt to several.
+BLOCK, CROWD = 10_000, 2_000
 #: Texts, and words, that a Python worker takes at once.
 _SLICE, _WORDS = 512, 300_000
 #: Anchors that are sent to all tasks; beyond, they are joined by shuffle.
@@ -212,37 +212,56 @@ def factored(keys: np.ndarray, rows: np.ndarray, full: np.ndarray, window: int)
 
 
 def _verdicts(contexts: DataFrame, window: int) -> DataFrame:
-    """key, ctx, starts (bits) of ``contexts`` (key, ctx, left, words): by blocks, or by windows where an anchor has a crowd."""
+    """key, ctx, starts (bits) of ``contexts`` (key, ctx, left, words), each parsed against its block.
+
+    An anchor with a crowd of contexts is dealt to several blocks. Each of them then also tells the hashes of its
+    different windows, and a window that is alone in its block stands elsewhere if another block has it too.
+    """
     sizes = contexts.groupBy("key").count()
-    crowds = stored(sizes.where(F.col("count") > CROWD).select("key"), "crowds")
+    crowds = stored(sizes.where(F.col("count") > CROWD).select("key", F.ceil(F.col("count") / CROWD).alias("deals")), "crowds")
     blocks = max(1, -(-contexts.count() // BLOCK))
-    before, _ = _reach(window)
+    dealt = contexts.join(small(crowds, _NEAR), "key", "left")
+    deal = F.coalesce(F.pmod(F.hash("ctx"), "deals"), F.lit(0))
+    dealt = dealt.select("key", "ctx", "left", "words", F.col("deals").isNotNull().alias("crowd"), F.pmod(F.hash("key", deal), F.lit(blocks)).alias("block"))
 
     def parsed(table: pa.Table) -> pa.Table:
         key = table.column("key").to_numpy()
         rows, full = _laid(table.column("left").to_numpy(), table.column("words").to_pylist(), window)
         starts = factored(key.view(np.uint64), rows, full, window)
-        return pa.table({"key": table.column("key"), "ctx": table.column("ctx"), "starts": pa.array(starts)})
-
-    few = contexts.join(small(crowds, _NEAR), "key", "left_anti").withColumn("block", F.pmod(F.hash("key"), F.lit(blocks)))
-    found = few.groupBy("block").applyInArrow(parsed, "key bigint, ctx bigint, starts bigint")
+        crowd = np.flatnonzero(table.column("crowd").to_numpy(zero_copy_only=False))
+        row, at, words = _told(key, rows, full, starts, crowd, window)
+        none = pa.nulls(len(key), pa.int64())
+        alone = pa.array(((starts[row] >> at) & 1) == 0)
+        whole = pa.table({"key": table.column("key"), "ctx": table.column("ctx"), "starts": pa.array(starts), "at": none, "words": none, "alone": pa.nulls(len(key), pa.bool_())})
+        told = pa.table({"key": pa.array(key[row]), "ctx": table.column("ctx").take(pa.array(row)), "starts": pa.nulls(len(row), pa.int64()), "at": pa.array(at), "words": pa.array(words.view(np.int64)), "alone": alone})
+        return pa.concat_tables([whole, told])
+
+    found = dealt.groupBy("block").applyInArrow(parsed, "key bigint, ctx bigint, starts bigint, at bigint, words bigint, alone boolean")
     if crowds.isEmpty():
-        return found
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, full = _laid(b.column("left").to_numpy(), b.column("words").to_pylist(), window)
-            runs = _Runs(rows.ravel())
-            row, at = np.nonzero(full[:, : before + 1] & full[:, window - 1 :])
-            begin = row * rows.shape[1] + at
-            columns = [b.column("key").to_numpy()[row], b.column("ctx").to_numpy()[row], at, runs.hash(begin, begin + window).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["key", "ctx", "at", "words"])
-
-    many = contexts.join(small(crowds, _NEAR), "key", "left_semi").mapInArrow(windows, "key bigint, ctx bigint, at bigint, words bigint")
-    many = stored(many, "windows")
-    twice = stored(many.groupBy("key", "at", "words").count().where("count > 1").select("key", "at", "words"), "twice")
-    bits = many.join(twice, ["key", "at", "words"]).groupBy("key", "ctx").agg(F.expr("bit_or(shiftleft(1L, cast(at as int)))").alias("starts"))
-    return found.union(bits)
+        return found.select("key", "ctx", "starts")
+    found = stored(found, "parsed")
+    # As many rows as an anchor has blocks, at most, are of one window.
+    met = found.where("at is not null").groupBy("key", "at", "words").agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("alone"), F.col("ctx"))).alias("ctxs"))
+    more = met.where("n > 1").select("key", F.explode("ctxs").alias("ctx"), F.expr("shiftleft(1L, cast(at as int))").alias("starts"))
+    return found.where("at is null").select("key", "ctx", "starts").union(more).groupBy("key", "ctx").agg(F.bit_or("starts").alias("starts"))
+
+
+def _told(key: np.ndarray, rows: np.ndarray, full: np.ndarray, starts: np.ndarray, crowd: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """row, start and hash of the different windows of the rows ``crowd``, those that stand alone and one of each other kind."""
+    before, _ = _reach(window)
+    some = full[crowd]
+    row, at = np.nonzero(some[:, : before + 1] & some[:, window - 1 :])
+    begin = row * rows.shape[1] + at
+    row = crowd[row]
+    words = _Runs(rows[crowd].ravel()).hash(begin, begin + window) if len(crowd) else np.empty(0, np.uint64)
+    alone = ((starts[row] >> at) & 1) == 0
+    order = np.lexsort((words, at, key[row]))
+    same = np.zeros(len(row), bool)
+    same[1:] = (key[row][order][1:] == key[row][order][:-1]) & (at[order][1:] == at[order][:-1]) & (words[order][1:] == words[order][:-1])
+    keep = np.empty(len(row), bool)
+    keep[order] = ~same
+    keep |= alone
+    return row[keep], at[keep].astype(np.int64), words[keep]
 
 
 def _starts(docs: DataFrame, window: int) -> DataFrame:
