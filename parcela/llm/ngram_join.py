@@ -9,7 +9,8 @@ part of the tokens of all classes, then over all tokens of those that are left).
 The classes left are brought into groups of similar ones (``_groups``). The token-group matrix has,
 for each token, the groups with the token in the union of their prefixes. A class is a query to it:
 a group is opened only if prefix places and set sizes leave room for enough overlap (``_opened``),
-and the members of an opened group are compared with the query over whole sets (``_verified``).
+and the members of an opened group whose token histograms leave that room as well (``_possible``) are
+compared with the query over whole sets (``_verified``).
 """
 
 from __future__ import annotations
@@ -320,8 +321,30 @@ def _prefixes(c: np.ndarray, e: np.ndarray, percent: int, pool_end: np.uint64) -
     return pa.RecordBatch.from_arrays([pa.array(own["cls"][some]), pa.array(n[some]), pa.array(alone[some]), lists], ["cls", "n", "alone", "tokens"])
 
 
+def _histogram(s: np.ndarray) -> bytes:
+    """How many tokens of a set have each prefix of bits, of some sixteen tokens each.
+
+    The differences of two sets' numbers, without their signs, add up to no more than the tokens that one of the sets has alone.
+    """
+    bits = max(6, (len(s) // 16).bit_length())
+    return np.minimum(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 65535).astype("<u2").tobytes()
+
+
+def _may_link(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    """Whether histograms of sets of ``n`` and ``m`` tokens leave room for enough overlap."""
+    a, b = (np.frombuffer(h, "<u2").astype(np.int64) for h in (x, y))
+    # Sizes are within a factor, so are histograms; the finer one's neighbours add up to the coarser one.
+    if len(a) != len(b):
+        a, b = (h.reshape(min(len(a), len(b)), -1).sum(1) for h in (a, b))
+        if max(a.max(), b.max()) >= 65535:
+            return True
+    apart = int(np.abs(a - b).sum())
+    # With d tokens apart the overlap is (n + m - d) / 2 and the union (n + m + d) / 2.
+    return 100 * (n + m - apart) >= percent * (n + m + apart)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, k: int, clash: frozenset[int]) -> DataFrame:
-    """cls, n, tokens (the set, as bytes) and sketch of each class of ``wanted`` (cls, rep), from the text of ``rep``."""
+    """cls, n, tokens (the set, as bytes), sketch and histogram of each class of ``wanted`` (cls, rep), from the text of ``rep``."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
@@ -330,14 +353,33 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, clash: frozenset[int]) ->
             for own, t in zip(b.column("cls").to_pylist(), texts, strict=True):
                 s = shingle_set(t, k, codes)
                 if len(s) and set_id(s, clash) == own:
-                    rows.append((own, len(s), s.tobytes(), [int(mixed(s, 101 + i).min() & np.uint64(0x7FFFFFFF)) for i in range(_SKETCH)]))
+                    rows.append((own, len(s), s.tobytes(), [int(mixed(s, 101 + i).min() & np.uint64(0x7FFFFFFF)) for i in range(_SKETCH)], _histogram(s)))
             if rows:
-                cls, n, blob, sketch = zip(*rows, strict=True)
-                arrays = [pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(blob, pa.binary()), pa.array(sketch, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["cls", "n", "tokens", "sketch"])
+                cls, n, blob, sketch, histogram = zip(*rows, strict=True)
+                arrays = [pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(blob, pa.binary()), pa.array(sketch, pa.list_(pa.int32())), pa.array(histogram, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["cls", "n", "tokens", "sketch", "histogram"])
 
     texts = docs.join(small(wanted, _NEED), docs["doc_id"] == wanted["rep"]).select("cls", "text")
-    return texts.mapInArrow(made, "cls bigint, n bigint, tokens binary, sketch array<int>")
+    return texts.mapInArrow(made, "cls bigint, n bigint, tokens binary, sketch array<int>, histogram binary")
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose histograms allow a link.
+
+    Texts made of the same few passages in other choices share their commonest tokens, and meet in numbers that grow with
+    the square; histograms are a sixtieth of the sets, and keep such pairs from having their whole sets compared.
+    """
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, _SLICE):
+                part = b.slice(i, _SLICE)
+                mask = pa.array([_may_link(x, y, n, m, percent) for x, y, n, m in zip(*(part.column(c).to_pylist() for c in ("x", "y", "n", "m")), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], ["a", "b"])
+
+    left = pairs.join(sets.select(F.col("cls").alias("a"), "n", F.col("histogram").alias("x")), "a")
+    full = left.join(sets.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("histogram").alias("y")), "b")
+    return full.select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -445,7 +487,7 @@ def _near(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # What one of them has alone is no overlap.
     room = f"{percent} * (n + m) <= {100 + percent} * least(n - alone, m - b_alone)"
     pairs = inside.where(room).select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct()
-    more = stored(_verified(stored(pairs, "pairs"), sets, percent), "links")
+    more = stored(_verified(stored(_possible(stored(pairs, "met"), sets, percent), "pairs"), sets, percent), "links")
 
     roots = components(likely.union(more)).select(F.col("node").alias("cls"), "root")
     named = classes.join(roots, "cls").select("root", "rep").groupBy("root").agg(F.min("rep").alias("component"))

@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from parcela.llm import ngram_join
@@ -125,3 +126,40 @@ def test_sets():
     assert set_id(shingle_set(b"a b c", 4, codes)) != set_id(shingle_set(b"a c b", 4, codes))
     assert len(shingle_set(None, 4, codes)) == len(shingle_set(b" \x0b", 4, codes)) == 0
     assert len(codes) == 2
+
+
+def test_histograms_never_rule_out_a_link():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 90, 150, 900, 1500, 6000):
+        for share in (0.0, 0.05, 0.1, 0.2, 0.3):
+            s = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+            keep = rng.random(len(s)) >= share
+            t = np.unique(np.concatenate((s[keep], rng.integers(0, 2**63, int(n * share / 2)).astype(np.uint64) * np.uint64(2))))
+            both = len(np.intersect1d(s, t))
+            links = len(t) and 100 * both >= 80 * (len(s) + len(t) - both)
+            if links:
+                assert ngram_join._may_link(ngram_join._histogram(s), ngram_join._histogram(t), len(s), len(t), 80)
+    other = np.unique(rng.integers(0, 2**63, 150).astype(np.uint64) * np.uint64(2))
+    one = np.unique(rng.integers(0, 2**63, 150).astype(np.uint64) * np.uint64(2))
+    assert not ngram_join._may_link(ngram_join._histogram(one), ngram_join._histogram(other), 150, 150, 80)
+
+
+def test_templated_texts_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Texts of 8 of 30 passages share their commonest tokens with most others; few pairs have their whole sets compared."""
+    rng = random.Random(11)
+    passages = [" ".join(f"p{k}w{rng.randrange(10**6)}" for _ in range(20)) for k in range(30)]
+    compared = []
+    real = ngram_join._verified
+
+    def counted(pairs, sets, percent):
+        compared[-1] += pairs.count()
+        return real(pairs, sets, percent)
+
+    monkeypatch.setattr(ngram_join, "_verified", counted)
+    for n in (250, 500):
+        rows = [(i, " ".join(rng.sample(passages, 8))) for i in range(n)] + [(n, " ".join(passages[:8])), (n + 1, " ".join(passages[:8]) + " end")]
+        compared.append(0)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+        out = {r.doc_id: r.component_id for r in ngram_join.near(docs, 5, 80).collect()}
+        assert out == {i: c for i, (_, c) in brute(rows, 5, 80).items()} and out[n + 1] == n
+    assert compared[0] <= 40 and compared[1] <= 80, compared
