@@ -29,10 +29,10 @@ def status(spark: SparkSession, store: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     from parcela.plans import engine
-    from parcela.streaming.ingest import VersionedTable
+    from parcela.streaming.store import Store
 
-    reports = VersionedTable(spark, f"{store}/reports", engine.DIRECTORY).read()
-    units = VersionedTable(spark, f"{store}/progress", engine.PROGRESS, "comuna_id", 8).read()
+    held = Store(spark, f"{store.rstrip('/')}/store", engine.tables(spark))
+    reports, units = held.read("reports"), held.read("progress")
     states = reports.groupBy(F.lit("reports").alias("what"), F.col("pdf_status").alias("name")).agg(F.count("*").alias("n"))
     failed = units.where("last_error is not null").groupBy(F.lit("failed units").alias("what"), F.col("last_error").alias("name")).agg(F.count("*").alias("n"))
     return states.unionByName(failed).orderBy("what", "name")

@@ -16,9 +16,6 @@ PLACES = {"region": "region_nombre", "comuna": "comuna_nombre", "tipo_vivienda":
 RENAMED = {
     **CODE,
     "calefaccion_kwh_per": "calefaccion_porcentaje",
-    "iluminacion_kwh_per": "iluminacion_porcentaje",
-    "agua_caliente_sanitaria_kwh_per": "agua_caliente_sanitaria_porcentaje",
-    "energia_renovable_no_convencional_kwh_per": "energia_renovable_no_convencional_porcentaje",
     "consumo_ep_calefaccion_kwh": "consumo_energia_primaria_calefaccion_kwh",
     "consumo_ep_agua_caliente_sanitaria_kwh": "consumo_energia_primaria_agua_caliente_sanitaria_kwh",
     "consumo_ep_iluminacion_kwh": "consumo_energia_primaria_iluminacion_kwh",
@@ -44,6 +41,17 @@ TABLE_NAMES = {
     "pagina6": {**CODE, "temp_exterior": "temperatura_exterior", "temp_interior": "temperatura_interior"},
     "pagina7": CODE,
 }
+#: What names a row of each table in the mirror.
+MIRROR_KEYS = {
+    "pagina1": ("eval_id",),
+    "pagina2": ("eval_id",),
+    "pagina3_consumos": ("eval_id",),
+    "pagina7": ("eval_id",),
+    "pagina3_envolvente": ("eval_id", "orientacion_nombre"),
+    "pagina4": ("eval_id", "mes_id"),
+    "pagina5": ("eval_id", "mes_id"),
+    "pagina6": ("eval_id", "mes_id", "hora"),
+}
 RENAMED_PARTS = (("_proy_", "_proyectado_"), ("_ref_", "_referencia_"))
 
 

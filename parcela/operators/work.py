@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,17 +26,25 @@ def likely_first_version(size: Column, limit: int = 4_000_000) -> Column:
     return F.coalesce((size > 0) & (size < limit), F.lit(False))
 
 
-def pending(work: DataFrame, region: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """Pending reports, of the communes in ``region`` if given, in order of id; no limit if 0 or none."""
-    found = work.where("pdf_status = 'pending'")
-    if region is not None:
-        found = found.join(region.select("comuna_id"), "comuna_id", "left_semi")
-    return found.orderBy("eval_id").limit(limit) if limit else found
+def pending(work: DataFrame, region: DataFrame | None = None, limit: int | None = None, order: Sequence[Column | str] = ("eval_id",)) -> DataFrame:
+    """Pending reports, of the communes in ``region`` if given; the first ``limit`` by ``order``, or all if 0 or none."""
+    found = in_region(work.where("pdf_status = 'pending'"), region)
+    return found.orderBy(*order).limit(limit) if limit else found
+
+
+def in_region(work: DataFrame, region: DataFrame | None) -> DataFrame:
+    """The reports of the communes in ``region``, or all."""
+    return work if region is None else work.join(region.select("comuna_id"), "comuna_id", "left_semi")
+
+
+def random_order(seed: int = 0) -> list[Column]:
+    """What to sort reports by for a random order that is the same for the same seed."""
+    return [F.xxhash64("eval_id", F.lit(seed)), F.col("eval_id")]
 
 
 def shuffled(work: DataFrame, seed: int = 0) -> DataFrame:
     """A random order that is the same for the same seed."""
-    return work.orderBy(F.xxhash64("eval_id", F.lit(seed)), "eval_id")
+    return work.orderBy(*random_order(seed))
 
 
 def retryable(work: DataFrame, cap: int) -> DataFrame:
@@ -58,7 +68,8 @@ def transition(work: DataFrame, outcomes: DataFrame) -> DataFrame:
     status = F.when(F.col("pdf_status").isNull(), "error").when(version == 1, "skipped_v1").when(failed, "failed").otherwise("extracted")
     reason = (
         F.when(version == 1, F.lit(None))
-        .when(version != 2, F.lit("unknown version"))
+        # A report that never came has no pages to tell a version by, but a reason.
+        .when((version != 2) & (F.col("page_count").isNotNull() | F.col("extract_error").isNull()), F.lit("unknown version"))
         .when(F.col("extract_error").isNotNull(), truncated(F.col("extract_error")))
         .when(failed, F.lit("validation"))
     )

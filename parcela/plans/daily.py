@@ -10,9 +10,9 @@ from dataclasses import dataclass, field
 class Steps:
     """What a run is made of; each callable starts Spark jobs and returns figures."""
 
-    discover: Callable[[int], dict]
+    discover: Callable[..., dict]
     pending: Callable[[], int]
-    drain: Callable[[], dict]
+    drain: Callable[..., dict]
     mirror: Callable[[], dict]
     cleanup: Callable[[], dict]
 
@@ -28,6 +28,10 @@ class Settings:
     temp_days: int = 7
     units_at_once: int = 8
     error_chars: int = field(default=300)
+    #: Pages of each unit that a full crawl stores at once.
+    pages_at_once: int = 10
+    #: What draws the reports of a limited drain; none for another draw each time.
+    seed: int | None = None
 
 
 def discover_all(regions: Iterable[int], discover: Callable[[int], dict], error_chars: int = 300) -> dict:
@@ -55,7 +59,15 @@ def daily(steps: Steps, settings: Settings = Settings()) -> dict:
     }
 
 
-def backfill(regions: Iterable[int], steps: Steps, with_drain: bool = True) -> dict:
-    """Discovery of each region, then the drain of all."""
-    found = discover_all(regions, steps.discover)
-    return found | ({"drain": steps.drain()} if with_drain else {})
+def backfill(regions: Iterable[int], steps: Steps, with_drain: bool = True, incremental: bool = False, resume: bool = False, most: int | None = None, limit: int | None = None) -> dict:
+    """Per region its discovery, a full crawl unless ``incremental``, and the drain of its pending reports.
+
+    With ``resume`` finished units are left out and others go on where they ended; ``most`` pages of a unit and ``limit`` reports of a
+    region at most. A region that fails leaves its error, and the others go on.
+    """
+    return discover_all(regions, lambda r: _backfilled(r, steps, with_drain, incremental, resume, most, limit))
+
+
+def _backfilled(region: int, steps: Steps, with_drain: bool, incremental: bool, resume: bool, most: int | None, limit: int | None) -> dict:
+    found = steps.discover(region, incremental=incremental, resume=resume, most=most)
+    return found | ({"drain": steps.drain(limit=limit, region=region)} if with_drain else {})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcela.functions import dates, numbers, strings
 from parcela.operators import layout, nested, persist, work
+from parcela.storage import stored
 
 from . import catalogue
 
@@ -39,22 +40,37 @@ READERS = {
 def single_page(texts: DataFrame, doc: str, page: int, blank: bool = False) -> DataFrame:
     """One row a document from (doc, field, text), with all fields of page 1, 2, 3 or 7; a text that can't be read is null in its column alone.
 
-    Page 1 gets the letter that its saved share stands for. With ``blank`` a field without a row is an empty text. Texts
-    are read where they are, by the kind of their field, and then gathered by document: one shuffle.
+    Page 1 gets the letter that its saved share stands for. With ``blank`` a field without a row is an empty text. Texts are read
+    by the kind of their field and gathered by document. Of a field's several values the greatest holds.
     """
     kinds = catalogue.single(page)
-    values = {}
+    values: dict[str, Column] = {}
     for kind in dict.fromkeys(kinds.values()):
         of, read = READERS[kind]
         mine = F.col("field").isin([c for c, k in kinds.items() if k == kind])
         values[of] = F.when(mine, read(F.col("text"))) if of not in values else values[of].when(mine, read(F.col("text")))
-    long = texts.select(doc, "field", *[v.alias(f"as_{of}") for of, v in values.items()])
-    found = [F.max(F.when(F.col("field") == c, F.col(f"as_{READERS[k][0]}"))).alias(c) for c, k in kinds.items()]
-    out = long.groupBy(doc).agg(*found)
+    found = _gathered(texts, doc, list(kinds), {f"as_{of}": v for of, v in values.items()})
+    out = found.select(doc, *[F.col("m")[c][f"as_{READERS[k][0]}"].alias(c) for c, k in kinds.items()])
     out = out.fillna("", [c for c, k in kinds.items() if READERS[k][0] == "string"]) if blank else out
     return out.withColumn(LETTER, numbers.grade(numbers.percent(F.col("porcentaje_ahorro")))) if page == 1 else out
 
 
+def _gathered(texts: DataFrame, doc: str, names: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """(doc, m): a document's ``values`` of the fields ``names``, as a map by field of structs; documents without such fields have an empty one.
+
+    Values are read where the texts are, each field's by its own rule, and gathered by one shuffle.
+    """
+    long = texts.select(doc, "field", *[v.alias(n) for n, v in values.items()])
+    pair = F.when(F.col("field").isin(list(names)), F.struct("field", F.struct(*values).alias("v")))
+    gathered = long.groupBy(doc).agg(F.array_sort(F.collect_list(pair)).alias("p"))
+    return gathered.select(doc, F.map_from_entries(_last_of("p")).alias("m"))
+
+
+def _last_of(pairs: str) -> Column:
+    """Of sorted (field, text) pairs the last of each field."""
+    return F.filter(pairs, lambda x, i: ~F.get(pairs, i + 1)["field"].eqNullSafe(x["field"]))
+
+
 def _code() -> Column:
     return F.first(F.when(F.col("field") == "codigo_evaluacion", strings.strip(F.col("text"))), ignorenulls=True).alias("codigo_evaluacion")
 
@@ -89,13 +105,13 @@ def envelope_lists(texts: DataFrame, doc: str) -> DataFrame:
             columns.setdefault(f.name.rsplit("_", 1)[0], []).append(f.name)
     field, text = F.col("field"), F.col("text")
     number = F.when(field.isin(columns["ua_mas_phi_l"]), numbers.last_line_number(text)).when(field.isin([n for c in catalogue.BRIDGES for n in columns[c]]), numbers.locale_number(_last_line(text)))
-    long = texts.select(doc, "field", "text", number.alias("number"))
-    of = lambda name, value: F.max(F.when(F.col("field") == name, F.col(value)))
-    lists = [F.array(*[of(n, "number") for n in names]).alias("totals" if c == "ua_mas_phi_l" else c) for c, names in columns.items()]
-    wide = long.groupBy(doc).agg(of("codigo_evaluacion", "text").alias("code"), *[of(name, "text").alias(k) for k, (name, _) in blocks.items()], *lists)
-    lines = lambda c: F.filter(F.split(strings.strip(F.col(c)), r"\R"), lambda x: x != "")
-    read = [F.transform(nested.last_n(lines(k), n), numbers.locale_number).alias(k) for k, (_, n) in blocks.items()]
-    return wide.select(doc, strings.strip(F.col("code")).alias("codigo_evaluacion"), *read, *catalogue.BRIDGES, "totals")
+    names = ["codigo_evaluacion", *[name for name, _ in blocks.values()], *[n for c in columns.values() for n in c]]
+    found = _gathered(texts, doc, names, {"text": F.when(~field.isin([n for c in columns.values() for n in c]), text), "number": number})
+    cell = lambda name, what: F.col("m")[name][what]
+    lists = [F.array(*[cell(n, "number") for n in ns]).alias("totals" if c == "ua_mas_phi_l" else c) for c, ns in columns.items()]
+    lines = lambda c: F.filter(F.split(strings.strip(c), r"\R"), lambda x: x != "")
+    read = [F.transform(nested.last_n(lines(cell(name, "text")), n), numbers.locale_number).alias(k) for k, (name, n) in blocks.items()]
+    return found.select(doc, strings.strip(cell("codigo_evaluacion", "text")).alias("codigo_evaluacion"), *read, *lists)
 
 
 def envelope_page(lists: DataFrame, doc: str) -> DataFrame:
@@ -137,20 +153,31 @@ def hourly_page(cells: DataFrame, doc: str) -> DataFrame:
 TABLES = {"pagina1": 1, "pagina2": 1, "pagina3_consumos": 1, "pagina3_envolvente": 10, "pagina4": 12, "pagina5": 2, "pagina6": 96, "pagina7": 1}
 
 
+def box_texts(spans: DataFrame, doc: str) -> DataFrame:
+    """(doc, page_no, field, text) of all boxes of all seven pages, in one pass over the spans.
+
+    Each page that a document has, with text in a box or without, also has a row without a field.
+    """
+    found = layout.in_boxes(spans, catalogue.boxes(spans.sparkSession), doc, line=LINE)
+    there = spans.where("page_no between 1 and 7").select(doc, "page_no").distinct().select("*", F.lit("").alias("field"), F.lit("").alias("text"))
+    return found.unionByName(there)
+
+
 def extract(spans: DataFrame, doc: str, cells: DataFrame | None = None) -> dict[str, DataFrame]:
     """The eight tables of reports from the spans of their pages, with the tables' own column names.
 
     ``cells`` are the hourly lists that ``hourly_page`` takes, read from the picture of page 6; without them its rows
-    have no values. A page that a report lacks, or that can't be read, leaves its own table without rows or values. Each
-    page's spans are filtered where they are scanned.
+    have no values. A page that a report lacks, or that can't be read, leaves its own table without rows or values. The
+    spans are cut into boxes once; all tables but the two months' read the texts that were found, by page.
     """
-    spark = spans.sparkSession
+    return tables_of(stored(box_texts(spans, doc), "texts"), spans, doc, cells)
+
+
+def tables_of(every: DataFrame, spans: DataFrame, doc: str, cells: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The eight tables from ``box_texts`` and, for the two months' page, the spans."""
 
     def texts(page: int) -> DataFrame:
-        of_page = spans.where(F.col("page_no") == page)
-        # One row more for each document that has the page, whether or not a box of it has text.
-        there = of_page.select(doc, "page_no").distinct().select("*", F.lit("").alias("field"), F.lit("").alias("text"))
-        return layout.in_boxes(of_page, catalogue.boxes(spark, page), doc, line=LINE).unionByName(there)
+        return every.where(F.col("page_no") == page)
 
     third = texts(3)
     codes = texts(6).groupBy(doc).agg(_code())

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from html import unescape
 from html.parser import HTMLParser
 from typing import Protocol
@@ -13,7 +15,8 @@ from typing import Protocol
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 PAGE_SIZE = 10
 #: Ids of the elements that hold the count and the rows of each kind of report, the classes around
@@ -262,32 +265,33 @@ class FormSession:
         return self._post(event="page", comuna=unit.comuna_id, tipo=unit.tipo, page=number)
 
 
-def crawl(transport: Transport, unit: Unit, known: frozenset[str] | None = None, grace: int = 2, most: int | None = None) -> Iterator[tuple]:
+def crawl(transport: Transport, unit: Unit, known: Iterable[str] | None = None, grace: int = 2, most: int | None = None, incremental: bool | None = None) -> Iterator[tuple]:
     """What a unit's pages have: (page, place, row, is_new) for each row, and at last (None, -1, progress, None).
 
-    Without ``known`` all pages from ``unit.first`` on are read. With it, the identifications that are known already, the
-    crawl is incremental: the site lists the oldest first, so pages are read from the last one back until ``grace`` in a row
-    have rows but nothing new; pages without rows neither count nor interrupt. An error ends the unit, not the
-    read: it is kept in the progress, with the last page that was done.
+    A row is new if its identification is neither among ``known`` nor on a row before it. A full crawl reads all pages from
+    ``unit.first`` on. An incremental one (by default, where ``known`` is given) reads from the last page back, as the site lists the
+    oldest first, until ``grace`` pages in a row have rows but nothing new; pages without rows neither count nor
+    interrupt. An error ends the unit, not the read: it is kept in the progress, with the last page that was done.
     """
-    progress = {"status": "pending", "pages_done": unit.first - 1, "total_pages": None, "rows_new": 0, "rows_seen": 0, "early_stopped": False, "last_error": None}
+    seen = set(known or ())
+    back = known is not None if incremental is None else incremental
+    progress = {"status": "pending", "pages_done": 0 if back else unit.first - 1, "total_pages": None, "rows_new": 0, "rows_seen": 0, "early_stopped": False, "last_error": None}
     try:
         html = transport.page(unit, 1)
         total = page_total(result_count(html, unit.tipo))
         total = min(total, most) if most else total
         progress["total_pages"] = total
-        numbers = range(unit.first, total + 1) if known is None else range(total, 0, -1)
-        dry = done = 0
-        for number in numbers:
+        dry = 0
+        for done, number in enumerate(range(total, 0, -1) if back else range(unit.first, total + 1), 1):
             rows = grid_rows(html if number == 1 else transport.page(unit, number), unit.tipo)
             fresh = 0
             for k, row in enumerate(rows):
-                new = known is None or row["identificacion"] not in known
+                new = row["identificacion"] not in seen
+                seen.add(row["identificacion"])
                 fresh += new
                 yield number, k, row, new
-            done += 1
-            progress |= {"pages_done": number if known is None else done, "rows_new": progress["rows_new"] + fresh, "rows_seen": progress["rows_seen"] + len(rows)}
-            if known is not None and rows:
+            progress |= {"pages_done": done if back else number, "rows_new": progress["rows_new"] + fresh, "rows_seen": progress["rows_seen"] + len(rows)}
+            if back and rows:
                 dry = 0 if fresh else dry + 1
                 if dry >= grace:
                     progress["early_stopped"] = True
@@ -302,6 +306,36 @@ PROGRESS_SCHEMA = "status string, pages_done int, total_pages int, rows_new int,
 _PROGRESS = [c.split()[0] for c in PROGRESS_SCHEMA.split(", ")]
 
 
+SCHEMA = f"comuna_id int, tipo int, page_no int, row_no int, {ROW_SCHEMA}, is_new boolean, {PROGRESS_SCHEMA}"
+
+
+def _record(unit: Unit, page: int | None, place: int, found: dict, new: bool | None) -> tuple:
+    """A row of ``SCHEMA``: one of the grid, or with ``place`` -1 a unit's progress."""
+    row = [None] * len(_COLUMNS) if place < 0 else [found[c] for c in _COLUMNS]
+    state = [found[c] for c in _PROGRESS] if place < 0 else [None] * len(_PROGRESS)
+    return (unit.comuna_id, unit.tipo, page, place, *row, new, *state)
+
+
+def crawled(units: DataFrame, connect: Callable[[], Transport], grace: int = 2, most: int | None = None) -> DataFrame:
+    """Crawls of ``units`` (comuna_id, tipo, first, incremental, known), each in one task, in the source's schema.
+
+    ``known`` are the identifications that the unit has already, as Spark joined them: no task opens a
+    table of its own. Both kinds of crawl tell new rows by them.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for u in b.to_pylist():
+                unit = Unit(u["comuna_id"], u["tipo"], u["first"])
+                rows = [_record(unit, *found) for found in crawl(connect(), unit, u["known"] or (), grace, most, u["incremental"])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.types, strict=True)], schema=kinds)
+
+    kinds = to_arrow_schema(units.sparkSession.createDataFrame([], SCHEMA).schema)
+    every = units.select("comuna_id", "tipo", "first", "incremental", "known")
+    n = max(1, int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return every.repartition(n, "comuna_id", "tipo").mapInArrow(each, SCHEMA)
+
+
 class ListingReader(DataSourceReader):
     """A partition per unit. Subclasses give another transport."""
 
@@ -315,7 +349,7 @@ class ListingReader(DataSourceReader):
         return StoredPages(self.folder)
 
     def known_of(self, unit: Unit) -> frozenset[str] | None:
-        """The unit's identifications in the Parquet table ``known``; its row groups of other units are skipped."""
+        """The unit's identifications in the Parquet table ``known``, a path that pyarrow opens; its row groups of other units are skipped."""
         if self.known is None:
             return None
         import pyarrow.dataset as ds
@@ -325,10 +359,97 @@ class ListingReader(DataSourceReader):
         return frozenset(found.column(0).to_pylist())
 
     def read(self, unit: Unit) -> Iterator[tuple]:
-        for page, place, found, new in crawl(self.transport(), unit, self.known_of(unit), self.grace, self.most):
-            row = [None] * len(_COLUMNS) if page is None else [found[c] for c in _COLUMNS]
-            state = [found[c] for c in _PROGRESS] if page is None else [None] * len(_PROGRESS)
-            yield (unit.comuna_id, unit.tipo, page, place, *row, new, *state)
+        for found in crawl(self.transport(), unit, self.known_of(unit), self.grace, self.most):
+            yield _record(unit, *found)
+
+
+class Pages(InputPartition):
+    """Some pages of a unit, from ``first`` to ``last``, of ``total``."""
+
+    def __init__(self, unit: tuple[int, int], first: int, last: int, total: int) -> None:
+        self.unit, self.first, self.last, self.total = unit, first, last, total
+
+
+class ListingStream(DataSourceStreamReader):
+    """Full crawls as a stream, whose offsets are the pages done of each unit: a batch has up to ``pages`` more of each.
+
+    A page's last row (``row_no`` -1) has the progress of its unit; a page that fails has its error there, and the unit's
+    other pages of the batch are left out. How many pages a unit has is asked once, ``sessions`` units at a time. ``state`` is a folder
+    that the driver's Python can write to (a path, or a URI that pyarrow knows): it keeps the last offset, which Spark does
+    not tell a reader that it starts anew. Spark notes an offset before it asks for its partitions, so what is kept never runs ahead.
+    """
+
+    def __init__(self, folder: str, units: list[tuple[int, int, int]], pages: int, state: str | None, most: int | None, sessions: int = 8) -> None:
+        self.folder, self.units, self.pages, self.state, self.most, self.sessions = folder, units, pages, state, most, sessions
+        self.at: dict[str, int] | None = None
+        self.totals: dict[str, int] = {}
+
+    def transport(self) -> Transport:
+        return StoredPages(self.folder)
+
+    def initialOffset(self) -> dict:
+        return {f"{c}:{t}": first - 1 for c, t, first in self.units}
+
+    def _kept(self) -> dict[str, int] | None:
+        if self.state is None:
+            return None
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(self.state) if "://" in self.state else (fs.LocalFileSystem(), self.state)
+        try:
+            with system.open_input_stream(f"{path}/offset") as f:
+                return json.loads(f.read())
+        except FileNotFoundError:
+            return None
+
+    def _keep(self, at: dict[str, int]) -> None:
+        self.at = at
+        if self.state is not None:
+            from pyarrow import fs
+
+            system, path = fs.FileSystem.from_uri(self.state) if "://" in self.state else (fs.LocalFileSystem(), self.state)
+            system.create_dir(path)
+            with system.open_output_stream(f"{path}/offset.new") as f:
+                f.write(json.dumps(at).encode())
+            system.move(f"{path}/offset.new", f"{path}/offset")
+
+    def _total(self, key: str) -> int:
+        unit = Unit(*map(int, key.split(":")))
+        try:
+            total = page_total(result_count(self.transport().page(unit, 1), unit.tipo))
+        except Exception:  # noqa: BLE001  the task that reads the first page tells the error
+            return 1
+        return min(total, self.most) if self.most else total
+
+    def latestOffset(self) -> dict:
+        at = self.at or self._kept() or self.initialOffset()
+        asked = [u for u in at if u not in self.totals]
+        with ThreadPoolExecutor(self.sessions) as pool:
+            self.totals |= dict(zip(asked, pool.map(self._total, asked), strict=True))
+        # A unit without results has one page, that says so.
+        return {u: max(done, min(max(1, self.totals[u]), done + self.pages)) for u, done in at.items()}
+
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
+        self._keep(end)
+        return [Pages(tuple(map(int, u.split(":"))), start.get(u, 0) + 1, last, self.totals.get(u, 0)) for u, last in end.items() if last > start.get(u, 0)]
+
+    def read(self, part: Pages) -> Iterator[tuple]:
+        transport, unit = self.transport(), Unit(*part.unit, part.first)
+        number = part.first
+        # A replayed batch comes from a reader that has not asked for totals.
+        total = part.total or None
+        try:
+            if total is None:
+                total = self._total(f"{unit.comuna_id}:{unit.tipo}")
+            for number in range(part.first, part.last + 1):
+                rows = grid_rows(transport.page(unit, number), unit.tipo)
+                for k, row in enumerate(rows):
+                    yield _record(unit, number, k, row, None)
+                done = {"status": "done" if number >= total else "pending", "pages_done": min(number, total), "total_pages": total, "rows_new": None, "rows_seen": len(rows), "early_stopped": False, "last_error": None}
+                yield _record(unit, number, -1, done, None)
+        except Exception as e:  # noqa: BLE001  a unit's failure must not end the others
+            failed = {"status": "pending", "pages_done": number - 1, "total_pages": total, "rows_new": None, "rows_seen": 0, "early_stopped": False, "last_error": str(e)[:300]}
+            yield _record(unit, number, -1, failed, None)
 
 
 class ListingSource(DataSource):
@@ -336,6 +457,7 @@ class ListingSource(DataSource):
 
     Options: ``path``; ``units`` as ``comuna:tipo[:first page]``, comma-joined; for an incremental crawl ``known``, a Parquet
     table of (comuna_id, tipo, identificacion), and ``grace``; ``most`` pages of a unit. A unit's last row has its progress (``row_no`` -1).
+    ``spark.readStream`` takes ``pages`` of each unit for a batch, and ``state`` (see ``ListingStream``).
     """
 
     @classmethod
@@ -343,13 +465,20 @@ class ListingSource(DataSource):
         return "listing"
 
     def schema(self) -> str:
-        return f"comuna_id int, tipo int, page_no int, row_no int, {ROW_SCHEMA}, is_new boolean, {PROGRESS_SCHEMA}"
+        return SCHEMA
+
+    def _units(self) -> list[tuple[int, int, int]]:
+        units = [tuple(int(x) for x in u.split(":")) for u in self.options.get("units", "").split(",") if u]
+        return [(*u, 1)[:3] for u in units]
+
+    def _most(self) -> int | None:
+        return int(self.options["most"]) if self.options.get("most") else None
 
     def reader(self, schema) -> ListingReader:
-        o = self.options
-        units = [tuple(int(x) for x in u.split(":")) for u in o.get("units", "").split(",") if u]
-        most = o.get("most")
-        return ListingReader(o["path"], [(*u, 1)[:3] for u in units], o.get("known"), int(o.get("grace", "2")), int(most) if most else None)
+        return ListingReader(self.options["path"], self._units(), self.options.get("known"), int(self.options.get("grace", "2")), self._most())
+
+    def streamReader(self, schema) -> ListingStream:
+        return ListingStream(self.options["path"], self._units(), int(self.options.get("pages", "10")), self.options.get("state"), self._most())
 
 
 def found_rows(read: DataFrame) -> DataFrame:
@@ -357,9 +486,9 @@ def found_rows(read: DataFrame) -> DataFrame:
     return read.where("row_no >= 0").drop(*_PROGRESS)
 
 
-def progress_of(read: DataFrame) -> DataFrame:
-    """The progress of each unit in what the source read."""
-    return read.where("row_no < 0").select("comuna_id", "tipo", *_PROGRESS)
+def progress_of(read: DataFrame, *more: str) -> DataFrame:
+    """The progress of each unit in what the source read; of a stream, that after each page."""
+    return read.where("row_no < 0").select("comuna_id", "tipo", *more, *_PROGRESS)
 
 
 def register(spark: SparkSession) -> None:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcela.operators import cells, diagnostics, directory, glyphs, grid, layout, mirror, nested, persist, pictures, work
-from parcela.plans import catalogue, daily, engine, report
+from parcela.plans import catalogue, daily, report
 
 
 def rows(df, *columns):
@@ -307,41 +307,6 @@ def test_stride_sample_of_a_hot_label(spark):
     assert rows(out, "label", "i") == sorted([("few", i) for i in range(5)] + [("hot", 41 * k) for k in range(12)])
 
 
-def test_engine_runs_the_chains(spark, tmp_path):
-    """Two days: the second sees only what is new, a failed unit keeps its error, and the mirror's stamp waits for success."""
-    from tests.test_sources import page
-
-    source, box = tmp_path / "site", tmp_path / "mirror"
-    source.mkdir()
-    box.mkdir()
-
-    def put(comuna, tipo, number, ids, total):
-        (source / f"{comuna}_{tipo}_{number}.html").write_text(page(ids, total, tipo), encoding="utf-8")
-
-    put(5, 1, 1, [f"a{i}" for i in range(10)], 12)
-    put(5, 1, 2, ["a10", "a11"], 12)
-    (source / "6_1_1.html").write_bytes(b"\xff\xfe broken")
-    communes = spark.createDataFrame([(5, 1), (6, 1), (7, 2)], "comuna_id int, region_id int")
-    outcome = lambda df: df.select("eval_id", F.lit(7).alias("page_count"), F.when(F.col("identificacion") == "a3", "boom").alias("extract_error"), F.lit(True).alias("valid"))
-    refuse = ["no"]
-    e = engine.Engine(spark, str(tmp_path / "store"), str(source), communes, outcome, lambda: Memory(box, refuse), "2024-01-01", daily.Settings(regions=(1, 2)))
-    out = daily.daily(e.steps(), e.settings)
-    assert out["discovery"]["regions"][1] == {"rows_new": 12, "errors": 1, "units": 4} and out["pending"] == 12
-    assert out["drain"] == {"selected": 12, "extracted": 11, "skipped": 0, "failed": 1}
-    assert out["mirror"]["evaluaciones"]["created"] == 12 and out["cleanup"] == {}
-    failed = e.progress.read().where("last_error is not null").collect()
-    assert [(r.comuna_id, r.tipo, r.status) for r in failed] == [(6, 1, "pending")]
-
-    put(5, 1, 2, ["a10", "a11", "a12"], 13)
-    put(6, 1, 1, ["b1"], 1)
-    e.now = "2024-01-02"
-    out = daily.daily(e.steps(), e.settings)
-    assert out["discovery"]["rows_new"] == 2 and out["pending"] == 2 and out["mirror"]["evaluaciones"] == {"created": 2, "updated": 0, "remaining": 0, "error": None}
-    assert e.reports.read().count() == 14 and e.progress.read().where("last_error is not null").count() == 0
-    assert e.reports.read().where("synced_at is null").count() == 0
-    assert daily.backfill([1], e.steps(), with_drain=False)["rows_new"] == 0
-
-
 def test_daily_survives_a_region():
     def discover(region):
         if region == 7:
