@@ -13,7 +13,7 @@ from .common import shared_dir, stored
 
 #: n-grams in a profile and of a document; documents of each language that its profile is learned from
 #: (about so many; drawn by a hash of id and text, all of them where there are fewer); and languages at most.
-TOP, LEARN, MOST_LANGS = 300, 5_000, 10_000
+TOP, LEARN, MOST_LANGS = 300, 5_000, 2_000
 
 _GAP = 1  # what stands for a run of characters that are no letters
 
@@ -60,7 +60,7 @@ def learn(docs: DataFrame, top: int = TOP, most: int = LEARN) -> list[tuple[str,
     the result depends on the rows alone. Repeated rows are in or out together.
     """
     shared_dir(docs.sparkSession)
-    known = docs.where("lang is not null and text is not null")
+    known = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null")
     counts = stored(known.groupBy("lang").agg(F.count("*").alias("n")), "langs")
     if counts.count() > MOST_LANGS:
         raise ValueError(f"lang has more than {MOST_LANGS} values")
@@ -93,25 +93,34 @@ def learn(docs: DataFrame, top: int = TOP, most: int = LEARN) -> list[tuple[str,
 
 
 class Profiles:
-    """Out-of-place distance to each learned language."""
+    """Out-of-place distance to each learned language.
+
+    Each gram has the list of the languages that know it, and its rank there: 14 bytes for each row of the profiles,
+    4 MB for a thousand languages. A document meets the lists of its own grams alone.
+    """
 
     def __init__(self, rows: list[tuple[str, int, int]], top: int = TOP) -> None:
         self.top = top
         self.langs = sorted({r[0] for r in rows})
-        self.keys = np.unique(np.array([r[1] for r in rows], np.uint64))
-        # The last row is that of grams which no profile has.
-        self.rank = np.full((len(self.keys) + 1, len(self.langs)), -1, np.int64)
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        for lang, gram, rank in rows:
-            self.rank[np.searchsorted(self.keys, np.uint64(gram)), at[lang]] = rank
+        number = {lang: i for i, lang in enumerate(self.langs)}
+        gram = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+        order = np.argsort(gram, kind="stable")
+        self.lang = np.array([number[r[0]] for r in rows], np.int32)[order]
+        self.rank = np.array([r[2] for r in rows], np.int16)[order]
+        self.keys, first = np.unique(gram[order], return_index=True)
+        self.ends = np.append(first, len(rows)).astype(np.int32)
 
     def judge(self, keys: np.ndarray) -> tuple[str, float]:
         mine = ranked(keys, self.top)
         if not len(mine) or not self.langs:
             return "und", 0.0
         at = np.minimum(np.searchsorted(self.keys, mine), len(self.keys) - 1)
-        rows = self.rank[np.where(self.keys[at] == mine, at, len(self.keys))]
-        apart = np.where(rows < 0, self.top, np.abs(rows - np.arange(len(mine))[:, None])).sum(0)
+        place = np.flatnonzero(self.keys[at] == mine)
+        begin, size = self.ends[at[place]].astype(np.int64), np.diff(self.ends)[at[place]].astype(np.int64)
+        # The numbers of all entries of these lists, list by list.
+        entries = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        near = self.top - np.abs(self.rank[entries] - np.repeat(place, size))
+        apart = self.top * len(mine) - np.bincount(self.lang[entries], weights=near, minlength=len(self.langs)).astype(np.int64)
         best = int(apart.argmin())  # of equals the first by name
         return self.langs[best], 1.0 - float(apart[best]) / (self.top * len(mine))
 
@@ -120,12 +129,13 @@ def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], top: int = T
     """``doc_id`` with lang_pred and score: 1 less the distance, as a share of the largest possible.
 
     Whole texts are read. A text that is null or has no letter is ``und`` with score 0, as is every
-    text if no language is known. Profiles are few and of bounded length, so they go out with the tasks.
+    text if no language is known. Profiles go out with the tasks: 8 MB for the ``MOST_LANGS`` languages that ``learn`` gives at most.
     """
     kind = dict(docs.dtypes)["doc_id"]
+    known = Profiles(profiles, top)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, known = Grams(), Profiles(profiles, top)
+        grams = Grams()
         for b in batches:
             found = [known.judge(grams(t)) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["doc_id", "lang_pred", "score"])

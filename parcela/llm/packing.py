@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_mark, words_sql
+from .common import stored, text_mark, words_sql
 
 #: Production parameters: permitted lengths in tokens, what a sequence costs besides its tokens, and
 #: the pieces that one packing task gets on average.
@@ -151,11 +151,19 @@ def with_texts(packed: DataFrame, docs: DataFrame) -> DataFrame:
 def sequences(packed: DataFrame, ids: DataFrame) -> DataFrame:
     """(bin_id, bin_length, ids, starts): the token ids of each bin in order, and where its pieces begin, for training.
 
-    ``packed`` is by token counts, and ``ids`` (doc_id, ids; ``tokenfile.documents``) has each id's tokens once. A bin has
-    at most the largest length's tokens, so neither its group nor its row grows with the data.
+    ``packed`` is by token counts, and ``ids`` has each document's token ids: (doc_id, ids), as ``tokenfile.documents``, or
+    (doc_id, mark, ids) with the mark of its text (``common.text_mark``). Null ids are one id. Several rows of an id need the mark to be told
+    apart; without it they are an error. A bin has at most the largest length's tokens, so neither its group nor its row grows with the data.
     """
+    marked = "mark" in ids.columns
+    by = ["doc_id", "mark"] if marked else ["doc_id"]
+    once = ids.groupBy(*by).agg(F.count("*").alias("n"), F.first("ids").alias("ids"))
+    if not marked and not (once := stored(once, "ids")).where("n > 1").isEmpty():
+        raise ValueError("a doc_id has several token lists: give the mark of each text")
     part = F.expr("slice(ids, cast(start as int) + 1, cast(n_tokens as int))")
-    joined = packed.join(ids.select(F.col("doc_id").alias("__id"), "ids"), F.col("doc_id") == F.col("__id"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    same = same & (F.col("mark") == F.col("__mark")) if marked else same
+    joined = packed.select("bin_id", "bin_length", "doc_id", "mark", "offset", "start", "n_tokens").join(once.select(*[F.col(c).alias("__id" if c == "doc_id" else "__mark") for c in by], "ids"), same)
     cut = joined.select("bin_id", "bin_length", F.struct("offset", part.alias("ids")).alias("p"))
     held = cut.groupBy("bin_id", "bin_length").agg(F.array_sort(F.collect_list("p")).alias("p"))
     return held.select("bin_id", "bin_length", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"), F.transform("p", lambda x: x["offset"]).alias("starts"))

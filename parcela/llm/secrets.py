@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, scratch, shared_dir, small, stored
+from .common import let, scratch, shared_dir, small, spare, stored
 
 
 @dataclass(frozen=True)
@@ -111,7 +111,8 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
     """Every row of ``paths`` (doc_id, text) with its blob's findings under ``rules``.
 
     Adds blob_id and found, an array of (start, rank, kind, stop) by start and rank. A null or empty
-    text, or one without findings, gets an empty array. Repeated rows each get their findings.
+    text, or one without findings, gets an empty array. Repeated rows each get their findings. Columns of ``paths`` that
+    have these names stay as they are, and those that are added have underscores before them.
     """
     pairs = [r.pair for r in rules]
     kinds = [r.kind for r in rules]
@@ -123,12 +124,16 @@ def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULE
     # A blob's findings are at most its spans. Written, they come to the join by a shuffle of their
     # own, so that a blob which very many paths hold can be split.
     merged = stored(one.where(wanted).select("blob_id", "f").distinct().groupBy("blob_id").agg(F.array_sort(F.collect_list("f")).alias("found")), "found")
-    addressed = paths.withColumn("blob_id", F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
-    return addressed.drop("found").join(merged, "blob_id", "left").withColumn("found", F.coalesce("found", F.expr(f"cast(array() as {_SPANS})")))
+    blob, name, other = spare(paths, "blob_id"), spare(paths, "found"), spare(paths, "__blob")
+    addressed = paths.withColumn(blob, F.sha2(F.coalesce("text", F.lit("")), 256)).drop("text")
+    joined = addressed.join(merged.select(F.col("blob_id").alias(other), F.col("found").alias(f"{other}_found")), F.col(blob) == F.col(other), "left")
+    spans = F.coalesce(F.col(f"{other}_found"), F.expr(f"cast(array() as {_SPANS})"))
+    return joined.withColumn(name, spans).drop(other, f"{other}_found")
 
 
 def report(found: DataFrame) -> DataFrame:
-    """The digest columns of ``findings``: counts, a hash of the base spans, and all spans."""
+    """The digest columns of ``findings``: counts, a hash of the base spans, and all spans, from the last column, which it added."""
+    found = found.select("doc_id", F.col(f"`{found.columns[-1]}`").alias("found"))
     base = [r.kind for r in RULES if r.base]
 
     def written(which: str) -> Column:
