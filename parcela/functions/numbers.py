@@ -88,8 +88,13 @@ def dash_as_zero(c: Column) -> Column:
 
 
 def result_count(c: Column) -> Column:
-    """The count before the word Vivienda, dots grouping its thousands; 0 if there is none."""
-    digits = F.replace(F.regexp_extract(c, r"([\d.]+)\s+Vivienda", 1), F.lit("."), F.lit(""))
+    """The number before the first word that begins with Vivienda, dots grouping its thousands; 0 if there is none.
+
+    Of the word before it, a bracket or colon and what precedes it do not count.
+    """
+    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    before = F.get(words, F.array_position(F.transform(words, lambda w: w.startswith("Vivienda")), True).cast("int") - 2)
+    digits = F.replace(F.substring_index(F.translate(before, "(:[", ":::"), ":", -1), F.lit("."), F.lit(""))
     return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 

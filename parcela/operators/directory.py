@@ -32,6 +32,12 @@ def last_wins(rows: DataFrame, key: Sequence[str], order: Sequence[Column]) -> D
     return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def fresh_rows(found: DataFrame, known: DataFrame, key: Sequence[str], unit: Sequence[str]) -> DataFrame:
+    """How many rows of ``found`` each unit had not listed before, as ``fresh``; a key that stands in several rows is one."""
+    once = new_rows(found.select(*unit, *key).distinct(), known, key)
+    return once.groupBy(*unit).agg(F.count("*").cast("int").alias("fresh"))
+
+
 def upsert(known: DataFrame, found: DataFrame, key: str, summary: Sequence[str], state: Sequence[str], seen_at: Column) -> DataFrame:
     """``known`` merged with ``found``: summary columns refreshed, state columns kept, new rows pending.
 

@@ -31,11 +31,20 @@ def serialised(rows: DataFrame) -> DataFrame:
 def write(rows: DataFrame, table: str, key: str, connect: Callable[[], Client], sessions: int = 8) -> dict:
     """Creates or updates each row by its key; returns created, updated, remaining and the first error.
 
-    Rows of one key meet in one session, so that a repeated key is created once and updated then. A session stops at
+    A first session searches one row's key alone: a table that is missing or refuses gets this one call, and all its
+    rows remain. Rows of one key meet in one session, so that a repeated key is created once and updated then. A session stops at
     its first failure, and what it had left counts as remaining. ``sessions`` tasks write at once. A task that is run
     again after a lost executor finds what it created and updates it. Only counts come back.
     """
 
+    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for value in b.column(0).to_pylist():
+                try:
+                    connect().search(table, key, value)
+                except Exception as e:  # noqa: BLE001  the caller gets it as the table's error
+                    yield pa.RecordBatch.from_arrays([pa.array([str(e)[:150]])], ["error"])
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         created = updated = remaining = 0
         error = None
@@ -59,6 +68,9 @@ def write(rows: DataFrame, table: str, key: str, connect: Callable[[], Client],
         yield pa.RecordBatch.from_pylist([{"created": created, "updated": updated, "remaining": remaining, "error": error}], schema=arrow)
 
     arrow = pa.schema([("created", pa.int64()), ("updated", pa.int64()), ("remaining", pa.int64()), ("error", pa.string())])
+    refused = serialised(rows).where(F.col(key).isNotNull()).select(key).limit(1).mapInArrow(probed, "error string").first()
+    if refused is not None:
+        return {"created": 0, "updated": 0, "remaining": rows.count(), "error": refused.error}
     sent = serialised(rows).repartition(sessions, key).sortWithinPartitions(key)
     counts = sent.mapInArrow(each, "created bigint, updated bigint, remaining bigint, error string")
     total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("created", "updated", "remaining")], F.min("error").alias("error"))

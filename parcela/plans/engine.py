@@ -124,7 +124,7 @@ class Engine:
         one = stored(directory.last_wins(ingest.keyed(rows), [KEY], [F.col("page_no"), F.col("row_no")]), "listed")
         touched = self.store.buckets_of("reports", one)
         known = self.store.read("reports", touched, at)
-        fresh = directory.new_rows(one, known, [KEY]).groupBy(*UNIT).agg(F.count("*").cast("int").alias("fresh"))
+        fresh = directory.fresh_rows(one, known, [KEY], UNIT)
         if not touched:
             return {}, fresh
         merged = directory.upsert(known, one.select(KEY, *SUMMARY), KEY, list(SUMMARY), list(STATE), self._stamp())

@@ -3,11 +3,13 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parcela.functions import numbers, strings
+from parcela.functions import numbers
 from parcela.operators import directory
 from parcela.sources import listing
+from parcela.storage import scratch
+from parcela.streaming import early_stop
 
-from .registry import query, table
+from .registry import query, reports, table
 
 def _grid_page(tipo: str, ident: str, letter: str, inputs: str, n: str) -> str:
     """SQL for a page with a row in the grid of its kind, another in the other kind's grid, and both counts."""
@@ -42,7 +44,7 @@ def listing_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = """concat('<select id="dbRegion"><option value="3">no</option></select><select id="dbComuna">\n<option selected value="-1">Elija</option>',
         '<option value="', c_nationkey, '"> Ñuñoa ', c_custkey, ' </option>\n<option class="x" value="', c_nationkey + 100, '">A&amp;B</option></select><option value="9">no</option>')"""
     found = table(spark, sf_dir, "customer").select("c_custkey", F.explode(listing.options_of(F.expr(html))).alias("o"))
-    return found.select("c_custkey", "o.id", strings.unescape(F.col("o.name")).alias("name"))
+    return found.select("c_custkey", "o.*")
 
 
 @query("""with p as (select n_nationkey::int as comuna_id, n_regionkey::int as region_id, case when n_nationkey % 2 = 0 then 'done' else 'pending' end as status, (n_nationkey % 6)::int as pages_done from nation where n_nationkey % 5 <> 0),
@@ -86,18 +88,38 @@ def _progress(units: DataFrame) -> DataFrame:
     return units.where("comuna_id % 5 <> 0").withColumns({"status": status, "pages_done": F.col("comuna_id") % 4})
 
 
-@query("""with r as (select *, (row_number() over (partition by user_id order by ts, event_id) - 1) // 3 + 1 as page from events),
+_EARLY = """with r as (select *, (row_number() over (partition by user_id order by ts, event_id) - 1) // 3 + 1 as page from events),
 p as (select user_id, page, count(*) filter (event_type <> 'signup') as n_rows, count(*) filter (event_type <> 'signup' and event_id % 7 = 0) as n_new from r group by all),
 f as (select *, sum((n_new > 0)::int) over (partition by user_id order by page) as isle from p where n_rows > 0),
 d as (select *, sum((n_new = 0)::int) over (partition by user_id, isle order by page) as dry from f),
 s as (select user_id, min(page) as stop from d where dry = 2 group by 1)
-select p.*, stop is not null as early_stopped from p left join s using (user_id) where stop is null or page <= stop""")
-def early_stop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+select p.*, stop is not null as early_stopped from p left join s using (user_id) where stop is null or page <= stop"""
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as units, their events as rows of pages of three."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     rows = table(spark, sf_dir, "events").withColumn("page", F.expr("1L") + F.floor((F.row_number().over(w) - 1) / 3))
     listed = F.col("event_type") != "signup"
-    pages = rows.groupBy("user_id", "page").agg(F.count_if(listed).alias("n_rows"), F.count_if(listed & (F.col("event_id") % 7 == 0)).alias("n_new"))
-    return directory.early_stop(pages, ["user_id"], "page")
+    return rows.groupBy("user_id", "page").agg(F.count_if(listed).alias("n_rows"), F.count_if(listed & (F.col("event_id") % 7 == 0)).alias("n_new"))
+
+
+@query(_EARLY)
+def early_stop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return directory.early_stop(_pages(spark, sf_dir), ["user_id"], "page")
+
+
+@query(_EARLY)
+def early_stop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same verdicts from a stream of the pages, whose state is a few numbers a unit."""
+    given, mark, out = (scratch(spark, n) for n in ("pages", "mark", "visited"))
+    pages = _pages(spark, sf_dir)
+    pages.write.parquet(given)
+    seen = early_stop.visited(spark.readStream.schema(pages.schema).parquet(given), ["user_id"], "page")
+    seen.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema(seen.schema).parquet(out)
+    ended = found.groupBy("user_id").agg(F.bool_or("stops").alias("early_stopped"))
+    return found.drop("stops").join(ended, "user_id")
 
 
 @query(f"with {_UNITS} select u.comuna_id, u.tipo, (coalesce(pages_done, 0) + 1)::bigint as start_page from u left join p using (comuna_id, tipo) where status is null or status <> 'done'")
@@ -133,7 +155,20 @@ def result_count_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", numbers.result_count(text).alias("found"))
 
 
-@query("select v as attempt, 2.0 * pow(2, v) as database_s, 3.0::double * (v + 1) as portal_s from range(0, 6) t(v)")
+@query("""select o_orderkey as eval_id, (o_orderkey % 5)::bigint as attempt, 2.0 * pow(2, o_orderkey % 5) as database_s, 3.0::double * (o_orderkey % 5 + 1) as portal_s
+from orders join customer on o_custkey = c_custkey where o_orderstatus = 'F'""")
 def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("id")
-    return spark.range(6).select(k.alias("attempt"), numbers.backoff(k, 2.0).alias("database_s"), numbers.backoff(k, 3.0, "linear").alias("portal_s"))
+    """How long each failed report waits before its next attempt, by its retries."""
+    k = F.col("retry_count")
+    failed = reports(spark, sf_dir).where("pdf_status = 'failed'")
+    return failed.select("eval_id", k.cast("bigint").alias("attempt"), numbers.backoff(k, 2.0).alias("database_s"), numbers.backoff(k, 3.0, "linear").alias("portal_s"))
+
+
+@query("""with k as (select distinct l_suppkey, l_partkey from lineitem where l_returnflag = 'R')
+select l_suppkey, count(distinct l_partkey)::int as fresh from lineitem where (l_suppkey, l_partkey) not in (select l_suppkey, l_partkey from k) group by 1""")
+def discover_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a crawl counts as new: rows that the directory lacks, each once however many pages list it."""
+    rows = table(spark, sf_dir, "lineitem")
+    known = rows.where("l_returnflag = 'R'").select("l_suppkey", "l_partkey")
+    key = F.concat_ws(":", "l_suppkey", "l_partkey")
+    return directory.fresh_rows(rows.withColumn("key", key), known.withColumn("key", key), ["key"], ["l_suppkey"])

@@ -1,6 +1,6 @@
 """Text by place, and listing pages."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcela.functions.strings import unescape
@@ -33,6 +33,17 @@ def box_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.in_boxes(_spans(spark, sf_dir), catalogue.boxes(spark, 4)).select("doc_id", "field", "text")
 
 
+@query("""with s as (select l_orderkey as doc_id, l_quantity::int::varchar as text, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) as k from lineitem)
+select doc_id, 'codigo_evaluacion' as field, string_agg(text, ' ' order by (k - 1) % 2, k desc) as text from s group by 1""")
+def box_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of two lines that jitter by half a millimetre, written from right to left: read line by line and by column."""
+    k = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_quantity").cast("int").cast("string").alias("text"), k.alias("k"))
+    x, y = "(87D - 1.2D * k)", "(32D + 2.4D * ((k - 1) % 2) + 0.07D * k)"
+    spans = rows.selectExpr("l_orderkey as doc_id", "4 as page_no", "215.9D as page_w", "330.0D as page_h", f"{x} - 0.5D as x0", f"{y} - 1D as y0", f"{x} + 0.5D as x1", f"{y} + 1D as y1", "10.0D as font_size", "text")
+    return op.in_boxes(spans, catalogue.boxes(spark, 4)).select("doc_id", "field", "text")
+
+
 @query("""select p_partkey, p_size % 4 > 0 and p_size % 5 > 0 and p_size * 4.0 + p_size % 4 * 20.0 <= 215.9 and p_size * 6.0 + p_size % 5 * 10.0 <= 330 as ok from part""")
 def box_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = table(spark, sf_dir, "part").selectExpr("p_partkey", "p_size * 4.0D as x1", "p_size * 6.0D as y1", "p_size * 4.0D + p_size % 4 * 20.0D as x2", "p_size * 6.0D + p_size % 5 * 10.0D as y2")

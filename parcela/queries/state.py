@@ -59,6 +59,16 @@ def random_drain_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return work.shuffled(work.pending(reports(spark, sf_dir))).select("eval_id")
 
 
+@query(f"""with {EV}, p as (select eval_id from ev where pdf_status = 'pending') select least(200, count(*)) as drawn, 0::bigint as others, count(*) <= 200 as first_ones from p""")
+def limited_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A limited drain takes as many as it may, all pending, and not just the first by id."""
+    ev = reports(spark, sf_dir)
+    drawn = work.pending(ev, limit=200, order=work.random_order(7)).select("eval_id", F.col("pdf_status").alias("status"), F.lit(1).alias("mine"))
+    first = work.pending(ev, limit=200).select("eval_id", F.lit(1).alias("head"))
+    both = drawn.join(first, "eval_id", "left")
+    return both.agg(F.count("*").alias("drawn"), F.count_if(F.col("status") != "pending").alias("others"), (F.count_if(F.col("head").isNotNull()) == F.count("*")).alias("first_ones"))
+
+
 @query("""select user_id as eval_id, count(*) filter (event_type = 'purchase') > 0 as has_codigo, count(*) as p6_rows,
 count(*) filter (event_type <> 'error') as p6_filled, count(*) filter (event_type = 'error' or value < 50) as p6_low_confidence,
 count(*) filter (event_type = 'purchase') > 0 and count(*) = 96 as ok from events group by 1""")

@@ -8,10 +8,10 @@ import re
 import time
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from html import unescape
 from html.parser import HTMLParser
 from typing import Protocol
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,10 +143,11 @@ def grid_rows(html: str | None, tipo: int) -> list[dict]:
 
 
 def result_count(html: str | None, tipo: int) -> int:
-    """The count of the kind's results; 0 if the page has none."""
-    found = re.search(r"([\d.]+)\s+Vivienda", " ".join(_read(html, tipo).count.split()))
-    digits = found[1].replace(".", "") if found else ""
-    return int(digits) if digits else 0
+    """The count of the kind's results, by the rule of ``numbers.result_count``; 0 if the page has none."""
+    words = _read(html, tipo).count.split()
+    at = next((i for i, w in enumerate(words) if w.startswith("Vivienda")), 0)
+    digits = words[at - 1].translate(str.maketrans("([", "::")).split(":")[-1].replace(".", "") if at else ""
+    return int(digits) if digits.isdecimal() else 0
 
 
 def rows_of(pages: DataFrame) -> DataFrame:
@@ -165,20 +166,46 @@ def rows_of(pages: DataFrame) -> DataFrame:
     return pages.select("comuna_id", "tipo", "page_no", "html").mapInArrow(each, ", ".join(f"{n} int" for n in numbers) + f", {ROW_SCHEMA}")
 
 
-def options_of(html: Column, block: str = "dbComuna") -> Column:
-    """The options of a drop-down list as (id, name) pairs; -1, its prompt, is left out."""
-    part = F.regexp_extract(html, rf"(?s)({block}.*?</select>)", 1)
-    pattern = r"""<option[^>]*value="(-?\d+)"[^>]*>([^<]+)</option>"""
-    ids, names = (F.regexp_extract_all(part, F.lit(pattern), F.lit(k)) for k in (1, 2))
-    pairs = F.zip_with(ids, names, lambda i, n: F.struct(i.cast("int").alias("id"), F.regexp_replace(n, r"^\s+|\s+$", "").alias("name")))
-    return F.filter(pairs, lambda p: p["id"] != -1)
+class _Options(HTMLParser):
+    """Value and text of each option of the lists whose id or name ends with ``block``; attributes come in any order."""
+
+    def __init__(self, block: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.block, self.inside, self.found = block, False, []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        a = dict(attrs)
+        if tag == "select":
+            self.inside = any((a.get(k) or "").endswith(self.block) for k in ("id", "name"))
+        elif tag == "option" and self.inside:
+            self.found.append([a.get("value"), ""])
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "select":
+            self.inside = False
+
+    def handle_data(self, data: str) -> None:
+        if self.inside and self.found:
+            self.found[-1][1] += data
 
 
 def options(html: str | None, block: str = "dbComuna") -> list[tuple[int, str]]:
-    """(id, name) of the options of a drop-down list; -1 is its prompt."""
-    found = re.search(rf"{block}.*?</select>", html or "", re.S)
-    pairs = re.findall(r'value="(-?\d+)"[^>]*>([^<]*)<', found[0]) if found else []
-    return [(int(v), unescape(n.strip())) for v, n in pairs if v != "-1"]
+    """(id, name) of the options of a drop-down list; -1 is its prompt, and an option without a whole number or a name is none."""
+    parser = _Options(block)
+    parser.feed(html or "")
+    parser.close()
+    pairs = [(v.strip(), " ".join(n.split())) for v, n in parser.found if v is not None]
+    return [(int(v), n) for v, n in pairs if v.removeprefix("-").isdecimal() and int(v) != -1 and n]
+
+
+def options_of(html: Column, block: str = "dbComuna") -> Column:
+    """``options`` of each page, as an array of (id, name)."""
+
+    @F.pandas_udf("array<struct<id: int, name: string>>")
+    def read(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda h: [{"id": i, "name": n} for i, n in options(h, block)])
+
+    return read(html)
 
 
 def page_total(n: int) -> int:

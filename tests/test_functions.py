@@ -18,25 +18,34 @@ def applied(spark, function, values, kind="string"):
     return [r.out for r in df.select("i", function(F.col("v")).alias("out")).orderBy("i").collect()]
 
 
-def locale_number(text):
-    for line in (text or "").splitlines():
-        x = line.strip()
-        if not x:
-            continue
-        comma, dot = x.find(","), x.find(".")
-        if comma >= 0 and dot >= 0:
-            x = x.replace(",", "") if comma < dot else x.replace(".", "").replace(",", ".")
-        elif comma >= 0:
-            x = x.replace(",", ".")
-        elif dot >= 0:
-            parts = x.split(".")
-            if not (len(parts) == 2 and len(parts[1]) != 3):
-                if any(len(p) != 3 for p in parts[1:]):
-                    continue
-                x = "".join(parts)
-        if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", x, re.A):
-            return float(x)
-    return None
+def grouped(whole, mark):
+    """A whole number's figures in threes."""
+    return f"{whole:,}".replace(",", mark)
+
+
+@st.composite
+def written_numbers(draw):
+    """A value and a text that says it: a notation is drawn first, then figures that it can write."""
+    notation = draw(st.sampled_from(["whole", "comma", "dot", "dots in threes", "dots, then a comma", "commas, then a dot", "words before"]))
+    whole = draw(st.integers(0, 9_999_999))
+    part = draw(st.integers(0, 99))
+    sign, minus = draw(st.sampled_from([("", 1), ("-", -1)]))
+    if notation == "whole":
+        text, value = str(whole), whole
+    elif notation == "comma":
+        text, value = f"{whole},{part:02}", float(f"{whole}.{part:02}")
+    elif notation == "dot":
+        text, value = f"{whole}.{part:02}", float(f"{whole}.{part:02}")
+    elif notation == "dots in threes":
+        text, value = grouped(1000 + whole, "."), 1000 + whole
+    elif notation == "dots, then a comma":
+        text, value = f"{grouped(1000 + whole, '.')},{part:02}", float(f"{1000 + whole}.{part:02}")
+    elif notation == "commas, then a dot":
+        text, value = f"{grouped(1000 + whole, ',')}.{part:02}", float(f"{1000 + whole}.{part:02}")
+    else:
+        text, value, sign, minus = f"total kWh\n \n {whole}", whole, "", 1
+    ends = draw(st.sampled_from(["", " ", "\n", "\nafter 5"]))
+    return f"{draw(st.sampled_from(['', ' ', chr(10)]))}{sign}{text}{ends}", float(minus * value)
 
 
 GOLDEN_NUMBERS = {
@@ -50,9 +59,17 @@ def test_locale_number_golden(spark):
 
 
 @settings(max_examples=12, deadline=None)
+@given(st.lists(written_numbers(), min_size=30, max_size=60))
+def test_locale_number_reads_what_was_written(spark, pairs):
+    assert applied(spark, numbers.locale_number, [t for t, _ in pairs]) == [v for _, v in pairs]
+
+
+@settings(max_examples=6, deadline=None)
 @given(st.lists(st.text("0123456789.,- \nx", max_size=12), min_size=30, max_size=60))
-def test_locale_number_restated(spark, texts):
-    assert applied(spark, numbers.locale_number, texts) == [locale_number(t) for t in texts]
+def test_locale_number_of_anything(spark, texts):
+    """No text is an error, and a text without a figure no number."""
+    found = applied(spark, numbers.locale_number, texts)
+    assert all(v is None for t, v in zip(texts, found, strict=True) if not any(c.isdigit() for c in t))
 
 
 def test_grades(spark):

@@ -318,3 +318,74 @@ def test_daily_survives_a_region():
     assert list(out) == ["discovery", "pending", "drain", "mirror", "cleanup"]
     assert out["discovery"]["rows_new"] == 30
     assert out["discovery"]["regions"][7] == {"error": "boom"}
+
+
+def plain_lines(spans):
+    """Spans (centre, x, text, top, bottom) in lines, as an eye takes them: from the top, each with what overlaps it."""
+    out = []
+    for my, mx, text, top, bottom in sorted(spans):
+        if out and (my <= out[-1][1] or top <= out[-1][0]):
+            out[-1][1] = max(out[-1][1], bottom)
+            out[-1][2].append((mx, text))
+        else:
+            out.append([my, bottom, [(mx, text)]])
+    return [[t for _, t in sorted(w)] for _, _, w in out]
+
+
+def test_lines_of_a_box(spark):
+    """Jitter, raised figures, rows apart, and boxes at random against a plain sweep."""
+    r = random.Random(8)
+    cases = [
+        [(21.3, 74.0, "FIRST", 20.3, 22.3), (21.0, 81.0, "SECOND", 20.0, 22.0)],
+        [(30.0, 10.0, "area", 28.5, 31.5), (28.9, 14.0, "2", 28.2, 29.6), (30.2, 18.0, "total", 28.7, 31.7)],
+        [(10.0, 5.0, "a", 9.0, 11.0), (12.5, 1.0, "b", 11.5, 13.5), (12.4, 9.0, "c", 11.4, 13.4)],
+    ]
+    for _ in range(40):
+        cases.append([(y, r.uniform(0, 50), f"w{k}", y - h, y + h) for k in range(r.randint(1, 9)) for y, h in [(r.uniform(0, 12), r.choice([0.0, 0.5, 1.0, 2.0]))]])
+    df = spark.createDataFrame([(i, [tuple(x) for x in c]) for i, c in enumerate(cases)], "i int, w array<struct<my: double, mx: double, text: string, top: double, bottom: double>>")
+    df = df.withColumn("w", F.array_sort("w"))
+    out = {x.i: [[y.text for y in line] for line in x.o] for x in df.select("i", layout.lines("w").alias("o")).collect()}
+    assert out == {i: plain_lines(c) for i, c in enumerate(cases)}
+    assert out[0] == [["FIRST", "SECOND"]] and out[1] == [["area", "2", "total"]] and out[2] == [["a"], ["b", "c"]]
+
+
+class Refusing:
+    """Notes each call in a file and refuses it."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def search(self, table, key, value):
+        with open(self.log, "a") as f:
+            f.write("call\n")
+        raise RuntimeError("no such table")
+
+
+def test_a_table_that_refuses_is_called_once(spark, tmp_path):
+    log = tmp_path / "log"
+    rows_ = spark.createDataFrame([(f"e{i}",) for i in range(400)], "eval_id string").repartition(8)
+    out = mirror.write(rows_, "missing", "eval_id", lambda: Refusing(log), 8)
+    assert out == {"created": 0, "updated": 0, "remaining": 400, "error": "no such table"}
+    assert len(log.read_text().split()) == 1
+    assert mirror.write(rows_.limit(0), "missing", "eval_id", lambda: Refusing(log), 8)["error"] is None
+
+
+def test_early_stop_over_a_stream(spark, tmp_path):
+    """The verdicts of the batch rule, however the pages are cut into batches; repeated pages change nothing."""
+    from parcela.streaming import early_stop
+
+    r = random.Random(3)
+    pages = [(u, p, r.choice([0, 10]), r.choice([0, 0, 2])) for u in range(12) for p in range(1, 15)]
+    schema = "unit int, page int, n_rows int, n_new int"
+    expected = rows(directory.early_stop(spark.createDataFrame(pages, schema), ["unit"], "page", 2), "unit", "page")
+    given, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for batch in (range(1, 4), range(4, 5), range(3, 11), range(11, 15)):
+        some = [p for p in pages if p[1] in batch]
+        r.shuffle(some)
+        spark.createDataFrame(some, schema).coalesce(1).write.mode("append").parquet(given)
+        seen = early_stop.visited(spark.readStream.schema(schema).parquet(given), ["unit"], "page", 2)
+        seen.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(out)
+    assert rows(found, "unit", "page") == expected
+    last = {u: max(p for v, p in expected if v == u) for u in range(12)}
+    assert all(last[x.unit] == x.page for x in found.where("stops").collect()) and found.where("stops").count() > 3
