@@ -95,6 +95,7 @@ def merged(bands: DataFrame, by: Sequence[str], gap: int = 6, height: int = 6, m
 
 
 def data_rows(bands: Column, top: Column, height: Column) -> Column:
-    """The two data bands: the last two of three or more, both of two, else thirds of the height."""
-    third = F.array(F.struct((top + height / 3).alias("begin"), (top + 2 * height / 3).alias("end")), F.struct((top + 2 * height / 3).alias("begin"), (top + height).alias("end")))
-    return F.when(F.size(bands) >= 2, F.slice(bands, -2, 2)).otherwise(third)
+    """The two data bands: the last two of three or more, both of two, else the lower thirds of the height in whole pixels."""
+    edge = [(top + F.floor(height * k / 3)).cast("double") for k in (1, 2, 3)]
+    thirds = F.array(*[F.struct(a.alias("begin"), b.alias("end")) for a, b in zip(edge, edge[1:], strict=False)])
+    return F.when(F.size(bands) >= 2, F.slice(bands, -2, 2)).otherwise(thirds)

@@ -58,6 +58,53 @@ def components(ink: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     return sorted((x1, y1, x2 - x1, y2 - y1, area) for x1, y1, x2, y2, area in found)
 
 
+def local_ink(grey: np.ndarray, side: int = 15, less: int = 10) -> np.ndarray:
+    """Pixels darker by ``less`` than the mean of the square of ``side`` pixels around them; edges go on as they are.
+
+    Sums of all rectangles from the corner give any square's in four lookups, so the time does not depend on ``side``.
+    """
+    reach = side // 2
+    wide = np.pad(grey.astype(np.int64), reach, mode="edge")
+    sums = np.pad(wide.cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+    square = sums[side:, side:] - sums[:-side, side:] - sums[side:, :-side] + sums[:-side, :-side]
+    return grey * side * side <= square - less * side * side
+
+
+def standing(ink: np.ndarray, least: int) -> np.ndarray:
+    """The pixels of upright runs of ink of ``least`` pixels or more: what erosion and dilation by such a stroke leave."""
+    edge = np.diff(np.pad(ink.astype(np.int8), ((1, 1), (0, 0))), axis=0).T
+    column, begin = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
+    long = end - begin >= least
+    marks = np.zeros((ink.shape[0] + 1, ink.shape[1]), np.int64)
+    np.add.at(marks, (begin[long], column[long]), 1)
+    np.subtract.at(marks, (end[long], column[long]), 1)
+    return marks.cumsum(0)[:-1] > 0
+
+
+def upright_lines(grey: np.ndarray, share: float = 0.4) -> list[int]:
+    """The middles of the runs of columns whose upright strokes, a third of the height at least, reach ``share`` of the most."""
+    strokes = standing(local_ink(grey), max(5, grey.shape[0] // 3)).sum(0)
+    if not strokes.any():
+        return []
+    on = np.diff(np.pad((strokes >= strokes.max() * share).astype(np.int8), 1))
+    return [int((a + b - 1) / 2) for a, b in zip(np.flatnonzero(on == 1).tolist(), np.flatnonzero(on == -1).tolist(), strict=True)]
+
+
+def lines(pictures: DataFrame, key: Sequence[str], pixels: str = "pixels") -> DataFrame:
+    """(key, pos) of the upright lines of each picture; what is no picture has none."""
+    kinds = dict(pictures.dtypes)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(i, x) for i, rows in enumerate(b.column("__px").to_pylist()) if (grey := _picture(rows)) is not None for x in upright_lines(grey)]
+            at, pos = pa.array([i for i, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([*[b.column(k).take(at) for k in key], pos], [*key, "pos"])
+
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in key] + ["pos int"])
+    return pictures.select(*key, pictures[pixels].alias("__px")).mapInArrow(each, schema)
+
+
 def _shares(n: int, m: int) -> np.ndarray:
     """How much of each of ``n`` old places lies in each of ``m`` new ones, each new one's parts adding up to 1."""
     edge = np.arange(m + 1) * (n / m)

@@ -1,10 +1,15 @@
 """Hourly series and their flags."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcela.functions import numbers
-from parcela.operators import cells
+from parcela.operators import cells, pictures
+from parcela.plans import hourly
 
 from .registry import query, table
 
@@ -59,3 +64,75 @@ def gt_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
     truth = F.when(F.col("n_chars") % 3 == 0, F.col("quality") + 0.01).otherwise(F.col("toxic") + 0.3)
     return cells.accuracy(rows, F.expr("nullif(quality, toxic)"), truth)
+
+
+#: Figures to draw bands with, five columns and seven rows each.
+_FIGURES = """
+01110 10001 10011 10101 11001 10001 01110
+00100 01100 00100 00100 00100 00100 01110
+01110 10001 00001 00110 01000 10000 11111
+11110 00001 00001 01110 00001 00001 11110
+00010 00110 01010 10010 11111 00010 00010
+11111 10000 11110 00001 00001 10001 01110
+00110 01000 10000 11110 10001 10001 01110
+11111 00001 00010 00100 01000 01000 01000
+01110 10001 10001 01110 10001 10001 01110
+01110 10001 10001 01111 00001 00010 01100
+"""
+_CELL, _LABEL, _HIGH = 32, 30, 60
+
+
+def _figure(digit: int) -> np.ndarray:
+    rows = _FIGURES.split()[7 * digit : 7 * digit + 7]
+    small = np.array([[c == "1" for c in r] for r in rows])
+    return np.repeat(small, [1, 2, 1, 2, 1, 2, 1], 0)
+
+
+def _write(ink: np.ndarray, text: str, x: int, y: int) -> None:
+    for c in text:
+        if c == ",":
+            ink[y + 8 : y + 12, x : x + 2] = True
+            x += 5
+        else:
+            ink[y : y + 10, x : x + 5] |= _figure(int(c))
+            x += 8
+
+
+def band(outer: list[float], inner: list[float], noise: int = 0) -> list[list[int]]:
+    """The grey picture of a band: 25 upright lines, the hours, and two rows of numbers with a decimal comma."""
+    ink = np.zeros((_HIGH, _LABEL + 24 * _CELL + 4), bool)
+    ink[:, [_LABEL + _CELL * k for k in range(25)]] = True
+    for h in range(24):
+        x = _LABEL + _CELL * h + 4
+        for row, text in enumerate((str(h + 1), f"{outer[h]:.1f}", f"{inner[h]:.1f}")):
+            _write(ink, text.replace(".", ","), x, 3 + 19 * row)
+    dust = np.random.default_rng(noise).integers(0, 20, ink.shape)
+    return np.where(ink, 20 + dust, 255 - dust).tolist()
+
+
+def templates(spark: SparkSession) -> DataFrame:
+    """An exemplar of each figure, as glyphs are scaled to be compared."""
+    rows = []
+    for d in range(10):
+        ink = _figure(d)
+        tight = ink[np.ix_(ink.any(1), ink.any(0))]
+        rows.append((str(d), 0, pictures.scaled(np.where(tight, 0.0, 255.0)).ravel().tolist()))
+    return spark.createDataFrame(rows, "label string, exemplar_no int, exemplar array<double>")
+
+
+@query("""select s_suppkey as doc_id, h::int as hora, (s_suppkey % 40 + h / 2.0)::double as temperatura_exterior, ((s_suppkey * 7 + h) % 30 + 0.1)::double as temperatura_interior
+from supplier, range(24) r(h)""")
+def band_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A band is drawn for each supplier; what is read from the pictures are the numbers that were drawn."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in b.column(0).to_pylist():
+                picture = band([k % 40 + h / 2 for h in range(24)], [(k * 7 + h) % 30 + 0.1 for h in range(24)], k)
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array(["enero"]), pa.array([picture], pa.list_(pa.list_(pa.int32())))], ["doc_id", "month", "pixels"])
+
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey")
+    bands = suppliers.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(draw, "doc_id bigint, month string, pixels array<array<int>>")
+    found = hourly.read_bands(bands, templates(spark), "doc_id")
+    hours = found.select("doc_id", F.posexplode(F.arrays_zip("outer", "inner")).alias("hora", "v"))
+    return hours.select("doc_id", "hora", F.col("v.outer").alias("temperatura_exterior"), F.col("v.inner").alias("temperatura_interior"))
