@@ -97,7 +97,7 @@ def lines(pictures: DataFrame, key: Sequence[str], pixels: str = "pixels") -> Da
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(i, x) for i, rows in enumerate(b.column("__px").to_pylist()) if (grey := _picture(rows)) is not None for x in upright_lines(grey)]
+            found = [(i, x) for i, grey in enumerate(_pictures(b.column("__px"))) if grey is not None for x in upright_lines(grey)]
             at, pos = pa.array([i for i, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int32())
             yield pa.RecordBatch.from_arrays([*[b.column(k).take(at) for k in key], pos], [*key, "pos"])
 
@@ -117,11 +117,19 @@ def scaled(picture: np.ndarray, size: tuple[int, int] = GLYPH_SIZE) -> np.ndarra
     return _shares(picture.shape[0], size[0]) @ picture @ _shares(picture.shape[1], size[1]).T
 
 
-def _picture(rows: list[list[int]] | None) -> np.ndarray | None:
-    """A rectangle of 0 to 255, or None for what is no picture."""
-    if not rows or not rows[0] or any(r is None or len(r) != len(rows[0]) or None in r for r in rows):
-        return None
-    return np.clip(np.array(rows, np.int64), 0, 255)
+def _pictures(column: pa.ListArray) -> Iterator[np.ndarray | None]:
+    """Each value as a rectangle of 0 to 255, or None for what is no picture: cut out of the flat values by their offsets."""
+    rows = column.values
+    outer, inner = column.offsets.to_numpy(), rows.offsets.to_numpy()
+    flat = rows.values.to_numpy(zero_copy_only=False)
+    empty, gone = column.is_null().to_numpy(zero_copy_only=False), rows.is_null().to_numpy(zero_copy_only=False)
+    holes = rows.values.is_null().to_numpy(zero_copy_only=False) if rows.values.null_count else None
+    for i, (a, b) in enumerate(zip(outer[:-1].tolist(), outer[1:].tolist(), strict=True)):
+        wide = np.diff(inner[a : b + 1])
+        if empty[i] or a == b or wide[0] == 0 or (wide != wide[0]).any() or gone[a:b].any() or (holes is not None and holes[inner[a] : inner[b]].any()):
+            yield None
+        else:
+            yield np.clip(flat[inner[a] : inner[b]].astype(np.int64).reshape(b - a, -1), 0, 255)
 
 
 def blobs(cells: DataFrame, key: Sequence[str], pixels: str = "pixels") -> DataFrame:
@@ -136,8 +144,7 @@ def blobs(cells: DataFrame, key: Sequence[str], pixels: str = "pixels") -> DataF
         for b in batches:
             at: list[int] = []
             out: list[tuple[int, ...]] = []
-            for i, rows in enumerate(b.column("__px").to_pylist()):
-                grey = _picture(rows)
+            for i, grey in enumerate(_pictures(b.column("__px"))):
                 if grey is not None and grey.min() < grey.max():
                     for box in components(grey <= threshold(grey)):
                         at.append(i)
@@ -154,17 +161,16 @@ def normalised(cells: DataFrame, key: Sequence[str], pixels: str = "pixels", box
     """(key, pixels): the part ``box`` of each cell's picture in black and white, scaled to ``GLYPH_SIZE``, as one array; null without extent."""
     kinds = dict(cells.dtypes)
 
-    def one(rows: list[list[int]] | None, x: int, y: int, w: int, h: int) -> list[float] | None:
-        grey = _picture(rows)
+    def one(grey: np.ndarray | None, x: int, y: int, w: int, h: int) -> np.ndarray | None:
         part = None if grey is None or None in (x, y, w, h) else grey[max(0, y) : max(0, y + h), max(0, x) : max(0, x + w)]
         if part is None or not part.size:
             return None
-        return scaled(np.where(part > threshold(part), 255.0, 0.0)).ravel().tolist()
+        return scaled(np.where(part > threshold(part), 255.0, 0.0)).ravel()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             boxes = zip(*(b.column(c).to_pylist() for c in box), strict=True)
-            found = [one(rows, *where) for rows, where in zip(b.column("__px").to_pylist(), boxes, strict=True)]
+            found = [one(grey, *where) for grey, where in zip(_pictures(b.column("__px")), boxes, strict=True)]
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in key], pa.array(found, pa.list_(pa.float64()))], [*key, "pixels"])
 
     schema = ", ".join([f"`{k}` {kinds[k]}" for k in key] + ["pixels array<double>"])

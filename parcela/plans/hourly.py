@@ -32,11 +32,16 @@ def cells_of(bands: DataFrame, doc: str) -> DataFrame:
     height, width = F.size("pixels"), F.size(F.col("pixels")[0])
     two = grid.data_rows(F.coalesce("rows", F.expr("cast(array() as array<struct<begin: double, end: double>>)")), F.lit(0), height).alias("rows")
     ready = framed.join(found, by, "left").select(*by, "pixels", "x", two, height.alias("height"), width.alias("width"))
-    each = ready.select("*", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("s")).select("*", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))).alias("hour"))
-    row, left, right = F.get("rows", F.col("s")), F.get("x", F.col("hour")), F.get("x", F.col("hour") + 1)
-    part = grid.crop(left, right, row["begin"], row["end"], F.col("width"), F.col("height"))
-    series = F.element_at(F.array(*[F.lit(n) for n in SERIES]), F.col("s") + 1)
-    return each.select(*by, series.alias("series"), "hour", grid.cropped(F.col("pixels"), part).alias("px"))
+
+    def cell(i: Column) -> Column:
+        series, hour = F.floor(i / HOURS).cast("int"), i % HOURS
+        row = F.get("rows", series)
+        part = grid.crop(F.get("x", hour), F.get("x", hour + 1), row["begin"], row["end"], F.col("width"), F.col("height"))
+        name = F.element_at(F.array(*[F.lit(n) for n in SERIES]), series + 1)
+        return F.struct(name.alias("series"), hour.alias("hour"), grid.cropped(F.col("pixels"), part).alias("px"))
+
+    # Cells are cut before they become rows, so that no row holds a whole band's picture.
+    return ready.select(*by, F.explode(F.transform(F.sequence(F.lit(0), F.lit(2 * HOURS - 1)), cell)).alias("c")).select(*by, "c.*")
 
 
 def numbers_of(cells: DataFrame, templates: DataFrame, key: list[str]) -> DataFrame:
