@@ -74,12 +74,13 @@ def cell_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("p_partkey", what.alias("what"), "x", "y", "w", "h", "area")
 
 
-@query("""select p_partkey, (i - 1)::int as pos, case when ((i - 1) % 24) // 6 < p_size % 4 then 0.0 else 255.0 end::double as value from part, range(1, 769) t(i) where p_size % 4 > 0""")
+@query("""select p_partkey, (i - 1)::int as pos, case when p_size % 4 = 0 then case when ((i - 1) % 24) // 6 < 2 then 255.0 else 0.0 end
+when ((i - 1) % 24) // 6 < p_size % 4 then 0.0 else 255.0 end::double as value from part, range(1, 769) t(i)""")
 def glyph_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A box of 8 by 4 pixels with some dark columns, black and white in 32 by 24."""
+    """A box of 8 by 4 pixels with some dark columns, black and white in 32 by 24; without dark ones its four greys are parted in the middle."""
     grey = "if(x >= 3 and y >= 2 and y < 10 and x - 3 < p_size % 4, 30 + y, 210 - x)"
     picture = F.expr(f"transform(sequence(0, 11), y -> transform(sequence(0, 9), x -> {grey}))")
-    cells = table(spark, sf_dir, "part").where("p_size % 4 > 0").select("p_partkey", picture.alias("pixels"), F.lit(3).alias("x"), F.lit(2).alias("y"), F.lit(4).alias("w"), F.lit(8).alias("h"))
+    cells = table(spark, sf_dir, "part").select("p_partkey", picture.alias("pixels"), F.lit(3).alias("x"), F.lit(2).alias("y"), F.lit(4).alias("w"), F.lit(8).alias("h"))
     return pictures.normalised(cells, ["p_partkey"]).select("p_partkey", F.posexplode("pixels").alias("pos", "value"))
 
 
