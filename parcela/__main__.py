@@ -1,8 +1,10 @@
-"""``python -m parcela``: lists and runs the queries over a folder of Parquet tables, and reports on a store."""
+"""``python -m parcela``: lists and runs the queries over a folder of Parquet tables, reports on a store, and takes an engine's steps."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
+import json
 import sys
 from collections.abc import Sequence
 
@@ -21,9 +23,53 @@ def parser() -> argparse.ArgumentParser:
     status = steps.add_parser("status", help="how many reports a store has by state, and failed units")
     status.add_argument("--store", required=True)
     steps.add_parser("ddl", help="the statement that makes the mirror's table of reports")
+    for name, what, options in STEPS:
+        step = steps.add_parser(name, help=what)
+        step.add_argument("--engine", required=True, help="module:function that makes the Engine from a SparkSession")
+        for option in options.split():
+            if option in FLAGS:
+                step.add_argument(f"--{option}", action="store_true")
+            else:
+                step.add_argument(f"--{option}", type=int, required=option == "region" and name in ("discover", "communes"))
     return out
 
 
+FLAGS = ("full", "incremental", "resume", "discover-only")
+#: An engine's steps, and the options that each takes.
+STEPS = (
+    ("discover", "crawls a region; back from the last page, or in full", "region kind max-pages full resume"),
+    ("communes", "takes a region's list of communes", "region"),
+    ("process-pending", "drains pending reports", "region limit"),
+    ("retry-failed", "makes failed reports pending again and drains", "region max-retries limit"),
+    ("sync-mirror", "sends what changed to the mirror, or all", "limit full"),
+    ("cleanup", "removes old files", ""),
+    ("daily", "a day's chain", ""),
+    ("backfill", "crawls regions in full and drains them", "region max-pages limit discover-only incremental resume"),
+)
+
+
+def take(step: str, engine, o: argparse.Namespace) -> object:
+    """The figures of one of ``STEPS``."""
+    from parcela.plans import daily
+
+    if step == "discover":
+        return engine.discover(o.region, (o.kind,) if o.kind else (1, 2), incremental=not o.full, resume=o.resume, most=o.max_pages)
+    if step == "communes":
+        return engine.sync_communes(o.region)
+    if step == "process-pending":
+        return engine.drain(limit=o.limit, region=o.region)
+    if step == "retry-failed":
+        return engine.retry(cap=o.max_retries, region=o.region, limit=o.limit)
+    if step == "sync-mirror":
+        return engine.mirror(limit=o.limit, full=o.full)
+    if step == "cleanup":
+        return engine.cleanup()
+    if step == "daily":
+        return daily.daily(engine.steps(), engine.settings)
+    regions = engine.settings.regions if o.region is None else (o.region,)
+    return daily.backfill(regions, engine.steps(), not o.discover_only, o.incremental, o.resume, o.max_pages, o.limit)
+
+
 def status(spark: SparkSession, store: str) -> DataFrame:
     """The states of a store's reports and its units with errors, as (what, name, n)."""
     from pyspark.sql import functions as F
@@ -51,6 +97,11 @@ def main(given: Sequence[str] | None = None) -> int:
         print(f"no query {args.query}", file=sys.stderr)
         return 2
     spark = SparkSession.builder.appName("parcela").getOrCreate()
+    if args.command in [name for name, _, _ in STEPS]:
+        module, _, function = args.engine.partition(":")
+        made = getattr(importlib.import_module(module), function)(spark)
+        print(json.dumps(take(args.command, made, args), default=str))
+        return 0
     if args.command == "run":
         found = QUERIES[args.query](spark, args.data)
         if args.out:
