@@ -146,6 +146,8 @@ class Engine:
             plan = directory.resume_plan(units, self.read("progress"), list(UNIT)) if resume else directory.resume_plan(units, self.read("progress"), list(UNIT), True)
             done = self._crawl_on(units, plan, most)
         total = directory.rollup_discovery(done).where("region_id is null").first()
+        if total is None:  # no units were left
+            return {"rows_new": 0, "errors": 0, "units": 0}
         return {"rows_new": int(total.rows_new or 0), "errors": int(total.errors), "units": int(total.units)}
 
     def _crawl_back(self, units: DataFrame, most: int | None) -> DataFrame:
