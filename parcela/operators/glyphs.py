@@ -123,9 +123,17 @@ def _nulls_in(lists: pa.Array) -> pa.Array:
 
 def read_cells(glyphs: DataFrame, key: Sequence[str], order: str = "ord", char: str = "ch") -> DataFrame:
     """The number that a cell's glyphs spell from left to right, a comma being decimal."""
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, char))), lambda x: x[char]), "")
-    spelled = glyphs.groupBy(*key).agg(text.alias("text"))
-    return spelled.withColumn("value", plain_number(F.replace("text", F.lit(","), F.lit("."))))
+    return valued(glyphs.groupBy(*key).agg(spelled(order, char).alias("text")))
+
+
+def spelled(order: str = "ord", char: str = "ch") -> Column:
+    """The characters of a group's glyphs in order, as an aggregate."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, char))), lambda x: x[char]), "")
+
+
+def valued(cells: DataFrame) -> DataFrame:
+    """``text`` with its ``value``, a comma being decimal."""
+    return cells.withColumn("value", plain_number(F.replace("text", F.lit(","), F.lit("."))))
 
 
 def cell_confidence(cells: DataFrame, glyphs: DataFrame, key: Sequence[str], score: str = "score") -> DataFrame:
@@ -151,6 +159,13 @@ def digit_height(blobs: DataFrame, key: Sequence[str]) -> DataFrame:
     return found.select(*key, F.coalesce("__m", F.col("__x").cast("double")).alias("digit_h"))
 
 
+def digit_height_in(boxes: str) -> Column:
+    """The height of ``digit_height`` from an array of boxes; null without a box that counts."""
+    tall = f"filter({boxes}, b -> b.area >= 6 and b.h > 8)"
+    middle = f"element_at(transform(array(array_sort(transform({tall}, b -> b.h))), o -> if(size(o) = 0, null, (o[cast((size(o) - 1) div 2 as int)] + o[cast(size(o) div 2 as int)]) / 2D)), 1)"
+    return F.expr(f"coalesce({middle}, cast(array_max(transform(filter({boxes}, b -> b.area >= 6), b -> b.h)) as double))")
+
+
 def blob_kind(w: Column, h: Column, area: Column, y: Column, cell_h: Column, digit_h: Column) -> Column:
     """noise (tiny), grid (taller than digits and thin), comma (short and low) or digit."""
     return (
@@ -170,7 +185,13 @@ def merge_blobs(blobs: DataFrame, key: Sequence[str], gap: int = 2, alike: float
     """
     flag = F.lit(False) if comma is None else F.coalesce(F.col(comma), F.lit(False))
     box = F.array_sort(F.collect_list(F.struct("x", "y", "w", "h", flag.alias("comma"))))
-    folded = F.expr(f"""aggregate(boxes, cast(array() as array<struct<x: int, y: int, w: int, h: int, comma: boolean>>), (acc, b) ->
+    out = blobs.groupBy(*key).agg(box.alias("boxes")).withColumn("boxes", merged_boxes("boxes", gap, alike)).select(*key, F.posexplode("boxes").alias("ord", "b")).select(*key, "ord", "b.*")
+    return out.drop("comma") if comma is None else out.withColumnRenamed("comma", comma)
+
+
+def merged_boxes(boxes: str, gap: int = 2, alike: float = 0.6) -> Column:
+    """The glyphs that ``merge_blobs`` folds a sorted array of (x, y, w, h, comma) to, as one array."""
+    return F.expr(f"""aggregate({boxes}, cast(array() as array<struct<x: int, y: int, w: int, h: int, comma: boolean>>), (acc, b) ->
         if(size(acc) > 0 and not b.comma and not acc[size(acc) - 1].comma and b.x <= acc[size(acc) - 1].x + acc[size(acc) - 1].w + {gap}
            and abs(b.h - acc[size(acc) - 1].h) < {alike} * acc[size(acc) - 1].h,
            concat(slice(acc, 1, size(acc) - 1), array(named_struct(
@@ -178,5 +199,3 @@ def merge_blobs(blobs: DataFrame, key: Sequence[str], gap: int = 2, alike: float
                'w', greatest(acc[size(acc) - 1].x + acc[size(acc) - 1].w, b.x + b.w) - acc[size(acc) - 1].x,
                'h', greatest(acc[size(acc) - 1].y + acc[size(acc) - 1].h, b.y + b.h) - least(acc[size(acc) - 1].y, b.y), 'comma', false))),
            concat(acc, array(named_struct('x', b.x, 'y', b.y, 'w', b.w, 'h', b.h, 'comma', b.comma)))))""")
-    out = blobs.groupBy(*key).agg(box.alias("boxes")).withColumn("boxes", folded).select(*key, F.posexplode("boxes").alias("ord", "b")).select(*key, "ord", "b.*")
-    return out.drop("comma") if comma is None else out.withColumnRenamed("comma", comma)

@@ -34,16 +34,28 @@ def robust_pitch(lines: DataFrame, by: Sequence[str], pos: str) -> DataFrame:
     return _places(lines, by, pos).select(*by, pitch).where("pitch is not null")
 
 
+def _last_and_pitch(regular: int) -> str:
+    """SQL over ``places``: the last line of the regular grid and its pitch, null with fewer than ``regular`` regular lines."""
+    near = "coalesce(abs(get(gaps, {0}) - pitch) < 0.3 * pitch, false)"
+    kept = f"filter(places, (p, i) -> {near.format('i - 1')} or {near.format('i')})"
+    ends = _let("kept", kept, f"if(size(kept) >= {regular}, named_struct('last', element_at(kept, -1), 'pitch', pitch), null)")
+    return _let("gaps", _GAPS, _let("pitch", _PITCH, ends))
+
+
+def bounds_in(lines: str, cells: int = 24, least: int = 5, regular: int = 2) -> Column:
+    """The bounds of ``bounds`` as one array from an array of lines beside a picture; null without a grid."""
+    laid = f"if(g is null, null, transform(sequence(0, {cells}), k -> g.last - g.pitch * ({cells} - k)))"
+    places = f"array_sort(transform(filter({lines}, p -> p is not null), p -> cast(p as double)))"
+    return F.expr(_let("places", places, f"if(size(places) >= {least}, {_let('g', _last_and_pitch(regular), laid)}, null)"))
+
+
 def bounds(lines: DataFrame, by: Sequence[str], pos: str, cells: int = 24, least: int = 5, regular: int = 2) -> DataFrame:
     """``cells + 1`` bounds laid leftward from the last line of the regular grid.
 
     A line is regular if a neighbour is a pitch away, give or take 30 per cent. With fewer than
     ``least`` lines, or ``regular`` ones among them, there is no grid.
     """
-    near = "coalesce(abs(get(gaps, {0}) - pitch) < 0.3 * pitch, false)"
-    kept = f"filter(places, (p, i) -> {near.format('i - 1')} or {near.format('i')})"
-    ends = _let("kept", kept, f"if(size(kept) >= {regular}, named_struct('last', element_at(kept, -1), 'pitch', pitch), null)")
-    found = F.expr(_let("gaps", _GAPS, _let("pitch", _PITCH, ends))).alias("g")
+    found = F.expr(_last_and_pitch(regular)).alias("g")
     # The explosion keeps the expression from being evaluated for each bound.
     one = _places(lines, by, pos).where(F.size("places") >= least).select(*by, F.explode(F.array(found)).alias("g")).where("g is not null")
     last = one.select(*by, "g.*", F.explode(F.sequence(F.lit(0), F.lit(cells))).alias("k"))
@@ -94,6 +106,20 @@ def merged(bands: DataFrame, by: Sequence[str], gap: int = 6, height: int = 6, m
     return joined.select(*by, low.alias("begin"), (high if limit is None else F.least(F.lit(limit), high)).alias("end"))
 
 
+def bands_in(ink: str, share: float = 0.12, floor: float = 20.0, gap: int = 6, height: int = 6, margin: int = 3) -> Column:
+    """What ``merged`` makes of ``ink_bands`` as one array of (begin, end), from an array of the ink of a picture's rows beside it.
+
+    A band begins with a row of enough ink that is ``gap`` or more after the one before, which joins runs as well.
+    """
+    least = f"greatest(array_max(v) * {share}D, {floor}D)"
+    begins = f"filter(rows, (y, i) -> i = 0 or y - rows[i - 1] >= {gap})"
+    ends = f"filter(rows, (y, i) -> i = size(rows) - 1 or rows[i + 1] - y >= {gap})"
+    pairs = f"filter(zip_with({begins}, {ends}, (b, e) -> named_struct('begin', b, 'end', e)), x -> x.end - x.begin >= {height})"
+    wide = f"transform({pairs}, x -> named_struct('begin', cast(greatest(0, x.begin - {margin}) as double), 'end', cast(x.end + {margin} as double)))"
+    rows = f"filter(transform(v, (n, y) -> if(n >= t, y, null)), y -> y is not null)"
+    return F.expr(_let("v", ink, _let("t", least, _let("rows", rows, wide))))
+
+
 def data_rows(bands: Column, top: Column, height: Column) -> Column:
     """The two data bands: the last two of three or more, both of two, else the lower thirds of the height in whole pixels."""
     edge = [(top + F.floor(height * k / 3)).cast("double") for k in (1, 2, 3)]

@@ -6,7 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: Rows and columns of a glyph that is compared with templates.
 GLYPH_SIZE = (32, 24)
@@ -105,6 +106,16 @@ def lines(pictures: DataFrame, key: Sequence[str], pixels: str = "pixels") -> Da
     return pictures.select(*key, pictures[pixels].alias("__px")).mapInArrow(each, schema)
 
 
+def lines_in(pixels: Column) -> Column:
+    """The places of a picture's upright lines as an array, so that the picture meets them without a join; what is no picture has none."""
+
+    @F.arrow_udf("array<int>")
+    def each(column: pa.Array) -> pa.Array:
+        return pa.array([[] if grey is None else upright_lines(grey) for grey in _pictures(column)], pa.list_(pa.int32()))
+
+    return each(pixels)
+
+
 def _shares(n: int, m: int) -> np.ndarray:
     """How much of each of ``n`` old places lies in each of ``m`` new ones, each new one's parts adding up to 1."""
     edge = np.arange(m + 1) * (n / m)
@@ -132,6 +143,25 @@ def _pictures(column: pa.ListArray) -> Iterator[np.ndarray | None]:
             yield np.clip(flat[inner[a] : inner[b]].astype(np.int64).reshape(b - a, -1), 0, 255)
 
 
+def _patches(grey: np.ndarray | None) -> list[tuple[int, int, int, int, int]]:
+    return [] if grey is None or grey.min() == grey.max() else components(grey <= threshold(grey))
+
+
+def blobs_in(pixels: Column) -> Column:
+    """The boxes (x, y, w, h, area) of a cell's patches of dark pixels as an array; what is no picture has none."""
+    names = ("x", "y", "w", "h", "area")
+
+    @F.arrow_udf(f"array<struct<{', '.join(f'{n}: int' for n in names)}>>")
+    def each(column: pa.Array) -> pa.Array:
+        found = [_patches(grey) for grey in _pictures(column)]
+        ends = np.cumsum([0] + [len(f) for f in found])
+        flat = np.array([box for f in found for box in f], np.int32).reshape(-1, len(names))
+        boxes = pa.StructArray.from_arrays([pa.array(flat[:, j]) for j in range(len(names))], list(names))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), boxes)
+
+    return each(pixels)
+
+
 def blobs(cells: DataFrame, key: Sequence[str], pixels: str = "pixels") -> DataFrame:
     """(key, x, y, w, h, area, cell_h) of each patch of dark pixels of each cell; what is no picture has none.
 
@@ -145,10 +175,9 @@ def blobs(cells: DataFrame, key: Sequence[str], pixels: str = "pixels") -> DataF
             at: list[int] = []
             out: list[tuple[int, ...]] = []
             for i, grey in enumerate(_pictures(b.column("__px"))):
-                if grey is not None and grey.min() < grey.max():
-                    for box in components(grey <= threshold(grey)):
-                        at.append(i)
-                        out.append((*box, len(grey)))
+                for box in _patches(grey):
+                    at.append(i)
+                    out.append((*box, len(grey)))
             columns = [b.column(k).take(pa.array(at, pa.int64())) for k in key]
             columns += [pa.array([o[j] for o in out], pa.int32()) for j in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, [*key, *names])

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcela.operators import pictures
+from parcela.operators import glyphs, grid, pictures
 from parcela.plans import hourly, report
 from parcela.queries import hourly as drawn
 
@@ -50,3 +50,27 @@ def test_bands(spark, templates):
     assert all(out[d, "enero"].outer is None for d in ("none", "null", "ragged"))
     page = report.hourly_page(hourly.read_bands(bands.where("doc in ('d1', 'none')"), templates, "doc"), "doc")
     assert page.count() == 72 and page.where(F.col("doc") == "none").where("temperatura_exterior is null and ocr_low_confidence").count() == 24
+
+
+def test_pictures_meet_no_join(spark, templates):
+    """Spark takes drawn pictures for a few bytes, so a join would send them all through the driver."""
+    bands = spark.createDataFrame([("d", "enero", drawn.band(*numbers(1)))], "doc string, month string, pixels array<array<int>>")
+    cells = hourly.cells_of(bands, "doc")
+    for df in (cells, hourly.numbers_of(cells, templates, ["doc", "month", "series", "hour"]), hourly.read_bands(bands, templates, "doc")):
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arrays_beside_a_picture_are_the_operators_rows(spark):
+    rng = np.random.default_rng(4)
+    ink = [(k, y, float(v)) for k in range(40) for y, v in enumerate(rng.choice([0, 5, 19, 20, 60, 300 * (k % 2)], rng.integers(1, 70)))]
+    rows = spark.createDataFrame(ink, "k int, y int, ink double")
+    want = grid.merged(grid.ink_bands(rows, ["k"], "y", "ink"), ["k"]).collect()
+    one = rows.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "ink"))), lambda x: x["ink"]).alias("v"))
+    got = one.select("k", F.explode(grid.bands_in("v")).alias("b")).collect()
+    assert got and sorted((r.k, r.b.begin, r.b.end) for r in got) == sorted((r.k, r.begin, r.end) for r in want)
+    boxes = spark.createDataFrame([(k, int(h), int(a)) for k in range(30) for h, a in zip(rng.integers(5, 14, k % 5), rng.integers(4, 9, k % 5), strict=True)], "k int, h int, area int")
+    high = boxes.groupBy("k").agg(F.collect_list(F.struct("h", "area")).alias("b")).select("k", glyphs.digit_height_in("b").alias("digit_h")).where("digit_h is not null")
+    assert sorted(map(tuple, high.collect())) == sorted(map(tuple, glyphs.digit_height(boxes, ["k"]).collect()))
+    lines = spark.createDataFrame([(k, 20 * i + int(rng.integers(0, 9))) for k in range(20) for i in range(k)], "d int, pos int")
+    laid = lines.groupBy("d").agg(F.collect_list("pos").alias("p")).select("d", F.posexplode(grid.bounds_in("p")).alias("n", "bound"))
+    assert sorted(map(tuple, laid.collect())) == sorted(map(tuple, grid.bounds(lines, ["d"], "pos").collect()))
