@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -27,13 +29,24 @@ def _decoded(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-def unescape(c: Column) -> Column:
+#: A whole character reference, by number or by name.
+_WHOLE = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+);|([A-Za-z][A-Za-z0-9]*;))")
+
+
+@F.pandas_udf(StringType())
+def _decoded_whole(texts: pd.Series) -> pd.Series:
+    one = lambda m: html5.get(m[1], m[0]) if m[1] else html.unescape(m[0])
+    return texts.map(lambda t: _WHOLE.sub(one, t), na_action="ignore")
+
+
+def unescape(c: Column, bare: bool = True) -> Column:
     """All character references of HTML decoded, by name and by number, the ends trimmed first.
 
+    As browsers do, ``bare`` decodes some names without their semicolon too; without it what is cut or lacks the semicolon stays as it is.
     The table of names is that of the standard library, so this is an Arrow function; texts come to it in
     batches.
     """
-    return _decoded(strip(c))
+    return (_decoded if bare else _decoded_whole)(strip(c))
 
 
 def capitalised(c: Column) -> Column:

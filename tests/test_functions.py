@@ -152,3 +152,15 @@ def test_texts(spark):
     assert applied(spark, strings.grade_of_image, ["x/LetraB.png", "LetraA+.png", "Letra--.png", "x"]) == ["B", "A+", None, None]
     assert applied(spark, lambda c: strings.composite_key(F.lit(1), c), ["x", None]) == ["1:x", "1:None"]
     assert applied(spark, lambda c: strings.shown(c, True), [True, False, None], "boolean") == ["True", "False", "null"]
+
+
+def test_cut_character_references(spark, tmp_path, duck):
+    """A title may end within a reference: the query leaves it as its SQL does; whole ones are decoded, unknown ones stay."""
+    texts = ["a &amp", "&ampx; &amp;lt; &copy &#65; &#x42; &#65", " &ntilde;&nope; ", None]
+    assert applied(spark, lambda c: strings.unescape(c, bare=False), texts) == ["a &amp", "&ampx; &lt; &copy A B &#65", "ñ&nope;", None]
+    from parcela.queries import ORACLE_SQL, QUERIES
+
+    rows = [(i, f"<html><title> {t}</title></html>") for i, t in enumerate(["Tea &amp", "A &am", "&quot;B&quot; &amp; &lt", "C &copy; &", "plain"])]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    sql = f"with pages as (select * from '{tmp_path}/pages.parquet/*.parquet') select * from ({ORACLE_SQL['html_unescape']})"
+    assert sorted(map(tuple, QUERIES["html_unescape"](spark, str(tmp_path)).collect())) == sorted(duck.execute(sql).fetchall())
