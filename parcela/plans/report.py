@@ -22,7 +22,7 @@ LINE = 1.5
 
 
 def _last_line(text: Column) -> Column:
-    return F.get(F.reverse(F.split(strings.strip(text), r"\R")), F.lit(0))
+    return F.element_at(F.split(strings.strip(text), r"\R"), -1)
 
 
 #: Per kind the type of its values, and how they are read; null where a text can't be.

@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+    """A table dealt to all tasks by its key, for queries that make much of each row.
+
+    A scan is cut by its bytes, so narrow rows are few tasks' or one's, whatever each of them costs. Later steps by the key find its rows together.
+    """
+    return table(spark, sf_dir, name).select(key, *columns).repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of known customers as reports in their work queue."""
     orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from parcela.operators import persist
 from parcela.plans import catalogue, report
 
-from .registry import query, table
+from .registry import dealt, query, table
 
 
 def _texts(rows: DataFrame, key: str, fields: dict) -> DataFrame:
@@ -34,7 +34,7 @@ def _single(page: int) -> None:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         fields = {c: F.expr(made[k][0].replace("#", str(i))) for i, (c, k) in enumerate(kinds.items())}
-        out = report.single_page(_texts(table(spark, sf_dir, "part"), "p_partkey", fields), "doc_id", page)
+        out = report.single_page(_texts(dealt(spark, sf_dir, "part", "p_partkey", "p_size"), "p_partkey", fields), "doc_id", page)
         return out.withColumn("emitida_el", F.col("emitida_el").cast("string")) if page == 1 else out
 
     run.__name__ = f"report_page_{page}"

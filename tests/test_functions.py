@@ -2,6 +2,7 @@
 
 import datetime
 import html
+import random
 import re
 import uuid
 
@@ -164,3 +165,11 @@ def test_cut_character_references(spark, tmp_path, duck):
     spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
     sql = f"with pages as (select * from '{tmp_path}/pages.parquet/*.parquet') select * from ({ORACLE_SQL['html_unescape']})"
     assert sorted(map(tuple, QUERIES["html_unescape"](spark, str(tmp_path)).collect())) == sorted(duck.execute(sql).fetchall())
+
+
+def test_plain_numbers_are_read_as_line_by_line(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(["1", "25", "000", "123", ",", ".", "-", "+", "e3", " ", "\t", "\n", "\r\n", "\u0085", "\x0b", "x", "total\n"], k=rng.randint(0, 7))) for _ in range(1500)]
+    slowly = lambda c: F.get(F.filter(F.transform(numbers.lines(c), numbers._one_locale_number), lambda v: v.isNotNull()), F.lit(0))
+    want = applied(spark, slowly, texts)
+    assert applied(spark, numbers.locale_number, texts) == want and sum(w is not None for w in want) > 300

@@ -58,3 +58,9 @@ def test_steps_from_the_command_line(spark, capsys):
     assert names[:7] == ["discover", "drain", "retry", "mirror", "cleanup", "discover", "sync_communes"] and names[7:] == ["discover", "discover", "pending", "drain", "mirror", "cleanup"]
     assert Noted.calls[0][1:] == ((7, (2,)), {"incremental": False, "resume": True, "most": None}) and Noted.calls[1][2] == {"limit": 5, "region": None}
     assert Noted.calls[5][1:] == ((3,), {"incremental": False, "resume": False, "most": None}) and '"rows_new": 1' in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("name", ["report_page_1", "report_page_3"])
+def test_reports_are_read_by_all_tasks(spark, sf_dir, name):
+    """A scan of narrow rows is one task's."""
+    assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
