@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +117,7 @@ def lines_in(pixels: Column) -> Column:
     return each(pixels)
 
 
+@lru_cache(maxsize=512)
 def _shares(n: int, m: int) -> np.ndarray:
     """How much of each of ``n`` old places lies in each of ``m`` new ones, each new one's parts adding up to 1."""
     edge = np.arange(m + 1) * (n / m)

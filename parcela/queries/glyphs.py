@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from parcela.operators import glyphs as op
 from parcela.operators import grid, pictures
 
-from .registry import query, table
+from .registry import dealt, query, table
 
 _MEAN = "m as (select label, i as pos, avg(embedding[i]::double) as mean from (select label, embedding, unnest(range(1, 65)) as i from embeddings) group by all)"
 
@@ -80,7 +80,7 @@ def glyph_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A box of 8 by 4 pixels with some dark columns, black and white in 32 by 24; without dark ones its four greys are parted in the middle."""
     grey = "if(x >= 3 and y >= 2 and y < 10 and x - 3 < p_size % 4, 30 + y, 210 - x)"
     picture = F.expr(f"transform(sequence(0, 11), y -> transform(sequence(0, 9), x -> {grey}))")
-    cells = table(spark, sf_dir, "part").select("p_partkey", picture.alias("pixels"), F.lit(3).alias("x"), F.lit(2).alias("y"), F.lit(4).alias("w"), F.lit(8).alias("h"))
+    cells = dealt(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", picture.alias("pixels"), F.lit(3).alias("x"), F.lit(2).alias("y"), F.lit(4).alias("w"), F.lit(8).alias("h"))
     return pictures.normalised(cells, ["p_partkey"]).select("p_partkey", F.posexplode("pixels").alias("pos", "value"))
 
 

@@ -64,3 +64,8 @@ def test_steps_from_the_command_line(spark, capsys):
 def test_reports_are_read_by_all_tasks(spark, sf_dir, name):
     """A scan of narrow rows is one task's."""
     assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("name", ["glyph_normalise"])
+def test_rows_are_dealt_before_their_pictures_and_pages(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
\ No newline at end of file
