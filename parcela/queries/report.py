@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from parcela.operators import persist
 from parcela.plans import catalogue, report
 
-from .registry import dealt, query, table
+from .registry import dealt, query
 
 
 def _texts(rows: DataFrame, key: str, fields: dict) -> DataFrame:
@@ -62,7 +62,7 @@ def report_envelope_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     fields |= {f"p0{k}_w_k_{i}": f"'x\\n{i + 1 + 10 * (k - 1)}'" for k in range(1, 6) for i in range(8)}
     fields |= {f"ua_mas_phi_l_{i}": f"'{i},5'" for i in range(12)}
-    texts = _texts(table(spark, sf_dir, "part"), "p_partkey", {k: F.expr(v) for k, v in fields.items()})
+    texts = _texts(dealt(spark, sf_dir, "part", "p_partkey", "p_size"), "p_partkey", {k: F.expr(v) for k, v in fields.items()})
     page = report.envelope_page(report.envelope_lists(texts, "doc_id"), "doc_id").drop("pos")
     return page.withColumnsRenamed({c: persist.table_column("pagina3_envolvente", c) for c in page.columns if c != "doc_id"})
 
@@ -72,7 +72,7 @@ t as (select unnest(['pagina1', 'pagina2', 'pagina3_consumos', 'pagina3_envolven
 select doc_id, table_name, case when p_size % 7 + 1 = page_no then 0 else n end::bigint as n_rows from d, t""")
 def report_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eight tables from spans; each report lacks one page."""
-    pages = table(spark, sf_dir, "part").selectExpr("p_partkey as doc_id", "p_size", "explode(sequence(1, 7)) as page_no").where("page_no <> p_size % 7 + 1")
+    pages = dealt(spark, sf_dir, "part", "p_partkey", "p_size").selectExpr("p_partkey as doc_id", "p_size", "explode(sequence(1, 7)) as page_no").where("page_no <> p_size % 7 + 1")
     spans = pages.selectExpr("doc_id", "page_no", "215.9D as page_w", "330.0D as page_h", "70.0D as x0", "32.0D as y0", "80.0D as x1", "34.0D as y1", "10.0D as font_size", "concat('C', doc_id) as text")
     return report.page_rows(report.extract(spans, "doc_id"), "doc_id")
 
@@ -82,7 +82,7 @@ def report_monthly_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
     fields = {f"a_mes_{k}": F.concat(size + k, F.lit(",5")) for k in range(1, 13)} | {f"b_mes_{k}": F.translate(F.format_number(size * 1000 + k, 1), ",.", ".,") for k in range(1, 13) if k != 5}
     fields["codigo_evaluacion"] = F.concat(F.lit("C"), F.col("p_partkey"), F.lit(" "))
-    return report.monthly_page(_texts(table(spark, sf_dir, "part"), "p_partkey", fields), "doc_id", ["a", "b"])
+    return report.monthly_page(_texts(dealt(spark, sf_dir, "part", "p_partkey", "p_size"), "p_partkey", fields), "doc_id", ["a", "b"])
 
 
 @query("""select p_partkey as doc_id, o as orientacion_nombre, (i - 1)::int as pos, (p_size + i - 1)::double as elementos_opacos_area_m2,
@@ -91,7 +91,7 @@ case when i <= 4 then i - 1 when i <= 9 then i else 11 end::double as ua_mas_phi
 from part, (select unnest(['Horiz', 'N', 'NE', 'E', 'SE', 'S', 'SO', 'O', 'NO', 'Pisos']) as o, unnest(range(1, 11)) as i)""")
 def report_envelope_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = lambda sql: f"transform({sql}, x -> cast(x as double))"
-    lists = table(spark, sf_dir, "part").selectExpr(
+    lists = dealt(spark, sf_dir, "part", "p_partkey", "p_size").selectExpr(
         "p_partkey as doc_id",
         f"{series('sequence(p_size, p_size + 9)')} as opaque",
         f"{series('sequence(p_size, p_size - 8)')} as translucent",
@@ -104,7 +104,7 @@ def report_envelope_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""select p_partkey as doc_id, case p_size % 2 when 0 then 1 else 7 end::int as mes_id, h::int as hora, case when h < 20 then h + 0.5 end::double as temperatura_exterior,
 (20 - h)::double as temperatura_interior, h >= 20 or (h < p_size % 24 and h % 5 = 0) as ocr_low_confidence from part, range(0, 24) t(h)""")
 def report_hourly_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = table(spark, sf_dir, "part").selectExpr(
+    cells = dealt(spark, sf_dir, "part", "p_partkey", "p_size").selectExpr(
         "p_partkey as doc_id",
         "if(p_size % 2 = 0, 'enero', 'Julio') as month",
         "transform(sequence(0, 19), h -> cast(h + 0.5D as double)) as `outer`",

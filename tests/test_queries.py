@@ -60,7 +60,7 @@ def test_steps_from_the_command_line(spark, capsys):
     assert Noted.calls[5][1:] == ((3,), {"incremental": False, "resume": False, "most": None}) and '"rows_new": 1' in capsys.readouterr().out
 
 
-@pytest.mark.parametrize("name", ["report_page_1", "report_page_3"])
+@pytest.mark.parametrize("name", ["report_page_1", "report_page_3", "report_monthly_page", "report_envelope_texts"])
 def test_reports_are_read_by_all_tasks(spark, sf_dir, name):
     """A scan of narrow rows is one task's."""
     assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
