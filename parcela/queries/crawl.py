@@ -9,7 +9,7 @@ from parcela.sources import listing
 from parcela.storage import scratch
 from parcela.streaming import early_stop
 
-from .registry import query, reports, table
+from .registry import dealt, query, reports, table
 
 def _grid_page(tipo: str, ident: str, letter: str, inputs: str, n: str) -> str:
     """SQL for a page with a row in the grid of its kind, another in the other kind's grid, and both counts."""
@@ -34,7 +34,7 @@ def listing_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the grid of a page's own kind; those without an identification are left out."""
     letter = "element_at(array('A+', 'B', '--', 'G'), p_size % 4 + 1)"
     html = _grid_page("(p_size % 2 + 1)", "if(p_size % 5 = 0, ' ', concat(' v', p_partkey, ' '))", letter, _INPUTS, "'1'")
-    pages = table(spark, sf_dir, "part").selectExpr("cast(p_partkey as int) as comuna_id", "cast(p_size % 2 + 1 as int) as tipo", "1 as page_no", f"{html} as html")
+    pages = dealt(spark, sf_dir, "part", "p_partkey", "p_size").selectExpr("cast(p_partkey as int) as comuna_id", "cast(p_size % 2 + 1 as int) as tipo", "1 as page_no", f"{html} as html")
     return listing.rows_of(pages)
 
 
@@ -43,7 +43,7 @@ def listing_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listing_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = """concat('<select id="dbRegion"><option value="3">no</option></select><select id="dbComuna">\n<option selected value="-1">Elija</option>',
         '<option value="', c_nationkey, '"> Ñuñoa ', c_custkey, ' </option>\n<option class="x" value="', c_nationkey + 100, '">A&amp;B</option></select><option value="9">no</option>')"""
-    found = table(spark, sf_dir, "customer").select("c_custkey", F.explode(listing.options_of(F.expr(html))).alias("o"))
+    found = dealt(spark, sf_dir, "customer", "c_custkey", "c_nationkey").select("c_custkey", F.explode(listing.options_of(F.expr(html))).alias("o"))
     return found.select("c_custkey", "o.*")
 
 
