@@ -100,7 +100,7 @@ _LINES = "ln as (select distinct s_suppkey, (20 * k + (s_suppkey * k) % 5 + case
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(26))).alias("k")).where("(s_suppkey + k) % 6 <> 0")
+    k = dealt(spark, sf_dir, "supplier", "s_suppkey").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(26))).alias("k")).where("(s_suppkey + k) % 6 <> 0")
     pos = F.expr("cast(20 * k + (s_suppkey * k) % 5 + if(k % 11 = 3, 9, 0) as int)")
     return k.select("s_suppkey", pos.alias("pos")).distinct()
 
@@ -128,7 +128,7 @@ bd as (select s_suppkey, min(y) as b, max(y) as e from (select s_suppkey, y, y -
 
 
 def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(119))).alias("y"))
+    rows = dealt(spark, sf_dir, "supplier", "s_suppkey").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(119))).alias("y"))
     return grid.ink_bands(rows.withColumn("ink", F.expr("cast((s_suppkey * 7 + y * y) % 160 as double)")), ["s_suppkey"], "y", "ink")
 
 
