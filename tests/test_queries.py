@@ -71,7 +71,7 @@ def test_rows_are_dealt_before_their_pictures_and_pages(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@pytest.mark.parametrize("name", ["ink_bands", "ink_lines"])
+@pytest.mark.parametrize("name", ["band_merge", "ink_bands", "ink_lines"])
 def test_ink_is_joined_with_nothing(spark, sf_dir, name):
     """The most ink of a picture is known where its rows are; a join sent all rows through the driver."""
     assert "Join" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
