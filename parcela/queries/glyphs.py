@@ -69,7 +69,7 @@ def cell_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     inside = lambda x, y, w, h: f"(x >= {x} and x < {x} + {w} and y >= {y} and y < {y} + {h})"
     dark = " or ".join([inside("2", "1", "(p_size % 5 + 1)", "(p_size % 7 + 1)"), inside("(p_size % 5 + 5)", "(p_size % 3 + 1)", "3", "2"), inside("20", "9", "1", "1")])
     picture = F.expr(f"transform(sequence(0, 11), y -> transform(sequence(0, 23), x -> cast(if({dark}, 20 + x % 3, 200 + y) as int)))")
-    found = pictures.blobs(table(spark, sf_dir, "part").select("p_partkey", picture.alias("pixels")), ["p_partkey"])
+    found = pictures.blobs(dealt(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", picture.alias("pixels")), ["p_partkey"])
     what = F.when(F.col("x") == 2, "b1").when(F.col("x") == 20, "b3").otherwise("b2")
     return found.select("p_partkey", what.alias("what"), "x", "y", "w", "h", "area")
 
@@ -163,7 +163,7 @@ def cell_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, top = F.col("p_size"), F.col("p_size") % 20
     part = grid.crop(s, s + F.col("p_partkey") % 40 + 1, top, top + 7, F.lit(60), F.lit(25))
     picture = F.expr("transform(sequence(1, 25), y -> sequence(1, 60))")
-    cut = table(spark, sf_dir, "part").select("p_partkey", part.alias("c"), grid.cropped(picture, part).alias("px"))
+    cut = dealt(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", part.alias("c"), grid.cropped(picture, part).alias("px"))
     return cut.select("p_partkey", "c.*", F.aggregate("px", F.lit(0), lambda a, row: a + F.size(row)).alias("n_pixels"))
 
 

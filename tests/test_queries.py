@@ -66,7 +66,7 @@ def test_reports_are_read_by_all_tasks(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@pytest.mark.parametrize("name", ["glyph_normalise", "listing_grid", "listing_options"])
+@pytest.mark.parametrize("name", ["cell_blobs", "cell_crop", "glyph_normalise", "listing_grid", "listing_options"])
 def test_rows_are_dealt_before_their_pictures_and_pages(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
