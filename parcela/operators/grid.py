@@ -88,11 +88,21 @@ def cropped(pixels: Column, part: Column) -> Column:
     return F.transform(F.slice(pixels, part["y1"] + 1, high), lambda row: F.slice(row, part["x1"] + 1, wide))
 
 
+def _stretches(rows: DataFrame, by: Sequence[str], begin: str, end: str, first: Column, last: Column) -> DataFrame:
+    """(begin, end) from each row for which ``first`` holds to the next, itself included, for which ``last`` does, in the order of ``begin``.
+
+    Such rows come in turns, so a window over them alone closes each stretch. In the order that the rows are already in, that is no second sort and no table of groups.
+    """
+    edges = rows.withColumn("__first", first).withColumn("__last", last).where("__first or __last")
+    close = F.when(F.col("__last"), F.col(end)).otherwise(F.lead(end).over(Window.partitionBy(*by).orderBy(begin)))
+    return edges.withColumn("__close", close).where("__first").select(*by, F.col(begin).alias("begin"), F.col("__close").alias("end"))
+
+
 def runs(rows: DataFrame, by: Sequence[str], index: str, on: Column) -> DataFrame:
     """(begin, end) of each run of consecutive indexes for which ``on`` holds."""
     w = Window.partitionBy(*by).orderBy(index)
-    marked = rows.where(on).withColumn("__g", F.col(index) - F.row_number().over(w))
-    return marked.groupBy(*by, "__g").agg(F.min(index).alias("begin"), F.max(index).alias("end")).drop("__g")
+    apart = [F.coalesce(near.over(w) != F.col(index) + step, F.lit(True)) for near, step in ((F.lag(index), -1), (F.lead(index), 1))]
+    return _stretches(rows.where(on), by, index, index, *apart)
 
 
 def ink_bands(rows: DataFrame, by: Sequence[str], index: str, ink: str, share: float = 0.12, floor: float = 20.0) -> DataFrame:
@@ -104,23 +114,25 @@ def ink_bands(rows: DataFrame, by: Sequence[str], index: str, ink: str, share: f
 def merged(bands: DataFrame, by: Sequence[str], gap: int = 6, height: int = 6, margin: int = 3, limit: int | None = None) -> DataFrame:
     """Bands less than ``gap`` apart joined, those under ``height`` dropped, the rest widened by ``margin``."""
     w = Window.partitionBy(*by).orderBy("begin")
-    apart = F.coalesce((F.col("begin") - F.lag("end").over(w) >= gap).cast("int"), F.lit(0))
-    grouped = bands.withColumn("__new", apart).withColumn("__g", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = grouped.groupBy(*by, "__g").agg(F.min("begin").alias("begin"), F.max("end").alias("end")).where(F.col("end") - F.col("begin") >= height)
+    before, reach = (F.max("end").over(w.rowsBetween(Window.unboundedPreceding, to)) for to in (-1, 0))
+    first, last = (F.coalesce(x >= gap, F.lit(True)) for x in (F.col("begin") - before, F.lead("begin").over(w) - reach))
+    joined = _stretches(bands.withColumn("__reach", reach), by, "begin", "__reach", first, last).where(F.col("end") - F.col("begin") >= height)
     low, high = F.greatest(F.lit(0), F.col("begin") - margin), F.col("end") + margin
     return joined.select(*by, low.alias("begin"), (high if limit is None else F.least(F.lit(limit), high)).alias("end"))
 
 
-def bands_in(ink: str, share: float = 0.12, floor: float = 20.0, gap: int = 6, height: int = 6, margin: int = 3) -> Column:
+def bands_in(ink: str, share: float = 0.12, floor: float = 20.0, gap: int = 6, height: int = 6, margin: int = 3, limit: int | None = None) -> Column:
     """What ``merged`` makes of ``ink_bands`` as one array of (begin, end), from an array of the ink of a picture's rows beside it.
 
-    A band begins with a row of enough ink that is ``gap`` or more after the one before, which joins runs as well.
+    A band begins with a row of enough ink that is ``gap`` or more after the one before, which joins runs as well. Runs themselves,
+    as ``ink_bands`` has them, are those of a gap of 2 without height and margin. Nothing is sorted, so a task holds one picture at a time.
     """
     least = f"greatest(array_max(v) * {share}D, {floor}D)"
     begins = f"filter(rows, (y, i) -> i = 0 or y - rows[i - 1] >= {gap})"
     ends = f"filter(rows, (y, i) -> i = size(rows) - 1 or rows[i + 1] - y >= {gap})"
     pairs = f"filter(zip_with({begins}, {ends}, (b, e) -> named_struct('begin', b, 'end', e)), x -> x.end - x.begin >= {height})"
-    wide = f"transform({pairs}, x -> named_struct('begin', cast(greatest(0, x.begin - {margin}) as double), 'end', cast(x.end + {margin} as double)))"
+    high = f"x.end + {margin}" if limit is None else f"least({limit}, x.end + {margin})"
+    wide = f"transform({pairs}, x -> named_struct('begin', cast(greatest(0, x.begin - {margin}) as double), 'end', cast({high} as double)))"
     rows = f"filter(transform(v, (n, y) -> if(n >= t, y, null)), y -> y is not null)"
     return F.expr(_let("v", ink, _let("t", least, _let("rows", rows, wide))))
 

@@ -127,21 +127,24 @@ th as (select s_suppkey, greatest(max(ink) * 0.12, 20) as t from ik group by 1),
 bd as (select s_suppkey, min(y) as b, max(y) as e from (select s_suppkey, y, y - row_number() over (partition by s_suppkey order by y) as g from ik join th using (s_suppkey) where ink >= t) group by s_suppkey, g)"""
 
 
-def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dealt(spark, sf_dir, "supplier", "s_suppkey").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(119))).alias("y"))
-    return grid.ink_bands(rows.withColumn("ink", F.expr("cast((s_suppkey * 7 + y * y) % 160 as double)")), ["s_suppkey"], "y", "ink")
+def _bands(spark: SparkSession, sf_dir: str, **how: int) -> DataFrame:
+    """A picture's ink is an array in the row that it is drawn from: as rows of their own all tasks would sort them, in memory that grows with the table."""
+    ink = F.expr("transform(sequence(0, 119), y -> cast((s_suppkey * 7 + y * y) % 160 as double))")
+    inked = dealt(spark, sf_dir, "supplier", "s_suppkey").select("s_suppkey", ink.alias("ink"))
+    found = inked.select("s_suppkey", F.explode(grid.bands_in("ink", **how)).alias("b"))
+    return found.select("s_suppkey", *[F.col(f"b.{c}").cast("int").alias(c) for c in ("begin", "end")])
 
 
 @query(f'with {_INK} select s_suppkey, b as "begin", e as "end" from bd')
 def ink_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bands(spark, sf_dir).select("s_suppkey", "begin", "end")
+    return _bands(spark, sf_dir, gap=2, height=0, margin=0)
 
 
 @query(f"""with {_INK}, nw as (select *, coalesce((b - lag(e) over (partition by s_suppkey order by b) >= 6)::int, 0) as n from bd),
 gr as (select *, sum(n) over (partition by s_suppkey order by b) as g from nw)
 select s_suppkey, greatest(0, min(b) - 3)::int as "begin", least(119, max(e) + 3)::int as "end" from gr group by s_suppkey, g having max(e) - min(b) >= 6""")
 def band_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid.merged(_bands(spark, sf_dir), ["s_suppkey"], limit=119)
+    return _bands(spark, sf_dir, limit=119)
 
 
 @query("""with g as (select l_orderkey as cell, l_linenumber as ord, l_partkey as pixel, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) as i,

@@ -389,3 +389,39 @@ def test_early_stop_over_a_stream(spark, tmp_path):
     assert rows(found, "unit", "page") == expected
     last = {u: max(p for v, p in expected if v == u) for u in range(12)}
     assert all(last[x.unit] == x.page for x in found.where("stops").collect()) and found.where("stops").count() > 3
+
+
+def test_bands_and_lines_of_rows_take_one_sort(spark):
+    rows = spark.createDataFrame([(1, 0, 30.0)], "k int, y int, ink double")
+    for found in (grid.merged(grid.ink_bands(rows, ["k"], "y", "ink"), ["k"]), grid.lines_of(rows, ["k"], "y", "ink")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1 and "Aggregate" not in plan
+
+
+def test_runs_and_bands_against_loops(spark):
+    rng = np.random.default_rng(8)
+    ink = [(k, int(y), float(v)) for k in range(60) for y, v in enumerate(rng.choice([0, 19, 20, 45, 400 * (k % 2)], rng.integers(1, 60))) if k % 5 or y % 4]
+    ink += [(90, 3, None), (91, 7, 20.0), (92, 119, 50.0)]
+    rows = spark.createDataFrame(ink, "k int, y int, ink double")
+    runs, bands = [], []
+    for k in sorted({r[0] for r in ink}):
+        of = {y: v for d, y, v in ink if d == k and v is not None}
+        on = [y for y in sorted(of) if of[y] >= max(0.12 * max(of.values()), 20)]
+        for gap, out in ((2, runs), (6, bands)):
+            first = [y for i, y in enumerate(on) if i == 0 or y - on[i - 1] >= gap]
+            last = [y for i, y in enumerate(on) if i == len(on) - 1 or on[i + 1] - y >= gap]
+            out += [(k, b, e) for b, e in zip(first, last, strict=True)]
+    found = grid.ink_bands(rows, ["k"], "y", "ink")
+    assert sorted(map(tuple, found.collect())) == runs
+    # Bands are less than 6 apart where the next begins less than 6 after the last row of ink.
+    wide = [(k, max(0, b - 3), min(50, e + 3)) for k, b, e in bands if e - b >= 6]
+    assert sorted(map(tuple, grid.merged(found, ["k"], limit=50).collect())) == wide
+    whole = rows.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("y", "ink"))).alias("r")).where("k % 5 > 0 and k < 60").select("k", F.transform("r", lambda x: x["ink"]).alias("v"))
+    for how, want in (({"limit": 50}, wide), ({"gap": 2, "height": 0, "margin": 0}, runs)):
+        got = whole.select("k", F.explode(grid.bands_in("v", **how)).alias("b")).select("k", "b.*")
+        assert sorted(map(tuple, got.collect())) == [x for x in want if x[0] % 5 and x[0] < 60]
+
+
+def test_a_band_within_another_does_not_end_it(spark):
+    bands = spark.createDataFrame([(1, 0, 100), (1, 10, 20), (1, 40, 50), (1, 103, 110), (1, 116, 130), (2, 5, 9)], "k int, begin int, end int")
+    assert sorted(map(tuple, grid.merged(bands, ["k"]).collect())) == [(1, 0, 113), (1, 113, 133)]

@@ -75,3 +75,10 @@ def test_rows_are_dealt_before_their_pictures_and_pages(spark, sf_dir, name):
 def test_ink_is_joined_with_nothing(spark, sf_dir, name):
     """The most ink of a picture is known where its rows are; a join sent all rows through the driver."""
     assert "Join" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["band_merge", "ink_bands"])
+def test_ink_stays_in_the_row_of_its_picture(spark, sf_dir, name):
+    """As rows of their own a task's pictures were sorted and grouped, in memory that grew with the table."""
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and not any(step in plan for step in ("Sort", "Window", "Aggregate"))
